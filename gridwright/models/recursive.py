@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from gridwright.config import DOMAINS, Domain
 from gridwright.operators.features import lag_transforms
-from gridwright.operators.resample import rolling_origins
+from gridwright.operators.resample import with_fold
 from gridwright.operators.windows import Series, add_targets
 from gridwright.session import checkpoint_dir
 
@@ -136,12 +136,14 @@ def persistence_folds(
     df: DataFrame, domain_name: str, horizon: int, n_windows: int = 3,
     series: Series = Series(("unique_id",), "ds"), column: str = "y",
 ) -> DataFrame:
-    """Test rows of each fold with the last value at or before the cutoff as the forecast."""
-    step = DOMAINS[domain_name].step_minutes
-    folds = rolling_origins(df, series, horizon, step, n_windows)
-    cutoffs = folds.select(*series.keys, "fold", "cutoff").distinct()
-    known = (
-        df.join(cutoffs, list(series.keys)).where(F.col(series.time) <= F.col("cutoff"))
-        .groupBy(*series.keys, "fold").agg(F.max_by(column, series.time).alias("prediction"))
-    )
-    return folds.join(known, [*series.keys, "fold"], "left")
+    """Test rows of each fold with the last value at or before the cutoff as the forecast.
+
+    The last value of each fold's stretch is aggregated first; the window then sees one row per
+    (series, fold).
+    """
+    folded = with_fold(df, series, horizon, DOMAINS[domain_name].step_minutes, n_windows)
+    seen = F.when(F.col(column).isNotNull(), F.col(series.time))
+    earlier = Window.partitionBy(*series.keys).orderBy("fold").rowsBetween(Window.unboundedPreceding, -1)
+    known = folded.groupBy(*series.keys, "fold").agg(F.max_by(column, seen).alias("_last")).select(
+        *series.keys, "fold", F.last("_last", ignorenulls=True).over(earlier).alias("prediction"))
+    return folded.where(F.col("fold") >= 0).join(known, [*series.keys, "fold"], "left")

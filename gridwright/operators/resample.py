@@ -15,15 +15,15 @@ TIME = "timestamp_utc"
 def bucket(ts: Column, minutes: int) -> Column:
     """Start of the bucket a time falls in; buckets align with midnight and keep the type of ts."""
     into = (F.hour(ts) * 60 + F.minute(ts)) % minutes
-    return F.date_trunc("minute", ts) - F.make_dt_interval(mins=into)
+    return ts - F.make_dt_interval(mins=into, secs=F.extract(F.lit("SECOND"), ts))
 
 
 def bucket_mean(
     df: DataFrame, minutes: int, columns: Sequence[str], keys: Sequence[str] = (), time: str = TIME
 ) -> DataFrame:
     """Mean per bucket, nulls skipped, no rows for empty buckets."""
-    start = F.date_trunc("hour", time) if minutes == 60 else bucket(F.col(time), minutes)
-    return df.groupBy(*keys, start.alias(time)).agg(*[F.avg(c).alias(c) for c in columns])
+    start = bucket(F.col(time), minutes).alias(time)
+    return df.groupBy(*keys, start).agg(*[F.avg(c).alias(c) for c in columns])
 
 
 def group_mean(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (TIME,)) -> DataFrame:
@@ -64,25 +64,28 @@ def split_stats(df: DataFrame, time: str = TIME) -> DataFrame:
         F.count("*").alias("n_rows"), F.min(time).alias("first_ts"), F.max(time).alias("last_ts"))
 
 
-def series_ends(df: DataFrame, series: Series) -> DataFrame:
-    return df.groupBy(*series.keys).agg(F.max(series.time).alias("_end"))
-
-
-def rolling_origins(
+def with_fold(
     df: DataFrame, series: Series, horizon: int, step_minutes: int, n_windows: int
 ) -> DataFrame:
-    """Test rows of each fold: (row, fold, cutoff) with cutoff < time <= cutoff + horizon steps.
+    """Adds `fold` and `cutoff`; rows before the first cutoff have fold -1 and no cutoff.
 
-    Folds are counted back from each series' own last row and do not overlap, so a row is in at
-    most one of them and its fold follows from its distance to the end: no row is copied.
+    Folds are counted back from each series' own last row and do not overlap, so a row is tested in
+    at most one of them and its fold follows from its distance to the end: no row is copied.
     """
     span = horizon * step_minutes * 60
-    ended = df.join(series_ends(df, series), list(series.keys))
+    ends = df.groupBy(*series.keys).agg(F.max(series.time).alias("_end"))
     back = (F.col("_end") - F.col(series.time)).cast("interval second").cast("decimal(20,6)")
-    fold = n_windows - 1 - F.floor(back / span)
+    fold = F.greatest(n_windows - 1 - F.floor(back / span), F.lit(-1)).cast("int")
     cutoff = F.col("_end") - F.make_dt_interval(
         secs=((n_windows - F.col("fold")) * span).cast("decimal(18,6)"))
     return (
-        ended.withColumn("fold", fold.cast("int")).where(F.col("fold") >= 0)
-        .withColumn("cutoff", cutoff).drop("_end")
+        df.join(ends, list(series.keys)).withColumn("fold", fold)
+        .withColumn("cutoff", F.when(F.col("fold") >= 0, cutoff)).drop("_end")
     )
+
+
+def rolling_origins(
+    df: DataFrame, series: Series, horizon: int, step_minutes: int, n_windows: int
+) -> DataFrame:
+    """Test rows of each fold: cutoff < time <= cutoff + horizon steps."""
+    return with_fold(df, series, horizon, step_minutes, n_windows).where(F.col("fold") >= 0)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -77,12 +77,13 @@ def missing_columns(layout: Layout, columns: Mapping[str, str]) -> list[str]:
     return [source for source in columns if source not in layout.names]
 
 
-def file_peak(df: DataFrame, column: str, files: Sequence[str]) -> DataFrame:
+def with_file_peak(df: DataFrame, column: str, n_files: int | None = None) -> DataFrame:
     """Adds `_peak`, the largest value of the column in the row's file.
 
-    Maxima are aggregated per file and joined back, so a huge file is never one group.
+    Maxima are aggregated per file and joined back, so a huge file is never one group. They are
+    broadcast where the number of files is known to be small.
     """
     peaks = df.groupBy("file").agg(F.max(column).alias("_peak"))
-    if len(files) <= MAX_BROADCAST_FILES:
+    if n_files is not None and n_files <= MAX_BROADCAST_FILES:
         peaks = F.broadcast(peaks)
     return df.join(peaks, "file", "left")

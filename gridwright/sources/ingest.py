@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gridwright.functions import scalars as S
 from gridwright.operators.resample import bucket_mean, dedupe_first, group_mean
 from gridwright.schemas import to_canonical
-from gridwright.sources.delimited import Format, Layout, file_peak, layouts, read_layout
+from gridwright.sources.delimited import Format, Layout, layouts, read_layout, with_file_peak
 from gridwright.sources.scan import scan_csv
 
 # Vendor headers, null tokens, file-name patterns and time zones.
@@ -64,9 +64,9 @@ def series_id_from_path(path: Column) -> Column:
         F.raise_error(problem).cast("string"))
 
 
-def scale_small_files(df: DataFrame, files: tuple[str, ...]) -> DataFrame:
+def scale_small_files(df: DataFrame, n_files: int | None = None) -> DataFrame:
     """Files whose largest power is small hold energy per 10 minutes: six times that is power."""
-    peaked = file_peak(df, "active_power_kw", files)
+    peaked = with_file_peak(df, "active_power_kw", n_files)
     power = F.col("active_power_kw")
     scaled = F.when(F.col("_peak") < UNSCALED_BELOW_KW, power * UNSCALED_FACTOR).otherwise(power)
     return peaked.withColumn("active_power_kw", scaled).drop("_peak")
@@ -87,7 +87,7 @@ def _turbine_frame(spark: SparkSession, layout: Layout, fmt: Format) -> DataFram
         "file", "position", S.parse_utc(F.trim("timestamp_raw")).alias("timestamp_utc"), *signals,
         (S.mean_horizontal(*pitch) if pitch else F.lit(None).cast("double")).alias("pitch_angle_deg"),
         status.alias("status_code"))
-    return scale_small_files(frame, layout.files) if "active_power_kw" in number else frame
+    return scale_small_files(frame, len(layout.files)) if "active_power_kw" in number else frame
 
 
 def ingest_turbine_csv(spark: SparkSession, path: str, pattern: str = "*.csv*") -> DataFrame:
