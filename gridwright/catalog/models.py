@@ -1,0 +1,61 @@
+"""Models as table operations. SQL cannot fit them, so these have no oracle; tests check them."""
+
+from __future__ import annotations
+
+from pyspark.ml.regression import LinearRegression
+from pyspark.sql import functions as F
+
+from gridwright.catalog import views as V
+from gridwright.catalog.features import _flagged_demand
+from gridwright.catalog.registry import query, rounded
+from gridwright.models import direct as D
+from gridwright.models import recursive as RC
+from gridwright.operators import features as FT
+from gridwright.operators.resample import temporal_split
+
+HORIZONS = [1, 24]
+FEATURES = FT.feature_set("demand_baseline")
+QUICK = D.Boosting(rounds=5, rate=0.3, depth=3)
+
+
+def _table(spark, sf):
+    """Load features, complete rows only, split by year, with targets."""
+    built = FT.demand_features(_flagged_demand(spark, sf), "baseline", V.DEMAND)
+    rows = FT.complete_rows(built, "demand", "demand_baseline").select(
+        "timestamp_utc", "zone_id", "o_orderkey", "load_mw", *FEATURES)
+    return D.targets_table(temporal_split(rows, 3, 1), V.DEMAND, "load_mw", HORIZONS)
+
+
+@query("train_direct_horizons")
+def train_direct_horizons(spark, sf):
+    models = D.train_horizons(_table(spark, sf), FEATURES, HORIZONS, QUICK)
+    rows = [
+        (h, name, float(weight), model.stages[-1].getNumTrees)
+        for h, model in models.items()
+        for name, weight in zip(FEATURES, model.stages[-1].featureImportances.toArray())
+    ]
+    return spark.createDataFrame(rows, "horizon int, feature string, importance double, trees int")
+
+
+@query("predict_evaluate")
+def predict_evaluate(spark, sf):
+    table = _table(spark, sf)
+    models = D.train_horizons(table, FEATURES, HORIZONS, QUICK)
+    predictions = D.predict_horizons(models, table, FEATURES, keep=["load_mw_lag1"])
+    return rounded(D.evaluate_horizons(predictions, "load_mw_lag1"))
+
+
+@query("model_leaderboard")
+def model_leaderboard(spark, sf):
+    return rounded(D.model_leaderboard(
+        _table(spark, sf), FEATURES, 1, D.default_candidates(depth=3, trees=5)))
+
+
+@query("recursive_forecast")
+def recursive_forecast(spark, sf):
+    series = FT.long_forecast_frame(V.scada(spark, sf), "wind").where(F.col("y").isNotNull()).select(
+        "unique_id", "ds", "y")
+    estimator = LinearRegression(
+        featuresCol="features", labelCol="target", predictionCol="prediction", regParam=0.1)
+    model = RC.fit_one_step(series, "wind", estimator)
+    return rounded(RC.recursive_forecast(series, model, "wind", 24))

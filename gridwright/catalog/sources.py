@@ -1,0 +1,280 @@
+"""Readers and writers, on files that Spark first writes from the driver tables."""
+
+from __future__ import annotations
+
+import io
+import zipfile
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from gridwright.catalog import views as V
+from gridwright.catalog.registry import query, r, rounded, rs, table, without_zone
+from gridwright.catalog.time import DENVER_HOURS, LOCAL, PARIS_GAP, PARIS_HOURS
+from gridwright.operators import weather as WX
+from gridwright.schemas import DEMAND, SCADA, SOLAR
+from gridwright.session import work_path
+from gridwright.sources import ingest as I
+from gridwright.sources.archives import member_lines
+from gridwright.sources.scan import (
+    scan_csv,
+    scan_parquet,
+    write_csv_report,
+    write_partitioned,
+)
+from gridwright.sources.weather_store import read_store, upsert
+
+
+def _write_files(lines: DataFrame, path: str) -> str:
+    """Text files from (file, rank, line), each with its lines in order of rank.
+
+    Callers name files so that each covers a bounded stretch of time.
+    """
+    ordered = lines.repartition("file").sortWithinPartitions("file", "rank")
+    ordered.select("file", "line").write.partitionBy("file").text(path)
+    return path
+
+
+def _with_heads(rows: DataFrame, heads) -> DataFrame:
+    """Put the lines `heads` (an array column made from a row of the file) before the rows."""
+    first = rows.groupBy("file").agg(F.any_value("layout").alias("layout"))
+    head = first.select("file", F.posexplode(heads).alias("at", "line"))
+    head = head.select("file", F.struct((F.col("at") - 100).cast("long").alias("a"), F.lit(0).cast("long").alias("b")).alias("rank"), "line")
+    body = rows.select("file", "rank", "line")
+    return head.unionByName(body)
+
+
+# plain reads and writes
+
+CSV_VALUE = "CASE WHEN event_id % 9 = 0 THEN 'NA' WHEN event_id % 7 = 0 THEN '' WHEN event_id % 5 = 0 THEN 'bad' ELSE CAST(value AS {}) END"
+CSV_CITY = "CASE WHEN event_id % 4 = 0 THEN 'NaN' ELSE event_type END"
+
+
+@query("scan_csv_nulls", f"""SELECT CAST(event_id AS VARCHAR) AS event_id, nullif({CSV_CITY}, 'NaN') AS city,
+  TRY_CAST({CSV_VALUE.format('VARCHAR')} AS DOUBLE) AS temp FROM events""")
+def scan_csv_nulls(spark, sf):
+    path = work_path(spark, "csv")
+    table(spark, sf, "events").select(
+        "event_id", F.expr(CSV_CITY).alias("city"), F.expr(CSV_VALUE.format("STRING")).alias("temp")
+    ).write.option("header", "true").csv(path)
+    return scan_csv(spark, path, numbers=("temp",))
+
+
+@query("write_partitioned", V.DEMAND_SQL + f"SELECT zone_id, o_orderkey, timestamp_utc, {r('load_mw')} FROM demand")
+def write_partitioned_query(spark, sf):
+    path = work_path(spark, "load")
+    rows = V.demand(spark, sf).select("zone_id", "o_orderkey", "timestamp_utc", "load_mw")
+    write_partitioned(rows, path, "zone_id")
+    return rounded(scan_parquet(spark, path))
+
+
+@query("write_csv_report", V.DEMAND_SQL + f"""SELECT zone_id, count(*) AS n_rows, {r('avg(load_mw)', 'mean_load')} FROM demand GROUP BY 1""")
+def write_csv_report_query(spark, sf):
+    path = work_path(spark, "report")
+    report = V.demand(spark, sf).groupBy("zone_id").agg(
+        F.count("*").alias("n_rows"), F.avg("load_mw").alias("mean_load"))
+    write_csv_report(rounded(report), path)
+    return spark.read.option("header", "true").schema("zone_id string, n_rows bigint, mean_load double").csv(path)
+
+
+# turbine files: one per turbine and week; odd turbines have other columns in another order
+
+TURBINE_ROW = """SELECT event_id, ts, CAST(user_id % 6 + 1 AS INT) AS n, value / 3.9007 AS wind,
+  CASE WHEN user_id % 6 = 2 THEN least(value, 400.0) ELSE value * 25 + 500 END AS power,
+  CASE WHEN event_id % 8 = 0 THEN NULL ELSE value / 9.7001 END AS pitch_a, value / 4.9003 AS pitch_b,
+  CASE WHEN event_id % 6 = 0 THEN '-999' WHEN event_id % 10 = 1 THEN 'junk' ELSE CAST(value AS STRING) END AS ambient,
+  CASE WHEN event_id % 12 = 0 THEN '0' WHEN event_id % 12 = 1 THEN 'NA' ELSE '1' END AS availability FROM events"""
+HEAD_EVEN = "# Date and time,Wind speed (m/s),Power (kW),Blade angle (pitch position) A (°),Blade angle (pitch position) B (°),Nacelle ambient temperature (°C),Data Availability"
+HEAD_ODD = "# Date and time,Power (kW),Unmapped,Wind speed (m/s),Nacelle ambient temperature (°C),Blade angle (pitch position) B (°)"
+
+
+def _text(column: str):
+    return F.coalesce(F.col(column).cast("string"), F.lit(""))
+
+
+def _turbine_files(spark, sf) -> str:
+    rows = spark.sql(TURBINE_ROW.replace("FROM events", "FROM {events}"), events=table(spark, sf, "events"))
+    stamp = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    even = F.concat_ws(",", stamp, _text("wind"), _text("power"), _text("pitch_a"), _text("pitch_b"),
+                       "ambient", "availability")
+    odd = F.concat_ws(",", stamp, _text("power"), F.lit("x"), _text("wind"), "ambient", _text("pitch_b"))
+    name = F.concat(F.lit("Turbine_Data_Kelmarsh_"), F.col("n").cast("string"), F.lit("_w"),
+                    F.weekofyear("ts").cast("string"))
+    rank = F.struct(F.lit(0).cast("long").alias("a"), F.col("event_id").alias("b"))
+    lined = rows.select(
+        name.alias("file"), (F.col("n") % 2).alias("layout"), rank.alias("rank"),
+        F.when(F.col("n") % 2 == 0, even).otherwise(odd).alias("line"), "event_id")
+    # Every fiftieth reading comes again in a file that sorts later.
+    again = lined.where("event_id % 50 = 0").withColumns({
+        "file": F.concat(F.regexp_extract("file", r"^(.*_\d+)_w", 1), F.lit("_x")), "line": F.col("line")})
+    heads = F.array(F.lit("# exported file"), F.lit("# unit: SI"),
+                    F.when(F.col("layout") == 0, HEAD_EVEN).otherwise(HEAD_ODD))
+    both = lined.unionByName(again).drop("event_id")
+    return _write_files(_with_heads(both, heads), work_path(spark, "turbines"))
+
+
+TURBINE_SQL = "WITH src AS (" + TURBINE_ROW.replace("STRING", "VARCHAR") + f""")
+, amb AS (SELECT *, CASE WHEN ambient <> '-999' THEN TRY_CAST(ambient AS DOUBLE) END AS amb,
+    max(power) OVER (PARTITION BY n, weekofyear(ts)) AS peak,
+    row_number() OVER (PARTITION BY n, date_trunc('second', ts) ORDER BY event_id) AS k FROM src)
+SELECT date_trunc('second', ts) AS timestamp_utc, 'kelmarsh' AS dataset_id, 'KWF' || n AS turbine_id,
+  {r('CASE WHEN peak < 500 THEN power * 6 ELSE power END', 'active_power_kw')}, {r('wind', 'wind_speed_ms')},
+  CAST(NULL AS DOUBLE) AS wind_direction_deg,
+  {r('CASE WHEN n % 2 = 1 OR pitch_a IS NULL THEN pitch_b ELSE (pitch_a + pitch_b) / 2 END', 'pitch_angle_deg')},
+  CAST(NULL AS DOUBLE) AS rotor_rpm, CAST(NULL AS DOUBLE) AS nacelle_direction_deg, {r('amb', 'ambient_temp_c')},
+  CAST(NULL AS DOUBLE) AS nacelle_temp_c, CASE WHEN n % 2 = 0 AND availability = '0' THEN 1 ELSE 0 END AS status_code,
+  false AS is_curtailed, false AS is_maintenance, CAST(0 AS TINYINT) AS qc_flag FROM amb WHERE k = 1"""
+
+
+@query("ingest_turbine_csv", TURBINE_SQL)
+def ingest_turbine_csv(spark, sf):
+    return without_zone(rounded(I.ingest_turbine_csv(spark, _turbine_files(spark, sf), "*")))
+
+
+@query("extract_series_id_from_path", """SELECT 'KWF' || (user_id % 6 + 1) AS turbine_id,
+  count(*) + count(*) FILTER (WHERE event_id % 50 = 0) AS n_rows FROM events GROUP BY 1""")
+def extract_series_id_from_path(spark, sf):
+    lines = spark.read.option("recursiveFileLookup", "true").text(_turbine_files(spark, sf))
+    named = lines.select(
+        "value", I.series_id_from_path(F.col("_metadata.file_path")).alias("turbine_id"))
+    return named.where(~F.col("value").startswith("#")).groupBy("turbine_id").agg(F.count("*").alias("n_rows"))
+
+
+def _zip_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One archive per Arrow batch: a CSV per turbine, those of even turbines inside an inner archive."""
+    for number, batch in enumerate(batches):
+        outer, inner = io.BytesIO(), io.BytesIO()
+        with zipfile.ZipFile(outer, "w") as top, zipfile.ZipFile(inner, "w") as nested:
+            for n, part in batch.groupby("n"):
+                target = nested if n % 2 == 0 else top
+                target.writestr(f"data/Turbine_Data_Kelmarsh_{n}_part.csv", "\n".join(part["line"]) + "\n")
+            top.writestr("readme.txt", "not a turbine file\n")
+            nested.writestr("Status_Kelmarsh_1.csv", "not one either\n")
+            nested.close()
+            top.writestr("year.zip", inner.getvalue())
+        yield pd.DataFrame({"path": [f"archive-{number}.zip"], "content": [outer.getvalue()]})
+
+
+@query("ingest_archives", """SELECT CASE WHEN (user_id % 6 + 1) % 2 = 0 THEN 'year.zip/' ELSE '' END
+  || 'data/Turbine_Data_Kelmarsh_' || (user_id % 6 + 1) || '_part.csv' AS member,
+  event_id || ',' || event_type || ',é' AS line FROM events""")
+def ingest_archives(spark, sf):
+    rows = table(spark, sf, "events").select(
+        (F.col("user_id") % 6 + 1).alias("n"),
+        F.concat_ws(",", F.col("event_id").cast("string"), "event_type", F.lit("é")).alias("line"))
+    archives = rows.mapInPandas(_zip_batches, "path string, content binary")
+    return member_lines(archives, I.TURBINE_MEMBER).select("member", "line")
+
+
+# load files: one per quarter, local clock, a trailer line
+
+LOAD_ROW = f"""SELECT o_orderkey, {LOCAL} AS local, o_totalprice / 3.9007 AS load, o_custkey, o_totalprice FROM orders"""
+LOAD_HEAD = "Périmètre\tNature\tDate\tHeures\tConsommation\tPrévision J-1\tPrévision J"
+
+
+@query("ingest_load_tsv", "WITH src AS (" + LOAD_ROW + f""")
+, utc AS (SELECT date_trunc('hour', local - ({PARIS_HOURS}) * INTERVAL 1 HOUR) AS timestamp_utc,
+    CASE WHEN o_orderkey % 4 <> 0 THEN load END AS load_mw, load + o_custkey AS tso FROM src WHERE NOT {PARIS_GAP})
+SELECT timestamp_utc, 'rte_france' AS dataset_id, 'FR' AS zone_id, {r('avg(load_mw)', 'load_mw')},
+  CAST(NULL AS DOUBLE) AS temperature_c, CAST(NULL AS DOUBLE) AS wind_speed_ms, CAST(NULL AS DOUBLE) AS humidity_pct,
+  CAST(NULL AS DOUBLE) AS price_eur_mwh, {r('avg(tso)', 'tso_forecast_mw')}, false AS is_holiday,
+  false AS is_dst_transition, CAST(0 AS TINYINT) AS qc_flag FROM utc GROUP BY 1""")
+def ingest_load_tsv(spark, sf):
+    rows = spark.sql(LOAD_ROW.replace("FROM orders", "FROM {orders}"), orders=table(spark, sf, "orders"))
+    load = F.when(F.col("o_orderkey") % 4 != 0, F.col("load").cast("string")).otherwise("ND")
+    line = F.concat_ws(
+        "\t", F.lit("France"), F.lit("Définitives"), F.date_format("local", "yyyy-MM-dd"),
+        F.date_format("local", "HH:mm"), load, (F.col("load") + F.col("o_custkey")).cast("string"), F.lit("DC"))
+    rank = F.struct(F.lit(0).cast("long").alias("a"), F.col("o_orderkey").alias("b"))
+    lined = rows.select(
+        F.date_format("local", "'eCO2mix_'yyyy'_'Q").alias("file"), F.lit(0).alias("layout"),
+        rank.alias("rank"), line.alias("line"))
+    heads = F.array(F.lit(LOAD_HEAD), F.lit("RTE ne pourra être tenu responsable"))
+    path = _write_files(_with_heads(lined, heads), work_path(spark, "load"))
+    return without_zone(rounded(I.ingest_load_tsv(spark, path)))
+
+
+# load and city weather
+
+CITY = "CASE event_type WHEN 'view' THEN ' Barcelona' WHEN 'click' THEN 'Valencia' ELSE 'Madrid' END"
+
+
+@query("ingest_load_and_weather", f"""WITH energy AS (SELECT date_trunc('hour', o_orderdate) + INTERVAL 1 HOUR * (o_orderkey % 24)
+    + INTERVAL 29 YEAR - INTERVAL 1 HOUR AS timestamp_utc, o_totalprice / 3.9007 AS load_mw,
+    CASE WHEN o_orderkey % 6 <> 0 THEN o_totalprice / 4903.7 END AS price FROM orders WHERE o_orderdate < TIMESTAMP '1995-02-03')
+, cities AS (SELECT date_trunc('hour', ts) - INTERVAL 1 HOUR AS timestamp_utc, avg(value) AS temp, avg(value / 1.0337) AS hum,
+    avg(CASE WHEN event_type = 'click' AND value > 50 THEN NULL ELSE value / 1.0103 END) AS wind FROM events GROUP BY 1)
+SELECT timestamp_utc, 'spain_demand' AS dataset_id, 'ES' AS zone_id, {r('load_mw')}, {r('temp + 100 - 273.15', 'temperature_c')},
+  {r('wind', 'wind_speed_ms')}, {r('hum', 'humidity_pct')}, {r('price', 'price_eur_mwh')}, CAST(NULL AS DOUBLE) AS tso_forecast_mw,
+  false AS is_holiday, false AS is_dst_transition, CAST(0 AS TINYINT) AS qc_flag FROM energy JOIN cities USING (timestamp_utc)""".replace(
+    "value > 50", "value / 1.0103 > 50"))
+def ingest_load_and_weather(spark, sf):
+    energy_path, weather_path = work_path(spark, "energy"), work_path(spark, "cities")
+    hour = F.expr("o_orderdate + CAST(o_orderkey % 24 AS INT) * INTERVAL '1' HOUR + INTERVAL '29' YEAR")
+    table(spark, sf, "orders").where("o_orderdate < TIMESTAMP_NTZ '1995-02-03 00:00:00'").select(
+        F.concat(F.date_format(hour, "yyyy-MM-dd HH:mm:ss"), F.lit("+01:00")).alias("time"),
+        (F.col("o_totalprice") / 3.9007).alias("total load actual"), F.lit(1).alias("total load forecast"),
+        F.when(F.col("o_orderkey") % 6 != 0, (F.col("o_totalprice") / 4903.7).cast("string")).otherwise("NaN")
+        .alias("price day ahead"),
+    ).write.option("header", "true").csv(energy_path)
+    v = F.col("value")
+    table(spark, sf, "events").select(
+        F.concat(F.date_format(F.date_trunc("hour", "ts"), "yyyy-MM-dd HH:mm:ss"), F.lit("+01:00")).alias("dt_iso"),
+        F.expr(CITY).alias("city_name"), (v + 100).alias("temp"), (v * 20).alias("pressure"),
+        (v / 1.0337).alias("humidity"), (v / 1.0103).alias("wind_speed"),
+    ).write.option("header", "true").option("ignoreLeadingWhiteSpace", "false").csv(weather_path)
+    return without_zone(rounded(I.ingest_load_and_weather(spark, energy_path, weather_path)))
+
+
+# photovoltaic files: one per month, some without the module temperature, some unusable
+
+PV_ROW = """SELECT event_id, ts + CAST(event_id % 12 AS INT) * INTERVAL '1' MONTH AS local, value FROM events"""
+PV_FULL = "measured_on,ac_power__315,poa_irradiance__313,ambient_temp__320,module_temp_1__321"
+PV_SHORT = "SiteID,measured_on,poa_irradiance__313,ac_power__315"
+
+
+@query("ingest_pv_csv", "WITH src AS (" + PV_ROW + f""")
+, utc AS (SELECT time_bucket(INTERVAL 15 MINUTE, local + ({DENVER_HOURS}) * INTERVAL 1 HOUR) AS timestamp_utc,
+    greatest(CASE WHEN event_id % 5 = 0 THEN -value ELSE value / 1.0337 END / 1000.0, 0.0) AS power,
+    value / 0.049003 AS poa, CASE WHEN month(local) % 3 = 0 THEN value / 1.0103 END AS t FROM src WHERE month(local) <> 5)
+SELECT timestamp_utc, 'pvdaq_system4' AS dataset_id, '4' AS system_id, {r('avg(power)', 'power_kw')},
+  CAST(NULL AS DOUBLE) AS ghi_wm2, {r('avg(poa)', 'poa_wm2')}, {r('avg(t)', 'ambient_temp_c')},
+  {r('avg(t + 5)', 'module_temp_c')}, CAST(NULL AS DOUBLE) AS wind_speed_ms, CAST(0 AS TINYINT) AS qc_flag FROM utc GROUP BY 1""")
+def ingest_pv_csv(spark, sf):
+    rows = spark.sql(PV_ROW.replace("FROM events", "FROM {events}"), events=table(spark, sf, "events"))
+    v, month = F.col("value"), F.month("local")
+    rows = rows.withColumns({
+        "stamp": F.date_format("local", "yyyy-MM-dd HH:mm:ss"),
+        "watts": F.when(F.col("event_id") % 5 == 0, -v).otherwise(v / 1.0337), "poa": v / 0.049003,
+        "t": v / 1.0103, "t5": v / 1.0103 + 5})
+    full = F.concat_ws(",", "stamp", _text("watts"), _text("poa"), _text("t"), _text("t5"))
+    short = F.concat_ws(",", F.lit("4"), "stamp", _text("poa"), _text("watts"))
+    rank = F.struct(F.lit(0).cast("long").alias("a"), F.col("event_id").alias("b"))
+    lined = rows.select(
+        F.date_format("local", "'system_4__date_'yyyy'_'MM").alias("file"), month.alias("layout"), rank.alias("rank"),
+        F.when(month % 3 == 0, full).otherwise(short).alias("line"))
+    head = (F.when(F.col("layout") == 5, "time,other").when(F.col("layout") % 3 == 0, PV_FULL).otherwise(PV_SHORT))
+    path = _write_files(_with_heads(lined, F.array(head)), work_path(spark, "pv"))
+    return without_zone(rounded(I.ingest_pv_csv(spark, path, pattern="*")))
+
+
+# stored weather
+
+UPSERT_VARIABLES = ["temperature_2m", "wind_speed_10m"]
+
+
+@query("weather_upsert", V.WEATHER_LONG + f"""
+, wide AS (SELECT location_key, timestamp_utc, {', '.join(f"max(CASE WHEN variable = '{v}' THEN value END) AS {v}" for v in UPSERT_VARIABLES)}
+  FROM weather_long GROUP BY 1, 2)
+, cells AS ({' UNION ALL '.join(f"SELECT location_key, timestamp_utc, '{v}' AS variable, {v} AS value FROM wide" for v in UPSERT_VARIABLES)})
+SELECT location_key, timestamp_utc, variable, {r('''CASE WHEN location_key IN ('loc1', 'loc2') AND hour(timestamp_utc) < 12
+  THEN value + 500 ELSE value END''', 'value')} FROM cells""")
+def weather_upsert(spark, sf):
+    wide = WX.to_wide(V.weather_long(spark, sf), UPSERT_VARIABLES, ("location_key", "timestamp_utc"))
+    path = work_path(spark, "weather-store")
+    upsert(spark, path, wide)
+    renewed = wide.where(F.col("location_key").isin("loc1", "loc2") & (F.hour("timestamp_utc") < 12))
+    upsert(spark, path, renewed.withColumns({v: F.col(v) + 500 for v in UPSERT_VARIABLES}))
+    return without_zone(rounded(read_store(spark, path)))

@@ -30,7 +30,7 @@ SELECT ts AS timestamp_utc, 'kelmarsh' AS dataset_id, concat('T', CAST(user_id A
 FROM events
 """
 SOLAR_BODY = """
-SELECT ts AS timestamp_utc, 'pvdaq_system4' AS dataset_id, concat('S', CAST(user_id AS STRING)) AS system_id,
+SELECT ts AS timestamp_utc, 'pvdaq_system4' AS dataset_id, concat('S', CAST(user_id % 12 AS STRING)) AS system_id,
   CASE WHEN event_id % 9 = 0 THEN NULL WHEN event_id % 4 = 0 THEN 0.0 ELSE value / 39.007 END AS power_kw,
   CASE WHEN event_id % 6 = 0 THEN NULL ELSE value / 0.057003 END AS ghi_wm2,
   CASE WHEN event_id % 17 = 0 THEN NULL ELSE value / 0.049003 - 100 END AS poa_wm2,

@@ -20,7 +20,7 @@ LINEAGE_COLUMNS = ("generation", "data_quality", "nwp_source", "change_reason")
 LINEAGE = [
     (datetime(2026, 4, 9, 23), ("gen1", "LEAKED", "era5", "initial_run_era5_and_ag_leak")),
     (datetime(2026, 4, 10, 6), ("gen2", "LEAKED", "era5", "fixed_ag_tuning_leak_era5_still_present")),
-    (None, ("gen3", "CLEAN", "forecast", "ported_wattcast_forecast_provider")),
+    (None, ("gen3", "CLEAN", "forecast", "forecast_provider")),
 ]
 
 
@@ -53,10 +53,10 @@ def parse_metric_keys(metrics: DataFrame) -> DataFrame:
     return metrics.withColumns({"horizon": horizon_of(F.col("key")), "metric": metric_of(F.col("key"))})
 
 
-def classify_lineage(runs: DataFrame, start: str = "start_time") -> DataFrame:
+def classify_lineage(runs: DataFrame, start: str = "start_time", rules=tuple(LINEAGE)) -> DataFrame:
     """Lineage tags from the start time."""
     ts, tags = F.col(start), None
-    for end, values in LINEAGE:
+    for end, values in rules:
         value = F.struct(*[F.lit(v).alias(c) for c, v in zip(LINEAGE_COLUMNS, values)])
         holds = ts.isNotNull() if end is None else ts < F.lit(end.isoformat()).cast(runs.schema[start].dataType)
         tags = F.when(holds, value) if tags is None else tags.when(holds, value)

@@ -6,6 +6,7 @@ import io
 import re
 import zipfile
 from collections.abc import Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -13,18 +14,19 @@ from pyspark.sql import DataFrame, SparkSession
 LINES_PER_BATCH = 20_000
 
 
-def archive_lines(
-    spark: SparkSession, path: str, member_pattern: str, encoding: str = "UTF-8", pattern: str = "*.zip"
-) -> DataFrame:
-    """(archive, member, line) of every member whose base name matches.
+def read_archives(spark: SparkSession, path: str, pattern: str = "*.zip") -> DataFrame:
+    return (
+        spark.read.format("binaryFile").option("pathGlobFilter", pattern)
+        .option("recursiveFileLookup", "true").load(path).select("path", "content")
+    )
+
+
+def member_lines(archives: DataFrame, member_pattern: str, encoding: str = "UTF-8") -> DataFrame:
+    """(archive, member, line) of every member whose base name matches, from (path, content).
 
     A deflate stream has no entry points, so an archive is one task; its lines leave that task in
     batches as they are decompressed.
     """
-    files = (
-        spark.read.format("binaryFile").option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", "true").load(path).select("path", "content")
-    )
     wanted = re.compile(member_pattern)
 
     def members(handle, prefix: str) -> Iterator[tuple[str, Iterator[str]]]:
@@ -41,21 +43,17 @@ def archive_lines(
         for batch in batches:
             for source, content in zip(batch["path"], batch["content"]):
                 for member, lines in members(io.BytesIO(content), ""):
-                    held: list[str] = []
-                    for line in lines:
-                        held.append(line.rstrip("\n"))
-                        if len(held) == LINES_PER_BATCH:
-                            yield pd.DataFrame({"archive": source, "member": member, "line": held})
-                            held = []
-                    if held:
+                    stripped = (line.rstrip("\n") for line in lines)
+                    while held := list(islice(stripped, LINES_PER_BATCH)):
                         yield pd.DataFrame({"archive": source, "member": member, "line": held})
 
-    return files.mapInPandas(expand, "archive string, member string, line string")
+    return archives.mapInPandas(expand, "archive string, member string, line string")
 
 
 def expand_archives(
     spark: SparkSession, path: str, out: str, member_pattern: str, encoding: str = "UTF-8"
 ) -> str:
     """Write the members as UTF-8 text below `out`, one folder per archive and member."""
-    archive_lines(spark, path, member_pattern, encoding).write.partitionBy("archive", "member").text(out)
+    lines = member_lines(read_archives(spark, path), member_pattern, encoding)
+    lines.write.partitionBy("archive", "member").text(out)
     return out

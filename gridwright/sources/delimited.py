@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,11 +39,11 @@ def layouts(
     text = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").text(path)
     lines = text.select(
         F.col("_metadata.file_path").alias("file"),
-        F.decode(F.col("value").cast("binary"), F.lit(fmt.encoding)).alias("line"))
+        F.decode(F.col("value").cast("binary"), fmt.encoding).alias("line"))
     heads = lines.where(is_header).groupBy("file").agg(F.min("line").alias("line"))
     by_header: dict[str, list[str]] = {}
     for row in heads.toLocalIterator():
-        by_header.setdefault(row.line.rstrip("\r"), []).append(row.file)
+        by_header.setdefault(row.line.rstrip("\r"), []).append(unquote(row.file))
     return [
         Layout(tuple(n.strip().strip('"') for n in header.split(fmt.separator)), tuple(sorted(files)))
         for header, files in sorted(by_header.items())
