@@ -27,10 +27,17 @@ from gridwright.sources.scan import (
 from gridwright.sources.weather_store import read_store, upsert
 
 
+FILE_ROWS = 20_000
+
+
+def _stretch(key: str):
+    return F.lpad(F.floor(F.col(key) / FILE_ROWS).cast("string"), 8, "0")
+
+
 def _write_files(lines: DataFrame, path: str) -> str:
     """Text files from (file, rank, line), each with its lines in order of rank.
 
-    Callers name files so that each covers a bounded stretch of time.
+    Callers put the number of a stretch of FILE_ROWS ids into the file name, which bounds a file.
     """
     ordered = lines.repartition("file").sortWithinPartitions("file", "rank")
     ordered.select("file", "line").write.partitionBy("file").text(path)
@@ -79,7 +86,7 @@ def write_csv_report_query(spark, sf):
     return spark.read.option("header", "true").schema("zone_id string, n_rows bigint, mean_load double").csv(path)
 
 
-# turbine files: one per turbine and week; odd turbines have other columns in another order
+# turbine files: one per turbine and stretch of events; odd turbines have other columns in another order
 
 TURBINE_ROW = """SELECT event_id, ts, CAST(user_id % 6 + 1 AS INT) AS n, value / 3.9007 AS wind,
   CASE WHEN user_id % 6 = 2 THEN least(value, 400.0) ELSE value * 25 + 500 END AS power,
@@ -100,15 +107,14 @@ def _turbine_files(spark, sf) -> str:
     even = F.concat_ws(",", stamp, _text("wind"), _text("power"), _text("pitch_a"), _text("pitch_b"),
                        "ambient", "availability")
     odd = F.concat_ws(",", stamp, _text("power"), F.lit("x"), _text("wind"), "ambient", _text("pitch_b"))
-    name = F.concat(F.lit("Turbine_Data_Kelmarsh_"), F.col("n").cast("string"), F.lit("_w"),
-                    F.weekofyear("ts").cast("string"))
+    name = F.concat(F.lit("Turbine_Data_Kelmarsh_"), F.col("n").cast("string"), F.lit("_w"), _stretch("event_id"))
     rank = F.struct(F.lit(0).cast("long").alias("a"), F.col("event_id").alias("b"))
     lined = rows.select(
         name.alias("file"), (F.col("n") % 2).alias("layout"), rank.alias("rank"),
         F.when(F.col("n") % 2 == 0, even).otherwise(odd).alias("line"), "event_id")
     # Every fiftieth reading comes again in a file that sorts later.
     again = lined.where("event_id % 50 = 0").withColumns({
-        "file": F.concat(F.regexp_extract("file", r"^(.*_\d+)_w", 1), F.lit("_x")), "line": F.col("line")})
+        "file": F.regexp_replace("file", "_w", "_x"), "line": F.col("line")})
     heads = F.array(F.lit("# exported file"), F.lit("# unit: SI"),
                     F.when(F.col("layout") == 0, HEAD_EVEN).otherwise(HEAD_ODD))
     both = lined.unionByName(again).drop("event_id")
@@ -117,7 +123,7 @@ def _turbine_files(spark, sf) -> str:
 
 TURBINE_SQL = "WITH src AS (" + TURBINE_ROW.replace("STRING", "VARCHAR") + f""")
 , amb AS (SELECT *, CASE WHEN ambient <> '-999' THEN TRY_CAST(ambient AS DOUBLE) END AS amb,
-    max(power) OVER (PARTITION BY n, weekofyear(ts)) AS peak,
+    max(power) OVER (PARTITION BY n, event_id // {FILE_ROWS}) AS peak,
     row_number() OVER (PARTITION BY n, date_trunc('second', ts) ORDER BY event_id) AS k FROM src)
 SELECT date_trunc('second', ts) AS timestamp_utc, 'kelmarsh' AS dataset_id, 'KWF' || n AS turbine_id,
   {r('CASE WHEN peak < 500 THEN power * 6 ELSE power END', 'active_power_kw')}, {r('wind', 'wind_speed_ms')},
@@ -168,7 +174,7 @@ def ingest_archives(spark, sf):
     return member_lines(archives, I.TURBINE_MEMBER).select("member", "line")
 
 
-# load files: one per quarter, local clock, a trailer line
+# load files: one per year and stretch of orders, local clock, a trailer line
 
 LOAD_ROW = f"""SELECT o_orderkey, {LOCAL} AS local, o_totalprice / 3.9007 AS load, o_custkey, o_totalprice FROM orders"""
 LOAD_HEAD = "Périmètre\tNature\tDate\tHeures\tConsommation\tPrévision J-1\tPrévision J"
@@ -189,7 +195,7 @@ def ingest_load_tsv(spark, sf):
         F.date_format("local", "HH:mm"), load, (F.col("load") + F.col("o_custkey")).cast("string"), F.lit("DC"))
     rank = F.struct(F.lit(0).cast("long").alias("a"), F.col("o_orderkey").alias("b"))
     lined = rows.select(
-        F.date_format("local", "'eCO2mix_'yyyy'_'Q").alias("file"), F.lit(0).alias("layout"),
+        F.concat(F.date_format("local", "'eCO2mix_'yyyy'_'"), _stretch("o_orderkey")).alias("file"), F.lit(0).alias("layout"),
         rank.alias("rank"), line.alias("line"))
     heads = F.array(F.lit(LOAD_HEAD), F.lit("RTE ne pourra être tenu responsable"))
     path = _write_files(_with_heads(lined, heads), work_path(spark, "load"))
@@ -228,7 +234,7 @@ def ingest_load_and_weather(spark, sf):
     return without_zone(rounded(I.ingest_load_and_weather(spark, energy_path, weather_path)))
 
 
-# photovoltaic files: one per month, some without the module temperature, some unusable
+# photovoltaic files: one per month and stretch of events, some without the module temperature, some unusable
 
 PV_ROW = """SELECT event_id, ts + CAST(event_id % 12 AS INT) * INTERVAL '1' MONTH AS local, value FROM events"""
 PV_FULL = "measured_on,ac_power__315,poa_irradiance__313,ambient_temp__320,module_temp_1__321"
@@ -253,7 +259,7 @@ def ingest_pv_csv(spark, sf):
     short = F.concat_ws(",", F.lit("4"), "stamp", _text("poa"), _text("watts"))
     rank = F.struct(F.lit(0).cast("long").alias("a"), F.col("event_id").alias("b"))
     lined = rows.select(
-        F.date_format("local", "'system_4__date_'yyyy'_'MM").alias("file"), month.alias("layout"), rank.alias("rank"),
+        F.concat(F.date_format("local", "'system_4__date_'yyyy'_'MM'_'"), _stretch("event_id")).alias("file"), month.alias("layout"), rank.alias("rank"),
         F.when(month % 3 == 0, full).otherwise(short).alias("line"))
     head = (F.when(F.col("layout") == 5, "time,other").when(F.col("layout") % 3 == 0, PV_FULL).otherwise(PV_SHORT))
     path = _write_files(_with_heads(lined, F.array(head)), work_path(spark, "pv"))

@@ -6,14 +6,13 @@ from pyspark.sql import functions as F
 
 from gridwright.catalog import views as V
 from gridwright.catalog.quality import IS_CLOCK_CHANGE, fill_sql
-from gridwright.catalog.registry import ntz, query, r, rounded, rs, table, without_zone
+from gridwright.catalog.registry import query, r, rounded, rs, table, without_zone
 from gridwright.functions import scalars as S
 from gridwright.functions.calendars import is_eu_clock_change
 from gridwright.operators import features as FT
 from gridwright.operators import resample as RS
 from gridwright.operators import weather as WX
 from gridwright.operators import windows as W
-from gridwright.operators.quality import qc_wind  # noqa: F401
 
 WIND_W = "PARTITION BY turbine_id ORDER BY timestamp_utc, event_id"
 DEMAND_W = "PARTITION BY zone_id ORDER BY timestamp_utc, o_orderkey"
@@ -141,22 +140,16 @@ def ffill_limit(spark, sf):
     return rounded(W.fill_forward(frame, V.WIND, FILLED, 3).select("event_id", *FILLED))
 
 
-@query("hourly_grid_from_response", f"""SELECT location_key, timestamp_utc, {r('value')} FROM (
-  SELECT location_key, unnest(generate_series(start_ts, start_ts + (n - 1) * INTERVAL 1 HOUR, INTERVAL 1 HOUR)) AS timestamp_utc,
-    unnest(vals) AS value
-  FROM (SELECT 'u' || user_id AS location_key, date_trunc('day', min(ts)) AS start_ts, count(*) AS n,
-      list(value ORDER BY event_id) AS vals FROM events GROUP BY user_id, date_trunc('day', ts)) AS a) AS b""")
+# Each event as a short response: up to six values from its hour on, ten minutes apart.
+@query("hourly_grid_from_response", f"""SELECT event_id, date_trunc('hour', ts) + k * INTERVAL 10 MINUTE AS timestamp_utc,
+  {r('value + k', 'value')} FROM events, range(6) AS g(k) WHERE k <= event_id % 6""")
 def hourly_grid_from_response(spark, sf):
-    day = F.col("ts").cast("date").cast("timestamp_ntz")
-    values = F.transform(
-        F.array_sort(F.collect_list(F.struct("event_id", "value"))), lambda x: x["value"])
-    responses = table(spark, sf, "events").groupBy("user_id", day.alias("start")).agg(values.alias("values"))
-    hours = F.size("values")
-    grid = WX.hourly_grid(responses.select(
-        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("location_key"), "start",
-        (F.col("start") + F.make_dt_interval(hours=hours)).alias("end"),
-        F.lit(3600).alias("step_seconds"), "values"))
-    return rounded(grid)
+    start, n = RS.bucket(F.col("ts"), 60), F.col("event_id") % 6 + 1
+    responses = table(spark, sf, "events").select(
+        "event_id", start.alias("start"), (start + F.make_dt_interval(mins=(n * 10).cast("int"))).alias("end"),
+        F.lit(600).alias("step_seconds"),
+        F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda k: F.col("value") + k).alias("values"))
+    return rounded(WX.hourly_grid(responses))
 
 
 @query("dst_transition_flag", V.DEMAND_SQL + f"SELECT o_orderkey, {IS_CLOCK_CHANGE} AS is_dst_transition FROM demand")

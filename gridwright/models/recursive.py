@@ -14,7 +14,7 @@ from gridwright.config import DOMAINS, Domain
 from gridwright.operators.features import lag_transforms
 from gridwright.operators.resample import with_fold
 from gridwright.operators.windows import Series, add_targets
-from gridwright.session import checkpoint_dir
+from gridwright.session import checkpoint_dir, work_path
 
 STEPS_PER_CHECKPOINT = 12
 
@@ -103,7 +103,7 @@ def cross_validate(
     """Rolling-origin check: (keys, time, cutoff, y, horizon, prediction).
 
     Per fold and horizon a model is fitted on targets known at the fold's cutoff and predicts the row
-    that many steps after it from the features at the cutoff.
+    that many steps after it from the features at the cutoff. The featured rows are written once.
     """
     domain = DOMAINS[domain_name]
     names = [*lag_feature_names(domain, column), *exogenous]
@@ -111,7 +111,9 @@ def cross_validate(
     featured = lag_transforms(df, domain_name, series, column)
     targeted = add_targets(featured, series, column, horizons)
     ends = targeted.groupBy(*series.keys).agg(F.max(series.time).alias("_end"))
-    rows = targeted.join(ends, list(series.keys)).dropna(subset=names)
+    path = work_path(df.sparkSession, "folds")
+    targeted.join(ends, list(series.keys)).dropna(subset=names).write.parquet(path)
+    rows = df.sparkSession.read.parquet(path)
     step = domain.step_minutes * 60
     parts = []
     for fold in range(n_windows):

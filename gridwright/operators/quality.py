@@ -151,12 +151,13 @@ def demand_wind_rules(limits: DemandLimits = DemandLimits()) -> list[Rule]:
 def mark_holidays(df: DataFrame, calendar: DataFrame | None = None) -> DataFrame:
     """`is_holiday` per row's own dataset; datasets without a calendar have none.
 
-    `calendar` holds (dataset_id, holiday), one row each: a fixed table of dates.
+    A given `calendar` holds (dataset_id, holiday); the built-in one has some 160 rows.
     """
-    days = (holiday_calendar(df.sparkSession) if calendar is None else calendar).select(
-        F.col("dataset_id").alias("_ds"), F.col("holiday").alias("_day"))
+    days = (
+        F.broadcast(holiday_calendar(df.sparkSession)) if calendar is None else calendar.distinct()
+    ).select(F.col("dataset_id").alias("_ds"), F.col("holiday").alias("_day"))
     hit = (F.col("dataset_id") == F.col("_ds")) & (F.to_date("timestamp_utc") == F.col("_day"))
-    joined = df.join(F.broadcast(days), hit, "left")
+    joined = df.join(days, hit, "left")
     return joined.withColumn("is_holiday", F.col("_day").isNotNull()).select(
         *df.columns, *([] if "is_holiday" in df.columns else ["is_holiday"]))
 

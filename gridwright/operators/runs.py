@@ -70,7 +70,8 @@ def parent_runs(runs: DataFrame, data_quality: str | None = "CLEAN") -> DataFram
 
 def dominant(df: DataFrame, column: str) -> DataFrame:
     """The most common value, the smallest one among equals."""
-    return df.agg(F.mode(column, True).alias(column))
+    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg((-F.count("*")).alias("_n"))
+    return counts.agg(F.min_by(column, F.struct("_n", column)).alias(column))
 
 
 def latest_run(runs: DataFrame) -> DataFrame:

@@ -65,7 +65,7 @@ def weather_site(name: str) -> WeatherSite:
 
 
 def weather_points(spark: SparkSession, sites: Sequence[str] | None = None) -> DataFrame:
-    """(site, point, location_key, weight): a few rows per configured site."""
+    """(site, point, location_key, weight): a few rows per configured site, so joins broadcast it."""
     rows = [
         (site.name, *point)
         for name in (sites or WEATHER_SITES)
@@ -74,7 +74,8 @@ def weather_points(spark: SparkSession, sites: Sequence[str] | None = None) -> D
     ]
     table = spark.createDataFrame(
         rows, "site string, point string, latitude double, longitude double, weight double")
-    return table.withColumn("location_key", location_key(F.col("latitude"), F.col("longitude")))
+    return F.broadcast(
+        table.withColumn("location_key", location_key(F.col("latitude"), F.col("longitude"))))
 
 
 def variables_of(wide: DataFrame, keys: Sequence[str]) -> list[str]:
@@ -101,8 +102,7 @@ def latest_per_key(
     numbered = [
         b.select(*key, value, F.lit(i).alias("_batch")) for i, b in enumerate(batches)]
     rows = reduce(DataFrame.unionByName, numbered)
-    picked = F.max_by(F.struct(value), F.col("_batch")).alias("_row")
-    return rows.groupBy(*key).agg(picked).select(*key, F.col(f"_row.{value}").alias(value))
+    return rows.groupBy(*key).agg(F.max_by(value, "_batch").alias(value))
 
 
 def query_long(
@@ -169,7 +169,7 @@ def weighted_mean(
 
     `points` holds (location_key, weight), one row per configured point.
     """
-    weighted = long.join(F.broadcast(points.select("location_key", "weight")), "location_key")
+    weighted = long.join(points.select("location_key", "weight"), "location_key")
     used = F.sum(F.when(F.col("value").isNotNull(), F.col("weight")))
     total = F.sum(F.col("weight") * F.col("value"))
     return weighted.groupBy(*keys).agg(F.try_divide(total, used).alias("value"))

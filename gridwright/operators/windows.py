@@ -14,8 +14,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from gridwright.session import work_path
+
 MAX_SERIES_ROWS = 4_000_000
 MAX_BROADCAST_ROWS = 1_000_000
+MAX_CUTS = 8
 
 
 @dataclass(frozen=True)
@@ -49,15 +52,11 @@ def over_series(
     A count per series decides the plan: one shuffle by series if none exceeds `max_rows`, else
     one shuffle by (series, chunk).
     """
-    size = (
-        df.groupBy(*series.keys).count().where(F.col("count") > max_rows)
-        .agg(F.count("*").alias("n_series"), F.sum("count").alias("n_rows")).first()
-    )
-    if size.n_series == 0:
+    longest = df.groupBy(*series.keys).count().agg(F.max("count")).first()[0]
+    if longest is None or longest <= max_rows:
         window = Window.partitionBy(*series.keys).orderBy(*series.order(descending))
         return add(df, window)
-    chunked = _chunk(df, series, max(max_rows, reach), reach, descending,
-                     expected_blocks=size.n_series + 4 * size.n_rows // max_rows)
+    chunked = _chunk(df, series, max(max_rows, reach), reach, descending)
     window = Window.partitionBy(*series.keys, "_chunk").orderBy(*series.order(descending))
     return add(chunked, window).where(~F.col("_copy")).drop("_chunk", "_copy")
 
@@ -67,55 +66,70 @@ def _micros_between(start: Column, end: Column) -> Column:
     return (seconds * 1_000_000).cast("double")
 
 
-def _chunk(
-    df: DataFrame, series: Series, rows: int, reach: int, descending: bool, expected_blocks: int
-) -> DataFrame:
+def _written(df: DataFrame) -> DataFrame:
+    """A small intermediate table in the shared folder: computed once, and the lineage ends there."""
+    path = work_path(df.sparkSession, "blocks")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _block_sizes(df: DataFrame, series: Series, by: Sequence[str]) -> DataFrame:
+    time = F.col(series.time)
+    return df.groupBy(*by).agg(
+        F.count("*").alias("_n"), F.min(time).alias("_first"), F.max(time).alias("_last"))
+
+
+def _in_blocks(df: DataFrame, series: Series, rows: int) -> tuple[DataFrame, DataFrame]:
+    """Add `_block`, a time range of its series, and give the table of block sizes.
+
+    A series above `rows` rows is cut into equal time ranges of about rows/4 rows on average. Where
+    readings are dense some ranges still hold too many; those are cut again, so `_block` is the path
+    of range numbers, and paths compare in time order. Rows of other series have an empty path.
+    """
+    keys, time = list(series.keys), F.col(series.time)
+    by = [*keys, "_block"]
+    tagged = df.withColumn("_block", F.expr("cast(array() as array<bigint>)"))
+    sizes = _written(_block_sizes(tagged, series, by).where(F.col("_n") > rows))
+    for _ in range(MAX_CUTS):
+        crowded = sizes.where((F.col("_n") > rows) & (F.col("_first") < F.col("_last")))
+        n_crowded = crowded.count()
+        if n_crowded == 0:
+            break
+        width = _micros_between(F.col("_first"), F.col("_last")) * rows / (4 * F.col("_n"))
+        spans = crowded.select(*by, "_first", F.greatest(width, F.lit(1.0)).alias("_width"))
+        part = F.floor(_micros_between(F.col("_first"), time) / F.col("_width"))
+        tagged = _null_safe_join(tagged, _small(spans, n_crowded), by).withColumn(
+            "_block",
+            F.when(F.col("_width").isNotNull(),
+                   F.concat("_block", F.array(F.coalesce(part, F.lit(-1).cast("bigint")))))
+            .otherwise(F.col("_block")),
+        ).drop("_first", "_width")
+        sizes = _written(_block_sizes(tagged.where(F.size("_block") > 0), series, by))
+    return tagged, sizes
+
+
+def _chunk(df: DataFrame, series: Series, rows: int, reach: int, descending: bool) -> DataFrame:
     """Add `_chunk` to the rows of long series, and `_copy` rows for the reach over a chunk's edge.
 
-    Each long series is first cut into equal time blocks of about rows/4 rows. Counting rows per
-    block gives each block its position range in the series; a block belongs to the chunk its first
-    position falls in. A block ending at position e is reached from positions below e + reach, and
-    as reach <= rows those lie in at most two further chunks.
+    The sizes of its blocks give each block its position range in the series; a block belongs to the
+    chunk its first position falls in. A block ending at position e is reached from positions below
+    e + reach, and as reach <= rows those lie in at most two further chunks.
     """
     keys = list(series.keys)
-    time = F.col(series.time)
-    spans = (
-        df.groupBy(*keys)
-        .agg(F.count("*").alias("_n"), F.min(time).alias("_first"), F.max(time).alias("_last"))
-        .where(F.col("_n") > rows)
-        .withColumn("_width", F.greatest(
-            _micros_between(F.col("_first"), F.col("_last")) * rows / (4 * F.col("_n")), F.lit(1.0)))
-        .drop("_n", "_last")
-    )
-    # At most total rows / `rows` series are this long, so this side is small by construction.
-    tagged = _null_safe_join(df, F.broadcast(spans), keys)
-    tagged = tagged.withColumn(
-        "_block",
-        F.when(
-            F.col("_width").isNotNull(),
-            F.coalesce(F.floor(_micros_between(F.col("_first"), time) / F.col("_width")), F.lit(-1)),
-        ),
-    ).drop("_first", "_width")
-
+    tagged, sizes = _in_blocks(df, series, rows)
     order = F.col("_block").desc() if descending else F.col("_block").asc()
     before = Window.partitionBy(*keys).orderBy(order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
+    targets = F.array(
+        F.col("_own"), F.floor(F.col("_end") / rows), F.floor((F.col("_end") + (reach - 1)) / rows))
     layout = (
-        tagged.where(F.col("_block").isNotNull())
-        .groupBy(*keys, "_block").agg(F.count("*").alias("_n"))
-        .withColumn("_end", F.sum("_n").over(before))
+        sizes.withColumn("_end", F.sum("_n").over(before))
         .withColumn("_own", F.floor((F.col("_end") - F.col("_n")) / rows))
-        .withColumn("_targets", F.array_distinct(F.array(
-            F.col("_own"),
-            F.floor(F.col("_end") / rows),
-            F.floor((F.col("_end") + (reach - 1)) / rows),
-        )) if reach else F.array("_own"))
-        .drop("_n", "_end")
+        .withColumn("_targets", F.array_distinct(targets) if reach else F.array("_own"))
+        .select(*keys, "_block", "_own", "_targets")
     )
-    if expected_blocks <= MAX_BROADCAST_ROWS:
-        layout = F.broadcast(layout)
     return (
-        _null_safe_join(tagged, layout, [*keys, "_block"])
+        _null_safe_join(tagged, _small(layout, sizes.count()), [*keys, "_block"])
         .withColumn("_own", F.coalesce("_own", F.lit(0)))
         .withColumn("_chunk", F.explode(F.coalesce("_targets", F.array("_own"))))
         .withColumn("_copy", F.col("_chunk") != F.col("_own"))
@@ -123,6 +137,11 @@ def _chunk(
     )
 
 
+def _small(df: DataFrame, n_rows: int) -> DataFrame:
+    """Broadcast a side whose counted rows are few; else leave the join to the planner."""
+    return F.broadcast(df) if n_rows <= MAX_BROADCAST_ROWS else df
+
+
 def _null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Left join in which a null key equals a null key."""
     renamed = right.withColumnsRenamed({c: f"_r_{c}" for c in on})

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -30,14 +30,13 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame) -> int:
     """
     cells = to_long(batch).withColumn(TIME, F.col(TIME).cast("timestamp")).withColumn(
         "value", F.col("value").cast("double"))
-    staged = work_path(spark, "weather-batch")
-    cells.write.parquet(staged)
-    fresh = spark.read.parquet(staged)
-    affected = fresh.select("location_key").distinct()
-    stored = read_store(spark, path).join(affected, "location_key", "left_semi")
-    merged_path = work_path(spark, "weather-merge")
-    latest_per_key([stored, fresh]).select(*LONG_KEY, "value").write.partitionBy(
-        "location_key").parquet(merged_path)
-    spark.read.schema(SCHEMA).parquet(merged_path).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic").partitionBy("location_key").parquet(path)
-    return fresh.count()
+    counted = Observation()
+    fresh = cells.observe(counted, F.count(F.lit(1)).alias("cells"))
+    stored = read_store(spark, path).join(
+        batch.select("location_key").distinct(), "location_key", "left_semi")
+    merged = latest_per_key([stored, fresh]).select(*LONG_KEY, "value")
+    staged = work_path(spark, "weather-merge")
+    merged.hint("rebalance", F.col("location_key")).write.partitionBy("location_key").parquet(staged)
+    spark.read.schema(SCHEMA).parquet(staged).hint("rebalance", F.col("location_key")).write.mode(
+        "overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("location_key").parquet(path)
+    return counted.get["cells"]
