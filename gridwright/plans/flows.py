@@ -6,9 +6,11 @@ lost executor costs only tasks of the running stage.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gridwright.config import DATASETS, DEFAULT_HORIZONS, DOMAINS
 from gridwright.models.direct import (
@@ -27,10 +29,22 @@ from gridwright.operators.features import (
 )
 from gridwright.operators.quality import qc_demand, qc_solar, qc_summary, qc_wind
 from gridwright.operators.resample import temporal_split
-from gridwright.operators.weather import join_horizons
+from gridwright.operators.weather import (
+    FORECAST_ARCHIVE_START,
+    TIME,
+    blend,
+    clamp_end,
+    coverage,
+    join_horizons,
+    missing_ranges,
+    site_weather,
+    weather_points,
+    weather_site,
+)
 from gridwright.operators.windows import Series
 from gridwright.schemas import schema_errors
 from gridwright.sources.scan import scan_parquet, write_partitioned, write_table
+from gridwright.sources.weather_store import read_store, upsert
 
 
 def flag_table(raw: DataFrame, dataset_id: str, out: str) -> DataFrame:
@@ -78,3 +92,50 @@ def train_and_evaluate(
     lag1 = d.lag1 if d.lag1 in table.columns else None
     predictions = predict_horizons(models, table, names, keep=[lag1] if lag1 else [])
     return evaluate_horizons(predictions, lag1)
+
+
+def stored_weather(spark: SparkSession, store: str, site_name: str) -> DataFrame | None:
+    """Wide weather of a site from the store; none if no point of it is stored."""
+    site = weather_site(site_name)
+    long = read_store(spark, store)
+    locations = weather_points(spark, [site_name]).select("location_key")
+    own = long.join(locations, "location_key", "left_semi")
+    return None if own.isEmpty() else site_weather(long, site)
+
+
+def blended_weather(
+    spark: SparkSession, reanalysis: str, forecast: str, site_name: str,
+    cutoff: str = FORECAST_ARCHIVE_START, strict: bool = False,
+) -> DataFrame | None:
+    """Reanalysis before the cutoff and archived forecasts from it on."""
+    return blend(
+        stored_weather(spark, reanalysis, site_name), stored_weather(spark, forecast, site_name),
+        cutoff, strict)
+
+
+# (location_key, latitude, longitude, first day, last day, variables) -> wide frame with location_key
+Fetch = Callable[[str, float, float, date, date, tuple[str, ...]], DataFrame]
+
+
+def fetched_weather(
+    spark: SparkSession, store: str, site_name: str, start: str, end: str, fetch: Fetch
+) -> DataFrame:
+    """Fetch the day ranges a site's points lack, store them, and return the site's weather.
+
+    The end is clamped to what reanalysis can have. A site has a handful of points, and each lacks at
+    most two ranges.
+    """
+    site = weather_site(site_name)
+    points = weather_points(spark, [site_name])
+    asked = points.select(
+        "location_key", F.lit(start).cast("date").alias("start_date"),
+        clamp_end(F.lit(end).cast("date")).alias("end_date"))
+    lacking = missing_ranges(asked, coverage(read_store(spark, store)))
+    todo = lacking.join(points, "location_key").collect()
+    for r in todo:
+        upsert(spark, store, fetch(
+            r.location_key, r.latitude, r.longitude, r.from_date, r.to_date, site.variables))
+    last = clamp_end(F.lit(end).cast("date"))
+    rows = read_store(spark, store).where(
+        (F.col(TIME) >= F.lit(start).cast("date")) & (F.col(TIME) < F.date_add(last, 1)))
+    return site_weather(rows, site)

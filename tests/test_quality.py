@@ -122,8 +122,7 @@ def test_holidays_follow_each_rows_dataset(spark, dataset, day, flag):
 
 def test_holiday_tables():
     assert len(holiday_dates("spain_demand")) == 40
-    # Whitsun and Victory Day never meet, but Ascension 2016 and 8 May differ: all dates are distinct
-    # except 2014-2024 Ascension days falling on fixed holidays, of which there is none.
+    # In these years no movable day falls on a fixed one.
     assert len(holiday_dates("rte_france")) == 11 * 11
     assert holiday_dates("unknown") == []
 
