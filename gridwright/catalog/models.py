@@ -12,6 +12,7 @@ from gridwright.models import direct as D
 from gridwright.models import recursive as RC
 from gridwright.operators import features as FT
 from gridwright.operators.resample import temporal_split
+from gridwright.session import small_table
 
 HORIZONS = [1, 24]
 FEATURES = FT.feature_set("demand_baseline")
@@ -34,7 +35,7 @@ def train_direct_horizons(spark, sf):
         for h, model in models.items()
         for name, weight in zip(FEATURES, model.stages[-1].featureImportances.toArray())
     ]
-    return spark.createDataFrame(rows, "horizon int, feature string, importance double, trees int")
+    return small_table(spark, rows, "horizon int, feature string, importance double, trees int")
 
 
 @query("predict_evaluate")

@@ -72,7 +72,7 @@ WEATHER_WIDE_BODY = f"SELECT timestamp_utc, {_CELLS} FROM weather_long GROUP BY
 FORECAST_WIDE_BODY = (
     "SELECT timestamp_utc, " + ", ".join(f"{v} + 1000 AS {v}" for v in VARIABLES) + " FROM weather_wide")
 POINTS_BODY = """
-SELECT location_key, CAST(rank() OVER (ORDER BY location_key) AS DOUBLE) / 36 AS weight
+SELECT location_key, (CAST(substr(location_key, 4) AS DOUBLE) + 1) / 36 AS weight
 FROM (SELECT DISTINCT location_key FROM weather_long) AS l
 """
 # Runs and their metrics from customers: five runs form a parent and its four children.

@@ -8,6 +8,8 @@ from dateutil.easter import easter
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridwright.session import small_table
+
 # Fixed values: (month, day) holidays, holidays as days after Easter Sunday, and the years covered.
 HOLIDAY_RULES = {
     "spain_demand": {
@@ -39,7 +41,7 @@ def holiday_dates(dataset_id: str) -> list[date]:
 def holiday_calendar(spark: SparkSession) -> DataFrame:
     """(dataset_id, holiday): a few hundred rows, whatever the data size."""
     rows = [(name, day) for name in HOLIDAY_RULES for day in holiday_dates(name)]
-    return spark.createDataFrame(rows, "dataset_id string, holiday date")
+    return small_table(spark, rows, "dataset_id string, holiday date")
 
 
 def is_eu_clock_change(ts: Column, years: tuple[int, int] | None = DST_YEARS) -> Column:

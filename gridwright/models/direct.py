@@ -21,7 +21,7 @@ from gridwright.operators.features import horizon_columns, select_horizon
 from gridwright.operators.metrics import error_columns, persistence_columns, summarise
 from gridwright.operators.runs import leaderboard
 from gridwright.operators.windows import Series, add_targets
-from gridwright.session import work_path
+from gridwright.session import written
 
 
 @dataclass(frozen=True)
@@ -51,9 +51,7 @@ def targets_table(df: DataFrame, series: Series, target: str, horizons: Sequence
     Targets stay within (split, series).
     """
     keyed = Series(("split", *series.keys), series.time, series.ties)
-    path = work_path(df.sparkSession, "targets")
-    add_targets(df, keyed, target, horizons).write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return written(add_targets(df, keyed, target, horizons), "targets")
 
 
 def horizon_frame(

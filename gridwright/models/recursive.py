@@ -14,9 +14,9 @@ from gridwright.config import DOMAINS, Domain
 from gridwright.operators.features import lag_transforms
 from gridwright.operators.resample import with_fold
 from gridwright.operators.windows import Series, add_targets
-from gridwright.session import checkpoint_dir, work_path
+from gridwright.session import written
 
-STEPS_PER_CHECKPOINT = 12
+STEPS_PER_TABLE = 12
 
 
 def lag_feature_names(domain: Domain, column: str = "y") -> list[str]:
@@ -60,25 +60,24 @@ def recursive_forecast(
     """`steps` predictions per series, each computed from history and the predictions before it.
 
     The state is one bounded array per series, so no step shuffles. Series too short for the longest
-    lag have no forecast. Lineage is cut every few steps.
+    lag have no forecast. Every few steps the
+    state is written, which keeps the plan short.
     """
     domain = DOMAINS[domain_name]
     need = max(*domain.lags, *domain.windows)
-    checkpoint_dir(df.sparkSession)
     state = recent_history(df, series, column, need).where(F.size("history") >= need)
     state = state.withColumn("_out", F.expr("cast(array() as array<double>)"))
-    keep = [*series.keys, "last_ts", "history", "_out"]
-    for step in range(steps):
-        ready = state.withColumns(history_features(F.col("history"), domain, column))
-        predicted = model.transform(ready)
-        state = predicted.select(
-            *series.keys, "last_ts",
-            F.concat(F.slice("history", 2, need), F.array("prediction")).alias("history"),
-            F.concat("_out", F.array("prediction")).alias("_out"))
-        if (step + 1) % STEPS_PER_CHECKPOINT == 0:
-            state = state.checkpoint()
+    features = history_features(F.col("history"), domain, column)
+    advance = [
+        *[F.col(k) for k in series.keys], F.col("last_ts"),
+        F.concat(F.slice("history", 2, need), F.array("prediction")).alias("history"),
+        F.concat("_out", F.array("prediction")).alias("_out")]
+    for step in range(1, steps + 1):
+        state = model.transform(state.withColumns(features)).select(*advance)
+        if step % STEPS_PER_TABLE == 0 and step < steps:
+            state = written(state, "forecast")
     step_time = F.make_dt_interval(mins=((F.col("_at") + 1) * domain.step_minutes).cast("int"))
-    return state.select(*keep).select(
+    return state.select(
         *series.keys, "last_ts", F.posexplode("_out").alias("_at", "prediction")
     ).select(*series.keys, (F.col("last_ts") + step_time).alias(series.time), "prediction")
 
@@ -111,9 +110,7 @@ def cross_validate(
     featured = lag_transforms(df, domain_name, series, column)
     targeted = add_targets(featured, series, column, horizons)
     ends = targeted.groupBy(*series.keys).agg(F.max(series.time).alias("_end"))
-    path = work_path(df.sparkSession, "folds")
-    targeted.join(ends, list(series.keys)).dropna(subset=names).write.parquet(path)
-    rows = df.sparkSession.read.parquet(path)
+    rows = written(targeted.join(ends, list(series.keys)).dropna(subset=names), "folds")
     step = domain.step_minutes * 60
     parts = []
     for fold in range(n_windows):

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from gridwright.operators.metrics import CURVE_METRICS, CURVE_SUFFIX
 from gridwright.operators.resample import dedupe_first
+from gridwright.operators.weather import cells
 
 # Report order of backends and of feature-set stems.
 BACKEND_RANK = {"xgboost": 0, "autogluon": 1, "mlforecast": 2, "tso": 9}
@@ -92,15 +93,14 @@ def with_labels(runs: DataFrame) -> DataFrame:
 def run_cells(runs: DataFrame, metrics: DataFrame) -> DataFrame:
     """(run columns, horizon, mae, rmse, skill_score): one row per run and horizon."""
     parsed = parse_metric_keys(metrics).where(F.col("metric").isin("mae", "rmse", "skill_score"))
-    cells = parsed.groupBy("run_id", "horizon").pivot("metric", ["mae", "rmse", "skill_score"]).agg(
-        F.max("value"))
-    return with_labels(runs).join(cells, "run_id")
+    wide = parsed.groupBy("run_id", "horizon").agg(*cells("metric", ["mae", "rmse", "skill_score"]))
+    return with_labels(runs).join(wide, "run_id")
 
 
 def runs_pivot(runs: DataFrame, metrics: DataFrame, horizons: Sequence[int]) -> DataFrame:
     """One row per run, one column `h{h}_{metric}` per listed horizon; order by the rank columns."""
     keys = [f"h{h}_{m}" for m in ("mae", "rmse", "skill_score") for h in horizons]
-    wide = metrics.where(F.col("key").isin(*keys)).groupBy("run_id").pivot("key", keys).agg(F.max("value"))
+    wide = metrics.where(F.col("key").isin(*keys)).groupBy("run_id").agg(*cells("key", keys))
     return with_labels(runs).join(wide, "run_id", "left")
 
 

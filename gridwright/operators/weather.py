@@ -10,11 +10,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridwright.functions.scalars import location_key
+from gridwright.session import small_table
 
 TIME = "timestamp_utc"
 LONG_KEY = ("location_key", TIME, "variable")
 REANALYSIS_DELAY_DAYS = 5
 FORECAST_ARCHIVE_START = "2022-01-01"
+MAX_BROADCAST_BYTES = 200_000_000
+KEY_BYTES = 64
 
 
 @dataclass(frozen=True)
@@ -72,8 +75,8 @@ def weather_points(spark: SparkSession, sites: Sequence[str] | None = None) -> D
         for site in [weather_site(name)]
         for point in site.points
     ]
-    table = spark.createDataFrame(
-        rows, "site string, point string, latitude double, longitude double, weight double")
+    table = small_table(
+        spark, rows, "site string, point string, latitude double, longitude double, weight double")
     return F.broadcast(
         table.withColumn("location_key", location_key(F.col("latitude"), F.col("longitude"))))
 
@@ -91,8 +94,15 @@ def to_long(wide: DataFrame, keys: Sequence[str] = ("location_key", TIME)) -> Da
 def to_wide(
     long: DataFrame, variables: Sequence[str], keys: Sequence[str] = (TIME,)
 ) -> DataFrame:
-    """One column per listed variable; (keys, variable) is unique, so max is that value."""
-    return long.groupBy(*keys).pivot("variable", list(variables)).agg(F.max("value"))
+    """One column per listed variable; (keys, variable) is unique, so max is that value.
+
+    Conditional maxima take one aggregation where a pivot takes two.
+    """
+    return long.groupBy(*keys).agg(*cells("variable", variables))
+
+
+def cells(name: str, wanted: Sequence[str], value: str = "value") -> list[Column]:
+    return [F.max(F.when(F.col(name) == w, F.col(value))).alias(w) for w in wanted]
 
 
 def latest_per_key(
@@ -281,11 +291,11 @@ def horizons_table(
                 (F.col(TIME) - F.expr(f"interval '{h * step_minutes}' minute")).alias(TIME))
             for h in horizons
         ])))
-    cells = [
+    columns = [
         F.max(F.when(F.col("_h") == h, F.col(v))).alias(f"{prefix}{v}_h{h}")
         for h in horizons for v in names
     ]
-    return shifted.groupBy(*keys, TIME).agg(*cells)
+    return shifted.groupBy(*keys, TIME).agg(*columns)
 
 
 def join_horizons(
@@ -297,8 +307,29 @@ def join_horizons(
     prefix: str = "nwp_",
     keys: Sequence[str] = (),
 ) -> DataFrame:
-    """One left join for all horizons. The planner broadcasts the weather side if it is small."""
-    if not (variables or variables_of(wide, [*keys, TIME])):
+    """One left join for all horizons.
+
+    The weather side is broadcast if its size, which follows from its first and last times, is small
+    enough; the observations then need no shuffle. Else the planner decides.
+    """
+    names = variables or variables_of(wide, [*keys, TIME])
+    if not names:
         return df
     table = horizons_table(wide, horizons, step_minutes, variables, prefix, keys)
+    row_bytes = 8 * (len(names) * len(horizons) + 2) + KEY_BYTES * len(keys)
+    if most_rows(wide, horizons, step_minutes, keys) * row_bytes <= MAX_BROADCAST_BYTES:
+        table = F.broadcast(table)
     return df.join(table, [*keys, TIME], "left")
+
+
+def most_rows(
+    wide: DataFrame, horizons: Sequence[int], step_minutes: int, keys: Sequence[str] = (),
+    source_minutes: int = 60,
+) -> int:
+    """No fewer rows than the horizons table can have."""
+    if step_minutes >= source_minutes:
+        return wide.count() * len(horizons)
+    seconds = (F.max(TIME) - F.min(TIME)).cast("interval second").cast("decimal(20,6)")
+    spans = wide.groupBy(*keys).agg((seconds / (60 * step_minutes)).alias("steps"))
+    total = spans.agg(F.sum(F.col("steps") + max(horizons) + 2)).first()[0]
+    return int(total or 0)

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from gridwright.session import work_path
+from gridwright.session import written
 
 MAX_SERIES_ROWS = 4_000_000
 MAX_BROADCAST_ROWS = 1_000_000
@@ -66,13 +66,6 @@ def _micros_between(start: Column, end: Column) -> Column:
     return (seconds * 1_000_000).cast("double")
 
 
-def _written(df: DataFrame) -> DataFrame:
-    """A small intermediate table in the shared folder: computed once, and the lineage ends there."""
-    path = work_path(df.sparkSession, "blocks")
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def _block_sizes(df: DataFrame, series: Series, by: Sequence[str]) -> DataFrame:
     time = F.col(series.time)
     return df.groupBy(*by).agg(
@@ -89,7 +82,7 @@ def _in_blocks(df: DataFrame, series: Series, rows: int) -> tuple[DataFrame, Dat
     keys, time = list(series.keys), F.col(series.time)
     by = [*keys, "_block"]
     tagged = df.withColumn("_block", F.expr("cast(array() as array<bigint>)"))
-    sizes = _written(_block_sizes(tagged, series, by).where(F.col("_n") > rows))
+    sizes = written(_block_sizes(tagged, series, by).where(F.col("_n") > rows), "blocks")
     for _ in range(MAX_CUTS):
         crowded = sizes.where((F.col("_n") > rows) & (F.col("_first") < F.col("_last")))
         n_crowded = crowded.count()
@@ -104,7 +97,7 @@ def _in_blocks(df: DataFrame, series: Series, rows: int) -> tuple[DataFrame, Dat
                    F.concat("_block", F.array(F.coalesce(part, F.lit(-1).cast("bigint")))))
             .otherwise(F.col("_block")),
         ).drop("_first", "_width")
-        sizes = _written(_block_sizes(tagged.where(F.size("_block") > 0), series, by))
+        sizes = written(_block_sizes(tagged.where(F.size("_block") > 0), series, by), "blocks")
     return tagged, sizes
 
 

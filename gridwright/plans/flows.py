@@ -43,6 +43,7 @@ from gridwright.operators.weather import (
 )
 from gridwright.operators.windows import Series
 from gridwright.schemas import schema_errors
+from gridwright.session import written
 from gridwright.sources.scan import scan_parquet, write_partitioned, write_table
 from gridwright.sources.weather_store import read_store, upsert
 
@@ -53,6 +54,8 @@ def flag_table(raw: DataFrame, dataset_id: str, out: str) -> DataFrame:
     problems = schema_errors(raw, dataset.domain)
     if problems:
         raise ValueError(f"not a canonical {dataset.domain} table: {problems}")
+    # Written first: the rules look at the table more than once, and parsing must not repeat.
+    raw = written(raw, "raw")
     flagged = {
         "wind": lambda: qc_wind(raw, dataset.rated_power_kw),
         "demand": lambda: qc_demand(raw),

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridwright.session import small_table
+
 
 def _schema(**columns: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, dtype) for name, dtype in columns.items()])
@@ -70,6 +72,5 @@ def schema_errors(df: DataFrame, domain: str, strict: bool = False) -> list[tupl
 
 def validate_schema(df: DataFrame, domain: str, strict: bool = False) -> DataFrame:
     """The same report as a table, so it can be written next to the data."""
-    return df.sparkSession.createDataFrame(
-        schema_errors(df, domain, strict), "column_name string, error string"
-    )
+    return small_table(
+        df.sparkSession, schema_errors(df, domain, strict), "column_name string, error string")

@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 
 def local_session(cores: str = "*", memory: str = "8g", partitions: int = 8) -> SparkSession:
@@ -39,6 +42,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def small_table(spark: SparkSession, rows: list[tuple], schema: str | StructType) -> DataFrame:
+    """Configured rows as a local relation: its size is known to the planner and no Python runs for it."""
+    parsed = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    columns = list(zip(*rows)) if rows else [[] for _ in parsed]
+    arrow = to_arrow_schema(parsed)
+    arrays = [pa.array(list(c), type=f.type) for c, f in zip(columns, arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), schema=parsed)
+
+
+def written(df: DataFrame, label: str = "table") -> DataFrame:
+    """The frame as a table in the shared folder: computed once, and its lineage ends there."""
+    path = work_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def work_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"

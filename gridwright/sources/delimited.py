@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridwright.session import small_table
+
 MAX_BROADCAST_FILES = 100_000
 
 
 @dataclass(frozen=True)
 class Layout:
-    """Files that share one header line."""
+    """Files that share one header line, as the paths Spark reports for their rows."""
 
     names: tuple[str, ...]
     files: tuple[str, ...]
@@ -43,7 +45,7 @@ def layouts(
     heads = lines.where(is_header).groupBy("file").agg(F.min("line").alias("line"))
     by_header: dict[str, list[str]] = {}
     for row in heads.toLocalIterator():
-        by_header.setdefault(row.line.rstrip("\r"), []).append(unquote(row.file))
+        by_header.setdefault(row.line.rstrip("\r"), []).append(row.file)
     return [
         Layout(tuple(n.strip().strip('"') for n in header.split(fmt.separator)), tuple(sorted(files)))
         for header, files in sorted(by_header.items())
@@ -62,7 +64,7 @@ def read_layout(
     )
     if fmt.comment:
         reader = reader.option("comment", fmt.comment)
-    raw = reader.csv(list(layout.files))
+    raw = reader.csv([unquote(f) for f in layout.files])
     chosen = {
         target: layout.names.index(source) for source, target in columns.items() if source in layout.names
     }
@@ -78,6 +80,13 @@ def missing_columns(layout: Layout, columns: Mapping[str, str]) -> list[str]:
     return [source for source in columns if source not in layout.names]
 
 
+def file_table(spark: SparkSession, found: Sequence[Layout]) -> DataFrame:
+    """(file, file_no) in path order: rows then carry a number and not a path through later shuffles."""
+    files = sorted(f for layout in found for f in layout.files)
+    table = small_table(spark, list(zip(files, range(len(files)))), "file string, file_no bigint")
+    return F.broadcast(table) if len(files) <= MAX_BROADCAST_FILES else table
+
+
 def with_file_peak(df: DataFrame, column: str, n_files: int | None = None) -> DataFrame:
     """Adds `_peak`, the largest value of the column in the row's file.
 

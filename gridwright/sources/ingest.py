@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gridwright.functions import scalars as S
 from gridwright.operators.resample import bucket_mean, dedupe_first, group_mean
 from gridwright.schemas import to_canonical
-from gridwright.sources.delimited import Format, Layout, layouts, read_layout, with_file_peak
+from gridwright.sources.delimited import Format, Layout, file_table, layouts, read_layout, with_file_peak
 from gridwright.sources.scan import scan_csv
 
 # Vendor headers, null tokens, file-name patterns and time zones.
@@ -100,12 +100,11 @@ def ingest_turbine_csv(spark: SparkSession, path: str, pattern: str = "*.csv*")
     rows = reduce(
         lambda a, b: a.unionByName(b, allowMissingColumns=True),
         [_turbine_frame(spark, layout, fmt) for layout in found])
-    named = rows.withColumns({
-        "dataset_id": F.lit("kelmarsh"),
-        "turbine_id": series_id_from_path(F.col("file")),
-        **init_flags("wind"),
-    })
-    unique = dedupe_first(named, ["timestamp_utc", "turbine_id"], [F.col("file"), F.col("position")])
+    files = file_table(spark, found).withColumn("turbine_id", series_id_from_path(F.col("file")))
+    named = rows.join(files, "file").drop("file")
+    first = dedupe_first(
+        named, ["timestamp_utc", "turbine_id"], [F.col("file_no"), F.col("position")])
+    unique = first.withColumns({"dataset_id": F.lit("kelmarsh"), **init_flags("wind")})
     return to_canonical(unique, "wind")
 
 

@@ -30,6 +30,7 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame) -> int:
     """
     cells = to_long(batch).withColumn(TIME, F.col(TIME).cast("timestamp")).withColumn(
         "value", F.col("value").cast("double"))
+    spark.createDataFrame([], SCHEMA).write.mode("ignore").partitionBy("location_key").parquet(path)
     counted = Observation()
     fresh = cells.observe(counted, F.count(F.lit(1)).alias("cells"))
     stored = read_store(spark, path).join(

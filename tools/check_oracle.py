@@ -11,63 +11,70 @@ import duckdb
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-import __spark_entry__ as entry  # noqa: E402
+from gridwright.catalog import ORACLES, QUERIES  # noqa: E402
 from gridwright.session import local_session  # noqa: E402
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
+SAME_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+             "tinyint": "TINYINT", "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
 
 
-def clean(value):
+def duck_with(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    duck = duckdb.connect()
+    for t in TABLES:
+        duck.sql(f"create view {t} as select * from '{sf_dir}/{t}.parquet'")
+    return duck
+
+
+def _clean(value):
     if value is None or (isinstance(value, float) and math.isnan(value)):
         return "null"
-    if isinstance(value, float):
-        return repr(value)
-    return str(value)
+    return repr(value) if isinstance(value, float) else str(value)
+
+
+def _rows(rows, order):
+    return sorted(tuple(_clean(x[i]) for i in order) for x in rows)
+
+
+def check(spark, duck, sf_dir: str, name: str) -> int:
+    """Rows of the query; raises where columns, types or values differ from the oracle."""
+    frame = QUERIES[name](spark, sf_dir)
+    rows = frame.collect()
+    if name not in ORACLES:
+        return len(rows)
+    rel = duck.sql(ORACLES[name])
+    cols = sorted(frame.columns)
+    assert cols == sorted(rel.columns), f"columns differ: {set(cols) ^ set(rel.columns)}"
+    types = {c: (frame.schema[c].dataType.simpleString(), str(rel.types[rel.columns.index(c)])) for c in cols}
+    odd = {c: t for c, t in types.items() if SAME_TYPE.get(t[0]) != t[1]}
+    assert not odd, f"types differ: {odd}"
+    mine = _rows(rows, [frame.columns.index(c) for c in cols])
+    theirs = _rows(rel.fetchall(), [rel.columns.index(c) for c in cols])
+    if mine != theirs:
+        extra, lack = sorted(set(mine) - set(theirs)), sorted(set(theirs) - set(mine))
+        raise AssertionError(f"{len(mine)} vs {len(theirs)} rows; {cols}; only here {extra[:2]}; only there {lack[:2]}")
+    return len(rows)
 
 
 def main() -> None:
-    sf = sys.argv[1] if len(sys.argv) > 1 else "sf0.01"
-    only = set(sys.argv[2:])
+    sf, only = (sys.argv[1] if len(sys.argv) > 1 else "sf0.01"), set(sys.argv[2:])
     sf_dir = f"/root/testdata/{sf}"
     spark = local_session("8")
     spark.sparkContext.setLogLevel("ERROR")
-    duck = duckdb.connect()
-    for t in TABLES:
-        duck.sql(f"create view {t} as select * from '{sf_dir}/{t}.parquet'")
-    oracles, failed = entry.oracle_sql(), []
-    for name, fn in entry.queries().items():
+    duck, failed = duck_with(sf_dir), []
+    for name in QUERIES:
         if only and name not in only:
             continue
         start = time.time()
         try:
-            frame = fn(spark, sf_dir)
-            rows = frame.collect()
-            spent = time.time() - start
-            if name not in oracles:
-                print(f"rows   {name:32} {len(rows):7} rows {spent:6.1f}s")
-                continue
-            rel = duck.sql(oracles[name])
-            cols, ocols = sorted(frame.columns), sorted(rel.columns)
-            if cols != ocols:
-                raise AssertionError(f"columns {set(cols) ^ set(ocols)}")
-            mine = sorted(tuple(clean(x[c]) for c in cols) for x in rows)
-            pos = [rel.columns.index(c) for c in cols]
-            theirs = sorted(tuple(clean(x[p]) for p in pos) for x in rel.fetchall())
-            types = {c: (frame.schema[c].dataType.simpleString(), str(rel.types[rel.columns.index(c)])) for c in cols}
-            same = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
-                    "tinyint": "TINYINT", "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
-            odd = {c: t for c, t in types.items() if same.get(t[0]) != t[1]}
-            if mine != theirs:
-                extra, lack = sorted(set(mine) - set(theirs)), sorted(set(theirs) - set(mine))
-                raise AssertionError(f"{len(mine)} vs {len(theirs)} rows; cols {cols}; mine {extra[:2]} oracle {lack[:2]}")
-            if odd:
-                raise AssertionError(f"types {odd}")
-            print(f"match  {name:32} {len(rows):7} rows {spent:6.1f}s" + ("   EMPTY" if not rows else ""))
+            n = check(spark, duck, sf_dir, name)
+            kind = "match" if name in ORACLES else "rows "
+            print(f"{kind}  {name:32} {n:8} rows {time.time() - start:6.1f}s{'' if n else '   EMPTY'}")
         except Exception as e:  # noqa: BLE001
             failed.append(name)
             print(f"FAIL   {name:32} {type(e).__name__}: {str(e)[:1500]}")
-    print("failed:", failed)
+    print(len(QUERIES), "queries,", len(ORACLES), "with oracle; failed:", failed)
 
 
 if __name__ == "__main__":
