@@ -67,9 +67,11 @@ WIND_TARGETS = "\nUNION ALL ".join(
   {r('avg(abs(last_y - target))', 'persistence_mae')}, {r('sqrt(avg((last_y - target) * (last_y - target)))', 'persistence_rmse')},
   {r('avg(last_y - target)', 'persistence_bias')} FROM targets WHERE target IS NOT NULL GROUP BY 1""")
 def persistence_metrics(spark, sf):
-    flagged = Q.qc_wind(V.scada(spark, sf), V.RATED_KW, series=V.WIND)
-    featured = FT.wind_features(flagged, "baseline", series=V.WIND)
-    targets = W.targets_long(featured, V.WIND, "active_power_kw", HORIZONS)
+    readings = V.scada(spark, sf)
+    longest = W.longest_series(readings, V.WIND)
+    flagged = Q.qc_wind(readings, V.RATED_KW, series=V.WIND, longest=longest)
+    featured = FT.wind_features(flagged, "baseline", series=V.WIND, longest=longest)
+    targets = W.targets_long(featured, V.WIND, "active_power_kw", HORIZONS, longest=longest)
     cols = {"n_rows": F.count("*"), **M.persistence_columns("target", "active_power_kw_lag1")}
     return rounded(M.summarise(targets, ["horizon"], cols))
 

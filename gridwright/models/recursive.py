@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from gridwright.config import DOMAINS, Domain
 from gridwright.operators.features import lag_transforms
 from gridwright.operators.resample import with_fold
-from gridwright.operators.windows import Series, add_targets
+from gridwright.operators.windows import Series, add_targets, longest_series
 from gridwright.session import written
 
 STEPS_PER_TABLE = 12
@@ -107,8 +107,9 @@ def cross_validate(
     domain = DOMAINS[domain_name]
     names = [*lag_feature_names(domain, column), *exogenous]
     h_max = max(horizons)
-    featured = lag_transforms(df, domain_name, series, column)
-    targeted = add_targets(featured, series, column, horizons)
+    longest = longest_series(df, series)
+    featured = lag_transforms(df, domain_name, series, column, longest=longest)
+    targeted = add_targets(featured, series, column, horizons, longest=longest)
     ends = targeted.groupBy(*series.keys).agg(F.max(series.time).alias("_end"))
     rows = written(targeted.join(ends, list(series.keys)).dropna(subset=names), "folds")
     step = domain.step_minutes * 60

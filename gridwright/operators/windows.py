@@ -44,16 +44,19 @@ def over_series(
     reach: int,
     descending: bool = False,
     max_rows: int = MAX_SERIES_ROWS,
+    longest: int | None = None,
 ) -> DataFrame:
     """Run `add(frame, window)` where the window is one series in time order.
 
     `reach` is how many rows back from the current one `add` looks in all (nested windows add up).
     With `descending` the order is reversed, so looking back means looking into the future.
     A count per series decides the plan: one shuffle by series if none exceeds `max_rows`, else
-    one shuffle by (series, chunk).
+    one shuffle by (series, chunk). Whoever knows a bound passes it as `longest`; filters and
+    windows never lengthen a series, so one `longest_series` of the source serves a whole chain.
     """
-    longest = df.groupBy(*series.keys).count().agg(F.max("count")).first()[0]
-    if longest is None or longest <= max_rows:
+    if longest is None:
+        longest = longest_series(df, series)
+    if longest <= max_rows:
         window = Window.partitionBy(*series.keys).orderBy(*series.order(descending))
         return add(df, window)
     chunked = _chunk(df, series, max(max_rows, reach), reach, descending)
@@ -61,6 +64,11 @@ def over_series(
     return add(chunked, window).where(~F.col("_copy")).drop("_chunk", "_copy")
 
 
+def longest_series(df: DataFrame, series: Series) -> int:
+    """Rows of the longest series."""
+    return df.groupBy(*series.keys).count().agg(F.max("count")).first()[0] or 0
+
+
 def _micros_between(start: Column, end: Column) -> Column:
     seconds = (end - start).cast("interval second").cast("decimal(20,6)")
     return (seconds * 1_000_000).cast("double")
