@@ -6,8 +6,8 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from gridwright.catalog import views as V
-from gridwright.catalog.quality import QC_WIND_BODY
-from gridwright.catalog.registry import query, r, rounded, rs
+from gridwright.catalog.quality import qc_wind_sql
+from gridwright.catalog.registry import query, r, rounded
 from gridwright.catalog.time import DEMAND_SPLIT, SOLAR_W, WIND_W, demand_split
 from gridwright.models.recursive import persistence_folds
 from gridwright.operators import features as FT
@@ -57,7 +57,7 @@ def skill_score(spark, sf):
     return rounded(M.summarise(_pairs(spark, sf), ["split"], {"skill_score": score}))
 
 
-FLAGGED_WIND = V.also(V.SCADA, flagged=QC_WIND_BODY, good="SELECT * FROM flagged WHERE qc_flag = 0")
+FLAGGED_WIND = V.also(V.SCADA, flagged=qc_wind_sql(final=False), good="SELECT * FROM flagged WHERE qc_flag = 0")
 WIND_TARGETS = "\nUNION ALL ".join(
     f"""SELECT {h} AS horizon, wind_speed_ms, active_power_kw, lag(active_power_kw) OVER w AS last_y,
   lead(active_power_kw, {h}) OVER w AS target FROM good WINDOW w AS ({WIND_W})""" for h in HORIZONS)

@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from gridwright.catalog import views as V
 from gridwright.catalog.quality import DEMAND_AND_HOLIDAYS, IS_HOLIDAY
-from gridwright.catalog.registry import query, r, rounded, rs, table, without_zone
+from gridwright.catalog.registry import query, r, rounded, rs, table
 from gridwright.catalog.time import upsample_body
 from gridwright.operators import weather as WX
 from gridwright.operators.quality import mark_holidays
-from gridwright.operators.resample import bucket_mean, group_mean
+from gridwright.operators.resample import bucket_mean
 
 HOURLY_LOAD = """SELECT date_trunc('hour', ts) AS timestamp_utc, avg(value / 1.0337) AS load_mw FROM events
 WHERE event_type = 'purchase' GROUP BY 1"""

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from gridwright.catalog import views as V
-from gridwright.catalog.registry import query, r, rounded, rs
+from gridwright.catalog.registry import query, r, rounded
 from gridwright.operators import quality as Q
 from gridwright.schemas import SIGNALS
 
@@ -56,9 +54,11 @@ IS_CLOCK_CHANGE = (
     + ") AND hour(timestamp_utc) BETWEEN 1 AND 3)")
 
 
-def fill_sql(columns, limit: int, series: str, ties: str) -> str:
+def fill_sql(columns, limit: int, series: str, ties: str, final: bool = True) -> str:
+    """Filled columns, rounded where they are the result and exact where a query goes on with them."""
     frame = f"PARTITION BY {series} ORDER BY timestamp_utc, {ties} ROWS BETWEEN {limit} PRECEDING AND CURRENT ROW"
-    return ", ".join(r(f"last_value({c} IGNORE NULLS) OVER ({frame})", c) for c in columns)
+    exact = {c: f"last_value({c} IGNORE NULLS) OVER ({frame})" for c in columns}
+    return ", ".join(r(e, c) if final else f"{e} AS {c}" for c, e in exact.items())
 
 
 def flag(*scores: str) -> str:
@@ -98,13 +98,14 @@ def qc_frozen_sensor(spark, sf):
     return Q.flag_frozen(V.scada(spark, sf), V.WIND).select("event_id", "qc_flag")
 
 
-QC_WIND_BODY = f"""
-SELECT event_id, turbine_id, timestamp_utc, {flag(POWER_SCORE, WIND_SCORE, 'frozen')},
-  {MAINTENANCE} AS is_maintenance, {CURTAILED} AS is_curtailed, {fill_sql(SIGNALS['wind'], 3, 'turbine_id', 'event_id')}
+def qc_wind_sql(final: bool) -> str:
+    return f"""
+SELECT event_id, turbine_id, timestamp_utc, {flag(POWER_SCORE, WIND_SCORE, 'frozen')}, {MAINTENANCE} AS is_maintenance,
+  {CURTAILED} AS is_curtailed, {fill_sql(SIGNALS['wind'], 3, 'turbine_id', 'event_id', final)}
 FROM scada JOIN ({FROZEN}) AS f USING (event_id)"""
 
 
-@query("qc_wind", V.SCADA + QC_WIND_BODY)
+@query("qc_wind", V.SCADA + qc_wind_sql(final=True))
 def qc_wind(spark, sf):
     return rounded(Q.qc_wind(V.scada(spark, sf), V.RATED_KW, series=V.WIND)).drop(
         "dataset_id", "status_code")
@@ -118,7 +119,7 @@ def _summary_sql(*extras: str) -> str:
     return ", ".join([*parts, *extras])
 
 
-@query("qc_wind_summary", V.also(V.SCADA, flagged=QC_WIND_BODY) + f"""SELECT
+@query("qc_wind_summary", V.also(V.SCADA, flagged=qc_wind_sql(final=False)) + f"""SELECT
   {_summary_sql("count(*) FILTER (WHERE is_curtailed) AS curtailed", "count(*) FILTER (WHERE is_maintenance) AS maintenance")} FROM flagged""")
 def qc_wind_summary(spark, sf):
     return Q.qc_summary(Q.qc_wind(V.scada(spark, sf), V.RATED_KW, series=V.WIND), "wind")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from gridwright.catalog import views as V
 from gridwright.catalog.evaluation import METRICS_WIDE, _wide_metrics
 from gridwright.catalog.registry import query, r, rounded

@@ -11,10 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridwright.catalog import views as V
-from gridwright.catalog.registry import query, r, rounded, rs, table, without_zone
+from gridwright.catalog.registry import query, r, rounded, table, without_zone
 from gridwright.catalog.time import DENVER_HOURS, LOCAL, PARIS_GAP, PARIS_HOURS
 from gridwright.operators import weather as WX
-from gridwright.schemas import DEMAND, SCADA, SOLAR
 from gridwright.session import work_path
 from gridwright.sources import ingest as I
 from gridwright.sources.archives import member_lines

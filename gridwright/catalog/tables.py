@@ -8,9 +8,8 @@ from gridwright.catalog import views as V
 from gridwright.catalog.registry import query, r, rounded, rs, table, without_zone
 from gridwright.functions import scalars as S
 from gridwright.operators import features as FT
-from gridwright.operators import quality as Q
 from gridwright.operators import runs as R
-from gridwright.schemas import DEMAND, SCADA, empty_frame, to_canonical, validate_schema
+from gridwright.schemas import SCADA, empty_frame, to_canonical, validate_schema
 from gridwright.sources import ingest as I
 
 SCADA_DOUBLES = [f.name for f in SCADA if f.dataType.simpleString() == "double"]

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from gridwright.catalog.registry import table, without_zone
 from gridwright.operators.windows import Series
