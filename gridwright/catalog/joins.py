@@ -10,7 +10,7 @@ from gridwright.catalog.registry import query, r, rounded, rs, table
 from gridwright.catalog.time import upsample_body
 from gridwright.operators import weather as WX
 from gridwright.operators.quality import mark_holidays
-from gridwright.operators.resample import bucket_mean
+from gridwright.operators.resample import bucket, bucket_mean
 
 HOURLY_LOAD = """SELECT date_trunc('hour', ts) AS timestamp_utc, avg(value / 1.0337) AS load_mw FROM events
 WHERE event_type = 'purchase' GROUP BY 1"""
@@ -44,8 +44,6 @@ def nwp_sql(observed: str, weather: str, horizons, variables, minutes: int, keep
 @query("join_nwp_horizons", V.also(V.WEATHER, fine=upsample_body("weather_wide"), observed=TEN_MINUTES)
        + nwp_sql("observed", "fine", NWP_HORIZONS, NWP, 10, "o.event_id, o.timestamp_utc"))
 def join_nwp_horizons(spark, sf):
-    from gridwright.operators.resample import bucket
-
     observed = table(spark, sf, "events").select("event_id", bucket(F.col("ts"), 10).alias("timestamp_utc"))
     return rounded(WX.join_horizons(observed, V.weather_wide(spark, sf), NWP_HORIZONS, 10, NWP))
 

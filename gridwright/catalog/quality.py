@@ -29,6 +29,7 @@ FROM (SELECT *, sum(1 - repeated) OVER (PARTITION BY turbine_id ORDER BY timesta
   FROM (SELECT *, CASE WHEN wind_speed_ms = lag(wind_speed_ms) OVER w OR active_power_kw = lag(active_power_kw) OVER w
       OR pitch_angle_deg = lag(pitch_angle_deg) OVER w THEN 1 ELSE 0 END AS repeated
     FROM scada WINDOW w AS (PARTITION BY turbine_id ORDER BY timestamp_utc, event_id)) AS a) AS b"""
+# Holidays per calendar, written out as the dates they must come to, and clock changes.
 FIXED_HOLIDAYS = {
     "spain_demand": (2015, 2018, "(1,1),(1,6),(5,1),(8,15),(10,12),(11,1),(12,6),(12,8),(12,25)",
                      "2015-04-03 2016-03-25 2017-04-14 2018-03-30"),

@@ -9,8 +9,10 @@ from gridwright.catalog.registry import query, r, rounded, rs, table, without_zo
 from gridwright.functions import scalars as S
 from gridwright.operators import features as FT
 from gridwright.operators import runs as R
+from gridwright.operators.windows import add_lags
 from gridwright.schemas import SCADA, empty_frame, to_canonical, validate_schema
 from gridwright.sources import ingest as I
+from gridwright.sources import scan
 
 SCADA_DOUBLES = [f.name for f in SCADA if f.dataType.simpleString() == "double"]
 SCADA_OTHERS = [f.name for f in SCADA if f.dataType.simpleString() != "double"]
@@ -18,9 +20,7 @@ SCADA_OTHERS = [f.name for f in SCADA if f.dataType.simpleString() != "double"]
 
 @query("scan_parquet", f"SELECT event_id, ts, user_id, event_type, {r('value')} FROM events")
 def scan_parquet(spark, sf):
-    from gridwright.sources.scan import scan_parquet as scan
-
-    return rounded(scan(spark, f"{sf}/events.parquet").drop("props"))
+    return rounded(scan.scan_parquet(spark, f"{sf}/events.parquet").drop("props"))
 
 
 @query("to_canonical_schema", f"""SELECT ts AS timestamp_utc, CAST(NULL AS VARCHAR) AS dataset_id,
@@ -94,8 +94,6 @@ SELECT event_id, {rs(['active_power_kw', 'wind_speed_ms', 'active_power_kw_lag1'
 FROM featured WHERE active_power_kw IS NOT NULL AND wind_speed_ms IS NOT NULL
   AND active_power_kw_lag1 IS NOT NULL AND nwp_temperature_2m_h1 IS NOT NULL""")
 def drop_null_features(spark, sf):
-    from gridwright.operators.windows import add_lags
-
     frame = add_lags(V.scada(spark, sf), V.WIND, "active_power_kw", [1]).select(
         "event_id", "active_power_kw", "wind_speed_ms", "active_power_kw_lag1",
         F.col("nacelle_temp_c").alias("nwp_temperature_2m_h1"), "rotor_rpm")

@@ -41,7 +41,7 @@ SIGNALS = {
 
 
 def empty_frame(spark: SparkSession, domain: str) -> DataFrame:
-    return spark.createDataFrame([], CANONICAL[domain])
+    return small_table(spark, [], CANONICAL[domain])
 
 
 def to_canonical(df: DataFrame, domain: str) -> DataFrame:
