@@ -34,8 +34,8 @@ def test_every_surveyed_operator_has_a_query():
     named = set()
     for line in section.splitlines():
         cell = line.split("|")[1] if line.startswith("| `") else ""
-        for term in re.findall(r"`([a-z0-9_{},…*]+)`", cell):
-            for level in ("baseline", "enriched", "full") if ("{" in term or "*" in term) else ("",):
-                named.add(re.sub(r"\{.*\}|\*", level, term))
+        for term in re.findall(r"`([a-z][a-z0-9_]+(?:\{[a-z…,]*\}|\*)?)`", cell):
+            levels = ("baseline", "enriched", "full") if term[-1] in "}*" else ("",)
+            named.update(re.sub(r"\{.*\}|\*", level, term) for level in levels)
     assert len(named) > 110
     assert named - set(QUERIES) == set()
