@@ -209,7 +209,7 @@ CITY = "CASE event_type WHEN 'view' THEN ' Barcelona' WHEN 'click' THEN 'Valenci
 @query("ingest_load_and_weather", f"""WITH energy AS (SELECT date_trunc('hour', o_orderdate) + INTERVAL 1 HOUR * (o_orderkey % 24)
     + INTERVAL 29 YEAR - INTERVAL 1 HOUR AS timestamp_utc, o_totalprice / 3.9007 AS load_mw,
     CASE WHEN o_orderkey % 6 <> 0 THEN o_totalprice / 4903.7 END AS price FROM orders WHERE o_orderdate < TIMESTAMP '1995-02-03')
-, cities AS (SELECT date_trunc('hour', ts) - INTERVAL 1 HOUR AS timestamp_utc, avg(value) AS temp, avg(value / 1.0337) AS hum,
+, cities AS (SELECT date_trunc('hour', ts) - INTERVAL 1 HOUR AS timestamp_utc, avg(value / 1.0171) AS temp, avg(value / 1.0337) AS hum,
     avg(CASE WHEN event_type = 'click' AND value > 50 THEN NULL ELSE value / 1.0103 END) AS wind FROM events GROUP BY 1)
 SELECT timestamp_utc, 'spain_demand' AS dataset_id, 'ES' AS zone_id, {r('load_mw')}, {r('temp + 100 - 273.15', 'temperature_c')},
   {r('wind', 'wind_speed_ms')}, {r('hum', 'humidity_pct')}, {r('price', 'price_eur_mwh')}, CAST(NULL AS DOUBLE) AS tso_forecast_mw,
@@ -227,7 +227,7 @@ def ingest_load_and_weather(spark, sf):
     v = F.col("value")
     table(spark, sf, "events").select(
         F.concat(F.date_format(F.date_trunc("hour", "ts"), "yyyy-MM-dd HH:mm:ss"), F.lit("+01:00")).alias("dt_iso"),
-        F.expr(CITY).alias("city_name"), (v + 100).alias("temp"), (v * 20).alias("pressure"),
+        F.expr(CITY).alias("city_name"), (v / 1.0171 + 100).alias("temp"), (v * 20).alias("pressure"),
         (v / 1.0337).alias("humidity"), (v / 1.0103).alias("wind_speed"),
     ).write.option("header", "true").option("ignoreLeadingWhiteSpace", "false").csv(weather_path)
     return without_zone(rounded(I.ingest_load_and_weather(spark, energy_path, weather_path)))

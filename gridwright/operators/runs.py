@@ -128,13 +128,19 @@ def skill_vs_baseline(cells: DataFrame) -> DataFrame:
 
 
 def comparison_table(cells: DataFrame) -> DataFrame:
-    """Formatted cells: whole MAE, skills with three decimals, a dash where there is no value."""
-    def text(column: str, pattern: str) -> Column:
-        return F.coalesce(F.when(F.col(column).isNotNull(), F.format_string(pattern, column)), F.lit("—"))
+    """Formatted cells: whole MAE, skills with three decimals, a dash where there is no value.
 
-    out = [text("mae", "%.0f").alias("mae"), text("skill_score", "%.3f").alias("skill")]
+    A value half way between two texts takes the even one; a small negative value keeps its sign.
+    """
+    def text(column: str, pattern: str, digits: int) -> Column:
+        even = F.bround(column, digits)
+        minus_zero = F.lit("-" + f"{0:.{digits}f}")
+        shown = F.when((even == 0) & (F.col(column) < 0), minus_zero).otherwise(F.format_string(pattern, even))
+        return F.coalesce(F.when(F.col(column).isNotNull(), shown), F.lit("—"))
+
+    out = [text("mae", "%.0f", 0).alias("mae"), text("skill_score", "%.3f", 3).alias("skill")]
     if "skill_vs_baseline" in cells.columns:
-        out.append(text("skill_vs_baseline", "%+.3f").alias("skill_vs_baseline"))
+        out.append(text("skill_vs_baseline", "%+.3f", 3).alias("skill_vs_baseline"))
     return cells.select("run_id", "label", "horizon", *out)
 
 

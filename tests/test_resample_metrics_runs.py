@@ -159,6 +159,14 @@ def test_comparison_table(cells):
     assert (out[("r4", 6)].mae, out[("r4", 6)].skill) == ("—", "0.250")
 
 
+def test_half_way_cells_take_the_even_text(spark):
+    cells = spark.createDataFrame(
+        [("a", "x", 1, 74.5, 0.0625), ("b", "x", 1, 75.5, -0.0375), ("c", "x", 1, 0.5, -0.0002)],
+        "run_id string, label string, horizon int, mae double, skill_score double")
+    out = {r.run_id: (r.mae, r.skill) for r in R.comparison_table(cells).collect()}
+    assert out == {"a": ("74", "0.062"), "b": ("76", "-0.038"), "c": ("0", "-0.000")}
+
+
 def test_runs_pivot_order(spark, runs):
     metrics = spark.createDataFrame([("r1", "h1_mae", 8.0)], "run_id string, key string, value double")
     out = R.report_order(R.runs_pivot(runs, metrics, [1])).collect()
