@@ -39,18 +39,28 @@ def recent_history(df: DataFrame, series: Series, column: str, rows: int) -> Dat
     ).select(*series.keys, "last_ts", F.col(f"_packed.{column}").alias("history"))
 
 
-def history_features(history: Column, domain: Domain, column: str = "y") -> dict[str, Column]:
-    """The lag and rolling features of the step after the history."""
-    cols = {f"{column}_lag{k}": F.try_element_at(history, F.lit(-k)) for k in domain.lags}
+def history_features(
+    history: Column, domain: Domain, column: str = "y"
+) -> tuple[dict[str, Column], dict[str, Column]]:
+    """The lag and rolling features of the step after the history.
+
+    Two groups to add one after the other: deviations read the mean columns, since a mean written
+    into their lambda would be computed again for every element.
+    """
+    first = {f"{column}_lag{k}": F.try_element_at(history, F.lit(-k)) for k in domain.lags}
+    second = {}
     for w in domain.windows:
         enough = F.size(history) >= w
         tail = F.slice(history, F.greatest(F.size(history) - w + 1, F.lit(1)), w)
+        mean = F.col(f"{column}_roll_mean_{w}")
         total = F.aggregate(tail, F.lit(0.0), lambda a, x: a + x)
-        mean = total / w
-        squares = F.aggregate(tail, F.lit(0.0), lambda a, x: a + (x - mean) * (x - mean))
-        cols[f"{column}_roll_mean_{w}"] = F.when(enough, mean)
-        cols[f"{column}_roll_std_{w}"] = F.when(enough, F.sqrt(squares / (w - 1)))
-    return cols
+        first[f"{column}_roll_mean_{w}"] = F.when(enough, total / w)
+        second[f"{column}_roll_std_{w}"] = F.when(enough, F.sqrt(_squares(tail, mean) / (w - 1)))
+    return first, second
+
+
+def _squares(values: Column, mean: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda a, x: a + (x - mean) * (x - mean))
 
 
 def recursive_forecast(
@@ -67,13 +77,14 @@ def recursive_forecast(
     need = max(*domain.lags, *domain.windows)
     state = recent_history(df, series, column, need).where(F.size("history") >= need)
     state = state.withColumn("_out", F.expr("cast(array() as array<double>)"))
-    features = history_features(F.col("history"), domain, column)
+    first, second = history_features(F.col("history"), domain, column)
     advance = [
         *[F.col(k) for k in series.keys], F.col("last_ts"),
         F.concat(F.slice("history", 2, need), F.array("prediction")).alias("history"),
         F.concat("_out", F.array("prediction")).alias("_out")]
     for step in range(1, steps + 1):
-        state = model.transform(state.withColumns(features)).select(*advance)
+        ready = state.withColumns(first).withColumns(second)
+        state = model.transform(ready).select(*advance)
         if step % STEPS_PER_TABLE == 0 and step < steps:
             state = written(state, "forecast")
     step_time = F.make_dt_interval(mins=((F.col("_at") + 1) * domain.step_minutes).cast("int"))
