@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridwright.llm import quality, simhash
+from gridwright.llm import decontamination, quality, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    items = F.sha2(F.array_join("item_ids", ","), 256)
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), items.alias("items_sha256"),
+        "contaminated")
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     near = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     digits = F.lower(F.lpad(F.hex("code"), 16, "0"))
@@ -30,6 +38,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op4_decontamination": op4_decontamination,
     "op8_simhash": op8_simhash,
     "op10_quality": op10_quality,
 }
