@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gridwright.llm import quality, simhash
+from gridwright.llm import decontamination, packing, pii, quality, simhash
+from gridwright.llm.queries import PACKING_TOKENIZER
 from gridwright.session import written
 
 
@@ -18,9 +20,27 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return simhash.representatives(docs)
 
 
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that benchmark passages do not contaminate."""
+    return decontamination.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with the personal data in their texts replaced."""
+    return pii.redact(docs, pii.learn(docs))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' pieces and their places in training sequences."""
+    return packing.pack(docs, public_tokenizers.path(PACKING_TOKENIZER))
+
+
 STAGES = [
     ("quality classifier", quality_stage),
     ("SimHash near-dedup", near_duplicate_stage),
+    ("benchmark decontamination", decontamination_stage),
+    ("PII", personal_data_stage),
+    ("best-fit packing", packing_stage),
 ]
 #: The trained models and the tokenizer cannot be stated in SQL.
 ORACLE_SQL = None

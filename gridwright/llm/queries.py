@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridwright.llm import decontamination, quality, simhash
+from gridwright.llm import decontamination, packing, pii, quality, simhash
 
+#: The two public tokenizer files that the queries use; a path is a parameter of every operator that takes one.
+PACKING_TOKENIZER = "word_bpe_49k.json"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -16,6 +19,23 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _joined(spans: str) -> Column:
+    """kind:start:end of each span, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def _number(spans: str, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = pii.find(docs, pii.learn(docs))
+    counts = [_number("base", kind).alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select(
+        "doc_id", *counts, F.sha2(_joined("base"), 256).alias("base_sha256"), _joined("spans").alias("spans"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     items = F.sha2(F.array_join("item_ids", ","), 256)
@@ -24,6 +44,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         "contaminated")
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path(PACKING_TOKENIZER))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     near = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     digits = F.lower(F.lpad(F.hex("code"), 16, "0"))
@@ -38,7 +62,9 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_pii": op1_pii,
     "op4_decontamination": op4_decontamination,
+    "op5_packing": op5_packing,
     "op8_simhash": op8_simhash,
     "op10_quality": op10_quality,
 }
