@@ -51,3 +51,34 @@ def shared_files(uri: str) -> tuple[pafs.FileSystem, str]:
 def fresh(name: str, taken: Iterable[str]) -> str:
     """A column name that no column of the input has, in whatever case."""
     return name if name.lower() not in {c.lower() for c in taken} else f"{name}_{uuid.uuid4().hex[:8]}"
+
+
+def spread(files: DataFrame) -> DataFrame:
+    """The rows of a small written table of files dealt out evenly, so that one task does not read them all."""
+    tasks = 4 * int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return files.repartition(max(1, min(files.count(), tasks)))
+
+
+class NewFiles:
+    """Files that one task adds to a shared folder, under names that no other attempt of the task uses."""
+
+    def __init__(self, folder: str, part: int, ending: str) -> None:
+        self.folder, self.stem, self.ending, self.number = folder, f"{part:06d}-{uuid.uuid4().hex[:12]}", ending, 0
+        self.system, self.root = shared_files(folder)
+        self.system.create_dir(self.root, recursive=True)
+
+    def write(self, parts: Iterable[bytes]) -> tuple[int, str, int]:
+        """Writes the next file; (its number in the task, its name, its bytes)."""
+        name = f"{self.stem}-{self.number:05d}{self.ending}"
+        size = 0
+        with self.system.open_output_stream(f"{self.root}/{name}", compression=None) as out:
+            for part in parts:
+                size += len(part)
+                out.write(part)
+        self.number += 1
+        return self.number - 1, name, size
+
+
+def read_file(folder: str, name: str) -> pa.NativeFile:
+    system, root = shared_files(folder)
+    return system.open_input_file(f"{root}/{name}")

@@ -8,10 +8,10 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridwright.llm import decontamination, packing, pii, quality, simhash
+from gridwright.llm import decontamination, packing, pii, quality, simhash, token_files, warc
 
 #: The two public tokenizer files that the queries use; a path is a parameter of every operator that takes one.
-PACKING_TOKENIZER = "word_bpe_49k.json"
+PACKING_TOKENIZER, FILE_TOKENIZER = "word_bpe_49k.json", "byte_bpe_50k.json"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -36,6 +36,11 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *counts, F.sha2(_joined("base"), 256).alias("base_sha256"), _joined("spans").alias("spans"))
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return token_files.read_token_files(token_files.write_token_files(docs, public_tokenizers.path(FILE_TOKENIZER)))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     items = F.sha2(F.array_join("item_ids", ","), 256)
@@ -54,6 +59,11 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.read_archives(warc.write_archives(_table(spark, sf_dir, "pages")))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     scored = quality.score(docs, quality.train(docs, _table(spark, sf_dir, "labels")))
@@ -63,9 +73,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_pii": op1_pii,
+    "op2_token_files": op2_token_files,
     "op4_decontamination": op4_decontamination,
     "op5_packing": op5_packing,
     "op8_simhash": op8_simhash,
+    "op9_warc": op9_warc,
     "op10_quality": op10_quality,
 }
 ORACLES: dict[str, str] = {}
