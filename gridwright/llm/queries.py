@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridwright.llm import decontamination, packing, pii, quality, sharding, simhash, token_files, warc
+from gridwright.llm import decontamination, packing, pii, quality, sharding, simhash, token_files, warc, winnowing
 
 #: The two public tokenizer files that the queries use; a path is a parameter of every operator that takes one.
 PACKING_TOKENIZER, FILE_TOKENIZER = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -53,6 +53,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path(PACKING_TOKENIZER))
 
 
+def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.edited_fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.kd_shards(_table(spark, sf_dir, "documents"))
     return placed.select(
@@ -83,6 +87,7 @@ QUERIES: dict[str, Query] = {
     "op2_token_files": op2_token_files,
     "op4_decontamination": op4_decontamination,
     "op5_packing": op5_packing,
+    "op6_winnowing": op6_winnowing,
     "op7_sharding": op7_sharding,
     "op8_simhash": op8_simhash,
     "op9_warc": op9_warc,
