@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridwright.llm import decontamination, packing, pii, quality, sharding, simhash, token_files, warc, winnowing
+from gridwright.llm import decontamination, language_model, packing, pii, quality, sharding, simhash, token_files, warc, winnowing
 
 #: The two public tokenizer files that the queries use; a path is a parameter of every operator that takes one.
 PACKING_TOKENIZER, FILE_TOKENIZER = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -41,6 +41,13 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(token_files.write_token_files(docs, public_tokenizers.path(FILE_TOKENIZER)))
 
 
+def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored, known = language_model.likelihoods(_table(spark, sf_dir, "documents"))
+    return scored.select(
+        "doc_id", language_model.held_out().alias("held_out"), "n_tokens", "n_known",
+        F.lit(known.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     items = F.sha2(F.array_join("item_ids", ","), 256)
@@ -85,6 +92,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_pii": op1_pii,
     "op2_token_files": op2_token_files,
+    "op3_language_model": op3_language_model,
     "op4_decontamination": op4_decontamination,
     "op5_packing": op5_packing,
     "op6_winnowing": op6_winnowing,
