@@ -183,7 +183,8 @@ def item_table(benchmark: DataFrame) -> str:
 def _blocks(path: str) -> Iterator[list[tuple[str, list[bytes]]]]:
     system, folder = shared_files(path)
     for batch in ds.dataset(folder, filesystem=system, format="parquet").to_batches(batch_size=BLOCK_ITEMS, batch_readahead=1):
-        yield list(zip(batch.column("item_id").to_pylist(), batch.column("words").to_pylist()))
+        if batch.num_rows:
+            yield list(zip(batch.column("item_id").to_pylist(), batch.column("words").to_pylist()))
 
 
 def _windows(block: list[tuple[str, list[bytes]]], symbol: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, list[str]]:
