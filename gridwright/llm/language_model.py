@@ -33,6 +33,7 @@ END, SMOOTHING = b"", 0.1
 HEAD_WORDS, LONGEST_HEAD, RARE_CLASSES = 4096, 256, 32
 #: Each training document gives one stretch of a twelfth of its words, at least `LEAST` words, to each round.
 ROUNDS, STRETCHES, LEAST = 2, 12, 32
+WINDOWS, PASSES = 16, 8
 HELD, BLOCK, SALTS = 200_000, 16_384, 64
 
 
@@ -131,8 +132,12 @@ def _round(docs: DataFrame, words_known: Vocabulary, weights: Weights, number: i
                 places = max(1, len(rows) // size)
                 at = (zlib.crc32(raw) + number) % places * size
                 stretches.append(rows[at: at + size])
-            if stretches:
-                trainer.learn(stretches)
+            # Few rows make few windows; those are gone over again, up to `PASSES` times.
+            windows = 0
+            for _ in range(PASSES if stretches else 0):
+                windows += trainer.learn(stretches)
+                if windows >= WINDOWS:
+                    break
         if trainer.tokens:
             salt = TaskContext.get().partitionId() % SALTS
             flat = trainer.w.flat().astype(np.float64) * trainer.tokens

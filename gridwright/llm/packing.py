@@ -94,7 +94,8 @@ def completions(counts: np.ndarray, room: int, ways: int = WAYS, steps: int = ST
         stack.append((at + 1, 0, room, chosen, size if more else skipped))
         if more:
             stack.append((at, taken + 1, room - size, (*chosen, size), skipped))
-    return [(waste, chosen) for waste, _, chosen in sorted(found)[:ways]]
+    best = sorted(found, key=lambda f: (f[0], f[1], [-size for size in f[2]]))
+    return [(waste, chosen) for waste, _, chosen in best[:ways]]
 
 
 def fewest(counts: np.ndarray, capacity: int) -> int:

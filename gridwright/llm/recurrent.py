@@ -158,7 +158,8 @@ class Trainer:
         self.seen = {k: np.full(v.shape, 1e-2, dtype=np.float32) for k, v in vars(self.w).items()}
         self.tokens = 0
 
-    def learn(self, documents: list[np.ndarray]) -> None:
+    def learn(self, documents: list[np.ndarray]) -> int:
+        """One pass over the documents; how many windows, and so steps, it took."""
         start = len(self.w.inputs) - 1
         before, after, _, lengths = _dealt(documents, LANES, start)
         state = np.zeros((before.shape[1], HIDDEN), dtype=np.float32)
@@ -168,6 +169,7 @@ class Trainer:
             inside = np.arange(first, last)[:, None] < lengths[:live]
             state = self._window(before[first:last, :live], after[first:last, :live], inside, state[:live], start)
             self.tokens += int(inside.sum())
+        return -(-len(before) // STEPS)
 
     def _window(self, rows: np.ndarray, after: np.ndarray, inside: np.ndarray, state: np.ndarray, start: int) -> np.ndarray:
         w, kept, states = self.w, [], []
