@@ -9,13 +9,14 @@ from gridwright.catalog import views as V
 from gridwright.catalog.quality import qc_wind_sql
 from gridwright.catalog.registry import query, r, rounded
 from gridwright.catalog.time import DEMAND_SPLIT, SOLAR_W, WIND_W, demand_split
+from gridwright.config import DEFAULT_HORIZONS
 from gridwright.models.recursive import persistence_folds
 from gridwright.operators import features as FT
 from gridwright.operators import metrics as M
 from gridwright.operators import quality as Q
 from gridwright.operators import windows as W
 
-HORIZONS = [1, 6, 12, 24]
+HORIZONS = list(DEFAULT_HORIZONS)
 
 
 def errors_sql(y: str, yhat: str) -> str:

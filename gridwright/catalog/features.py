@@ -23,13 +23,14 @@ from gridwright.catalog.quality import (
 from gridwright.catalog.registry import query, r, rounded, rs, table
 from gridwright.catalog.tables import _cyc
 from gridwright.catalog.time import DEMAND_W, SOLAR_W, TURBULENCE, WIND_W, lag_sql, roll_sql, upsample_body
+from gridwright.config import DEFAULT_HORIZONS
 from gridwright.operators import features as FT
 from gridwright.operators import quality as Q
 from gridwright.operators import weather as WX
 from gridwright.operators import windows as W
 from gridwright.operators.resample import bucket
 
-HORIZONS = [1, 6]
+HORIZONS = list(DEFAULT_HORIZONS)
 HOUR = _cyc("hour", "hour(timestamp_utc) * 2 * pi() / 24")
 CALENDAR = (_cyc("month", "month(timestamp_utc) * 2 * pi() / 12") + ", "
             + _cyc("dow", "isodow(timestamp_utc) * 2 * pi() / 7"))
@@ -126,17 +127,19 @@ for _level, _columns in DEMAND_LEVELS.items():
         return _tidy(FT.demand_features(base, level, V.DEMAND), "o_orderkey", base)
 
 
+LOAD_WEATHER = ("temperature_2m", "wind_speed_10m", "relative_humidity_2m")
 # Hourly weather for the years of the orders: the price level of the other orders of that hour.
 LOAD_WEATHER_BODY = """SELECT o_orderdate + INTERVAL '20' YEAR + CAST(o_orderkey % 24 AS INT) * INTERVAL '1' HOUR AS timestamp_utc,
-  avg(o_totalprice / 4903.7 - 30) AS temperature_2m, avg(o_totalprice / 9803.7) AS wind_speed_10m FROM orders GROUP BY 1"""
+  avg(o_totalprice / 4903.7 - 30) AS temperature_2m, avg(o_totalprice / 9803.7) AS wind_speed_10m,
+  avg(o_totalprice / 5003.7) AS relative_humidity_2m FROM orders GROUP BY 1"""
 
 
 @query("demand_features_full", V.also(DEMAND_GOOD, load_weather=LOAD_WEATHER_BODY, joined=f"""
-  SELECT g.*, w1.temperature_2m AS t1, {', '.join(f'w{h}.{v} AS nwp_{v}_h{h}' for h in HORIZONS for v in ('temperature_2m', 'wind_speed_10m'))}
+  SELECT g.*, w1.temperature_2m AS t1, {', '.join(f'w{h}.{v} AS nwp_{v}_h{h}' for h in HORIZONS for v in LOAD_WEATHER)}
   FROM good g """ + " ".join(
     f"LEFT JOIN load_weather w{h} ON w{h}.timestamp_utc = g.timestamp_utc + {h} * INTERVAL 1 HOUR" for h in HORIZONS))
     + f"""SELECT o_orderkey, {DEMAND_LEVELS['enriched']}, {_degrees('t1')},
-  {rs([f'nwp_{v}_h{h}' for h in HORIZONS for v in ('temperature_2m', 'wind_speed_10m')])} FROM joined""")
+  {rs([f'nwp_{v}_h{h}' for h in HORIZONS for v in LOAD_WEATHER])} FROM joined""")
 def demand_features_full(spark, sf):
     weather = spark.sql(LOAD_WEATHER_BODY.replace("FROM orders", "FROM {orders}"), orders=table(spark, sf, "orders"))
     base = _flagged_demand(spark, sf)

@@ -8,26 +8,26 @@ from gridwright.catalog import views as V
 from gridwright.catalog.quality import DEMAND_AND_HOLIDAYS, IS_HOLIDAY
 from gridwright.catalog.registry import query, r, rounded, rs, table
 from gridwright.catalog.time import upsample_body
+from gridwright.config import DEFAULT_HORIZONS
 from gridwright.operators import weather as WX
 from gridwright.operators.quality import mark_holidays
 from gridwright.operators.resample import bucket, bucket_mean
 
-HOURLY_LOAD = """SELECT date_trunc('hour', ts) AS timestamp_utc, avg(value / 1.0337) AS load_mw FROM events
-WHERE event_type = 'purchase' GROUP BY 1"""
+HOURLY_LOAD = """SELECT date_trunc('hour', ts) AS timestamp_utc, avg(value / 1.0337) AS load_mw FROM events GROUP BY 1"""
 
 
 @query("join_load_weather", V.also(V.WEATHER, hourly=HOURLY_LOAD) + f"""SELECT timestamp_utc, {rs(['load_mw', 'temperature_2m'])}
 FROM hourly JOIN weather_wide USING (timestamp_utc)""")
 def join_load_weather(spark, sf):
-    purchases = table(spark, sf, "events").where("event_type = 'purchase'").select(
+    readings = table(spark, sf, "events").select(
         F.col("ts").alias("timestamp_utc"), (F.col("value") / 1.0337).alias("load_mw"))
-    load = bucket_mean(purchases, 60, ["load_mw"])
+    load = bucket_mean(readings, 60, ["load_mw"])
     return rounded(load.join(V.weather_wide(spark, sf), "timestamp_utc").select(
         "timestamp_utc", "load_mw", "temperature_2m"))
 
 
 NWP = ["wind_speed_100m", "temperature_2m"]
-NWP_HORIZONS = [1, 6, 48]
+NWP_HORIZONS = list(DEFAULT_HORIZONS)
 NWP_COLUMNS = [f"nwp_{v}_h{h}" for h in NWP_HORIZONS for v in NWP]
 # Observations on the ten-minute marks at or before each event.
 TEN_MINUTES = "SELECT event_id, time_bucket(INTERVAL 10 MINUTE, ts) AS timestamp_utc FROM events"

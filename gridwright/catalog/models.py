@@ -1,25 +1,41 @@
-"""Models as table operations. SQL cannot fit them, so these have no oracle; tests check them."""
+"""Models as table operations.
+
+The queries fit least squares on the last known value, which SQL states exactly; boosted trees with their own settings
+run in the bench and the tests.
+"""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.regression import LinearRegression
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridwright.catalog import views as V
-from gridwright.catalog.features import _flagged_demand
-from gridwright.catalog.registry import query, rounded
+from gridwright.catalog.evaluation import errors_sql, mape_sql
+from gridwright.catalog.features import DEMAND_GOOD, _flagged_demand
+from gridwright.catalog.registry import query, r, rounded
+from gridwright.catalog.time import DEMAND_W
+from gridwright.config import DEFAULT_HORIZONS, DOMAINS
 from gridwright.models import direct as D
 from gridwright.models import recursive as RC
 from gridwright.operators import features as FT
 from gridwright.operators.resample import temporal_split
 from gridwright.session import small_table
 
-HORIZONS = [1, 24]
+HORIZONS = list(DEFAULT_HORIZONS)
 FEATURES = FT.feature_set("demand_baseline")
-QUICK = D.Boosting(rounds=5, rate=0.3, depth=3)
+LAST = "load_mw_lag1"
+STEPS = 24
+
 
+def least_squares(**settings) -> LinearRegression:
+    return LinearRegression(
+        featuresCol="features", labelCol="target", predictionCol="prediction", solver="normal", **settings)
 
-def _table(spark, sf):
+
+def demand_table(spark, sf):
     """Load features, complete rows only, split by year, with targets."""
     built = FT.demand_features(_flagged_demand(spark, sf), "baseline", V.DEMAND)
     rows = FT.complete_rows(built, "demand", "demand_baseline").select(
@@ -27,36 +43,84 @@ def _table(spark, sf):
     return D.targets_table(temporal_split(rows, 3, 1), V.DEMAND, "load_mw", HORIZONS)
 
 
-@query("train_direct_horizons")
+_LAGS = DOMAINS["demand"].lags
+_LAGGED = ", ".join(f"lag(load_mw, {k}) OVER ({DEMAND_W}) AS lag{k}" for k in _LAGS)
+_COMPLETE = " AND ".join(f"lag{k} IS NOT NULL" for k in _LAGS)
+LABELLED = V.also(
+    DEMAND_GOOD,
+    lagged=f"SELECT o_orderkey, zone_id, timestamp_utc, load_mw, {_LAGGED} FROM good",
+    complete=f"SELECT * FROM lagged WHERE load_mw IS NOT NULL AND {_COMPLETE}",
+    parts="""SELECT *, CASE WHEN timestamp_utc < a + INTERVAL 3 YEAR THEN 'train'
+      WHEN timestamp_utc < a + INTERVAL 3 YEAR + INTERVAL 1 YEAR THEN 'val' ELSE 'test' END AS split
+      FROM complete, (SELECT min(timestamp_utc) AS a FROM complete) AS m""",
+    labelled="SELECT * FROM (" + "\nUNION ALL ".join(
+        f"""SELECT CAST({h} AS INTEGER) AS horizon, split, lag1, lead(load_mw, {h}) OVER w AS target FROM parts
+        WINDOW w AS (PARTITION BY split, zone_id ORDER BY timestamp_utc, o_orderkey)""" for h in HORIZONS)
+    + ") AS t WHERE target IS NOT NULL",
+    fitted="""SELECT horizon, regr_slope(target, lag1) AS slope, regr_intercept(target, lag1) AS intercept,
+      sum(target * lag1) / sum(lag1 * lag1) AS through_origin, count(*) AS n FROM labelled WHERE split = 'train' GROUP BY 1""")
+
+
+@query("train_direct_horizons", LABELLED + f"SELECT horizon, {r('slope')}, {r('intercept', digits=2)} FROM fitted")
 def train_direct_horizons(spark, sf):
-    models = D.train_horizons(_table(spark, sf), FEATURES, HORIZONS, QUICK)
-    rows = [
-        (h, name, float(weight), model.stages[-1].getNumTrees)
-        for h, model in models.items()
-        for name, weight in zip(FEATURES, model.stages[-1].featureImportances.toArray())
-    ]
-    return small_table(spark, rows, "horizon int, feature string, importance double, trees int")
+    models = D.train_horizons(demand_table(spark, sf), [LAST], HORIZONS, least_squares())
+    rows = [(h, float(m.stages[-1].coefficients[0]), float(m.stages[-1].intercept)) for h, m in models.items()]
+    fitted = small_table(spark, rows, "horizon int, slope double, intercept double")
+    return fitted.select("horizon", *[
+        (F.round(c, n) + 0.0).alias(c) for c, n in (("slope", 4), ("intercept", 2))])
 
 
-@query("predict_evaluate")
+PREDICTED = V.also(LABELLED, predicted="""SELECT horizon, split, target AS y, lag1 AS last_y,
+  slope * lag1 + intercept AS yhat, through_origin * lag1 AS flat FROM labelled JOIN fitted USING (horizon) WHERE split <> 'train'""")
+
+
+@query("predict_evaluate", PREDICTED + f"""SELECT horizon, split, count(*) AS n_rows, {errors_sql('y', 'yhat')}, {mape_sql('y', 'yhat')},
+  {r('''1 - sqrt(avg((yhat - y) * (yhat - y))) / sqrt(avg((last_y - y) * (last_y - y)))''', 'skill_score')},
+  {r('avg(abs(last_y - y))', 'persistence_mae')}, {r('sqrt(avg((last_y - y) * (last_y - y)))', 'persistence_rmse')},
+  {r('avg(last_y - y)', 'persistence_bias')} FROM predicted GROUP BY 1, 2""")
 def predict_evaluate(spark, sf):
-    table = _table(spark, sf)
-    models = D.train_horizons(table, FEATURES, HORIZONS, QUICK)
-    predictions = D.predict_horizons(models, table, FEATURES, keep=["load_mw_lag1"])
-    return rounded(D.evaluate_horizons(predictions, "load_mw_lag1"))
+    table = demand_table(spark, sf)
+    models = D.train_horizons(table, [LAST], HORIZONS, least_squares())
+    return rounded(D.evaluate_horizons(D.predict_horizons(models, table, [LAST], keep=[LAST]), LAST))
+
 
+_SCORED = "\nUNION ALL ".join(
+    f"""SELECT '{name}' AS model, horizon, avg(abs({c} - y)) AS mae, sqrt(avg(({c} - y) * ({c} - y))) AS rmse
+    FROM predicted WHERE split = 'val' GROUP BY 1, 2""" for name, c in (("line", "yhat"), ("through origin", "flat")))
 
-@query("model_leaderboard")
+
+@query("model_leaderboard", V.also(PREDICTED, scored=_SCORED) + f"""SELECT horizon, model, {r('mae')}, {r('rmse')},
+  CAST(row_number() OVER (PARTITION BY horizon ORDER BY mae, model) AS INTEGER) AS rank FROM scored""")
 def model_leaderboard(spark, sf):
-    return rounded(D.model_leaderboard(
-        _table(spark, sf), FEATURES, 1, D.default_candidates(depth=3, trees=5)))
+    table = demand_table(spark, sf)
+    candidates = {"line": least_squares(), "through origin": least_squares(fitIntercept=False)}
+    boards = [D.model_leaderboard(table, [LAST], h, candidates) for h in D.trainable_horizons(table, HORIZONS)]
+    none = table.select(
+        F.lit(0).alias("horizon"), F.lit("").alias("model"), *[F.lit(0.0).alias(c) for c in ("mae", "rmse")],
+        F.lit(0).alias("rank")).limit(0)
+    return rounded(reduce(DataFrame.unionByName, boards, none))
+
+
+_WIND = DOMAINS["wind"]
+_NEED = max(*_WIND.lags, *_WIND.windows)
+_BACK = f"PARTITION BY turbine_id ORDER BY timestamp_utc, event_id ROWS BETWEEN {_NEED} PRECEDING AND 1 PRECEDING"
+# The row of least squares on the last value, then that line applied again and again from each series' end.
+RECURSIVE = V.SCADA.replace("WITH ", "WITH RECURSIVE ", 1) + f"""
+, known AS (SELECT turbine_id, timestamp_utc, event_id, active_power_kw AS y FROM scada WHERE active_power_kw IS NOT NULL)
+, lagged AS (SELECT *, lag(y) OVER (PARTITION BY turbine_id ORDER BY timestamp_utc, event_id) AS last_y,
+    count(*) OVER ({_BACK}) AS seen FROM known)
+, line AS (SELECT regr_slope(y, last_y) AS b, regr_intercept(y, last_y) AS a FROM lagged WHERE seen = {_NEED})
+, ends AS (SELECT turbine_id, max(timestamp_utc) AS last_ts, max_by(y, (timestamp_utc, event_id)) AS y FROM known
+    GROUP BY 1 HAVING count(*) >= {_NEED})
+, steps AS (SELECT turbine_id, last_ts, 1 AS k, a + b * y AS prediction FROM ends, line
+    UNION ALL SELECT turbine_id, last_ts, k + 1, a + b * prediction FROM steps, line WHERE k < {STEPS})
+SELECT turbine_id AS unique_id, last_ts + k * {_WIND.step_minutes} * INTERVAL 1 MINUTE AS ds, {r('prediction')} FROM steps"""
 
 
-@query("recursive_forecast")
+@query("recursive_forecast", RECURSIVE)
 def recursive_forecast(spark, sf):
     series = FT.long_forecast_frame(V.scada(spark, sf), "wind").where(F.col("y").isNotNull()).select(
-        "unique_id", "ds", "y")
-    estimator = LinearRegression(
-        featuresCol="features", labelCol="target", predictionCol="prediction", regParam=0.1)
-    model = RC.fit_one_step(series, "wind", estimator)
-    return rounded(RC.recursive_forecast(series, model, "wind", 24))
+        "unique_id", "ds", "event_id", "y")
+    keyed = RC.Series(("unique_id",), "ds", ("event_id",))
+    model = RC.fit_one_step(series, "wind", least_squares(), keyed, features=["y_lag1"])
+    return rounded(RC.recursive_forecast(series, model, "wind", STEPS, keyed))

@@ -208,7 +208,7 @@ CITY = "CASE event_type WHEN 'view' THEN ' Barcelona' WHEN 'click' THEN 'Valenci
 
 @query("ingest_load_and_weather", f"""WITH energy AS (SELECT date_trunc('hour', o_orderdate) + INTERVAL 1 HOUR * (o_orderkey % 24)
     + INTERVAL 29 YEAR - INTERVAL 1 HOUR AS timestamp_utc, o_totalprice / 3.9007 AS load_mw,
-    CASE WHEN o_orderkey % 6 <> 0 THEN o_totalprice / 4903.7 END AS price FROM orders WHERE o_orderdate < TIMESTAMP '1995-02-03')
+    CASE WHEN o_orderkey % 6 <> 0 THEN o_totalprice / 4903.7 END AS price FROM orders)
 , cities AS (SELECT date_trunc('hour', ts) - INTERVAL 1 HOUR AS timestamp_utc, avg(value / 1.0171) AS temp, avg(value / 1.0337) AS hum,
     avg(CASE WHEN event_type = 'click' AND value > 50 THEN NULL ELSE value / 1.0103 END) AS wind FROM events GROUP BY 1)
 SELECT timestamp_utc, 'spain_demand' AS dataset_id, 'ES' AS zone_id, {r('load_mw')}, {r('temp + 100 - 273.15', 'temperature_c')},
@@ -218,7 +218,7 @@ SELECT timestamp_utc, 'spain_demand' AS dataset_id, 'ES' AS zone_id, {r('load_mw
 def ingest_load_and_weather(spark, sf):
     energy_path, weather_path = work_path(spark, "energy"), work_path(spark, "cities")
     hour = F.expr("o_orderdate + CAST(o_orderkey % 24 AS INT) * INTERVAL '1' HOUR + INTERVAL '29' YEAR")
-    table(spark, sf, "orders").where("o_orderdate < TIMESTAMP_NTZ '1995-02-03 00:00:00'").select(
+    table(spark, sf, "orders").select(
         F.concat(F.date_format(hour, "yyyy-MM-dd HH:mm:ss"), F.lit("+01:00")).alias("time"),
         (F.col("o_totalprice") / 3.9007).alias("total load actual"), F.lit(1).alias("total load forecast"),
         F.when(F.col("o_orderkey") % 6 != 0, (F.col("o_totalprice") / 4903.7).cast("string")).otherwise("NaN")
@@ -267,7 +267,7 @@ def ingest_pv_csv(spark, sf):
 
 # stored weather
 
-UPSERT_VARIABLES = ["temperature_2m", "wind_speed_10m"]
+UPSERT_VARIABLES = V.VARIABLES
 
 
 @query("weather_upsert", V.WEATHER_LONG + f"""

@@ -18,9 +18,9 @@ SCADA_DOUBLES = [f.name for f in SCADA if f.dataType.simpleString() == "double"]
 SCADA_OTHERS = [f.name for f in SCADA if f.dataType.simpleString() != "double"]
 
 
-@query("scan_parquet", f"SELECT event_id, ts, user_id, event_type, {r('value')} FROM events")
+@query("scan_parquet", f"SELECT event_id, ts, user_id, event_type, {r('value')}, props FROM events")
 def scan_parquet(spark, sf):
-    return rounded(scan.scan_parquet(spark, f"{sf}/events.parquet").drop("props"))
+    return rounded(scan.scan_parquet(spark, f"{sf}/events.parquet"))
 
 
 @query("to_canonical_schema", f"""SELECT ts AS timestamp_utc, CAST(NULL AS VARCHAR) AS dataset_id,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from gridwright.catalog import views as V
 from gridwright.catalog.quality import IS_CLOCK_CHANGE, fill_sql
 from gridwright.catalog.registry import query, r, rounded, rs, table, without_zone
+from gridwright.config import DEFAULT_HORIZONS
 from gridwright.functions import scalars as S
 from gridwright.functions.calendars import is_eu_clock_change
 from gridwright.operators import features as FT
@@ -114,21 +115,20 @@ def upsample_ffill(spark, sf):
     return rounded(WX.upsample(V.weather_wide(spark, sf), 10))
 
 
-PAIR = ["wind_speed_100m", "temperature_2m"]
+_GRID_CELLS = ", ".join(f"max(CASE WHEN variable = '{v}' THEN value END) AS {v}" for v in V.VARIABLES)
 
 
 @query("nwp_grid_join", V.WEATHER_LONG + f"""
-, wide AS (SELECT location_key, timestamp_utc, max(CASE WHEN variable = '{PAIR[0]}' THEN value END) AS {PAIR[0]},
-    max(CASE WHEN variable = '{PAIR[1]}' THEN value END) AS {PAIR[1]} FROM weather_long GROUP BY 1, 2)
+, wide AS (SELECT location_key, timestamp_utc, {_GRID_CELLS} FROM weather_long GROUP BY 1, 2)
 , ends AS (SELECT location_key, min(timestamp_utc) AS a, max(timestamp_utc) AS b FROM wide GROUP BY 1)
 , grid AS (SELECT location_key, unnest(generate_series(a, b, INTERVAL 30 MINUTE)) AS timestamp_utc FROM ends)
 , filled AS (SELECT g.location_key, g.timestamp_utc,
-    {', '.join(f"last_value(w.{v} IGNORE NULLS) OVER (PARTITION BY g.location_key ORDER BY g.timestamp_utc) AS {v}" for v in PAIR)}
+    {', '.join(f"last_value(w.{v} IGNORE NULLS) OVER (PARTITION BY g.location_key ORDER BY g.timestamp_utc) AS {v}" for v in V.VARIABLES)}
   FROM grid g LEFT JOIN wide w ON w.location_key = g.location_key AND w.timestamp_utc = g.timestamp_utc)
-SELECT location_key, timestamp_utc, {rs(PAIR)} FROM filled""")
+SELECT location_key, timestamp_utc, {rs(V.VARIABLES)} FROM filled""")
 def nwp_grid_join(spark, sf):
     keys = ("location_key", "timestamp_utc")
-    wide = WX.to_wide(V.weather_long(spark, sf), PAIR, keys)
+    wide = WX.to_wide(V.weather_long(spark, sf), V.VARIABLES, keys)
     return rounded(WX.upsample(wide, 30, keys=("location_key",)))
 
 
@@ -259,7 +259,7 @@ def turbulence_intensity(spark, sf):
     return rounded(out.select("event_id", "turbulence_intensity"))
 
 
-TARGET_HORIZONS = [1, 6, 24]
+TARGET_HORIZONS = list(DEFAULT_HORIZONS)
 TARGETS_BODY = "\nUNION ALL ".join(
     f"""SELECT o_orderkey, split, zone_id, {h} AS horizon, lead(load_mw, {h}) OVER w AS target, load_mw FROM parts
 WINDOW w AS (PARTITION BY split, zone_id ORDER BY timestamp_utc, o_orderkey)""" for h in TARGET_HORIZONS)

@@ -26,7 +26,8 @@ from gridwright.session import written
 
 @dataclass(frozen=True)
 class Boosting:
-    """Boosted-tree settings; training stops once validation improves by less than `tolerance`."""
+    """Boosted-tree settings. As many rounds are kept as do best on val; training ends once `patience` more have not
+    done better."""
 
     rounds: int = 500
     rate: float = 0.05
@@ -34,15 +35,23 @@ class Boosting:
     min_rows: int = 10
     row_share: float = 0.8
     column_share: float = 0.8
-    tolerance: float = 1e-4
+    patience: int = 50
     seed: int = 7
 
-    def estimator(self) -> GBTRegressor:
+    def estimator(self, rounds: int) -> GBTRegressor:
         return GBTRegressor(
-            featuresCol="features", labelCol="target", predictionCol="prediction",
-            validationIndicatorCol="is_val", maxIter=self.rounds, stepSize=self.rate,
-            maxDepth=self.depth, minInstancesPerNode=self.min_rows, subsamplingRate=self.row_share,
-            featureSubsetStrategy=str(self.column_share), validationTol=self.tolerance, seed=self.seed)
+            featuresCol="features", labelCol="target", predictionCol="prediction", maxIter=rounds,
+            stepSize=self.rate, maxDepth=self.depth, minInstancesPerNode=self.min_rows,
+            subsamplingRate=self.row_share, featureSubsetStrategy=str(self.column_share), seed=self.seed)
+
+
+def best_rounds(errors: Sequence[float], patience: int) -> tuple[int, bool]:
+    """How many rounds do best, and whether `patience` further ones have followed."""
+    kept = min(range(len(errors)), key=lambda i: errors[i]) + 1
+    for i, error in enumerate(errors):
+        if i >= patience and min(errors[i - patience + 1: i + 1]) >= min(errors[: i - patience + 1]):
+            return min(range(i + 1), key=lambda k: errors[k]) + 1, True
+    return kept, False
 
 
 def targets_table(df: DataFrame, series: Series, target: str, horizons: Sequence[int]) -> DataFrame:
@@ -68,16 +77,47 @@ def _pipeline(features: Sequence[str], model: Estimator) -> Pipeline:
     return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"), model])
 
 
+def _boosted(train: DataFrame, val: DataFrame, features: Sequence[str], settings: Boosting) -> PipelineModel:
+    """Rounds are tried in growing numbers; as the seed stays, the first rounds of each trial are the same trees."""
+    tried = min(settings.rounds, 2 * settings.patience)
+    unseen = val.isEmpty()
+    while True:
+        model = _pipeline(features, settings.estimator(tried)).fit(train)
+        if unseen:
+            if tried == settings.rounds:
+                return model
+            tried = settings.rounds
+            continue
+        errors = model.stages[-1].evaluateEachIteration(model.stages[0].transform(val), "squared")
+        kept, settled = best_rounds(errors, settings.patience)
+        if settled or tried == settings.rounds:
+            return model if kept == tried else _pipeline(features, settings.estimator(kept)).fit(train)
+        tried = min(settings.rounds, 2 * tried)
+
+
+def trainable_horizons(table: DataFrame, horizons: Sequence[int]) -> list[int]:
+    """The horizons for which the training split has any target."""
+    counts = table.where(F.col("split") == "train").agg(*[F.count(f"target_h{h}") for h in horizons]).first()
+    return sorted(h for h, n in zip(horizons, counts) if n)
+
+
 def train_horizons(
-    table: DataFrame, features: Sequence[str], horizons: Sequence[int], settings: Boosting = Boosting()
+    table: DataFrame, features: Sequence[str], horizons: Sequence[int],
+    settings: Boosting | Estimator = Boosting(),
 ) -> dict[int, PipelineModel]:
-    """Fit on train, stop early on val. Features must be free of nulls in those splits."""
+    """One model per horizon, fitted on train: boosted trees that stop early on val, or any estimator of `target` from
+    `features`. Features must be free of nulls in those splits. A horizon without a training target has no model."""
     models = {}
-    for h in sorted(horizons):
+    for h in trainable_horizons(table, horizons):
         present = list(horizon_columns(table.columns, features, h))
-        rows = horizon_frame(table, present, h).where(F.col("split").isin("train", "val"))
-        rows = rows.withColumn("is_val", F.col("split") == "val")
-        models[h] = _pipeline(present, settings.estimator()).fit(rows)
+        rows = horizon_frame(table, present, h)
+        train, val = (rows.where(F.col("split") == s).select("target", *present).persist() for s in ("train", "val"))
+        if isinstance(settings, Boosting):
+            models[h] = _boosted(train, val, present, settings)
+        else:
+            models[h] = _pipeline(present, settings).fit(train)
+        train.unpersist()
+        val.unpersist()
     return models
 
 
@@ -97,7 +137,9 @@ def predict_horizons(
         ).where(F.col("split").isin(*splits))
         parts.append(model.transform(rows).select(
             "split", "target", *keep, F.lit(h).alias("horizon"), "prediction"))
-    return reduce(DataFrame.unionByName, parts)
+    none = table.select(
+        "split", F.lit(0.0).alias("target"), *keep, F.lit(0).alias("horizon"), F.lit(0.0).alias("prediction")).limit(0)
+    return reduce(DataFrame.unionByName, parts, none)
 
 
 def evaluate_horizons(predictions: DataFrame, lag1: str | None = None) -> DataFrame:

@@ -95,12 +95,13 @@ def recursive_forecast(
 
 def fit_one_step(
     df: DataFrame, domain_name: str, estimator: Estimator,
-    series: Series = Series(("unique_id",), "ds"), column: str = "y",
+    series: Series = Series(("unique_id",), "ds"), column: str = "y", features: Sequence[str] | None = None,
 ) -> Model:
-    """A model of the next value from lag and rolling features."""
-    domain = DOMAINS[domain_name]
-    names = lag_feature_names(domain, column)
-    rows = lag_transforms(df, domain_name, series, column).dropna(subset=[column, *names])
+    """A model of the next value from lag and rolling features, or those of them in `features`. Rows that lack any of the
+    domain's lags or windows are left out."""
+    every = lag_feature_names(DOMAINS[domain_name], column)
+    names = list(features or every)
+    rows = lag_transforms(df, domain_name, series, column).dropna(subset=[column, *every])
     return Pipeline(stages=[
         VectorAssembler(inputCols=names, outputCol="features"), estimator
     ]).fit(rows.withColumn("target", F.col(column)))

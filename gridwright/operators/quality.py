@@ -153,9 +153,10 @@ def mark_holidays(df: DataFrame, calendar: DataFrame | None = None) -> DataFrame
 
     A given `calendar` holds (dataset_id, holiday); the built-in one has some 160 rows.
     """
-    days = (
-        F.broadcast(holiday_calendar(df.sparkSession)) if calendar is None else calendar.distinct()
-    ).select(F.col("dataset_id").alias("_ds"), F.col("holiday").alias("_day"))
+    given = holiday_calendar(df.sparkSession) if calendar is None else calendar
+    # A day may be listed under several names; it still matches a reading once.
+    days = given.select(F.col("dataset_id").alias("_ds"), F.col("holiday").alias("_day")).distinct()
+    days = F.broadcast(days) if calendar is None else days
     hit = (F.col("dataset_id") == F.col("_ds")) & (F.to_date("timestamp_utc") == F.col("_day"))
     joined = df.join(days, hit, "left")
     return joined.withColumn("is_holiday", F.col("_day").isNotNull()).select(

@@ -31,9 +31,10 @@ class Format:
 
 
 def layouts(
-    spark: SparkSession, path: str, is_header: Column, fmt: Format = Format(), pattern: str = "*"
+    spark: SparkSession, path: str, is_header: Column, fmt: Format = Format(), pattern: str = "*",
+    wanted: str = "",
 ) -> list[Layout]:
-    """Files grouped by header line; files without one are left out.
+    """Files grouped by header line; files without one, and paths that do not match `wanted`, are left out.
 
     `is_header` is a predicate on the column `line`. The driver gets one short row per file, as it
     does for any file listing.
@@ -42,7 +43,7 @@ def layouts(
     lines = text.select(
         F.col("_metadata.file_path").alias("file"),
         F.decode(F.col("value").cast("binary"), fmt.encoding).alias("line"))
-    heads = lines.where(is_header).groupBy("file").agg(F.min("line").alias("line"))
+    heads = lines.where(is_header & F.col("file").rlike(wanted)).groupBy("file").agg(F.min("line").alias("line"))
     by_header: dict[str, list[str]] = {}
     for row in heads.toLocalIterator():
         by_header.setdefault(row.line.rstrip("\r"), []).append(row.file)

@@ -30,7 +30,9 @@ TURBINE_COLUMNS = {
 }
 TURBINE_NULLS = ("", "NA", "NaN", "N/A", "-999", "-9999")
 TURBINE_MEMBER = r"^Turbine_Data_Kelmarsh_.*\.csv$"
-TURBINE_NUMBER = r"Kelmarsh_(\d+)"
+# The name of a file, or of the folder that holds its lines once they are written as text.
+TURBINE_NUMBER = r"Kelmarsh_(\d+)[^/]*(?:/part-[^/]*)?$"
+TURBINE_FILE = r"Turbine_Data_Kelmarsh_[^/]*(?:/part-[^/]*)?$"
 TURBINE_PREFIX = "KWF"
 UNSCALED_BELOW_KW = 500.0
 UNSCALED_FACTOR = 6.0
@@ -57,7 +59,7 @@ _PITCH = ("pitch_a_deg", "pitch_b_deg", "pitch_c_deg")
 
 
 def series_id_from_path(path: Column) -> Column:
-    """Turbine id from a file path; fails the job where the path names none."""
+    """Turbine id from the file's own name, whatever its folders are called; fails the job where it has none."""
     number = F.regexp_extract(path, TURBINE_NUMBER, 1)
     problem = F.concat(F.lit("no turbine number in file path "), path)
     return F.when(number != "", F.concat(F.lit(TURBINE_PREFIX), number)).otherwise(
@@ -91,10 +93,11 @@ def _turbine_frame(spark: SparkSession, layout: Layout, fmt: Format) -> DataFram
 
 
 def ingest_turbine_csv(spark: SparkSession, path: str, pattern: str = "*.csv*") -> DataFrame:
-    """A folder of turbine CSVs with `#` comment lines and a header that itself starts with `#`."""
+    """A folder of turbine CSVs with `#` comment lines and a header that itself starts with `#`. Other files of the
+    vendor in the same folder are left out."""
     fmt = Format(comment="#", header_is_comment=True)
     is_header = F.col("line").startswith("#") & F.col("line").contains("Date and time")
-    found = layouts(spark, path, is_header, fmt, pattern)
+    found = layouts(spark, path, is_header, fmt, pattern, TURBINE_FILE)
     if not found:
         raise FileNotFoundError(f"no turbine data below {path}")
     rows = reduce(

@@ -17,7 +17,7 @@ from gridwright.schemas import CANONICAL, to_canonical
 from gridwright.session import work_path
 from gridwright.sources.weather_store import upsert
 
-QUICK = D.Boosting(rounds=8, rate=0.3, depth=3)
+QUICK = D.Boosting(rounds=8, rate=0.3, depth=3, patience=3)
 
 
 @pytest.fixture(scope="module")
@@ -83,6 +83,14 @@ def series(spark):
     return spark.createDataFrame(rows, "unique_id string, ds timestamp, y double")
 
 
+def test_best_rounds_waits_for_its_patience():
+    errors = [5.0, 4.0, 4.5, 3.0, 3.5, 3.6, 3.7, 2.0]
+    assert D.best_rounds(errors, 2) == (4, True)
+    assert D.best_rounds(errors, 4) == (8, False)
+    assert D.best_rounds([1.0, 2.0, 3.0], 2) == (1, True)
+    assert D.best_rounds([3.0, 2.0, 1.0], 2) == (3, False)
+
+
 def test_recursive_forecast_equals_a_plain_loop(series, linear):
     model = RC.fit_one_step(series, "wind", linear)
     out = RC.recursive_forecast(series, model, "wind", 15).toPandas()

@@ -48,7 +48,7 @@ def test_turbine_folder(spark, tmp_path):
 
 
 def test_turbine_number_is_required(spark, tmp_path):
-    (tmp_path / "other.csv").write_text(turbine_csv(2))
+    (tmp_path / "Turbine_Data_Kelmarsh_x.csv").write_text(turbine_csv(2))
     with pytest.raises(Exception, match="no turbine number"):
         I.ingest_turbine_csv(spark, str(tmp_path)).collect()
     with pytest.raises(FileNotFoundError):
@@ -58,6 +58,17 @@ def test_turbine_number_is_required(spark, tmp_path):
         I.ingest_turbine_csv(spark, str(empty))
 
 
+def test_turbine_comes_from_the_file_and_not_its_folder(spark, tmp_path):
+    folder = tmp_path / "Kelmarsh_2019"
+    folder.mkdir()
+    (folder / name(1)).write_text(turbine_csv(3))
+    (folder / name(2)).write_text(turbine_csv(3))
+    (folder / "Device_Data_Kelmarsh_PMU_2019.csv").write_text(turbine_csv(5))
+    df = I.ingest_turbine_csv(spark, str(tmp_path))
+    counts = {r.turbine_id: r["count"] for r in df.groupBy("turbine_id").count().collect()}
+    assert counts == {"KWF1": 3, "KWF2": 3}
+
+
 def test_nested_archives(spark, tmp_path):
     inner = io.BytesIO()
     with zipfile.ZipFile(inner, "w") as z:
