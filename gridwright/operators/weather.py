@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridwright.functions.scalars import location_key
+from gridwright.operators.windows import small_side
 from gridwright.session import small_table
 
 TIME = "timestamp_utc"
@@ -177,9 +178,10 @@ def weighted_mean(
 ) -> DataFrame:
     """Mean over points; weights are renormalised over the points that have a value.
 
-    `points` holds (location_key, weight), one row per configured point.
+    `points` holds (location_key, weight), one row per configured point: a counted small table is
+    broadcast, so that the long one is not shuffled by its few locations.
     """
-    weighted = long.join(points.select("location_key", "weight"), "location_key")
+    weighted = long.join(small_side(points.select("location_key", "weight"), points.count()), "location_key")
     used = F.sum(F.when(F.col("value").isNotNull(), F.col("weight")))
     total = F.sum(F.col("weight") * F.col("value"))
     return weighted.groupBy(*keys).agg(F.try_divide(total, used).alias("value"))

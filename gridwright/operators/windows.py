@@ -16,14 +16,14 @@ from pyspark.sql import functions as F
 
 from gridwright.session import written
 
+#: A series of more rows is cut; the rows of a window have about a hundred bytes, so this bounds a task's sort near 400 MB.
 MAX_SERIES_ROWS = 4_000_000
 MAX_BROADCAST_ROWS = 1_000_000
-MAX_CUTS = 8
 
 
 @dataclass(frozen=True)
 class Series:
-    """Columns that identify a series, order it in time, and break ties in time."""
+    """Columns that identify a series, order it in time, and break ties in time. Ties are numbers."""
 
     keys: tuple[str, ...]
     time: str = "timestamp_utc"
@@ -74,39 +74,53 @@ def _micros_between(start: Column, end: Column) -> Column:
     return (seconds * 1_000_000).cast("double")
 
 
+def _distance(series: Series, level: int, start: Column, end: Column) -> Column:
+    """How far apart two values of the time (level 0) or of a tie-breaking column are."""
+    return _micros_between(start, end) if level == 0 else end.cast("double") - start.cast("double")
+
+
 def _block_sizes(df: DataFrame, series: Series, by: Sequence[str]) -> DataFrame:
-    time = F.col(series.time)
-    return df.groupBy(*by).agg(
-        F.count("*").alias("_n"), F.min(time).alias("_first"), F.max(time).alias("_last"))
+    ends = [f(c).alias(f"{name}{i}") for i, c in enumerate((series.time, *series.ties))
+            for f, name in ((F.min, "_first"), (F.max, "_last"))]
+    return df.groupBy(*by).agg(F.count("*").alias("_n"), *ends)
 
 
 def _in_blocks(df: DataFrame, series: Series, rows: int) -> tuple[DataFrame, DataFrame]:
-    """Add `_block`, a time range of its series, and give the table of block sizes.
+    """Add `_block`, a range of its series in order, and give the table of block sizes.
 
     A series above `rows` rows is cut into equal time ranges of about rows/4 rows on average. Where
-    readings are dense some ranges still hold too many; those are cut again, so `_block` is the path
-    of range numbers, and paths compare in time order. Rows of other series have an empty path.
+    readings are dense some ranges still hold too many; those are cut again, and by the next
+    tie-breaking column where all their rows share one time, until no block is too large. `_block` is
+    the path of range numbers, and paths compare in the order of the series. Rows of other series
+    have an empty path. Rows that agree in time and all ties have no order and cannot be cut apart.
     """
-    keys, time = list(series.keys), F.col(series.time)
+    keys, columns = list(series.keys), (series.time, *series.ties)
     by = [*keys, "_block"]
     tagged = df.withColumn("_block", F.expr("cast(array() as array<bigint>)"))
     sizes = written(_block_sizes(tagged, series, by).where(F.col("_n") > rows), "blocks")
-    for _ in range(MAX_CUTS):
-        crowded = sizes.where((F.col("_n") > rows) & (F.col("_first") < F.col("_last")))
+    while True:
+        crowded = sizes.where(F.col("_n") > rows)
         n_crowded = crowded.count()
         if n_crowded == 0:
-            break
-        width = _micros_between(F.col("_first"), F.col("_last")) * rows / (4 * F.col("_n"))
-        spans = crowded.select(*by, "_first", F.greatest(width, F.lit(1.0)).alias("_width"))
-        part = F.floor(_micros_between(F.col("_first"), time) / F.col("_width"))
-        tagged = _null_safe_join(tagged, _small(spans, n_crowded), by).withColumn(
+            return tagged, sizes
+        spread = [_distance(series, i, F.col(f"_first{i}"), F.col(f"_last{i}")) for i in range(len(columns))]
+        level = F.coalesce(*[F.when(d > 0, F.lit(i)) for i, d in enumerate(spread)])
+        width = F.coalesce(*[F.when(d > 0, d) for d in spread]) * rows / (4 * F.col("_n"))
+        firsts = [F.col(f"_first{i}") for i in range(len(columns))]
+        spans = crowded.select(*by, level.alias("_level"), width.alias("_width"), *firsts)
+        if not spans.where(F.col("_level").isNull()).isEmpty():
+            raise ValueError(
+                f"more than {rows} rows of a series agree in {', '.join(columns)}: name further tie-breaking columns")
+        part = F.coalesce(*[
+            F.when(F.col("_level") == i, F.floor(_distance(series, i, F.col(f"_first{i}"), F.col(c)) / F.col("_width")))
+            for i, c in enumerate(columns)])
+        tagged = _null_safe_join(tagged, small_side(spans, n_crowded), by).withColumn(
             "_block",
             F.when(F.col("_width").isNotNull(),
                    F.concat("_block", F.array(F.coalesce(part, F.lit(-1).cast("bigint")))))
             .otherwise(F.col("_block")),
-        ).drop("_first", "_width")
+        ).drop("_level", "_width", *[f"_first{i}" for i in range(len(columns))])
         sizes = written(_block_sizes(tagged.where(F.size("_block") > 0), series, by), "blocks")
-    return tagged, sizes
 
 
 def _chunk(df: DataFrame, series: Series, rows: int, reach: int, descending: bool) -> DataFrame:
@@ -130,7 +144,7 @@ def _chunk(df: DataFrame, series: Series, rows: int, reach: int, descending: boo
         .select(*keys, "_block", "_own", "_targets")
     )
     return (
-        _null_safe_join(tagged, _small(layout, sizes.count()), [*keys, "_block"])
+        _null_safe_join(tagged, small_side(layout, sizes.count()), [*keys, "_block"])
         .withColumn("_own", F.coalesce("_own", F.lit(0)))
         .withColumn("_chunk", F.explode(F.coalesce("_targets", F.array("_own"))))
         .withColumn("_copy", F.col("_chunk") != F.col("_own"))
@@ -138,7 +152,7 @@ def _chunk(df: DataFrame, series: Series, rows: int, reach: int, descending: boo
     )
 
 
-def _small(df: DataFrame, n_rows: int) -> DataFrame:
+def small_side(df: DataFrame, n_rows: int) -> DataFrame:
     """Broadcast a side whose counted rows are few; else leave the join to the planner."""
     return F.broadcast(df) if n_rows <= MAX_BROADCAST_ROWS else df
 

@@ -144,3 +144,27 @@ def test_targets_stay_inside_the_split(spark, ts):
         "id string, t timestamp, split string, v double")
     out = W.add_targets(df, W.Series(("split", "id"), "t"), "v", [1]).orderBy("t").collect()
     assert [r.target_h1 for r in out] == [1.0, 2.0, None, 4.0, 5.0, None]
+
+
+def test_rows_of_one_time_are_cut_by_their_ties(spark):
+    at = datetime(2021, 1, 1)
+    rows = [("a", at, n * 7 % 2003, float(n)) for n in range(2000)] + [("b", at, 1, 0.0)]
+    df = spark.createDataFrame(rows, "id string, ts timestamp, event_id long, v double")
+    series = W.Series(("id",), "ts", ("event_id",))
+    whole = W.add_lags(df, series, "v", [1, 3]).collect()
+    sizes = []
+
+    def add(frame, window):
+        sizes.append({r["count"] for r in frame.groupBy("id", "_chunk").count().collect()})
+        return frame.withColumns(W.lag_columns("v", [1, 3], window))
+
+    cut = W.over_series(df, series, add, 3, max_rows=100).collect()
+    assert sorted(map(str, cut)) == sorted(map(str, whole))
+    assert max(sizes[0]) <= 2 * 100 + 3 and len(whole) == 2001
+
+
+def test_rows_without_an_order_are_refused(spark):
+    rows = [("a", datetime(2021, 1, 1), float(n)) for n in range(300)]
+    df = spark.createDataFrame(rows, "id string, ts timestamp, v double")
+    with pytest.raises(ValueError, match="tie-breaking"):
+        W.add_lags(df, W.Series(("id",), "ts"), "v", [1], max_rows=50)
