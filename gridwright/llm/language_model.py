@@ -17,6 +17,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -89,14 +90,14 @@ class Vocabulary:
     def base_total(self) -> float:
         return self.tokens + SMOOTHING * (self.kinds + 1)
 
-    def encode(self, raw: bytes) -> np.ndarray:
-        """Input rows of the recurrent model for a text and its end."""
+    def encode(self, tokens: list[bytes]) -> np.ndarray:
+        """Input rows of the recurrent model for tokens."""
         first = -(-len(self.counts) // recurrent.MEMBERS) * recurrent.MEMBERS
-        parts = words(raw)
-        rows = np.fromiter(map(self.rows.get, parts, [-1] * len(parts)), dtype=np.int32, count=len(parts))
-        for at in np.flatnonzero(rows < 0).tolist():
-            rows[at] = first + zlib.crc32(parts[at][-3:]) % RARE_CLASSES
-        return np.append(rows, np.int32(self.rows[END]))
+        rows = np.fromiter(map(self.rows.get, tokens, repeat(-1)), dtype=np.int32, count=len(tokens))
+        rare = np.flatnonzero(rows < 0)
+        endings = [tokens[at][-3:] for at in rare.tolist()]
+        rows[rare] = first + np.fromiter(map(zlib.crc32, endings), dtype=np.int64, count=len(rare)) % RARE_CLASSES
+        return rows
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
@@ -127,11 +128,11 @@ def _round(docs: DataFrame, words_known: Vocabulary, weights: Weights, number: i
         for batch in slices(batches):
             stretches = []
             for raw in raw_texts(batch):
-                rows = known.value.encode(raw)
-                size = max(LEAST, len(rows) // STRETCHES)
-                places = max(1, len(rows) // size)
+                tokens = [*words(raw), END]
+                size = max(LEAST, len(tokens) // STRETCHES)
+                places = max(1, len(tokens) // size)
                 at = (zlib.crc32(raw) + number) % places * size
-                stretches.append(rows[at: at + size])
+                stretches.append(known.value.encode(tokens[at: at + size]))
             # Few rows make few windows; those are gone over again, up to `PASSES` times.
             windows = 0
             for _ in range(PASSES if stretches else 0):
@@ -193,7 +194,8 @@ def _rare_sums(rows: DataFrame, words_known: Vocabulary, counts: DataFrame) -> D
 
     each = rows.select("key", "text_hash", "text").mapInArrow(
         spread, "key long, text_hash long, word binary, times long, share double")
-    met = each.join(counts.select("word", "n"), "word", "left")
+    # Each word has one count, so a part of the counts is small and hashed as it is; the occurrences need no sort.
+    met = each.join(counts.select("word", "n").hint("shuffle_hash"), "word", "left")
     log = F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + F.lit(SMOOTHING))
     # A row's shares add up to one, so their sum over equal rows tells how many there are.
     copies = F.round(F.sum("share"))
@@ -210,7 +212,7 @@ def score(docs: DataFrame, words_known: Vocabulary, weights: Weights, counts: Da
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            documents = [known.value.encode(raw) for raw in raw_texts(batch)]
+            documents = [known.value.encode([*words(raw), END]) for raw in raw_texts(batch)]
             part = recurrent.score(model.value, documents) / np.log(10)
             head = np.zeros((len(documents), 2))
             first = len(model.value.member_bias)
