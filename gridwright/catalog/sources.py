@@ -173,6 +173,28 @@ def ingest_archives(spark, sf):
     return member_lines(archives, I.TURBINE_MEMBER).select("member", "line")
 
 
+def _archives(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One archive per file of (file, text): inside it a nested archive that holds the file."""
+    for batch in batches:
+        for name, text in zip(batch["file"], batch["text"]):
+            outer, inner = io.BytesIO(), io.BytesIO()
+            with zipfile.ZipFile(inner, "w", zipfile.ZIP_DEFLATED) as nested:
+                nested.writestr(f"Kelmarsh_2019/{name}.csv", text)
+            with zipfile.ZipFile(outer, "w") as top:
+                top.writestr("Device_Data_Kelmarsh_PMU_9.csv", text)
+                top.writestr("year.zip", inner.getvalue())
+            yield pd.DataFrame({"path": [f"{name}.zip"], "content": [outer.getvalue()]})
+
+
+@query("ingest_turbine_archives", TURBINE_SQL)
+def ingest_turbine_archives(spark, sf):
+    lines = spark.read.option("recursiveFileLookup", "true").text(_turbine_files(spark, sf), wholetext=True)
+    named = F.regexp_extract(F.col("_metadata.file_path"), "file=([^/]+)", 1)
+    files = lines.select(named.alias("file"), F.col("value").alias("text"))
+    archives = files.mapInPandas(_archives, "path string, content binary")
+    return without_zone(rounded(I.ingest_turbine_archives(spark, archives)))
+
+
 # load files: one per year and stretch of orders, local clock, a trailer line
 
 LOAD_ROW = f"""SELECT o_orderkey, {LOCAL} AS local, o_totalprice / 3.9007 AS load, o_custkey, o_totalprice FROM orders"""

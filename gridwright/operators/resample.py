@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridwright.operators.windows import Series
+from gridwright.operators.windows import Series, small_side
+from gridwright.session import written
 
 TIME = "timestamp_utc"
 
@@ -73,7 +74,8 @@ def with_fold(
     at most one of them and its fold follows from its distance to the end: no row is copied.
     """
     span = horizon * step_minutes * 60
-    ends = df.groupBy(*series.keys).agg(F.max(series.time).alias("_end"))
+    ends = written(df.groupBy(*series.keys).agg(F.max(series.time).alias("_end")), "ends")
+    ends = small_side(ends, ends.count())
     back = (F.col("_end") - F.col(series.time)).cast("interval second").cast("decimal(20,6)")
     fold = F.greatest(n_windows - 1 - F.floor(back / span), F.lit(-1)).cast("int")
     cutoff = F.col("_end") - F.make_dt_interval(

@@ -9,6 +9,8 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import date
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -135,9 +137,10 @@ def fetched_weather(
         clamp_end(F.lit(end).cast("date")).alias("end_date"))
     lacking = missing_ranges(asked, coverage(read_store(spark, store)))
     todo = lacking.join(points, "location_key").collect()
-    for r in todo:
-        upsert(spark, store, fetch(
-            r.location_key, r.latitude, r.longitude, r.from_date, r.to_date, site.variables))
+    fetched = [
+        fetch(r.location_key, r.latitude, r.longitude, r.from_date, r.to_date, site.variables) for r in todo]
+    if fetched:
+        upsert(spark, store, reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), fetched))
     last = clamp_end(F.lit(end).cast("date"))
     rows = read_store(spark, store).where(
         (F.col(TIME) >= F.lit(start).cast("date")) & (F.col(TIME) < F.date_add(last, 1)))

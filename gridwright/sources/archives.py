@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
 LINES_PER_BATCH = 20_000
+_LINE_COLUMNS = ["archive", "member", "number", "line"]
 
 
 def read_archives(spark: SparkSession, path: str, pattern: str = "*.zip") -> DataFrame:
@@ -22,10 +23,10 @@ def read_archives(spark: SparkSession, path: str, pattern: str = "*.zip") -> Dat
 
 
 def member_lines(archives: DataFrame, member_pattern: str, encoding: str = "UTF-8") -> DataFrame:
-    """(archive, member, line) of every member whose base name matches, from (path, content).
+    """(archive, member, number, line) of every member whose base name matches, from (path, content).
 
-    A deflate stream has no entry points, so an archive is one task; its lines leave that task in
-    batches as they are decompressed.
+    An archive's row is read by one task; its lines leave that task in batches as they are
+    decompressed, so that only the compressed bytes and those of nested archives are held.
     """
     wanted = re.compile(member_pattern)
 
@@ -43,17 +44,27 @@ def member_lines(archives: DataFrame, member_pattern: str, encoding: str = "UTF-
         for batch in batches:
             for source, content in zip(batch["path"], batch["content"]):
                 for member, lines in members(io.BytesIO(content), ""):
-                    stripped = (line.rstrip("\n") for line in lines)
-                    while held := list(islice(stripped, LINES_PER_BATCH)):
-                        yield pd.DataFrame({"archive": source, "member": member, "line": held})
+                    numbered = ((n, line.rstrip("\n")) for n, line in enumerate(lines))
+                    while held := list(islice(numbered, LINES_PER_BATCH)):
+                        frame = pd.DataFrame(held, columns=["number", "line"])
+                        yield frame.assign(archive=source, member=member)[_LINE_COLUMNS]
 
-    return archives.mapInPandas(expand, "archive string, member string, line string")
+    return archives.mapInPandas(expand, "archive string, member string, number long, line string")
+
+
+def write_members(archives: DataFrame, out: str, member_pattern: str, encoding: str = "UTF-8") -> str:
+    """Write the members of (path, content) as UTF-8 text below `out`, one folder per archive and member.
+
+    Lines carry their number, and a member's lines are sorted by it in the order in which the writer
+    wants its folders, so the writer keeps them as they come.
+    """
+    lines = member_lines(archives, member_pattern, encoding)
+    ordered = lines.repartition("archive", "member").sortWithinPartitions("archive", "member", "number")
+    ordered.select("archive", "member", "line").write.partitionBy("archive", "member").text(out)
+    return out
 
 
 def expand_archives(
     spark: SparkSession, path: str, out: str, member_pattern: str, encoding: str = "UTF-8"
 ) -> str:
-    """Write the members as UTF-8 text below `out`, one folder per archive and member."""
-    lines = member_lines(read_archives(spark, path), member_pattern, encoding)
-    lines.write.partitionBy("archive", "member").text(out)
-    return out
+    return write_members(read_archives(spark, path), out, member_pattern, encoding)

@@ -9,7 +9,7 @@ from urllib.parse import unquote
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridwright.session import small_table
+from gridwright.session import small_table, written
 
 MAX_BROADCAST_FILES = 100_000
 
@@ -92,9 +92,12 @@ def with_file_peak(df: DataFrame, column: str, n_files: int | None = None) -> Da
     """Adds `_peak`, the largest value of the column in the row's file.
 
     Maxima are aggregated per file and joined back, so a huge file is never one group. They are
-    broadcast where the number of files is known to be small.
+    broadcast where the number of files, given or counted in the written maxima, is small.
     """
     peaks = df.groupBy("file").agg(F.max(column).alias("_peak"))
-    if n_files is not None and n_files <= MAX_BROADCAST_FILES:
+    if n_files is None:
+        peaks = written(peaks, "peaks")
+        n_files = peaks.count()
+    if n_files <= MAX_BROADCAST_FILES:
         peaks = F.broadcast(peaks)
     return df.join(peaks, "file", "left")

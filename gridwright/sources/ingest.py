@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from gridwright.functions import scalars as S
 from gridwright.operators.resample import bucket_mean, dedupe_first, group_mean
 from gridwright.schemas import to_canonical
+from gridwright.session import work_path
+from gridwright.sources.archives import write_members
 from gridwright.sources.delimited import Format, Layout, file_table, layouts, read_layout, with_file_peak
 from gridwright.sources.scan import scan_csv
 
@@ -30,9 +32,10 @@ TURBINE_COLUMNS = {
 }
 TURBINE_NULLS = ("", "NA", "NaN", "N/A", "-999", "-9999")
 TURBINE_MEMBER = r"^Turbine_Data_Kelmarsh_.*\.csv$"
-# The name of a file, or of the folder that holds its lines once they are written as text.
-TURBINE_NUMBER = r"Kelmarsh_(\d+)[^/]*(?:/part-[^/]*)?$"
-TURBINE_FILE = r"Turbine_Data_Kelmarsh_[^/]*(?:/part-[^/]*)?$"
+# The name of a file, or of the folder that holds its lines once they are written as text; there %2F, or %252F in a URI, stands for /.
+_NAME_END = r"(?:(?!%(?:25)*2F)[^/])*(?:/part-[^/]*)?$"
+TURBINE_NUMBER = r"Kelmarsh_(\d+)" + _NAME_END
+TURBINE_FILE = r"Turbine_Data_Kelmarsh_" + _NAME_END
 TURBINE_PREFIX = "KWF"
 UNSCALED_BELOW_KW = 500.0
 UNSCALED_FACTOR = 6.0
@@ -111,6 +114,18 @@ def ingest_turbine_csv(spark: SparkSession, path: str, pattern: str = "*.csv*")
     return to_canonical(unique, "wind")
 
 
+def ingest_turbine_archives(spark: SparkSession, archives: DataFrame) -> DataFrame:
+    """Turbine archives (path, content) to the canonical table, nested archives included."""
+    text = write_members(archives, work_path(spark, "turbine-members"), TURBINE_MEMBER)
+    return ingest_turbine_csv(spark, text, "*")
+
+
+def ingest_load_archives(spark: SparkSession, archives: DataFrame) -> DataFrame:
+    """Yearly load archives (path, content) to the canonical table."""
+    text = write_members(archives, work_path(spark, "load-members"), LOAD_MEMBER, LOAD_ENCODING)
+    return ingest_load_tsv(spark, text)
+
+
 def init_flags(domain: str) -> dict[str, Column]:
     flags = {"wind": ("is_curtailed", "is_maintenance"), "demand": ("is_holiday", "is_dst_transition"),
              "solar": ()}[domain]

@@ -1,4 +1,4 @@
-"""The stored long weather table: Parquet, one folder per location."""
+"""The stored long weather table: Parquet, one folder per location and month."""
 
 from __future__ import annotations
 
@@ -9,11 +9,16 @@ from pyspark.sql.utils import AnalysisException
 from gridwright.operators.weather import LONG_KEY, TIME, latest_per_key, to_long
 from gridwright.session import work_path
 
-SCHEMA = f"{TIME} timestamp, variable string, value double, location_key string"
+FOLDERS = ["location_key", "month"]
+SCHEMA = f"{TIME} timestamp, variable string, value double, location_key string, month string"
 
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
     """The stored rows; an empty table where nothing has been stored yet."""
+    return _with_months(spark, path).drop("month")
+
+
+def _with_months(spark: SparkSession, path: str) -> DataFrame:
     try:
         return spark.read.schema(SCHEMA).parquet(path)
     except AnalysisException as e:
@@ -25,19 +30,21 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
 def upsert(spark: SparkSession, path: str, batch: DataFrame) -> int:
     """Insert or replace a wide batch (location_key, timestamp_utc, variables); returns its cells.
 
-    Only folders of locations in the batch are rewritten. The merged rows are staged first, since a
-    job must not overwrite what it reads and must survive being rerun.
+    Only the months of a location that the batch touches are read and rewritten. The merged rows are
+    staged first, since a job must not overwrite what it reads and must survive being rerun.
     """
+    month = F.date_format(TIME, "yyyy-MM")
     cells = to_long(batch).withColumn(TIME, F.col(TIME).cast("timestamp")).withColumn(
         "value", F.col("value").cast("double"))
-    spark.createDataFrame([], SCHEMA).write.mode("ignore").partitionBy("location_key").parquet(path)
+    spark.createDataFrame([], SCHEMA).write.mode("ignore").partitionBy(*FOLDERS).parquet(path)
     counted = Observation()
     fresh = cells.observe(counted, F.count(F.lit(1)).alias("cells"))
-    stored = read_store(spark, path).join(
-        batch.select("location_key").distinct(), "location_key", "left_semi")
-    merged = latest_per_key([stored, fresh]).select(*LONG_KEY, "value")
+    touched = cells.select("location_key", month.alias("month")).distinct()
+    stored = _with_months(spark, path).join(touched, FOLDERS, "left_semi").drop("month")
+    merged = latest_per_key([stored, fresh]).select(*LONG_KEY, "value", month.alias("month"))
     staged = work_path(spark, "weather-merge")
-    merged.hint("rebalance", F.col("location_key")).write.partitionBy("location_key").parquet(staged)
-    spark.read.schema(SCHEMA).parquet(staged).hint("rebalance", F.col("location_key")).write.mode(
-        "overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("location_key").parquet(path)
+    by = [F.col(c) for c in FOLDERS]
+    merged.hint("rebalance", *by).write.partitionBy(*FOLDERS).parquet(staged)
+    spark.read.schema(SCHEMA).parquet(staged).hint("rebalance", *by).write.mode(
+        "overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*FOLDERS).parquet(path)
     return counted.get["cells"]

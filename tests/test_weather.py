@@ -157,3 +157,16 @@ def test_hourly_grid_excludes_the_end(spark):
         "location_key string, start timestamp, end timestamp, step_seconds int, values array<double>")
     out = WX.hourly_grid(df).orderBy("timestamp_utc").collect()
     assert [(r.timestamp_utc.hour, r.value) for r in out] == [(0, 1.0), (1, 2.0), (2, 3.0)]
+
+
+def test_upsert_leaves_other_months_alone(spark, tmp_path):
+    path = str(tmp_path / "store")
+    rows = [("a", datetime(2023, m, d, 5), float(m)) for m in (1, 2, 3) for d in (1, 2)]
+    upsert(spark, path, spark.createDataFrame(rows, "location_key string, timestamp_utc timestamp, wind double"))
+    files = {m: sorted(p.name for p in (tmp_path / "store" / "location_key=a" / f"month=2023-0{m}").glob("*.parquet")) for m in (1, 2, 3)}
+    change = [("a", datetime(2023, 2, 1, 5), 9.0)]
+    upsert(spark, path, spark.createDataFrame(change, "location_key string, timestamp_utc timestamp, wind double"))
+    after = {m: sorted(p.name for p in (tmp_path / "store" / "location_key=a" / f"month=2023-0{m}").glob("*.parquet")) for m in (1, 2, 3)}
+    assert after[1] == files[1] and after[3] == files[3] and after[2] != files[2]
+    values = sorted(r.value for r in read_store(spark, path).collect())
+    assert values == [1.0, 1.0, 2.0, 3.0, 3.0, 9.0]
