@@ -101,4 +101,28 @@ QUERIES: dict[str, Query] = {
     "op9_warc": op9_warc,
     "op10_quality": op10_quality,
 }
-ORACLES: dict[str, str] = {}
+_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+_WINDOWS = "list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))"
+ORACLES: dict[str, str] = {
+    "op4_decontamination": f"""WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents)
+, items AS (SELECT item_id, w, least({decontamination.WINDOW}, len(w)) AS k
+    FROM (SELECT CAST(item_id AS VARCHAR) AS item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0)
+, windows AS (SELECT DISTINCT item_id, k, unnest({_WINDOWS}) AS t FROM items)
+, places AS (SELECT doc_id, k, unnest({_WINDOWS}) AS t, unnest(range(1, len(w) - k + 2)) AS i
+    FROM d, (SELECT DISTINCT k FROM windows) WHERE len(w) >= k)
+, found AS (SELECT doc_id, i, k, item_id FROM places JOIN windows USING (k, t))
+, hits AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM found) GROUP BY 1)
+, named AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+    FROM (SELECT DISTINCT doc_id, item_id FROM found) GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND {decontamination.SHARE} * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)""",
+    "op9_warc": f"""WITH p AS (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS n, sha256(coalesce(html, '')) AS d FROM pages)
+, least AS (SELECT d, min(page_id) AS first_id FROM p WHERE n >= {warc.MIN_REVISIT} GROUP BY 1)
+SELECT page_id, n AS payload_bytes, d AS payload_digest,
+  CASE WHEN n >= {warc.MIN_REVISIT} AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= {warc.MIN_REVISIT} AND page_id <> first_id THEN first_id END AS refers_to
+FROM p LEFT JOIN least USING (d)""",
+}
