@@ -11,7 +11,7 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from gridwright.catalog import QUERIES  # noqa: E402
-from gridwright.session import local_session  # noqa: E402
+from gridwright.session import clear_work, local_session  # noqa: E402
 
 HEADLINE = [
     "qc_wind", "qc_demand", "qc_solar", "wind_features_full", "demand_features_full", "solar_features_full",
@@ -35,6 +35,7 @@ def main() -> None:
         start = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
+        clear_work(spark)
         print(name, seconds[name], file=sys.stderr)
     print(json.dumps({
         "metric": "headline queries, total wall-clock", "value": round(sum(seconds.values()), 3), "unit": "sec",

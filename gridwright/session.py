@@ -11,6 +11,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 
+_made: list[str] = []
+
+
 def local_session(cores: str = "*", memory: str = "8g", partitions: int = 8) -> SparkSession:
     """A session for tests and single-machine runs."""
     return (
@@ -60,4 +63,19 @@ def written(df: DataFrame, label: str = "table") -> DataFrame:
 
 def work_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def clear_work(spark: SparkSession) -> int:
+    """Delete what this driver has written below the shared folder so far, and say how many paths that were.
+
+    Frames read these tables lazily, so this is for the end of a job, when its results are written.
+    """
+    context = spark.sparkContext
+    removed = 0
+    while _made:
+        path = context._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        removed += path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    return removed

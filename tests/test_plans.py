@@ -1,5 +1,7 @@
 """Physical plans: what reaches the scan, and how many shuffles there are."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from gridwright.operators import resample as RS
 from gridwright.operators import runs as R
 from gridwright.operators import weather as WX
 from gridwright.operators import windows as W
-from gridwright.session import work_path
+from gridwright.session import clear_work, work_path, written
 from tests.test_quality import scada
 
 
@@ -85,3 +87,12 @@ def test_known_bound_skips_the_count(spark, stored):
     W.add_lags(stored, W.Series(("turbine_id",)), "active_power_kw", [1], longest=50)
     assert list(tracker.getJobIdsForGroup("bound")) == []
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_work_tables_can_be_cleared(spark):
+    clear_work(spark)
+    kept = written(spark.range(5), "kept")
+    assert kept.count() == 5
+    path = kept.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert Path(path).exists()
+    assert clear_work(spark) == 1 and not Path(path).exists() and clear_work(spark) == 0
