@@ -15,7 +15,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 #: Fragments that one Python worker remembers; later ones are encoded again each time.
-MAX_REMEMBERED = 400_000
+MAX_REMEMBERED = 800_000
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _SIGNS = "!-&(-/:-@\\[-`{-~"
 _PLAIN = re.compile(f"(?:[{_LETTERS}]+)?[{_SIGNS}]*")
@@ -42,7 +42,7 @@ class _Remembered(dict):
         self.encoder, self.prefix = encoder, prefix
 
     def __missing__(self, fragment: str) -> bytes:
-        ids = self.encoder.fragment(fragment, self.prefix)
+        ids = self.encoder.fragment(fragment, self)
         if len(self) < MAX_REMEMBERED:
             self[fragment] = ids
         return ids
@@ -58,7 +58,7 @@ class Encoder:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.kind = self._kind(described)
         self.specials = [t["content"] for t in described["added_tokens"]]
-        self.first, self.rest, self.pieces = _Remembered(self, ""), _Remembered(self, " "), {}
+        self.first, self.rest = _Remembered(self, ""), _Remembered(self, " ")
         self.model = self.tokenizer.model
         self.line_break = self._library("\n") if self.kind == "bytes" else b""
 
@@ -82,24 +82,19 @@ class Encoder:
 
     def _piece(self, piece: str) -> bytes:
         """Ids of letters only or signs only, perhaps after a space: one piece for the model."""
-        ids = self.pieces.get(piece)
-        if ids is None:
-            spelled = piece.encode().decode("latin-1").translate(_STAND_IN)
-            ids = np.array([t.id for t in self.model.tokenize(spelled)], dtype=self.dtype).tobytes()
-            if len(self.pieces) < MAX_REMEMBERED:
-                self.pieces[piece] = ids
-        return ids
+        spelled = piece.encode().decode("latin-1").translate(_STAND_IN)
+        return np.array([t.id for t in self.model.tokenize(spelled)], dtype=self.dtype).tobytes()
 
-    def fragment(self, fragment: str, prefix: str) -> bytes:
+    def fragment(self, fragment: str, known: _Remembered) -> bytes:
+        """Ids of a fragment that `known` lacks; a word and the signs after it are looked up there one by one."""
         if not fragment or not _PLAIN.fullmatch(fragment):
-            return self._library(prefix + fragment)
+            return self._library(known.prefix + fragment)
         cut = _CORE.match(fragment).end()
         core, signs = fragment[:cut], fragment[cut:]
-        if self.kind == "words":
-            core, prefix = core.lower(), ""
-        if not core:
-            return self._piece(prefix + signs)
-        return self._piece(prefix + core) + (self._piece(signs) if signs else b"")
+        core, prefix = (core.lower(), "") if self.kind == "words" else (core, known.prefix)
+        if core + signs == fragment and not (core and signs):
+            return self._piece(prefix + fragment)
+        return known[core] + (self.first[signs] if signs else b"")
 
     def encode(self, text: str) -> np.ndarray:
         """The ids of one whole text."""
