@@ -3,9 +3,9 @@
 Counts cover every token of every training document. The commonest words are the recurrent model's head; every other word
 belongs to one of a few rare classes, told by the word's ending, and has its smoothed share of that class. Rare words meet
 their counts in a join by word, never in a broadcast, so the vocabulary may grow with the corpus. Training runs in rounds:
-each task starts from the same weights, learns from a stretch of each of its training documents by truncated
-backpropagation, and the tasks' weights are averaged, weighted by tokens, block by block. Scoring reads whole documents
-with the state carried through.
+each task starts from the same weights, learns by truncated backpropagation, and the tasks' weights are averaged, weighted
+by texts so that one very long text does not outweigh all others, block by block. Each training document is learned from whole, its end included and the state carried through, in
+one of the rounds, which a hash of its text tells: all rounds together cover every training token. Scoring reads whole documents with the state carried through, too.
 
 Documents that `held_out` names, and those with a null id, are scored but never learned from. A null text is an empty one:
 its end is its only token. Repeated rows repeat in the result. Without training documents every count is zero.
@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import repeat
 
@@ -32,8 +32,8 @@ from gridwright.session import written
 
 END, SMOOTHING = b"", 0.1
 HEAD_WORDS, LONGEST_HEAD, RARE_CLASSES = 4096, 256, 32
-#: Each training document gives one stretch of a twelfth of its words, at least `LEAST` words, to each round.
-ROUNDS, STRETCHES, LEAST = 2, 12, 32
+#: The pass over all training text is cut into so many rounds; a task learns from so many tokens at a time.
+ROUNDS, TOGETHER = 2, 1 << 21
 WINDOWS, PASSES = 16, 8
 HELD, BLOCK, SALTS = 200_000, 16_384, 64
 
@@ -117,7 +117,31 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
                       rare_tokens, rare_kinds)
 
 
-def _round(docs: DataFrame, words_known: Vocabulary, weights: Weights, number: int) -> Weights:
+def in_round(raw: bytes, rounds: int) -> int:
+    """The one round that learns from a text."""
+    return zlib.crc32(raw) % rounds
+
+
+def learn_texts(trainer: Trainer, words_known: Vocabulary, raws: Iterable[bytes]) -> int:
+    """One pass over every token of the texts, ends included; how many texts."""
+    held: list[np.ndarray] = []
+    tokens = texts = 0
+    for texts, raw in enumerate(raws, 1):
+        held.append(words_known.encode([*words(raw), END]))
+        tokens += len(held[-1])
+        if tokens >= TOGETHER:
+            trainer.learn(held)
+            held, tokens = [], 0
+    # Few rows make few windows; those are gone over again, up to `PASSES` times.
+    windows = 0
+    for _ in range(PASSES if held else 0):
+        windows += trainer.learn(held)
+        if windows >= WINDOWS:
+            break
+    return texts
+
+
+def _round(docs: DataFrame, words_known: Vocabulary, weights: Weights, number: int, rounds: int) -> Weights:
     """The average of what all tasks have learned from `weights` on. Weights leave a task in blocks, which are summed in
     two steps, so that no task gathers all of them."""
     spark = docs.sparkSession.sparkContext
@@ -125,48 +149,36 @@ def _round(docs: DataFrame, words_known: Vocabulary, weights: Weights, number: i
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer = Trainer(start.value)
-        for batch in slices(batches):
-            stretches = []
-            for raw in raw_texts(batch):
-                tokens = [*words(raw), END]
-                size = max(LEAST, len(tokens) // STRETCHES)
-                places = max(1, len(tokens) // size)
-                at = (zlib.crc32(raw) + number) % places * size
-                stretches.append(known.value.encode(tokens[at: at + size]))
-            # Few rows make few windows; those are gone over again, up to `PASSES` times.
-            windows = 0
-            for _ in range(PASSES if stretches else 0):
-                windows += trainer.learn(stretches)
-                if windows >= WINDOWS:
-                    break
-        if trainer.tokens:
+        own = (raw for batch in slices(batches) for raw in raw_texts(batch) if in_round(raw, rounds) == number)
+        texts = learn_texts(trainer, known.value, own)
+        if texts:
             salt = TaskContext.get().partitionId() % SALTS
-            flat = trainer.w.flat().astype(np.float64) * trainer.tokens
+            flat = trainer.w.flat().astype(np.float64) * texts
             blocks = [flat[i: i + BLOCK] for i in range(0, len(flat), BLOCK)]
             columns = [pa.array(range(len(blocks)), pa.int32()), pa.array([salt] * len(blocks), pa.int32()),
                        pa.array([b.tobytes() for b in blocks], pa.binary()),
-                       pa.array([trainer.tokens] * len(blocks), pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["block", "salt", "sums", "tokens"])
+                       pa.array([texts] * len(blocks), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["block", "salt", "sums", "texts"])
 
     def add(table: pa.Table) -> pa.Table:
         total = sum(np.frombuffer(x, dtype=np.float64) for x in table.column("sums").to_pylist())
         return pa.table({
             "block": table.column("block")[:1], "salt": table.column("salt")[:1],
-            "sums": pa.array([total.tobytes()], pa.binary()), "tokens": pa.array([sum(table.column("tokens").to_pylist())], pa.int64())})
+            "sums": pa.array([total.tobytes()], pa.binary()), "texts": pa.array([sum(table.column("texts").to_pylist())], pa.int64())})
 
-    schema = "block int, salt int, sums binary, tokens long"
+    schema = "block int, salt int, sums binary, texts long"
     learned = docs.select("text").mapInArrow(learn, schema)
     summed = learned.groupBy("block", "salt").applyInArrow(add, schema).groupBy("block").applyInArrow(add, schema)
     parts = sorted(summed.collect(), key=lambda row: row["block"])
     if not parts:
         return weights
-    return weights.like(np.concatenate([np.frombuffer(row["sums"], dtype=np.float64) / row["tokens"] for row in parts]))
+    return weights.like(np.concatenate([np.frombuffer(row["sums"], dtype=np.float64) / row["texts"] for row in parts]))
 
 
 def train(docs: DataFrame, words_known: Vocabulary, rounds: int = ROUNDS) -> Weights:
     weights = recurrent.initial(words_known.counts + SMOOTHING, words_known.rare_tokens)
     for number in range(rounds):
-        weights = _round(docs, words_known, weights, number * STRETCHES // rounds)
+        weights = _round(docs, words_known, weights, number, rounds)
     return weights
 
 

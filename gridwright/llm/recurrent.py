@@ -7,13 +7,14 @@ whole and end there. Rows of the input table are ids, then rare classes, then th
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 
 HIDDEN, MEMBERS = 24, 64
-LANES, STEPS, SCORE_STEPS = 256, 16, 64
+LANES, STEPS, SCORE_STEPS = 256, 16, 32
+#: A window over few lanes is longer, up to so many steps, until it has so many words. Lanes by steps held at a time.
+LONGEST, FULL, CELLS = 64, 512, 1 << 23
 LEARNING_RATE, CLIP = 0.08, 5.0
 
 
@@ -61,34 +62,48 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-x))
 
 
-def _step(w: Weights, rows: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Next state of each lane, and what the backward step needs."""
-    x, y = w.inputs[rows], state @ w.gates
+def _cell(w: Weights, x: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Next state of each lane, and what the backward step needs, from the words' rows of the input table."""
+    y = state @ w.gates
     gate = _sigmoid(x[:, : 2 * HIDDEN] + y[:, : 2 * HIDDEN])
     update, reset, own = gate[:, :HIDDEN], gate[:, HIDDEN:], y[:, 2 * HIDDEN:]
     new = np.tanh(x[:, 2 * HIDDEN:] + reset * own)
     return new + update * (state - new), update, reset, own, new
 
 
-def _grouped(classes: np.ndarray, head: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(class, places) of the targets in each head class."""
-    order = np.argsort(classes, kind="stable")
-    edges = np.searchsorted(classes[order], np.arange(head + 1))
-    for c in range(head):
-        if edges[c] < edges[c + 1]:
-            yield c, order[edges[c]: edges[c + 1]]
+def _step(w: Weights, rows: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, ...]:
+    return _cell(w, w.inputs[rows], state)
+
+
+def _by_class(classes: np.ndarray, head: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """Places in the order of their class, and (class, first, last) of each head class that occurs."""
+    order = np.argsort(classes.astype(np.uint16), kind="stable")
+    edges = np.searchsorted(classes[order], np.arange(head + 1)).tolist()
+    return order, [(c, edges[c], edges[c + 1]) for c in range(head) if edges[c] < edges[c + 1]]
+
+
+def _logits(rows: np.ndarray, bias: np.ndarray, across: np.ndarray) -> np.ndarray:
+    """[row, place], the largest of each place being zero: maxima and sums over rows run along whole places."""
+    out = rows @ across
+    out += bias[:, None]
+    out -= out.max(0)
+    return out
 
 
 def log_probabilities(w: Weights, states: np.ndarray, classes: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """Natural log of each target's probability; for a rare class that of the class alone."""
-    logits = states @ w.classes
-    logits += w.class_bias
-    logits -= logits.max(1, keepdims=True)
-    out = logits[np.arange(len(classes)), classes] - np.log(np.exp(logits).sum(1))
-    for c, at in _grouped(classes, w.head_classes):
-        own = states[at] @ w.members[c * MEMBERS: (c + 1) * MEMBERS].T + w.member_bias[c * MEMBERS: (c + 1) * MEMBERS]
-        own -= own.max(1, keepdims=True)
-        out[at] += own[np.arange(len(at)), ids[at] - c * MEMBERS] - np.log(np.exp(own).sum(1))
+    order, grouped = _by_class(classes, w.head_classes)
+    across, ids, places = np.ascontiguousarray(states[order].T), ids[order], np.arange(len(order))
+    logits = _logits(w.classes.T, w.class_bias, across)
+    got = logits[classes[order], places]
+    got -= np.log(np.exp(logits, out=logits).sum(0))
+    for c, first, last in grouped:
+        part = slice(c * MEMBERS, (c + 1) * MEMBERS)
+        own = _logits(w.members[part], w.member_bias[part], across[:, first:last])
+        got[first:last] += own[ids[first:last] - part.start, places[: last - first]]
+        got[first:last] -= np.log(np.exp(own, out=own).sum(0))
+    out = np.empty_like(got)
+    out[order] = got
     return out
 
 
@@ -112,7 +127,8 @@ def _lanes(documents: list[np.ndarray], lanes: int) -> list[list[int]]:
 
 def _dealt(documents: list[np.ndarray], lanes: int, start: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Inputs, targets and owners as [step, lane], and the lanes' lengths. A document's first input is `start`."""
-    dealt = _lanes(documents, lanes)
+    longest = max(map(len, documents), default=1)
+    dealt = _lanes(documents, max(1, min(lanes, CELLS // longest)))
     lengths = np.array([sum(len(documents[n]) for n in lane) for lane in dealt])
     steps = int(lengths.max(initial=0))
     before, after = (np.full((steps, len(dealt)), start, dtype=np.int32) for _ in range(2))
@@ -139,10 +155,10 @@ def score(w: Weights, documents: list[np.ndarray]) -> np.ndarray:
         live = int((lengths > first).sum())
         state = state[:live]
         states = np.empty((last - first, live, HIDDEN), dtype=np.float32)
-        for t in range(first, last):
-            rows = before[t, :live]
-            state = _step(w, rows, state * (rows != start)[:, None])[0]
-            states[t - first] = state
+        rows = before[first:last, :live]
+        inputs, going = w.inputs[rows], (rows != start)[:, :, None]
+        for t in range(last - first):
+            state = states[t] = _cell(w, inputs[t], state * going[t])[0]
         inside = np.arange(first, last)[:, None] < lengths[:live]
         classes, ids = targets(after[first:last, :live][inside], w)
         got = log_probabilities(w, states[inside], classes, ids)
@@ -163,39 +179,42 @@ class Trainer:
         start = len(self.w.inputs) - 1
         before, after, _, lengths = _dealt(documents, LANES, start)
         state = np.zeros((before.shape[1], HIDDEN), dtype=np.float32)
-        for first in range(0, len(before), STEPS):
-            last = min(first + STEPS, len(before))
+        first = windows = 0
+        while first < len(before):
             live = int((lengths > first).sum())
+            last = min(first + min(LONGEST, max(STEPS, FULL // live)), len(before))
             inside = np.arange(first, last)[:, None] < lengths[:live]
             state = self._window(before[first:last, :live], after[first:last, :live], inside, state[:live], start)
             self.tokens += int(inside.sum())
-        return -(-len(before) // STEPS)
+            first, windows = last, windows + 1
+        return windows
 
     def _window(self, rows: np.ndarray, after: np.ndarray, inside: np.ndarray, state: np.ndarray, start: int) -> np.ndarray:
-        w, kept, states = self.w, [], []
+        w, kept = self.w, []
+        inputs, going = w.inputs[rows], (rows != start)[:, :, None]
         for t in range(len(rows)):
-            entering = state * (rows[t] != start)[:, None]
-            state, *rest = _step(w, rows[t], entering)
-            kept.append((entering, *rest))
-            states.append(state)
-        stacked = np.stack(states)
-        hidden = stacked[inside]
+            entering = state * going[t]
+            state, *rest = _cell(w, inputs[t], entering)
+            kept.append((entering, state, *rest))
+        entering, stacked, update, reset, own, new = map(np.stack, zip(*kept))
         classes, ids = targets(after[inside], w)
         error = np.zeros_like(stacked)
-        error[inside] = self._output(hidden, classes, ids)
-        slope = np.zeros_like(state)
-        gates = np.zeros_like(w.gates)
-        entries = np.empty((*rows.shape, 3 * HIDDEN), dtype=np.float32)
+        error[inside] = self._output(stacked[inside], classes, ids)
+        # What the slope in a state is multiplied by, for each gate.
+        stay = 1 - update
+        to_new = stay * (1 - new * new)
+        to_update = (entering - new) * update * stay
+        to_reset = to_new * own * reset * (1 - reset)
+        factors = np.stack([to_update, to_reset, to_new * reset], 2)
+        through, slopes = np.empty_like(factors), np.empty_like(stacked)
+        slope, back = np.zeros_like(state), np.ascontiguousarray(w.gates.T)
         for t in range(len(rows) - 1, -1, -1):
-            entering, update, reset, own, new = kept[t]
-            slope = slope + error[t]
-            d_new = slope * (1 - update) * (1 - new * new)
-            d_update = slope * (entering - new) * update * (1 - update)
-            d_reset = d_new * own * reset * (1 - reset)
-            entries[t] = np.concatenate([d_update, d_reset, d_new], 1)
-            through = np.concatenate([d_update, d_reset, d_new * reset], 1)
-            gates += entering.T @ through
-            slope = (slope * update + through @ w.gates.T) * (rows[t] != start)[:, None]
+            slope = np.add(slope, error[t], out=slopes[t])
+            np.multiply(slope[:, None], factors[t], out=through[t])
+            slope = (slope * update[t] + through[t].reshape(-1, 3 * HIDDEN) @ back) * going[t]
+        gates = entering.reshape(-1, HIDDEN).T @ through.reshape(-1, 3 * HIDDEN)
+        through[:, :, 2] = slopes * to_new
+        entries = through
         flat, order = entries.reshape(-1, 3 * HIDDEN), np.argsort(rows.ravel(), kind="stable")
         used, heads = np.unique(rows.ravel()[order], return_index=True)
         self._apply("gates", gates)
@@ -205,27 +224,29 @@ class Trainer:
     def _output(self, hidden: np.ndarray, classes: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """Takes a step on the output rows; the loss's slope in the states."""
         w, scale = self.w, np.float32(1 / LANES)
-        p = hidden @ w.classes + w.class_bias
-        p = np.exp(p - p.max(1, keepdims=True))
-        p /= p.sum(1, keepdims=True)
-        p[np.arange(len(classes)), classes] -= 1
-        p *= scale
-        back = p @ w.classes.T
+        order, grouped = _by_class(classes, w.head_classes)
+        across, ids, places = np.ascontiguousarray(hidden[order].T), ids[order], np.arange(len(order))
+        p = _logits(w.classes.T, w.class_bias, across)
+        np.exp(p, out=p)
+        p *= scale / p.sum(0)
+        p[classes[order], places] -= scale
+        back = w.classes @ p
         members, bias = np.zeros_like(w.members), np.zeros_like(w.member_bias)
-        for c, at in _grouped(classes, w.head_classes):
-            part = slice(c * MEMBERS, (c + 1) * MEMBERS)
-            q = hidden[at] @ w.members[part].T + w.member_bias[part]
-            q = np.exp(q - q.max(1, keepdims=True))
-            q /= q.sum(1, keepdims=True)
-            q[np.arange(len(at)), ids[at] - c * MEMBERS] -= 1
-            q *= scale
-            members[part], bias[part] = q.T @ hidden[at], q.sum(0)
-            back[at] += q @ w.members[part]
-        self._apply("classes", hidden.T @ p)
-        self._apply("class_bias", p.sum(0))
+        for c, first, last in grouped:
+            part, own = slice(c * MEMBERS, (c + 1) * MEMBERS), across[:, first:last]
+            q = _logits(w.members[part], w.member_bias[part], own)
+            np.exp(q, out=q)
+            q *= scale / q.sum(0)
+            q[ids[first:last] - part.start, places[: last - first]] -= scale
+            members[part], bias[part] = q @ own.T, q.sum(1)
+            back[:, first:last] += w.members[part].T @ q
+        self._apply("classes", across @ p.T)
+        self._apply("class_bias", p.sum(1))
         self._apply("members", members)
         self._apply("member_bias", bias)
-        return back
+        out = np.empty_like(hidden)
+        out[order] = back.T
+        return out
 
     def _apply(self, name: str, slope: np.ndarray, at: np.ndarray | slice = slice(None)) -> None:
         np.clip(slope, -CLIP, CLIP, out=slope)

@@ -115,3 +115,12 @@ def test_training_learns_an_order():
     for _ in range(4):
         trainer.learn([words] * 4)
     assert R.score(trainer.w, [words])[0] > 0.3 * R.score(w, [words])[0]
+
+
+def test_texts_are_learned_whole_in_groups_of_any_size(monkeypatch):
+    rng, seen = np.random.default_rng(5), []
+    texts = [b" ".join(b"w%d" % k for k in rng.integers(0, 50, n)) for n in (0, 1, 33, 63, 400, 2000)]
+    known = L.Vocabulary({b"": 0} | {b"w%d" % k: k + 1 for k in range(50)}, np.ones(51), 51, 51, np.zeros(32), np.zeros(32))
+    monkeypatch.setattr(L, "TOGETHER", 100)
+    L.learn_texts(type("Noted", (), {"learn": lambda self, part: seen.extend(part) or L.WINDOWS})(), known, texts)
+    assert [s.tolist() for s in seen] == [known.encode([*t.split(), b""]).tolist() for t in texts]
