@@ -5,7 +5,8 @@ belongs to one of a few rare classes, told by the word's ending, and has its smo
 their counts in a join by word, never in a broadcast, so the vocabulary may grow with the corpus. Training runs in rounds:
 each task starts from the same weights, learns by truncated backpropagation, and the tasks' weights are averaged, weighted
 by texts so that one very long text does not outweigh all others, block by block. Each training document is learned from whole, its end included and the state carried through, in
-one of the rounds, which a hash of its text tells: all rounds together cover every training token. Scoring reads whole documents with the state carried through, too.
+one of the rounds, which a hash of its text tells: all rounds together are one pass over every training token, at any size
+and partitioning. Scoring reads whole documents with the state carried through, too.
 
 Documents that `held_out` names, and those with a null id, are scored but never learned from. A null text is an empty one:
 its end is its only token. Repeated rows repeat in the result. Without training documents every count is zero.
@@ -34,7 +35,6 @@ END, SMOOTHING = b"", 0.1
 HEAD_WORDS, LONGEST_HEAD, RARE_CLASSES = 4096, 256, 32
 #: The pass over all training text is cut into so many rounds; a task learns from so many tokens at a time.
 ROUNDS, TOGETHER = 2, 1 << 21
-WINDOWS, PASSES = 16, 8
 HELD, BLOCK, SALTS = 200_000, 16_384, 64
 
 
@@ -132,12 +132,8 @@ def learn_texts(trainer: Trainer, words_known: Vocabulary, raws: Iterable[bytes]
         if tokens >= TOGETHER:
             trainer.learn(held)
             held, tokens = [], 0
-    # Few rows make few windows; those are gone over again, up to `PASSES` times.
-    windows = 0
-    for _ in range(PASSES if held else 0):
-        windows += trainer.learn(held)
-        if windows >= WINDOWS:
-            break
+    if held:
+        trainer.learn(held)
     return texts
 
 

@@ -117,10 +117,34 @@ def test_training_learns_an_order():
     assert R.score(trainer.w, [words])[0] > 0.3 * R.score(w, [words])[0]
 
 
+@pytest.mark.parametrize("parts", [1, 3])
+def test_rounds_learn_once_from_every_training_token(documents, spark, monkeypatch, parts):
+    """Whole texts with their ends, in one of the rounds each, however many rows a task has."""
+    pairs = [(i, prose(i, n)) for i, n in enumerate([0, 1, 33, 40, 63, 64, 65, 400, 401, 3000] * 3)]
+    docs = documents(pairs).repartition(parts).persist()
+    known = L.vocabulary(L.count_words(docs))
+    weights = R.initial(known.counts + L.SMOOTHING, known.rare_tokens)
+    learned = spark.sparkContext.accumulator(0)
+
+    class Noted(R.Trainer):
+        def learn(self, texts):
+            learned.add(sum(map(len, texts)))
+            return super().learn(texts)
+
+    monkeypatch.setattr(L, "Trainer", Noted)
+    got = L.train(docs, known)
+    docs.unpersist()
+    assert learned.value == known.tokens == sum(len(_tokens(t)) for _, t in pairs)
+    # The end, which every text has, is learned from too, and the input rows of all words that occur have moved.
+    rows = sorted({int(r) for _, t in pairs for r in known.encode(_tokens(t))[:-1]})
+    assert all((got.inputs[rows] != weights.inputs[rows]).any(1))
+    assert (got.members[0] != weights.members[0]).any()
+
+
 def test_texts_are_learned_whole_in_groups_of_any_size(monkeypatch):
     rng, seen = np.random.default_rng(5), []
     texts = [b" ".join(b"w%d" % k for k in rng.integers(0, 50, n)) for n in (0, 1, 33, 63, 400, 2000)]
     known = L.Vocabulary({b"": 0} | {b"w%d" % k: k + 1 for k in range(50)}, np.ones(51), 51, 51, np.zeros(32), np.zeros(32))
     monkeypatch.setattr(L, "TOGETHER", 100)
-    L.learn_texts(type("Noted", (), {"learn": lambda self, part: seen.extend(part) or L.WINDOWS})(), known, texts)
+    L.learn_texts(type("Noted", (), {"learn": lambda self, part: seen.extend(part)})(), known, texts)
     assert [s.tolist() for s in seen] == [known.encode([*t.split(), b""]).tolist() for t in texts]
