@@ -37,9 +37,11 @@ _IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-_SPELLED_EMAIL = re.compile(
-    r"[A-Za-z0-9._%+-]{1,64}(?:\s?[\[({]\s?at\s?[\])}]\s?|\sat\s|\s?＠\s?|\s@\s?|@\s)"
-    r"[A-Za-z0-9-]{1,63}(?:(?:\.|\s?[\[({]\s?dot\s?[\])}]\s?|\sdot\s)[A-Za-z0-9-]{2,63}){1,4}", re.I)
+_AT = r"(?:\s?[\[({]\s?at\s?[\])}]\s?|\sat\s|\s?＠\s?|\s@\s?|@\s)"
+_DOT = r"(?:\.|\s?[\[({]\s?dot\s?[\])}]\s?|\sdot\s)"
+_SPELLED_EMAIL = re.compile(rf"[A-Za-z0-9._%+-]{{1,64}}{_AT}[A-Za-z0-9-]{{1,63}}(?:{_DOT}[A-Za-z0-9-]{{2,63}}){{1,4}}", re.I)
+# What every spelled-out address holds: the end of its first part up to the start of its second label.
+_SPELLED_CORE = re.compile(rf"[A-Za-z0-9._%+-]{_AT}[A-Za-z0-9-]{{1,63}}{_DOT}[A-Za-z0-9-]{{2}}", re.I)
 _OPEN_IP = re.compile(r"(?<![0-9])[0-9]{1,3}(?:\s?[\[(]\.[\])]\s?|\s?[\[(]dot[\])]\s?)[0-9]{1,3}(?:(?:\.|\s?[\[(](?:\.|dot)[\])]\s?)[0-9]{1,3}){2}")
 _IP6 = re.compile(r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){2,7}(?::?[0-9A-Fa-f]{1,4}|:)(?::[0-9A-Fa-f]{1,4}){0,5}(?![0-9A-Za-z:])")
 _WIDE_CARD = re.compile(r"(?<![0-9])[0-9]{4}(?:[\x20  ./_-]{1,2}[0-9]{2,6}){2,4}(?![0-9])")
@@ -163,9 +165,9 @@ def candidates(text: str) -> list[Candidate]:
         found |= {(3, *m.span()): False for m in _NATIONAL.finditer(text) if 9 <= len(_digits(m[0])) <= 15}
         if "[" in text or "(" in text:
             found |= {(1, *m.span()): False for m in _OPEN_IP.finditer(text)}
-        if ":" in text:
-            found |= {(1, *m.span()): False for m in _IP6.finditer(text)}
-    if "@ " in text or " @" in text or "＠" in text or "dot" in text or "(at" in text or "[at" in text:
+    if ":" in text:
+        found |= {(1, *m.span()): False for m in _IP6.finditer(text)}
+    if _SPELLED_CORE.search(text):
         found |= {(0, *m.span()): False for m in _SPELLED_EMAIL.finditer(text)}
     out = []
     for (kind, start, end), base in sorted(found.items()):

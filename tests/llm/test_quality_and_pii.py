@@ -128,3 +128,16 @@ def test_redaction_of_awkward_rows(documents, awkward):
     assert texts[20] == ("x [EMAIL] y [IP] z", 18) and texts[21] == ("[PHONE]", 7)
     assert texts[1] == (None, None) and texts[11][0] == dict(awkward)[11]
     assert pii.find(frame.limit(0), pii.learn(frame.limit(0))).count() == 0
+
+
+@pytest.mark.parametrize("text", [
+    "anna.lee at example.com", "ANNA.LEE [AT] EXAMPLE [DOT] COM", "anna {at} example.com", "anna ( at ) example.com",
+    "anna (AT) example.com", "anna\tAt\nexample.com", "anna@\texample.com", "anna\u00a0@\u00a0example dot com", "anna＠example.com",
+    "anna.lee at example {Dot} co.uk and bob [at] example.org", "meet at noon", "anna @example.com", "look at this.that", "a" * 70 + " at example.com",
+    "dead:beef::cafe", "at", " at ", "@ .", "server fe80::1 [at] example.org",
+])
+def test_gates_let_every_match_of_their_patterns_through(text):
+    for padded in (text, f"write to {text} soon", f"({text})\n{text}"):
+        found = {(c.kind, c.start, c.end) for c in pii.candidates(padded)}
+        for kind, pattern in ((0, pii._SPELLED_EMAIL), (1, pii._IP6), (1, pii._OPEN_IP), (2, pii._WIDE_CARD)):
+            assert {(kind, *m.span()) for m in pattern.finditer(padded)} <= found
