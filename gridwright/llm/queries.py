@@ -3,12 +3,27 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from zlib import crc32
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridwright.llm import decontamination, language_model, packing, pii, quality, sharding, simhash, token_files, warc, winnowing
+from gridwright.llm import (
+    decontamination,
+    language_model,
+    line_dedup,
+    packing,
+    periodic_runs,
+    pii,
+    quality,
+    sharding,
+    simhash,
+    spelling_variants,
+    token_files,
+    warc,
+    winnowing,
+)
 
 #: The two public tokenizer files that the queries use; a path is a parameter of every operator that takes one.
 PACKING_TOKENIZER, FILE_TOKENIZER = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -89,6 +104,61 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", quality.held_out().alias("held_out"), "score", predicted.alias("predicted"))
 
 
+def op11_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_repeated_lines(_table(spark, sf_dir, "documents"))
+    return kept.select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def _id_text(doc_id: int | None) -> bytes:
+    return b"" if doc_id is None else b"%d" % doc_id
+
+
+def misspelled(doc_id: int | None) -> Callable[[bytes], bytes]:
+    """The contract's damage: one code point less in every 199th word of a document by its checksum."""
+    begun = crc32(_id_text(doc_id) + b":")
+
+    def change(word: bytes) -> bytes:
+        h = crc32(word, begun)
+        if h % 199:
+            return word
+        letters = word.decode()
+        at = h % len(letters)
+        return (letters[:at] + letters[at + 1:]).encode()
+
+    return change
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling_variants.vocabulary(_table(spark, sf_dir, "documents"), rewrite=misspelled)
+    return spelling_variants.variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def stuttering(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The contract's repetition: the words of every tenth document by its checksum go round from some place on."""
+    g, rest = divmod(crc32(_id_text(doc_id)), 10)
+    n = len(words)
+    if rest or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(_table(spark, sf_dir, "documents"), rewrite=stuttering)
+    least = F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    rows = found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.array_min(least).alias("longest"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+    length = -F.col("longest.less")
+    return rows.select(
+        "doc_id", "n_runs", F.col("longest.start").alias("start"), length.alias("length"), F.col("longest.period").alias("period"),
+        F.expr("1000 * -longest.less div longest.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
 QUERIES: dict[str, Query] = {
     "op1_pii": op1_pii,
     "op2_token_files": op2_token_files,
@@ -100,6 +170,9 @@ QUERIES: dict[str, Query] = {
     "op8_simhash": op8_simhash,
     "op9_warc": op9_warc,
     "op10_quality": op10_quality,
+    "op11_lines": op11_lines,
+    "op12_spelling": op12_spelling,
+    "op13_runs": op13_runs,
 }
 _WORDS = (
     "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
@@ -125,4 +198,13 @@ SELECT page_id, n AS payload_bytes, d AS payload_digest,
   CASE WHEN n >= {warc.MIN_REVISIT} AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN n >= {warc.MIN_REVISIT} AND page_id <> first_id THEN first_id END AS refers_to
 FROM p LEFT JOIN least USING (d)""",
+    "op11_lines": f"""WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents)
+, l AS (SELECT doc_id, unnest(range(len(lines))) AS place, unnest(lines) AS line FROM d)
+, k AS (SELECT *, trim(translate(line, '{line_dedup.UPPER}', '{line_dedup.LOWER}'), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS line_key
+    FROM l)
+, repeated AS (SELECT line_key, min(doc_id) AS keeper FROM k WHERE length(line_key) >= {line_dedup.MIN_LENGTH}
+    GROUP BY 1 HAVING count(DISTINCT doc_id) >= {line_dedup.MIN_DOCUMENTS})
+, marked AS (SELECT doc_id, place, line, coalesce(doc_id <> keeper, FALSE) AS gone FROM k LEFT JOIN repeated USING (line_key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256 FROM marked GROUP BY 1""",
 }
