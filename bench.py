@@ -18,8 +18,9 @@ HEADLINE = [
     "lag_features", "rolling_mean", "ffill_limit", "upsample_ffill", "join_nwp_horizons", "weighted_mean_points",
     "resample_mean_15min", "horizon_target", "direct_targets", "persistence_metrics", "regression_metrics",
     "regime_demand", "dedupe_first", "runs_pivot", "skill_vs_baseline", "metrics_backfill", "rolling_origin_folds",
-    "ingest_turbine_csv", "ingest_load_tsv", "ingest_pv_csv", "weather_upsert", "predict_evaluate",
-    "recursive_forecast",
+    "ingest_turbine_csv", "ingest_load_tsv", "ingest_pv_csv", "ingest_archives", "weather_upsert", "predict_evaluate",
+    "recursive_forecast", "predict_evaluate_boosted", "model_leaderboard_default", "recursive_forecast_full",
+    "rolling_origin_fits", "rolling_origin_fits_full",
 ]
 
 

@@ -15,6 +15,7 @@ from gridwright.operators import features as FT
 from gridwright.operators import metrics as M
 from gridwright.operators import quality as Q
 from gridwright.operators import windows as W
+from gridwright.operators.metric_states import QuantileOf, merged_metrics, pinball
 
 HORIZONS = list(DEFAULT_HORIZONS)
 
@@ -147,6 +148,18 @@ def custom_metrics(spark, sf):
     return rounded(built_in.join(plain, "split"))
 
 
+@query("custom_metrics_merged", PAIRED + f"""SELECT split, {r('median(abs(yhat - y))', 'median_error')},
+  {r('quantile_cont(yhat - y, 0.9)', 'high_error')}, {r('avg(greatest(0.9 * (y - yhat), -0.1 * (y - yhat)))', 'pinball')} FROM pairs GROUP BY 1""")
+def custom_metrics_merged(spark, sf):
+    """The sketch is as large as the driver's tables are at this scale, so that its quantiles are exact."""
+    exact = 1 << 20
+    return rounded(merged_metrics(_pairs(spark, sf), "y", "yhat", {
+        "median_error": QuantileOf(lambda y, p: abs(p - y), 0.5, exact),
+        "high_error": QuantileOf(lambda y, p: p - y, 0.9, exact),
+        "pinball": pinball(0.9),
+    }, ["split"]))
+
+
 # Metric tables per horizon, from the persistence errors of the load series.
 LOAD_TARGETS = "\nUNION ALL ".join(
     f"""SELECT zone_id, {h} AS horizon, load_mw AS last_y, lead(load_mw, {h}) OVER w AS target FROM demand

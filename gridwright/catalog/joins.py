@@ -26,7 +26,7 @@ def join_load_weather(spark, sf):
         "timestamp_utc", "load_mw", "temperature_2m"))
 
 
-NWP = ["wind_speed_100m", "temperature_2m"]
+NWP = list(V.VARIABLES)
 NWP_HORIZONS = list(DEFAULT_HORIZONS)
 NWP_COLUMNS = [f"nwp_{v}_h{h}" for h in NWP_HORIZONS for v in NWP]
 # Observations on the ten-minute marks at or before each event.

@@ -47,6 +47,16 @@ def comparison_table(spark, sf):
     return R.comparison_table(R.skill_vs_baseline(_cells(spark, sf)))
 
 
+@query("comparison_report", SKILLED + f"""SELECT run_id, label, {', '.join(
+    f"""coalesce(max(CASE WHEN horizon = {h} THEN printf('%.0f', mae) END), '—') AS h{h}_mae,
+  coalesce(max(CASE WHEN horizon = {h} THEN printf('%.3f', skill_score) END), '—') AS h{h}_skill,
+  coalesce(max(CASE WHEN horizon = {h} THEN printf('%+.3f', skill_vs_baseline) END), '—') AS h{h}_skill_vs_baseline"""
+    for h in V.RUN_HORIZONS)}
+FROM labelled LEFT JOIN (SELECT run_id, horizon, mae, skill_score, skill_vs_baseline FROM skilled) AS s USING (run_id) GROUP BY 1, 2""")
+def comparison_report(spark, sf):
+    return R.comparison_report(V.runs(spark, sf), V.metrics(spark, sf))
+
+
 PIVOT_KEYS = [f"h{h}_{m}" for m in ("mae", "rmse", "skill_score") for h in V.RUN_HORIZONS]
 
 
@@ -54,7 +64,7 @@ PIVOT_KEYS = [f"h{h}_{m}" for m in ("mae", "rmse", "skill_score") for h in V.RUN
   {', '.join(r(f"max(CASE WHEN metric_key = '{k}' THEN value END)", k) for k in PIVOT_KEYS)}
 FROM labelled LEFT JOIN metrics USING (run_id) GROUP BY 1, 2, 3, 4""")
 def runs_pivot(spark, sf):
-    wide = R.runs_pivot(V.runs(spark, sf), V.metrics(spark, sf), V.RUN_HORIZONS)
+    wide = R.runs_pivot(V.runs(spark, sf), V.metrics(spark, sf))
     return rounded(R.report_order(wide).select("run_id", "label", "backend_rank", "stem_rank", *PIVOT_KEYS))
 
 

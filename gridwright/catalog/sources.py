@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import io
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -14,9 +14,10 @@ from gridwright.catalog import views as V
 from gridwright.catalog.registry import query, r, rounded, table, without_zone
 from gridwright.catalog.time import DENVER_HOURS, LOCAL, PARIS_GAP, PARIS_HOURS
 from gridwright.operators import weather as WX
-from gridwright.session import work_path
+from gridwright.session import work_path, written
 from gridwright.sources import ingest as I
 from gridwright.sources.archives import member_lines
+from gridwright.sources.files import write_new
 from gridwright.sources.scan import (
     scan_csv,
     scan_parquet,
@@ -147,19 +148,32 @@ def extract_series_id_from_path(spark, sf):
     return named.where(~F.col("value").startswith("#")).groupBy("turbine_id").agg(F.count("*").alias("n_rows"))
 
 
-def _zip_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One archive per Arrow batch: a CSV per turbine, those of even turbines inside an inner archive."""
+def _stored_archives(rows: DataFrame, pack: Callable[[Iterator[pd.DataFrame]], Iterator[tuple[str, bytes]]]) -> list[str]:
+    """Archives that tasks pack and write to the shared folder; the paths of those that count."""
+    spark = rows.sparkSession
+    folder = work_path(spark, "archives")
+
+    def store(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for ending, content in pack(batches):
+            yield pd.DataFrame({"uri": [write_new(folder, ending, [content])]})
+
+    return [r.uri for r in written(rows.mapInPandas(store, "uri string"), "archives").toLocalIterator()]
+
+
+def _zip_batches(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[str, bytes]]:
+    """One archive per Arrow batch: a CSV per turbine, those of even turbines inside an inner archive, which is compressed
+    in every other archive."""
     for number, batch in enumerate(batches):
         outer, inner = io.BytesIO(), io.BytesIO()
-        with zipfile.ZipFile(outer, "w") as top, zipfile.ZipFile(inner, "w") as nested:
-            for n, part in batch.groupby("n"):
-                target = nested if n % 2 == 0 else top
-                target.writestr(f"data/Turbine_Data_Kelmarsh_{n}_part.csv", "\n".join(part["line"]) + "\n")
+        with zipfile.ZipFile(outer, "w", zipfile.ZIP_DEFLATED if number % 2 else zipfile.ZIP_STORED) as top:
+            with zipfile.ZipFile(inner, "w", zipfile.ZIP_DEFLATED) as nested:
+                for n, part in batch.groupby("n"):
+                    target = nested if n % 2 == 0 else top
+                    target.writestr(f"data/Turbine_Data_Kelmarsh_{n}_part.csv", "\n".join(part["line"]) + "\n")
+                nested.writestr("Status_Kelmarsh_1.csv", "not one either\n")
             top.writestr("readme.txt", "not a turbine file\n")
-            nested.writestr("Status_Kelmarsh_1.csv", "not one either\n")
-            nested.close()
             top.writestr("year.zip", inner.getvalue())
-        yield pd.DataFrame({"path": [f"archive-{number}.zip"], "content": [outer.getvalue()]})
+        yield ".zip", outer.getvalue()
 
 
 @query("ingest_archives", """SELECT CASE WHEN (user_id % 6 + 1) % 2 = 0 THEN 'year.zip/' ELSE '' END
@@ -169,11 +183,10 @@ def ingest_archives(spark, sf):
     rows = table(spark, sf, "events").select(
         (F.col("user_id") % 6 + 1).alias("n"),
         F.concat_ws(",", F.col("event_id").cast("string"), "event_type", F.lit("é")).alias("line"))
-    archives = rows.mapInPandas(_zip_batches, "path string, content binary")
-    return member_lines(archives, I.TURBINE_MEMBER).select("member", "line")
+    return member_lines(spark, _stored_archives(rows, _zip_batches), I.TURBINE_MEMBER).select("member", "line")
 
 
-def _archives(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _archives(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[str, bytes]]:
     """One archive per file of (file, text): inside it a nested archive that holds the file."""
     for batch in batches:
         for name, text in zip(batch["file"], batch["text"]):
@@ -183,7 +196,7 @@ def _archives(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             with zipfile.ZipFile(outer, "w") as top:
                 top.writestr("Device_Data_Kelmarsh_PMU_9.csv", text)
                 top.writestr("year.zip", inner.getvalue())
-            yield pd.DataFrame({"path": [f"{name}.zip"], "content": [outer.getvalue()]})
+            yield f"-{name}.zip", outer.getvalue()
 
 
 @query("ingest_turbine_archives", TURBINE_SQL)
@@ -191,8 +204,7 @@ def ingest_turbine_archives(spark, sf):
     lines = spark.read.option("recursiveFileLookup", "true").text(_turbine_files(spark, sf), wholetext=True)
     named = F.regexp_extract(F.col("_metadata.file_path"), "file=([^/]+)", 1)
     files = lines.select(named.alias("file"), F.col("value").alias("text"))
-    archives = files.mapInPandas(_archives, "path string, content binary")
-    return without_zone(rounded(I.ingest_turbine_archives(spark, archives)))
+    return without_zone(rounded(I.ingest_turbine_archives(spark, _stored_archives(files, _archives))))
 
 
 # load files: one per year and stretch of orders, local clock, a trailer line

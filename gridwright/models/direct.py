@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import (
@@ -17,41 +19,12 @@ from pyspark.ml.regression import (
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridwright.models.boosting import BoostedModel, Boosting, boost_horizons
 from gridwright.operators.features import horizon_columns, select_horizon
 from gridwright.operators.metrics import error_columns, persistence_columns, summarise
 from gridwright.operators.runs import leaderboard
 from gridwright.operators.windows import Series, add_targets
-from gridwright.session import written
-
-
-@dataclass(frozen=True)
-class Boosting:
-    """Boosted-tree settings. As many rounds are kept as do best on val; training ends once `patience` more have not
-    done better."""
-
-    rounds: int = 500
-    rate: float = 0.05
-    depth: int = 6
-    min_rows: int = 10
-    row_share: float = 0.8
-    column_share: float = 0.8
-    patience: int = 50
-    seed: int = 7
-
-    def estimator(self, rounds: int) -> GBTRegressor:
-        return GBTRegressor(
-            featuresCol="features", labelCol="target", predictionCol="prediction", maxIter=rounds,
-            stepSize=self.rate, maxDepth=self.depth, minInstancesPerNode=self.min_rows,
-            subsamplingRate=self.row_share, featureSubsetStrategy=str(self.column_share), seed=self.seed)
-
-
-def best_rounds(errors: Sequence[float], patience: int) -> tuple[int, bool]:
-    """How many rounds do best, and whether `patience` further ones have followed."""
-    kept = min(range(len(errors)), key=lambda i: errors[i]) + 1
-    for i, error in enumerate(errors):
-        if i >= patience and min(errors[i - patience + 1: i + 1]) >= min(errors[: i - patience + 1]):
-            return min(range(i + 1), key=lambda k: errors[k]) + 1, True
-    return kept, False
+from gridwright.session import small_table, written
 
 
 def targets_table(df: DataFrame, series: Series, target: str, horizons: Sequence[int]) -> DataFrame:
@@ -77,24 +50,6 @@ def _pipeline(features: Sequence[str], model: Estimator) -> Pipeline:
     return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"), model])
 
 
-def _boosted(train: DataFrame, val: DataFrame, features: Sequence[str], settings: Boosting) -> PipelineModel:
-    """Rounds are tried in growing numbers; as the seed stays, the first rounds of each trial are the same trees."""
-    tried = min(settings.rounds, 2 * settings.patience)
-    unseen = val.isEmpty()
-    while True:
-        model = _pipeline(features, settings.estimator(tried)).fit(train)
-        if unseen:
-            if tried == settings.rounds:
-                return model
-            tried = settings.rounds
-            continue
-        errors = model.stages[-1].evaluateEachIteration(model.stages[0].transform(val), "squared")
-        kept, settled = best_rounds(errors, settings.patience)
-        if settled or tried == settings.rounds:
-            return model if kept == tried else _pipeline(features, settings.estimator(kept)).fit(train)
-        tried = min(settings.rounds, 2 * tried)
-
-
 def trainable_horizons(table: DataFrame, horizons: Sequence[int]) -> list[int]:
     """The horizons for which the training split has any target."""
     counts = table.where(F.col("split") == "train").agg(*[F.count(f"target_h{h}") for h in horizons]).first()
@@ -104,25 +59,22 @@ def trainable_horizons(table: DataFrame, horizons: Sequence[int]) -> list[int]:
 def train_horizons(
     table: DataFrame, features: Sequence[str], horizons: Sequence[int],
     settings: Boosting | Estimator = Boosting(),
-) -> dict[int, PipelineModel]:
-    """One model per horizon, fitted on train: boosted trees that stop early on val, or any estimator of `target` from
-    `features`. Features must be free of nulls in those splits. A horizon without a training target has no model."""
+) -> dict[int, BoostedModel | PipelineModel]:
+    """One model per horizon, fitted on train: boosted trees, grown for all horizons together, each cut back to the
+    rounds that do best on val, or any estimator of `target` from `features`. An estimator needs features free of nulls.
+    A horizon without a training target has no model."""
+    if isinstance(settings, Boosting):
+        return boost_horizons(table, {h: horizon_columns(table.columns, features, h) for h in horizons}, settings)
     models = {}
     for h in trainable_horizons(table, horizons):
         present = list(horizon_columns(table.columns, features, h))
-        rows = horizon_frame(table, present, h)
-        train, val = (rows.where(F.col("split") == s).select("target", *present).persist() for s in ("train", "val"))
-        if isinstance(settings, Boosting):
-            models[h] = _boosted(train, val, present, settings)
-        else:
-            models[h] = _pipeline(present, settings).fit(train)
-        train.unpersist()
-        val.unpersist()
+        train = horizon_frame(table, present, h).where(F.col("split") == "train").select("target", *present)
+        models[h] = _pipeline(present, settings).fit(train)
     return models
 
 
 def predict_horizons(
-    models: Mapping[int, PipelineModel],
+    models: Mapping[int, BoostedModel | PipelineModel],
     table: DataFrame,
     features: Sequence[str],
     keep: Sequence[str] = (),
@@ -180,3 +132,77 @@ def model_leaderboard(
         reduce(DataFrame.unionByName, scored), ["horizon", "model"],
         {"mae": errors["mae"], "rmse": errors["rmse"]})
     return leaderboard(scores)
+
+
+def greedy_weights(gram: np.ndarray, cross: np.ndarray, rounds: int) -> np.ndarray:
+    """Shares of an average of models, drawn with replacement: each draw is the one that lowers the squared error most.
+    `gram` holds the sums of products of the models' predictions, `cross` those with the target."""
+    counts = np.zeros(len(cross))
+    best, best_error = counts, np.inf
+    for drawn in range(1, rounds + 1):
+        tries = [(counts + one) / drawn for one in np.eye(len(cross))]
+        errors = [w @ gram @ w - 2 * w @ cross for w in tries]
+        pick = int(np.argmin(errors))
+        counts = tries[pick] * drawn
+        if errors[pick] < best_error:
+            best, best_error = tries[pick], errors[pick]
+    return best
+
+
+def _fitted(rows: DataFrame, present: Sequence[str], candidates: Mapping[str, Estimator]) -> PipelineModel:
+    """All candidates as one model: a prediction column per candidate, from features assembled once."""
+    assembler = VectorAssembler(inputCols=list(present), outputCol="features")
+    ready = assembler.transform(rows)
+    fits = [c.copy({c.predictionCol: name}).fit(ready) for name, c in candidates.items()]
+    return PipelineModel(stages=[assembler, *fits])
+
+
+def out_of_fold(rows: DataFrame, present: Sequence[str], candidates: Mapping[str, Estimator], folds: int) -> DataFrame:
+    """(target, a column per candidate): each row predicted by fits that have not seen its fold."""
+    parts = []
+    for fold in range(folds):
+        fitted = _fitted(rows.where(F.col("fold") != fold), present, candidates)
+        parts.append(fitted.transform(rows.where(F.col("fold") == fold)).select("target", *candidates))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _ensemble_scores(
+    table: DataFrame, features: Sequence[str], horizon: int, candidates: Mapping[str, Estimator], folds: int, draws: int, time: str,
+) -> DataFrame:
+    present = list(horizon_columns(table.columns, features, horizon))
+    week = F.pmod(F.xxhash64(F.date_trunc("week", F.col(time))), F.lit(folds))
+    frame = horizon_frame(table.withColumn("fold", week), present, horizon, ["fold"])
+    train = frame.where(F.col("split") == "train")
+    names = list(candidates)
+    held = out_of_fold(train, present, candidates, folds)
+    products = {f"{a}|{b}": F.sum(F.col(a) * F.col(b)) for i, a in enumerate(names) for b in [*names[i:], "target"]}
+    sums = held.agg(*[c.alias(n) for n, c in products.items()]).first()
+    gram = np.array([[float(sums[f"{a}|{b}" if f"{a}|{b}" in products else f"{b}|{a}"] or 0.0) for b in names] for a in names])
+    shares = greedy_weights(gram, np.array([float(sums[f"{a}|target"] or 0.0) for a in names]), draws)
+    scored = _fitted(train, present, candidates).transform(frame.where(F.col("split") == "val"))
+    mixed = reduce(lambda a, b: a + b, [F.lit(float(w)) * F.col(n) for w, n in zip(shares, names)])
+    long = scored.withColumn("ensemble", mixed).select("target", *names, "ensemble").unpivot(
+        "target", [*names, "ensemble"], "model", "prediction")
+    share = small_table(table.sparkSession, [*zip(names, map(float, shares)), ("ensemble", None)], "model string, share double")
+    errors = error_columns("target", "prediction")
+    scores = summarise(long, ["model"], {"mae": errors["mae"], "rmse": errors["rmse"]})
+    return scores.join(F.broadcast(share), "model").withColumn("horizon", F.lit(horizon))
+
+
+def ensemble_leaderboard(
+    table: DataFrame, features: Sequence[str], horizons: Sequence[int], candidates: Mapping[str, Estimator] | None = None,
+    folds: int = 2, draws: int = 20, parallel: int = 5, time: str = "timestamp_utc",
+) -> DataFrame:
+    """(horizon, model, mae, rmse, share, rank) of the candidates and of their greedy ensemble, by errors on val.
+
+    The shares come from predictions of train rows by fits without the row's fold, a fold being a hash of the calendar
+    week; one aggregate of their products is all that the selection sees. Horizons are fitted side by side.
+    """
+    every = candidates or default_candidates()
+    known = trainable_horizons(table, horizons)
+    with ThreadPool(max(1, min(parallel, len(known)))) as pool:
+        parts = pool.map(inheritable_thread_target(table.sparkSession)(
+            lambda h: _ensemble_scores(table, features, h, every, folds, draws, time)), known)
+    none = table.select(
+        F.lit("").alias("model"), *[F.lit(0.0).alias(c) for c in ("mae", "rmse", "share")], F.lit(0).alias("horizon")).limit(0)
+    return leaderboard(reduce(DataFrame.unionByName, parts, none))

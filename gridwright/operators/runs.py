@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from gridwright.operators.metrics import CURVE_METRICS, CURVE_SUFFIX
 from gridwright.operators.resample import dedupe_first
 from gridwright.operators.weather import cells
+from gridwright.session import written
 
 # Report order of backends and of feature-set stems.
 BACKEND_RANK = {"xgboost": 0, "autogluon": 1, "mlforecast": 2, "tso": 9}
@@ -97,13 +98,58 @@ def run_cells(runs: DataFrame, metrics: DataFrame) -> DataFrame:
     return with_labels(runs).join(wide, "run_id")
 
 
-def runs_pivot(runs: DataFrame, metrics: DataFrame, horizons: Sequence[int]) -> DataFrame:
-    """One row per run, one column `h{h}_{metric}` per listed horizon; order by the rank columns."""
-    keys = [f"h{h}_{m}" for m in ("mae", "rmse", "skill_score") for h in horizons]
+#: More horizons than this are no table that anyone reads.
+MOST_HORIZONS = 512
+PIVOTED = ("mae", "rmse", "skill_score")
+
+
+def runs_pivot(runs: DataFrame, metrics: DataFrame, horizons: Sequence[int] | None = None) -> DataFrame:
+    """One row per run, one column `h{h}_{metric}` per horizon; order by the rank columns. Horizons that are not given are
+    those that any run has a value for."""
+    if horizons is None:
+        return _found_pivot(runs, metrics)[0]
+    keys = [f"h{h}_{m}" for m in PIVOTED for h in horizons]
     wide = metrics.where(F.col("key").isin(*keys)).groupBy("run_id").agg(*cells("key", keys))
     return with_labels(runs).join(wide, "run_id", "left")
 
 
+def _found_pivot(runs: DataFrame, metrics: DataFrame) -> tuple[DataFrame, list[int]]:
+    """The pivot and its horizons. One aggregation puts each run's cells into a map, the greatest value of a key that comes
+    twice; the horizons are read off the written maps."""
+    parsed = parse_metric_keys(metrics).where(F.col("metric").isin(*PIVOTED))
+    entries = F.array_sort(F.collect_list(F.struct("key", "value")))
+    packed = parsed.groupBy("run_id").agg(entries.alias("_entries"))
+    last = F.filter("_entries", lambda x, i: (i == F.size("_entries") - 1) | (F.get("_entries", i + 1)["key"] != x["key"]))
+    maps = written(packed.select("run_id", F.map_from_entries(last).alias("_cells")), "cells")
+    found = maps.select(F.explode(F.map_keys("_cells")).alias("key")).select(horizon_of(F.col("key")).alias("h")).distinct()
+    horizons = sorted(r.h for r in found.limit(MOST_HORIZONS + 1).collect())
+    if len(horizons) > MOST_HORIZONS:
+        raise ValueError(f"more than {MOST_HORIZONS} horizons: name those to show")
+    keys = [f"h{h}_{m}" for m in PIVOTED for h in horizons]
+    wide = with_labels(runs).join(maps, "run_id", "left")
+    return wide.select(*[c for c in wide.columns if c != "_cells"], *[F.col("_cells")[k].alias(k) for k in keys]), horizons
+
+
+def comparison_report(runs: DataFrame, metrics: DataFrame) -> DataFrame:
+    """One row per run: its label and, for every horizon that any run has, texts of its MAE, its skill and its skill against
+    the baseline run."""
+    wide, horizons = _found_pivot(runs, metrics)
+    wide = written(wide, "pivot")
+    is_base = (F.col("backend") == "xgboost") & (feature_set_stem(F.col("feature_set")) == "baseline")
+    valued = F.greatest(*[F.col(f"h{h}_{m}").isNotNull() for h in horizons for m in PIVOTED], F.lit(False), F.lit(False))
+    errors = [f"h{h}_{m}" for h in horizons for m in ("rmse", "mae")]
+    base = wide.where(is_base & valued).agg(*[F.min_by(c, "run_id").alias(c) for c in errors], F.count("*").alias("_n")).first()
+    out = []
+    for h in horizons:
+        # The baseline's RMSE decides where it has one, else its MAE; an error of zero compares to nothing.
+        chosen = next((c for c in (f"h{h}_rmse", f"h{h}_mae") if base[c] is not None), None)
+        against = 1 - F.col(chosen) / F.nullif(F.lit(base[chosen]), F.lit(0.0)) if chosen else F.lit(None).cast("double")
+        out += [cell_text(F.col(f"h{h}_mae"), "%.0f", 0).alias(f"h{h}_mae"),
+                cell_text(F.col(f"h{h}_skill_score"), "%.3f", 3).alias(f"h{h}_skill"),
+                cell_text(against, "%+.3f", 3).alias(f"h{h}_skill_vs_baseline")]
+    return wide.select("run_id", "label", *out)
+
+
 def report_order(runs: DataFrame) -> DataFrame:
     return runs.orderBy("backend_rank", "stem_rank", "run_id")
 
@@ -114,6 +160,7 @@ def skill_vs_baseline(cells: DataFrame) -> DataFrame:
     The baseline is the first xgboost run with a baseline feature set. The error is RMSE where the
     baseline has it, else MAE. The joined side has one row per horizon.
     """
+    cells = written(cells, "cells")
     is_base = (F.col("backend") == "xgboost") & (feature_set_stem(F.col("feature_set")) == "baseline")
     chosen = cells.where(is_base).agg(F.min("run_id")).scalar()
     base = cells.where(is_base & (F.col("run_id") == chosen)).select(
@@ -127,20 +174,20 @@ def skill_vs_baseline(cells: DataFrame) -> DataFrame:
     )
 
 
-def comparison_table(cells: DataFrame) -> DataFrame:
-    """Formatted cells: whole MAE, skills with three decimals, a dash where there is no value.
+def cell_text(value: Column, pattern: str, digits: int) -> Column:
+    """A formatted cell, a dash where there is no value. A value half way between two texts takes the even one; a small
+    negative value keeps its sign."""
+    even = F.bround(value, digits)
+    minus_zero = F.lit("-" + f"{0:.{digits}f}")
+    shown = F.when((even == 0) & (value < 0), minus_zero).otherwise(F.format_string(pattern, even))
+    return F.coalesce(F.when(value.isNotNull(), shown), F.lit("—"))
 
-    A value half way between two texts takes the even one; a small negative value keeps its sign.
-    """
-    def text(column: str, pattern: str, digits: int) -> Column:
-        even = F.bround(column, digits)
-        minus_zero = F.lit("-" + f"{0:.{digits}f}")
-        shown = F.when((even == 0) & (F.col(column) < 0), minus_zero).otherwise(F.format_string(pattern, even))
-        return F.coalesce(F.when(F.col(column).isNotNull(), shown), F.lit("—"))
 
-    out = [text("mae", "%.0f", 0).alias("mae"), text("skill_score", "%.3f", 3).alias("skill")]
+def comparison_table(cells: DataFrame) -> DataFrame:
+    """Formatted cells per run and horizon: whole MAE, skills with three decimals."""
+    out = [cell_text(F.col("mae"), "%.0f", 0).alias("mae"), cell_text(F.col("skill_score"), "%.3f", 3).alias("skill")]
     if "skill_vs_baseline" in cells.columns:
-        out.append(text("skill_vs_baseline", "%+.3f", 3).alias("skill_vs_baseline"))
+        out.append(cell_text(F.col("skill_vs_baseline"), "%+.3f", 3).alias("skill_vs_baseline"))
     return cells.select("run_id", "label", "horizon", *out)
 
 

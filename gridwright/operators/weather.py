@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from gridwright.functions.scalars import location_key
 from gridwright.operators.windows import small_side
-from gridwright.session import small_table
+from gridwright.session import small_table, written
 
 TIME = "timestamp_utc"
 LONG_KEY = ("location_key", TIME, "variable")
@@ -223,9 +223,10 @@ def hourly_grid(df: DataFrame) -> DataFrame:
 # aligning with observations
 
 def upsample(
-    wide: DataFrame, step_minutes: int, source_minutes: int = 60, keys: Sequence[str] = ()
+    wide: DataFrame, step_minutes: int, source_minutes: int = 60, keys: Sequence[str] = (), bounds: tuple | None = None,
 ) -> DataFrame:
-    """Forward-filled grid from the first to the last source time at the finer step.
+    """Forward-filled grid from the first to the last source time at the finer step. Who knows these times passes them as
+    `bounds`, where there are no keys.
 
     Each source row is filled from its predecessors and then repeated up to the next source row, so
     the windows run over the few source rows and not over the grid. They run month by month; a
@@ -240,7 +241,7 @@ def upsample(
     if keys:
         bounded = wide.join(wide.groupBy(*keys).agg(*ends), list(keys))
     else:
-        first, last = wide.agg(*ends).first()
+        first, last = bounds or wide.agg(*ends).first()
         if first is None:
             return wide
         kind = wide.schema[TIME].dataType
@@ -281,10 +282,11 @@ def horizons_table(
     variables: Sequence[str] | None = None,
     prefix: str = "nwp_",
     keys: Sequence[str] = (),
+    bounds: tuple | None = None,
 ) -> DataFrame:
     """Weather as seen from each observation time: `{prefix}{variable}_h{h}` is its value h steps on."""
     names = list(variables or variables_of(wide, [*keys, TIME]))
-    grid = upsample(wide.select(*keys, TIME, *names), step_minutes, keys=keys)
+    grid = upsample(wide.select(*keys, TIME, *names), step_minutes, keys=keys, bounds=bounds)
     shifted = grid.select(
         *keys, *names,
         F.inline(F.array(*[
@@ -311,15 +313,18 @@ def join_horizons(
 ) -> DataFrame:
     """One left join for all horizons.
 
-    The weather side is broadcast if its size, which follows from its first and last times, is small
-    enough; the observations then need no shuffle. Else the planner decides.
+    The weather is written once, so its source is evaluated once; its first and last times, read off the written table, say
+    how large the joined table can be. It is broadcast if that is small enough, and the observations then need no shuffle.
+    Else the planner decides.
     """
-    names = variables or variables_of(wide, [*keys, TIME])
+    names = list(variables or variables_of(wide, [*keys, TIME]))
     if not names:
         return df
-    table = horizons_table(wide, horizons, step_minutes, variables, prefix, keys)
+    stored = written(wide.select(*keys, TIME, *names), "weather")
+    rows, bounds = most_rows(stored, horizons, step_minutes, keys)
+    table = horizons_table(stored, horizons, step_minutes, names, prefix, keys, bounds)
     row_bytes = 8 * (len(names) * len(horizons) + 2) + KEY_BYTES * len(keys)
-    if most_rows(wide, horizons, step_minutes, keys) * row_bytes <= MAX_BROADCAST_BYTES:
+    if rows * row_bytes <= MAX_BROADCAST_BYTES:
         table = F.broadcast(table)
     return df.join(table, [*keys, TIME], "left")
 
@@ -327,11 +332,12 @@ def join_horizons(
 def most_rows(
     wide: DataFrame, horizons: Sequence[int], step_minutes: int, keys: Sequence[str] = (),
     source_minutes: int = 60,
-) -> int:
-    """No fewer rows than the horizons table can have."""
-    if step_minutes >= source_minutes:
-        return wide.count() * len(horizons)
+) -> tuple[int, tuple | None]:
+    """No fewer rows than the horizons table can have, and the first and last time where there are no keys."""
     seconds = (F.max(TIME) - F.min(TIME)).cast("interval second").cast("decimal(20,6)")
-    spans = wide.groupBy(*keys).agg((seconds / (60 * step_minutes)).alias("steps"))
-    total = spans.agg(F.sum(F.col("steps") + max(horizons) + 2)).first()[0]
-    return int(total or 0)
+    spans = wide.groupBy(*keys).agg(
+        (seconds / (60 * step_minutes)).alias("steps"), F.count("*").alias("n"), F.min(TIME).alias("a"), F.max(TIME).alias("b"))
+    steps, n, first, last = spans.agg(
+        F.sum(F.col("steps") + max(horizons) + 2), F.sum("n"), F.min("a"), F.max("b")).first()
+    rows = int(n or 0) * len(horizons) if step_minutes >= source_minutes else int(steps or 0)
+    return rows, None if keys else (first, last)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,9 +10,17 @@ from pyspark.sql import functions as F
 from gridwright.functions import scalars as S
 from gridwright.operators.resample import bucket_mean, dedupe_first, group_mean
 from gridwright.schemas import to_canonical
-from gridwright.session import work_path
+from gridwright.session import work_path, written
 from gridwright.sources.archives import write_members
-from gridwright.sources.delimited import Format, Layout, file_table, layouts, read_layout, with_file_peak
+from gridwright.sources.delimited import (
+    MAX_BROADCAST_FILES,
+    Delimited,
+    Format,
+    has,
+    read_delimited,
+    usable,
+    with_file_peak,
+)
 from gridwright.sources.scan import scan_csv
 
 # Vendor headers, null tokens, file-name patterns and time zones.
@@ -30,6 +38,8 @@ TURBINE_COLUMNS = {
     "Nacelle temperature (°C)": "nacelle_temp_c",
     "Data Availability": "data_availability",
 }
+TURBINE_TIME = "# Date and time"
+TURBINE_HEADER = r"^#.*Date and time"
 TURBINE_NULLS = ("", "NA", "NaN", "N/A", "-999", "-9999")
 TURBINE_MEMBER = r"^Turbine_Data_Kelmarsh_.*\.csv$"
 # The name of a file, or of the folder that holds its lines once they are written as text; there %2F, or %252F in a URI, stands for /.
@@ -41,6 +51,7 @@ UNSCALED_BELOW_KW = 500.0
 UNSCALED_FACTOR = 6.0
 LOAD_COLUMNS = {
     "Date": "day", "Heures": "clock", "Consommation": "load_mw", "Prévision J-1": "tso_forecast_mw"}
+LOAD_HEADER = r"Date\tHeures.*Consommation|Consommation.*Date\tHeures"
 LOAD_NULLS = ("ND", "-", "DC", "")
 LOAD_MEMBER = r"\.xls$"
 LOAD_ENCODING = "ISO-8859-1"
@@ -52,6 +63,7 @@ PV_COLUMNS = {
     "ambient_temp__320": "ambient_temp_c",
     "module_temp_1__321": "module_temp_c",
 }
+PV_TIME = "measured_on"
 PV_NULLS = ("", "NA", "NaN")
 PV_ZONE = "America/Denver"
 WEATHER_OUTLIERS = [("Barcelona", "pressure", 1100.0), ("Valencia", "wind_speed", 50.0)]
@@ -69,60 +81,48 @@ def series_id_from_path(path: Column) -> Column:
         F.raise_error(problem).cast("string"))
 
 
-def scale_small_files(df: DataFrame, n_files: int | None = None) -> DataFrame:
+def scale_small_files(df: DataFrame, by: str = "file", n_files: int | None = None) -> DataFrame:
     """Files whose largest power is small hold energy per 10 minutes: six times that is power."""
-    peaked = with_file_peak(df, "active_power_kw", n_files)
+    peaked = with_file_peak(df, "active_power_kw", by, n_files)
     power = F.col("active_power_kw")
     scaled = F.when(F.col("_peak") < UNSCALED_BELOW_KW, power * UNSCALED_FACTOR).otherwise(power)
     return peaked.withColumn("active_power_kw", scaled).drop("_peak")
 
 
-def _turbine_frame(spark: SparkSession, layout: Layout, fmt: Format) -> DataFrame:
-    raw = read_layout(spark, layout, TURBINE_COLUMNS, fmt)
-    have = set(raw.columns)
-    if "timestamp_raw" not in have:
-        raise ValueError(f"no time column in {layout.files[0]}")
-    number = {c: S.number_or_null(F.col(c), TURBINE_NULLS) for c in (*_SIGNALS, *_PITCH) if c in have}
-    pitch = [number[c] for c in _PITCH if c in number]
-    status = (
-        S.status_from_availability(S.number_or_null(F.col("data_availability"), TURBINE_NULLS))
-        if "data_availability" in have else F.lit(0))
-    signals = [number[c].alias(c) for c in _SIGNALS if c in number]
-    frame = raw.select(
-        "file", "position", S.parse_utc(F.trim("timestamp_raw")).alias("timestamp_utc"), *signals,
-        (S.mean_horizontal(*pitch) if pitch else F.lit(None).cast("double")).alias("pitch_angle_deg"),
-        status.alias("status_code"))
-    return scale_small_files(frame, len(layout.files)) if "active_power_kw" in number else frame
+def read_turbine_csv(spark: SparkSession, path: str, pattern: str = "*.csv*") -> Delimited:
+    """Turbine CSVs with `#` comment lines and a header that itself starts with `#`. Other files of the vendor in the same
+    folder are not looked at."""
+    fmt = Format(TURBINE_HEADER, comment="#")
+    return read_delimited(spark, path, TURBINE_COLUMNS, fmt, pattern, TURBINE_FILE, needed=[TURBINE_TIME])
 
 
 def ingest_turbine_csv(spark: SparkSession, path: str, pattern: str = "*.csv*") -> DataFrame:
-    """A folder of turbine CSVs with `#` comment lines and a header that itself starts with `#`. Other files of the
-    vendor in the same folder are left out."""
-    fmt = Format(comment="#", header_is_comment=True)
-    is_header = F.col("line").startswith("#") & F.col("line").contains("Date and time")
-    found = layouts(spark, path, is_header, fmt, pattern, TURBINE_FILE)
-    if not found:
-        raise FileNotFoundError(f"no turbine data below {path}")
-    rows = reduce(
-        lambda a, b: a.unionByName(b, allowMissingColumns=True),
-        [_turbine_frame(spark, layout, fmt) for layout in found])
-    files = file_table(spark, found).withColumn("turbine_id", series_id_from_path(F.col("file")))
-    named = rows.join(files, "file").drop("file")
+    """A folder of turbine CSVs to the canonical table. The parsed rows are written, since the files' peaks need a second look."""
+    read = usable(read_turbine_csv(spark, path, pattern), path, "turbine data")
+    number = {c: S.number_or_null(F.col(c), TURBINE_NULLS) for c in (*_SIGNALS, *_PITCH)}
+    status = S.status_from_availability(S.number_or_null(F.col("data_availability"), TURBINE_NULLS))
+    parsed = written(read.rows.select(
+        "file_no", "position", S.parse_utc(F.trim("timestamp_raw")).alias("timestamp_utc"),
+        *[number[c].alias(c) for c in _SIGNALS], S.mean_horizontal(*[number[c] for c in _PITCH]).alias("pitch_angle_deg"),
+        F.when(has(TURBINE_COLUMNS, "data_availability"), status).otherwise(0).alias("status_code")), "parsed")
+    files = read.files.where("fault is null").select("file_no", series_id_from_path(F.col("file")).alias("turbine_id"))
+    few = read.n_files <= MAX_BROADCAST_FILES
+    named = scale_small_files(parsed, "file_no", read.n_files).join(F.broadcast(files) if few else files, "file_no")
     first = dedupe_first(
         named, ["timestamp_utc", "turbine_id"], [F.col("file_no"), F.col("position")])
     unique = first.withColumns({"dataset_id": F.lit("kelmarsh"), **init_flags("wind")})
     return to_canonical(unique, "wind")
 
 
-def ingest_turbine_archives(spark: SparkSession, archives: DataFrame) -> DataFrame:
-    """Turbine archives (path, content) to the canonical table, nested archives included."""
-    text = write_members(archives, work_path(spark, "turbine-members"), TURBINE_MEMBER)
+def ingest_turbine_archives(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Turbine archives (files or folders) to the canonical table, nested archives included."""
+    text = write_members(spark, paths, work_path(spark, "turbine-members"), TURBINE_MEMBER)
     return ingest_turbine_csv(spark, text, "*")
 
 
-def ingest_load_archives(spark: SparkSession, archives: DataFrame) -> DataFrame:
-    """Yearly load archives (path, content) to the canonical table."""
-    text = write_members(archives, work_path(spark, "load-members"), LOAD_MEMBER, LOAD_ENCODING)
+def ingest_load_archives(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Yearly load archives (files or folders) to the canonical table."""
+    text = write_members(spark, paths, work_path(spark, "load-members"), LOAD_MEMBER, LOAD_ENCODING)
     return ingest_load_tsv(spark, text)
 
 
@@ -132,18 +132,16 @@ def init_flags(domain: str) -> dict[str, Column]:
     return {**{f: F.lit(False) for f in flags}, "qc_flag": F.lit(0).cast("tinyint")}
 
 
+def read_load_tsv(spark: SparkSession, path: str, encoding: str = "UTF-8", pattern: str = "*") -> Delimited:
+    return read_delimited(
+        spark, path, LOAD_COLUMNS, Format(LOAD_HEADER, "\t", encoding), pattern, needed=list(LOAD_COLUMNS))
+
+
 def ingest_load_tsv(
     spark: SparkSession, path: str, encoding: str = "UTF-8", pattern: str = "*"
 ) -> DataFrame:
     """A folder of yearly load files: local time, quarter-hours, a trailer line without a date."""
-    fmt = Format(separator="\t", encoding=encoding)
-    line = F.col("line")
-    is_header = line.contains("Date\tHeures") & line.contains("Consommation")
-    found = layouts(spark, path, is_header, fmt, pattern)
-    if not found:
-        raise FileNotFoundError(f"no load files below {path}")
-    rows = reduce(
-        DataFrame.unionByName, [read_layout(spark, layout, LOAD_COLUMNS, fmt) for layout in found])
+    rows = usable(read_load_tsv(spark, path, encoding, pattern), path, "load files").rows
     dated = drop_trailer_rows(rows, ("day", "clock"), LOAD_NULLS)
     local = F.try_to_timestamp(F.concat_ws(" ", "day", "clock"), F.lit("yyyy-MM-dd HH:mm"))
     readings = dated.select(
@@ -196,16 +194,10 @@ def ingest_load_and_weather(spark: SparkSession, energy_path: str, weather_path:
     return to_canonical(joined, "demand")
 
 
-def _pv_frame(spark: SparkSession, layout: Layout, fmt: Format) -> DataFrame:
-    raw = read_layout(spark, layout, PV_COLUMNS, fmt)
-    have = set(raw.columns)
-    signals = [
-        S.number_or_null(F.col(c), PV_NULLS).alias(c)
-        for c in ("poa_wm2", "ambient_temp_c", "module_temp_c") if c in have]
-    if "power_watts" in have:
-        signals.append(S.watts_to_kw(S.number_or_null(F.col("power_watts"), PV_NULLS)).alias("power_kw"))
-    utc = S.local_to_utc(S.parse_utc(F.col("measured_on")), PV_ZONE)
-    return raw.select(utc.alias("timestamp_utc"), *signals)
+def read_pv_csv(spark: SparkSession, path: str, year: int | None = None, pattern: str | None = None) -> Delimited:
+    glob = pattern or f"system_4__date_{'' if year is None else f'{year}_'}*.csv"
+    signals = [c for c in PV_COLUMNS if c != PV_TIME]
+    return read_delimited(spark, path, PV_COLUMNS, Format(PV_TIME), glob, needed=[PV_TIME], any_of=signals)
 
 
 def ingest_pv_csv(
@@ -215,18 +207,12 @@ def ingest_pv_csv(
 
     Files without a time column or without any signal are left out.
     """
-    fmt = Format()
-    glob = pattern or f"system_4__date_{'' if year is None else f'{year}_'}*.csv"
-    found = [
-        layout for layout in layouts(spark, path, F.col("line").contains("measured_on"), fmt, glob)
-        if "measured_on" in layout.names and any(n in PV_COLUMNS for n in layout.names if n != "measured_on")
-    ]
-    if not found:
-        raise FileNotFoundError(f"no photovoltaic files below {path}")
-    rows = reduce(
-        lambda a, b: a.unionByName(b, allowMissingColumns=True),
-        [_pv_frame(spark, layout, fmt) for layout in found])
-    signals = [c for c in rows.columns if c != "timestamp_utc"]
-    averaged = bucket_mean(rows, 15, signals).withColumns(
+    raw = usable(read_pv_csv(spark, path, year, pattern), path, "photovoltaic files").rows
+    signals = ("poa_wm2", "ambient_temp_c", "module_temp_c")
+    rows = raw.select(
+        S.local_to_utc(S.parse_utc(F.col("measured_on")), PV_ZONE).alias("timestamp_utc"),
+        *[S.number_or_null(F.col(c), PV_NULLS).alias(c) for c in signals],
+        F.when(has(PV_COLUMNS, "power_watts"), S.watts_to_kw(S.number_or_null(F.col("power_watts"), PV_NULLS))).alias("power_kw"))
+    averaged = bucket_mean(rows, 15, [*signals, "power_kw"]).withColumns(
         {"dataset_id": F.lit("pvdaq_system4"), "system_id": F.lit("4"), **init_flags("solar")})
     return to_canonical(averaged, "solar")

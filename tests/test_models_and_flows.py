@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gridwright.models import direct as D
 from gridwright.models import recursive as RC
+from gridwright.models.boosting import best_rounds
 from gridwright.operators.resample import temporal_split
 from gridwright.operators.weather import weather_site
 from gridwright.operators.windows import Series
@@ -50,7 +51,7 @@ def test_one_model_per_horizon_and_the_metrics_of_each(table):
     names = ["load_mw_lag1", "nwp_t", "absent"]
     models = D.train_horizons(table, names, [1, 2], QUICK)
     assert sorted(models) == [1, 2]
-    assert all(1 <= m.stages[-1].getNumTrees <= 8 for m in models.values())
+    assert all(1 <= len(m.trees) <= 8 and m.features == ["load_mw_lag1", "nwp_t"] for m in models.values())
     predictions = D.predict_horizons(models, table, names, keep=["load_mw_lag1"])
     out = {(r.horizon, r.split): r for r in D.evaluate_horizons(predictions, "load_mw_lag1").collect()}
     assert set(out) == {(h, s) for h in (1, 2) for s in ("val", "test")}
@@ -85,10 +86,10 @@ def series(spark):
 
 def test_best_rounds_waits_for_its_patience():
     errors = [5.0, 4.0, 4.5, 3.0, 3.5, 3.6, 3.7, 2.0]
-    assert D.best_rounds(errors, 2) == (4, True)
-    assert D.best_rounds(errors, 4) == (8, False)
-    assert D.best_rounds([1.0, 2.0, 3.0], 2) == (1, True)
-    assert D.best_rounds([3.0, 2.0, 1.0], 2) == (3, False)
+    assert best_rounds(errors, 2) == (4, True)
+    assert best_rounds(errors, 4) == (8, False)
+    assert best_rounds([1.0, 2.0, 3.0], 2) == (1, True)
+    assert best_rounds([3.0, 2.0, 1.0], 2) == (3, False)
 
 
 def test_recursive_forecast_equals_a_plain_loop(series, linear):
@@ -109,6 +110,98 @@ def test_recursive_forecast_equals_a_plain_loop(series, linear):
         assert got.ds.iloc[0] == past.ds.iloc[-1] + pd.Timedelta(minutes=10)
 
 
+@pytest.fixture(scope="module")
+def with_hour(series):
+    return series.withColumn("hour", F.hour("ds").cast("double")).withColumn("wave", F.sin(F.minute("ds") / 7.0))
+
+
+def _future(frame, steps, shift=0):
+    step = F.expr("interval '10' minute")
+    ends = frame.groupBy("unique_id").agg(F.max("ds").alias("e"))
+    times = ends.select("unique_id", F.explode(F.sequence(F.col("e") + (1 + shift) * step, F.col("e") + (steps + shift) * step, step)).alias("ds"))
+    return times.withColumn("hour", F.hour("ds").cast("double")).withColumn("wave", F.sin(F.minute("ds") / 7.0))
+
+
+def _plain_forecast(frame, key, steps, predict):
+    past = frame.where(F.col("unique_id") == key).toPandas().sort_values("ds")
+    values, last = list(past.y), past.ds.iloc[-1]
+    for k in range(1, steps + 1):
+        at = last + pd.Timedelta(minutes=10 * k)
+        x = {f"y_lag{n}": values[-n] for n in (1, 2, 3, 6, 12, 24)} | {"hour": float(at.hour), "wave": math.sin(at.minute / 7.0)}
+        for w in (6, 12, 24):
+            x[f"y_roll_mean_{w}"], x[f"y_roll_std_{w}"] = np.mean(values[-w:]), np.std(values[-w:], ddof=1)
+        values.append(predict(x))
+    return values[-steps:]
+
+
+def test_future_covariates_are_fed_step_by_step(with_hour, linear):
+    outside = ["hour", "wave"]
+    model = RC.fit_one_step(with_hour, "wind", linear, exogenous=outside)
+    out = RC.recursive_forecast(with_hour, model, "wind", 15, future=_future(with_hour, 20), exogenous=outside).toPandas()
+    names, fitted = [*RC.lag_feature_names(RC.DOMAINS["wind"]), *outside], model.stages[-1]
+    for key in ("a", "b"):
+        want = _plain_forecast(with_hour, key, 15, lambda x: fitted.intercept + float(np.dot(fitted.coefficients.toArray(), [x[n] for n in names])))
+        assert np.allclose(out[out.unique_id == key].sort_values("ds").prediction, want, rtol=1e-9)
+    assert len(out) == 30
+
+
+def test_one_fold_and_a_plan_per_step_agree(with_hour, linear, monkeypatch):
+    outside = ["hour"]
+    model = RC.fit_one_step(with_hour, "wind", linear, exogenous=outside, features=["y_lag1", "y_roll_std_6"])
+    given = dict(future=_future(with_hour, 14), exogenous=outside)
+    folded = RC.recursive_forecast(with_hour, model, "wind", 14, **given).orderBy("unique_id", "ds").collect()
+    monkeypatch.setattr(RC, "_linear", lambda _: None)
+    stepped = RC.recursive_forecast(with_hour, model, "wind", 14, **given).orderBy("unique_id", "ds").collect()
+    assert [(r.unique_id, r.ds) for r in folded] == [(r.unique_id, r.ds) for r in stepped] and len(folded) == 28
+    assert np.allclose([r.prediction for r in folded], [r.prediction for r in stepped], rtol=1e-9)
+
+
+def test_series_without_whole_future_have_no_forecast(with_hour, linear):
+    model = RC.fit_one_step(with_hour, "wind", linear, exogenous=["hour"])
+    whole = _future(with_hour, 6)
+    for future in (whole.where("unique_id = 'a' or minute(ds) <> 0"), whole.withColumn("hour", F.when(F.col("unique_id") == "a", F.col("hour"))),
+                   whole.where("unique_id = 'a'").unionByName(_future(with_hour, 6, 1).where("unique_id = 'b'")),
+                   whole.unionByName(whole.where("unique_id = 'b'"))):
+        out = RC.recursive_forecast(with_hour, model, "wind", 6, future=future, exogenous=["hour"])
+        assert [(r.unique_id, r["count"]) for r in out.groupBy("unique_id").count().collect()] == [("a", 6)]
+    with pytest.raises(ValueError, match="future values of hour"):
+        RC.recursive_forecast(with_hour, model, "wind", 6, exogenous=["hour"])
+
+
+def test_fold_sums_give_the_fits_of_cross_validation(with_hour):
+    plain = LinearRegression(featuresCol="features", labelCol="target", predictionCol="prediction", solver="normal")
+    for outside in ([], ["hour", "wave"]):
+        want = RC.cross_validate(with_hour, "wind", plain, [1, 3], 3, exogenous=outside).toPandas()
+        got = RC.cross_validate_linear(with_hour, "wind", [1, 3], 3, exogenous=outside).toPandas()
+        keys = ["unique_id", "cutoff", "horizon"]
+        want, got = want.sort_values(keys).reset_index(drop=True), got.sort_values(keys).reset_index(drop=True)
+        assert len(got) == 2 * 3 * 2 and list(got.columns) == list(want.columns)
+        assert (got[[*keys, "ds"]] == want[[*keys, "ds"]]).all().all() and np.allclose(got.y, want.y)
+        assert np.allclose(got.prediction, want.prediction, rtol=1e-6)
+
+
+def test_folds_start_from_the_last_row_before_their_cutoff(spark):
+    t0, rng = datetime(2024, 1, 1), np.random.default_rng(8)
+    times = np.cumsum(rng.choice([4, 10, 10, 25], 200))
+    rows = [("a", t0 + timedelta(minutes=int(m)), float(v)) for m, v in zip(times, rng.normal(size=200))]
+    frame = spark.createDataFrame(rows, "unique_id string, ds timestamp, y double")
+    out = RC.cross_validate_linear(frame, "wind", [2, 5], 2, features=["y_lag1"]).collect()
+    ds = [r[1] for r in rows]
+    for r in out:
+        origin = max(i for i, d in enumerate(ds) if d <= r.cutoff)
+        assert r.ds == ds[origin] + timedelta(minutes=10 * r.horizon) and r.y == rows[origin + r.horizon][2]
+        known = [i for i in range(24, 200 - r.horizon) if ds[i] + timedelta(minutes=10 * r.horizon) <= r.cutoff]
+        b, a = np.polyfit([rows[i - 1][2] for i in known], [rows[i + r.horizon][2] for i in known], 1)
+        assert r.prediction == pytest.approx(a + b * rows[origin - 1][2])
+    assert len(out) == 4
+
+
+def test_least_squares_of_constant_and_single_columns():
+    x = np.array([[1.0, 2.0, 7.0, 3.0], [1.0, 4.0, 7.0, 7.0], [1.0, 5.0, 7.0, 9.0]])
+    start, weights = RC.least_squares_of(x.T @ x)
+    assert start == pytest.approx(-1) and weights == pytest.approx([2, 0])
+
+
 def test_history_is_limited_before_the_shuffle(series):
     plan = RC.recent_history(series, Series(("unique_id",), "ds"), "y", 24)._jdf.queryExecution().executedPlan().toString()
     partial = plan.index("WindowGroupLimit", plan.index("Exchange hashpartitioning"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gridwright.operators import metrics as M
 from gridwright.operators import resample as RS
 from gridwright.operators import runs as R
+from gridwright.operators.metric_states import Mean, QuantileOf, merged_metrics, pinball
 from gridwright.operators.windows import Series
 from gridwright.schemas import CANONICAL, empty_frame, schema_errors, to_canonical, validate_schema
 
@@ -167,6 +168,31 @@ def test_half_way_cells_take_the_even_text(spark):
     assert out == {"a": ("74", "0.062"), "b": ("76", "-0.038"), "c": ("0", "-0.000")}
 
 
+def test_pivot_and_report_find_their_horizons(spark, runs):
+    rows = [("r1", "h1_mae", 8.0), ("r1", "h1_mae", 7.0), ("r1", "h1_rmse", 9.0), ("r2", "h1_mae", 10.0), ("r2", "h1_rmse", 12.0),
+            ("r1", "h6_mae", 15.0), ("r2", "h6_mae", 20.0), ("r1", "h48_skill_score", 0.0625), ("r4", "h100_bias", 1.0), ("r4", "odd", 2.0)]
+    metrics = spark.createDataFrame(rows, "run_id string, key string, value double")
+    wide = R.runs_pivot(runs, metrics)
+    assert [c for c in wide.columns if c.startswith("h")] == [f"h{h}_{m}" for m in ("mae", "rmse", "skill_score") for h in (1, 6, 48)]
+    out = {r.run_id: r for r in wide.collect()}
+    assert set(out) == {"r1", "r2", "r3", "r4"} and (out["r1"].h1_mae, out["r1"].h6_mae, out["r4"].h1_mae) == (8.0, 15.0, None)
+    given = {r.run_id: r.asDict() for r in R.runs_pivot(runs, metrics, [1, 6, 48]).collect()}
+    assert given == {k: r.asDict() for k, r in out.items()}
+    report = {r.run_id: r for r in R.comparison_report(runs, metrics).collect()}
+    first = report["r1"]
+    assert (first.label, first.h1_mae, first.h1_skill, first.h1_skill_vs_baseline) == ("autogluon/wind_full", "8", "—", "+0.250")
+    assert (first.h6_skill_vs_baseline, first.h48_mae, first.h48_skill, first.h48_skill_vs_baseline) == ("+0.250", "—", "0.062", "—")
+    assert (report["r2"].h1_skill_vs_baseline, report["r3"].h6_mae) == ("+0.000", "—") and len(report) == 4
+
+
+def test_report_without_any_metric_or_baseline(spark, runs):
+    empty = spark.createDataFrame([], "run_id string, key string, value double")
+    assert R.runs_pivot(runs, empty).count() == 4
+    assert R.comparison_report(runs, empty).columns == ["run_id", "label"]
+    other = spark.createDataFrame([("r1", "h1_mae", 1.0)], "run_id string, key string, value double")
+    assert {r.h1_skill_vs_baseline for r in R.comparison_report(runs, other).collect()} == {"—"}
+
+
 def test_runs_pivot_order(spark, runs):
     metrics = spark.createDataFrame([("r1", "h1_mae", 8.0)], "run_id string, key string, value double")
     out = R.report_order(R.runs_pivot(runs, metrics, [1])).collect()
@@ -202,3 +228,41 @@ def test_champion_is_per_horizon(spark):
     scores = spark.createDataFrame(
         [("a", 1, 2.0), ("b", 1, 2.0), ("a", 6, 9.0), ("b", 6, 3.0), ("c", 6, None)], "model string, horizon int, mae double")
     assert {tuple(r) for r in R.best_model(scores).collect()} == {(1, "a", 2.0), (6, "b", 3.0)}
+
+
+def _skewed(spark, n=30_000):
+    rng = np.random.default_rng(2)
+    rows = [("hot" if i % 10 else ["cold", None][i % 3 == 0], float(a), float(b)) for i, (a, b) in enumerate(rng.lognormal(size=(n, 2)))]
+    rows += [("gap", None, 1.0), ("gap", 2.0, None), ("one", 3.0, 5.0)]
+    return spark.createDataFrame(rows, "k string, y double, p double").repartition(17)
+
+
+def test_merged_metrics_equal_brute_force(spark):
+    df = _skewed(spark)
+    metrics = {"median": QuantileOf(lambda y, p: np.abs(p - y), 0.5, 1 << 16), "high": QuantileOf(lambda y, p: p - y, 0.9, 1 << 16),
+               "pinball": pinball(0.9), "rows": Mean(lambda y, p: np.ones(len(y)))}
+    out = {r.k: r for r in merged_metrics(df, "y", "p", metrics, ["k"], fan_in=3).collect()}
+    pdf = df.toPandas().dropna(subset=["y", "p"])
+    assert set(out) == {"hot", "cold", "one", None}
+    for key, r in out.items():
+        part = pdf[pdf.k.isna() if key is None else pdf.k == key]
+        e = part.y - part.p
+        assert r.median == pytest.approx(np.median(abs(e))) and r.high == pytest.approx(np.quantile(-e, 0.9))
+        assert r.pinball == pytest.approx(np.mean(np.maximum(0.9 * e, -0.1 * e))) and r.rows == 1.0
+    whole = merged_metrics(df, "y", "p", metrics).collect()
+    assert len(whole) == 1 and whole[0].median == pytest.approx(np.median(abs(pdf.y - pdf.p)))
+    assert merged_metrics(df.limit(0), "y", "p", metrics, ["k"]).count() == 0
+
+
+def test_sketch_stays_small_and_near(spark):
+    rng = np.random.default_rng(5)
+    metric, values = QuantileOf(lambda y, p: y, 0.5, 256), rng.permutation(100_000).astype(float)
+    state = metric.start()
+    for part in np.array_split(values, 40):
+        state = metric.merge(state, metric.update(metric.start(), part, part))
+    assert sum(map(len, state.levels)) <= 256 * len(state.levels) and len(state.levels) < 12
+    assert sum(len(v) * 2 ** k for k, v in enumerate(state.levels)) == 100_000
+    for q in (0.05, 0.5, 0.95):
+        got = QuantileOf(metric.value, q, 256).finish(state)
+        assert abs(got / 100_000 - q) < 9 / 256
+    assert metric.finish(metric.start()) is None

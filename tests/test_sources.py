@@ -1,13 +1,18 @@
 import io
+import pickle
 import zipfile
 from datetime import datetime
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from gridwright.schemas import schema_errors
+from gridwright.sources import archives
 from gridwright.sources import ingest as I
-from gridwright.sources.archives import expand_archives
+from gridwright.sources.archives import archive_problems, member_lines, write_members
+from gridwright.sources.delimited import Format, read_delimited
+from gridwright.sources.files import open_input
 from gridwright.sources.scan import scan_csv, write_csv_report, write_partitioned
 
 HEADER = ("# Date and time,Wind speed (m/s),Wind direction (°),Power (kW),Nacelle position (°),Rotor speed (RPM),"
@@ -77,12 +82,144 @@ def test_nested_archives(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "all.zip", "w") as z:
         z.writestr("2021.zip", inner.getvalue())
         z.writestr(name(4), turbine_csv(3))
-    out = expand_archives(spark, str(tmp_path), str(tmp_path / "text"), I.TURBINE_MEMBER)
+    out = write_members(spark, str(tmp_path), str(tmp_path / "text"), I.TURBINE_MEMBER)
     df = I.ingest_turbine_csv(spark, out, "*.txt")
     counts = {r.turbine_id: r["count"] for r in df.groupBy("turbine_id").count().collect()}
     assert counts == {"KWF3": 4, "KWF4": 3}
 
 
+def packed(files, compression=zipfile.ZIP_STORED):
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", compression) as z:
+        for member, content in files.items():
+            z.writestr(member, content)
+    return out.getvalue()
+
+
+def members_of(df):
+    out = {}
+    for r in df.orderBy("member", "number").collect():
+        out.setdefault(r.member, []).append(r.line)
+    return out
+
+
+@pytest.mark.parametrize("compression", [zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED])
+def test_every_member_is_a_partition(spark, tmp_path, compression):
+    deep = packed({"c.csv": "5\n"}, zipfile.ZIP_DEFLATED)
+    inner = packed({"deep/b.csv": "3\r\n4", "more.zip": deep, "b.txt": "no"}, compression)
+    (tmp_path / "a b%é.zip").write_bytes(packed({"a.csv": "1\n2\n\n", "in.zip": inner, "dir/": "", "z.csv": ""}, compression))
+    (tmp_path / "other.zip").write_bytes(packed({"d.csv": "é\n"}, compression))
+    df = member_lines(spark, str(tmp_path), r"\.csv$")
+    assert members_of(df) == {"a.csv": ["1", "2", ""], "in.zip/deep/b.csv": ["3", "4"], "in.zip/more.zip/c.csv": ["5"], "d.csv": ["é"]}
+    assert {r.archive.rsplit("/", 1)[-1] for r in df.select("archive").distinct().collect()} == {"a b%é.zip", "other.zip"}
+    ends = df.withColumn("part", F.spark_partition_id()).groupBy("member").agg(F.min("part").alias("a"), F.max("part").alias("b")).collect()
+    assert all(r.a == r.b for r in ends) and len({r.a for r in ends}) == 4
+    # A partition per member, the empty one included, and one for what could not be unpacked, per level.
+    assert 5 <= df.rdd.getNumPartitions() <= 5 + 3 * spark.sparkContext.defaultParallelism
+    assert archive_problems(spark, str(tmp_path), r"\.csv$").count() == 0
+
+
+def test_planning_reads_directories_only(tmp_path):
+    content = packed({f"m{i}.csv": bytes(500_000) for i in range(4)})
+    (tmp_path / "big.zip").write_bytes(content)
+    found = list(archives.members(archives.Archive(str(tmp_path / "big.zip"), "big")))
+    assert [m.name for m in found] == ["m0.csv", "m1.csv", "m2.csv", "m3.csv"]
+    offsets = [m.at for m in found]
+    assert offsets == sorted(offsets) and offsets[1] - offsets[0] > 500_000
+    again = pickle.loads(pickle.dumps(found[2]))
+    with open_input(str(tmp_path / "big.zip")) as handle, archives.open_member(handle, again) as raw:
+        assert raw.read() == bytes(500_000)
+
+
+def test_archive_beyond_two_gigabytes_of_offsets(tmp_path):
+    """A sparse file stands in for the bytes before the last member."""
+    path = tmp_path / "huge.zip"
+    hole = 5 << 30
+    tail = packed({"last.csv": "1\n2\n"}, zipfile.ZIP_DEFLATED)
+    with open(path, "wb") as out:
+        out.seek(hole)
+        out.write(tail)
+    found = list(archives.members(archives.Archive(str(path), "huge")))
+    assert [(m.name, m.at, m.problem) for m in found] == [("last.csv", hole, None)]
+    with open_input(str(path)) as handle, archives.open_member(handle, found[0]) as raw:
+        assert raw.read() == b"1\n2\n"
+
+
+def test_damage_costs_only_itself(spark, tmp_path):
+    (tmp_path / "good.zip").write_bytes(packed({"g.csv": "1\n"}))
+    (tmp_path / "none.zip").write_bytes(b"no archive at all")
+    broken = bytearray(packed({"x.csv": "7\n" * 200, "y.csv": "8\n"}, zipfile.ZIP_DEFLATED))
+    at = broken.index(b"x.csv") + 5
+    broken[at:at + 6] = b"\xff" * 6
+    (tmp_path / "half.zip").write_bytes(broken)
+    (tmp_path / "odd.zip").write_bytes(packed({"z.csv": b"ok\n\xff\xfe\n", "n.zip": b"not an archive"}, zipfile.ZIP_DEFLATED))
+    got = members_of(member_lines(spark, str(tmp_path), r"\.csv$"))
+    assert got["g.csv"] == ["1"] and got["y.csv"] == ["8"]
+    problems = {r.member: r.problem for r in archive_problems(spark, str(tmp_path), r"\.csv$").collect()}
+    assert set(problems) == {"", "x.csv", "z.csv", "n.zip/"}
+    assert "BadZipFile" in problems[""] and "UnicodeDecodeError" in problems["z.csv"]
+
+
+def test_no_archives(spark, tmp_path):
+    assert member_lines(spark, str(tmp_path), "x").count() == 0
+
+
+FORMAT = Format(r"^id,", comment="#")
+
+
+def test_layouts_travel_with_the_lines(spark, tmp_path):
+    (tmp_path / "a 1%é.csv").write_text('# note\nid,x,y\n1,2,3\n2,"4,5",""\n3\n4,"say ""hi""",6,7\n\n# end\n')
+    (tmp_path / "b.csv").write_text("id,z,x\r\n5,9,8\r\n,9,1\r\n")
+    (tmp_path / "c.csv").write_text("\ufeffid,x\n7,\n")
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "bad.csv").write_text("no,header\n1,2\n")
+    (tmp_path / "lacks.csv").write_text("id,q\n1,2\n")
+    (tmp_path / "bytes.csv").write_bytes(b"id,x\n8,\xff\xfe\n9,10\n")
+    read = read_delimited(spark, str(tmp_path), {"id": "key", "x": "x", "y": "why"}, FORMAT, "*.csv", needed=["id"], any_of=["x", "y"])
+    rows = read.rows.orderBy("file_no", "position").collect()
+    assert [(r.key, r.x, r.why) for r in rows] == [
+        ("1", "2", "3"), ("2", "4,5", None), ("3", None, None), ("4", 'say "hi"', "6"), ("5", "8", None), (None, "1", None),
+        ("9", "10", None), ("7", None, None)]
+    rejects = sorted((r.file.rsplit("/", 1)[-1], r.bytes, r.reason) for r in read.rejects.collect())
+    assert rejects == [
+        ("bad.csv", None, "no header"), ("bytes.csv", "382CFFFE", "no UTF-8 text"),
+        ("lacks.csv", None, "none of the columns x, y")]
+    numbers = [r.file_no for r in read.files.orderBy("file").collect()]
+    assert numbers == sorted(set(numbers)) and read.n_files == 6
+
+
+def test_one_scan_of_the_lines(spark, tmp_path):
+    for n in range(3):
+        (tmp_path / f"{n}.csv").write_text(f"id,{'xyz'[n]}\n1,2\n")
+    read = read_delimited(spark, str(tmp_path), {"id": "key", "x": "x", "y": "y", "z": "z"}, FORMAT, "*.csv")
+    plan = read.rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan text") == 1 and "Union" not in plan
+    assert sorted((r.x, r.y, r.z) for r in read.rows.na.fill("-").collect()) == [("-", "-", "2"), ("-", "2", "-"), ("2", "-", "-")]
+
+
+def test_blocks_of_a_large_file_share_its_layout(spark, tmp_path):
+    (tmp_path / "long.csv").write_text("id,x\n" + "".join(f"{i},{i * i}\n" for i in range(20_000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        rows = read_delimited(spark, str(tmp_path), {"x": "x", "id": "id"}, FORMAT, "*.csv").rows
+        assert rows.rdd.getNumPartitions() > 8
+        assert [(r.id, r.x) for r in rows.orderBy("position").collect()] == [(str(i), str(i * i)) for i in range(20_000)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_one_bad_turbine_file_costs_only_itself(spark, tmp_path):
+    (tmp_path / name(1)).write_text(turbine_csv(3))
+    (tmp_path / name(2)).write_text("# nothing of use\n1,2\n")
+    (tmp_path / name(3)).write_text("\n")
+    (tmp_path / name(4)).write_bytes(b"")
+    rows = I.ingest_turbine_csv(spark, str(tmp_path)).collect()
+    assert {r.turbine_id for r in rows} == {"KWF1"} and len(rows) == 3
+    rejects = I.read_turbine_csv(spark, str(tmp_path)).rejects.collect()
+    assert sorted(r.file.rsplit("/", 1)[-1] for r in rejects) == [name(2), name(3)]
+
+
 LOAD_HEADER = "Périmètre\tNature\tDate\tHeures\tConsommation\tPrévision J-1\tPrévision J"
 
 
@@ -100,7 +237,7 @@ def quarters(*hours):
 def test_load_archive(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "eCO2mix_RTE_Annuel-Definitif_2023.zip", "w") as z:
         z.writestr("eCO2mix_2023.xls", load_tsv("2023-07-01", quarters(0, 1)).encode("latin-1"))
-    out = expand_archives(spark, str(tmp_path), str(tmp_path / "text"), I.LOAD_MEMBER, I.LOAD_ENCODING)
+    out = write_members(spark, str(tmp_path), str(tmp_path / "text"), I.LOAD_MEMBER, I.LOAD_ENCODING)
     df = I.ingest_load_tsv(spark, out).orderBy("timestamp_utc")
     assert schema_errors(df, "demand", strict=True) == []
     rows = df.collect()

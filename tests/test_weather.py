@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from gridwright.operators import weather as WX
 from gridwright.session import work_path
+from gridwright.sources import weather_store
 from gridwright.sources.weather_store import read_store, upsert
 
 START = datetime(2023, 1, 1)
@@ -159,14 +160,73 @@ def test_hourly_grid_excludes_the_end(spark):
     assert [(r.timestamp_utc.hour, r.value) for r in out] == [(0, 1.0), (1, 2.0), (2, 3.0)]
 
 
+def _month_files(path):
+    return {p.relative_to(path / "data").as_posix() for p in (path / "data").rglob("*.parquet")}
+
+
+def _wind(spark, rows):
+    return spark.createDataFrame(rows, "location_key string, timestamp_utc timestamp, wind double")
+
+
 def test_upsert_leaves_other_months_alone(spark, tmp_path):
-    path = str(tmp_path / "store")
-    rows = [("a", datetime(2023, m, d, 5), float(m)) for m in (1, 2, 3) for d in (1, 2)]
-    upsert(spark, path, spark.createDataFrame(rows, "location_key string, timestamp_utc timestamp, wind double"))
-    files = {m: sorted(p.name for p in (tmp_path / "store" / "location_key=a" / f"month=2023-0{m}").glob("*.parquet")) for m in (1, 2, 3)}
-    change = [("a", datetime(2023, 2, 1, 5), 9.0)]
-    upsert(spark, path, spark.createDataFrame(change, "location_key string, timestamp_utc timestamp, wind double"))
-    after = {m: sorted(p.name for p in (tmp_path / "store" / "location_key=a" / f"month=2023-0{m}").glob("*.parquet")) for m in (1, 2, 3)}
-    assert after[1] == files[1] and after[3] == files[3] and after[2] != files[2]
-    values = sorted(r.value for r in read_store(spark, path).collect())
+    path = tmp_path / "store"
+    upsert(spark, str(path), _wind(spark, [("a", datetime(2023, m, d, 5), float(m)) for m in (1, 2, 3) for d in (1, 2)]))
+    before = _month_files(path)
+    old = read_store(spark, str(path))
+    upsert(spark, str(path), _wind(spark, [("a", datetime(2023, 2, 1, 5), 9.0)]))
+    fresh = _month_files(path) - before
+    assert before <= _month_files(path) and len(fresh) == 1 and "month=2023-02" in min(fresh)
+    values = sorted(r.value for r in read_store(spark, str(path)).collect())
     assert values == [1.0, 1.0, 2.0, 3.0, 3.0, 9.0]
+    # A frame that was read before the upsert still reads what it saw.
+    assert sorted(r.value for r in old.collect()) == [1.0, 1.0, 2.0, 2.0, 3.0, 3.0]
+
+
+@pytest.mark.parametrize("broken", ["_commit", "latest_per_key"])
+def test_interrupted_upsert_changes_nothing(spark, tmp_path, monkeypatch, broken):
+    path = str(tmp_path / "store")
+    upsert(spark, path, _wind(spark, [("a", START, 1.0), ("b", START, 2.0)]))
+
+    def fail(*_):
+        assert {r.value for r in read_store(spark, path).collect()} == {1.0, 2.0}
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(weather_store, broken, fail)
+    with pytest.raises(RuntimeError, match="lost"):
+        upsert(spark, path, _wind(spark, [("a", START, 5.0)]))
+    monkeypatch.undo()
+    assert {r.value for r in read_store(spark, path).collect()} == {1.0, 2.0}
+    upsert(spark, path, _wind(spark, [("a", START, 7.0)]))
+    assert {r.value for r in read_store(spark, path).collect()} == {7.0, 2.0}
+
+
+def test_second_writer_is_refused(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "store")
+    commit = weather_store._commit
+
+    def late(folder, number, snapshot):
+        monkeypatch.undo()
+        upsert(spark, path, _wind(spark, [("b", START, 2.0)]))
+        commit(folder, number, snapshot)
+
+    monkeypatch.setattr(weather_store, "_commit", late)
+    with pytest.raises(weather_store.StoreChanged):
+        upsert(spark, path, _wind(spark, [("a", START, 1.0)]))
+    assert [r.value for r in read_store(spark, path).collect()] == [2.0]
+
+
+def test_expire_keeps_the_last_state(spark, tmp_path):
+    path = tmp_path / "store"
+    for value in (1.0, 2.0, 3.0):
+        upsert(spark, str(path), _wind(spark, [("a", START, value), ("b", START + timedelta(days=40 * value), value)]))
+    (path / "data" / "version=remains").mkdir()
+    # The remains, two replaced months and two snapshots.
+    assert weather_store.expire(spark, str(path)) == 5
+    got = sorted((r.location_key, r.value) for r in read_store(spark, str(path)).collect())
+    assert got == [("a", 3.0), ("b", 1.0), ("b", 2.0), ("b", 3.0)]
+    upsert(spark, str(path), _wind(spark, [("a", START, 4.0)]))
+    # The month that was replaced, inside a version that still holds others, and the snapshot before.
+    assert weather_store.expire(spark, str(path)) == 2
+    assert sorted(r.value for r in read_store(spark, str(path)).collect()) == [1.0, 2.0, 3.0, 4.0]
+    assert read_store(spark, str(path)).where("location_key = 'a'").first().value == 4.0
+    assert weather_store.expire(spark, str(tmp_path / "none")) == 0
