@@ -27,6 +27,7 @@ def join_load_weather(spark, sf):
 
 
 NWP = list(V.VARIABLES)
+ASKED = ["wind_speed_100m", "temperature_2m"]
 NWP_HORIZONS = list(DEFAULT_HORIZONS)
 NWP_COLUMNS = [f"nwp_{v}_h{h}" for h in NWP_HORIZONS for v in NWP]
 # Observations on the ten-minute marks at or before each event.
@@ -73,11 +74,11 @@ def join_holiday_calendar(spark, sf):
 # stored weather
 
 @query("weather_query", V.WEATHER_LONG + f"""SELECT timestamp_utc,
-  {', '.join(r(f"max(CASE WHEN variable = '{v}' THEN value END)", v) for v in NWP)} FROM weather_long
+  {', '.join(r(f"max(CASE WHEN variable = '{v}' THEN value END)", v) for v in ASKED)} FROM weather_long
 WHERE location_key = 'loc3' AND timestamp_utc >= DATE '2024-01-05' AND timestamp_utc <= TIMESTAMP '2024-01-20 23:59:59'
-  AND variable IN ('{NWP[0]}', '{NWP[1]}') GROUP BY 1""")
+  AND variable IN ('{ASKED[0]}', '{ASKED[1]}') GROUP BY 1""")
 def weather_query(spark, sf):
-    return rounded(WX.query_long(V.weather_long(spark, sf), "loc3", "2024-01-05", "2024-01-20", NWP))
+    return rounded(WX.query_long(V.weather_long(spark, sf), "loc3", "2024-01-05", "2024-01-20", ASKED))
 
 
 @query("weather_coverage", V.WEATHER_LONG + """SELECT location_key, min(timestamp_utc) AS first_ts,
