@@ -21,6 +21,8 @@ _SIGNS = "!-&(-/:-@\\[-`{-~"
 _PLAIN = re.compile(f"(?:[{_LETTERS}]+)?[{_SIGNS}]*")
 _CORE = re.compile(f"[{_LETTERS}]*")
 _LOOSE = re.compile(r"\s\s|\A\s|\s\Z")
+_OTHER_SPACE = re.compile(r"[^\S \n]")
+_PAIRS = ("  ", "\n\n", " \n", "\n ")
 _SPACES = re.compile(r"\s (?:\s|\Z)")
 
 
@@ -34,6 +36,14 @@ def _byte_letters() -> dict[int, int]:
 _STAND_IN = _byte_letters()
 
 
+def _is_loose(text: str) -> bool:
+    """Whether white space stands in a run or at an end. Spaces and line breaks are looked up as they are, which is quicker
+    than the pattern; a text with any other white space is left to it."""
+    if _OTHER_SPACE.search(text):
+        return _LOOSE.search(text) is not None
+    return text[0] in " \n" or text[-1] in " \n" or any(pair in text for pair in _PAIRS)
+
+
 class _Remembered(dict):
     """Fragment to id bytes; a missing one is encoded, and kept while there is room."""
 
@@ -107,7 +117,7 @@ class Encoder:
             return self._library(text)
         if self.kind == "words":
             return b"".join(map(self.first.__getitem__, text.replace("\n", " ").split(" ")))
-        if not _LOOSE.search(text):
+        if not _is_loose(text):
             lines = []
             for line in text.split("\n"):
                 words = line.split(" ")

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -5,7 +6,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from gridwright.llm import packing, token_files
+from gridwright.llm import packing, token_files, tokens
 from gridwright.llm.tokens import Encoder
 
 BYTES, WORDS = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
@@ -125,3 +126,10 @@ def test_ranks_of_every_length_and_count():
     assert keys == [None, 4] and [p.tolist() for p in parts] == [c.tolist() for c in common]
     with pytest.raises(ValueError):
         token_files.parse_file(b"x" * 64)
+
+
+def test_loose_texts_are_those_of_the_pattern():
+    rng = random.Random(12)
+    for _ in range(20_000):
+        text = "".join(rng.choices("ab \n\t\u00a0\x1c\u3000", weights=(9, 9, 4, 2, 1, 1, 1, 1), k=rng.randint(1, 9)))
+        assert tokens._is_loose(text) == (tokens._LOOSE.search(text) is not None)
