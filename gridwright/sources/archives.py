@@ -17,6 +17,7 @@ import struct
 import zipfile
 import zlib
 from collections.abc import Iterable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from itertools import islice
 
@@ -30,6 +31,7 @@ from gridwright.sources.files import files_below, open_input, write_new
 
 LINES_PER_BATCH = 20_000
 COPY_BYTES = 4 << 20
+READERS = 16
 LINES = "archive string, member string, number long, line string, problem string"
 UNPACKED = "archive string, prefix string, uri string, problem string"
 _DAMAGE = (zipfile.BadZipFile, zlib.error, UnicodeDecodeError, NotImplementedError, RuntimeError, EOFError, OSError)
@@ -124,8 +126,10 @@ class _ZipReader(DataSourceReader):
         self.wanted = re.compile(options.get("member", ""))
         self.encoding, self.folder = options.get("encoding", "UTF-8"), options.get("folder", "")
 
-    def found(self) -> Iterator[Member]:
-        return (m for file in self.files for m in members(file))
+    def found(self) -> list[Member]:
+        """All members; directories of several archives are read at a time, since each takes a store a while."""
+        with ThreadPoolExecutor(READERS) as pool:
+            return [m for own in pool.map(lambda file: list(members(file)), self.files) for m in own]
 
 
 class _LineReader(_ZipReader):
@@ -212,7 +216,7 @@ def _all_lines(spark: SparkSession, paths: str | Sequence[str], member_pattern:
     """Lines and problems of the archives at the paths (files or folders), level by level of compressed nesting."""
     level = [Archive(uri, uri) for p in ([paths] if isinstance(paths, str) else paths) for uri in files_below(p, pattern)]
     files, problems = list(level), []
-    while level := [f for f in level if any(m.is_archive for m in members(f))]:
+    while level:
         unpacked = written(_load(spark, ZipUnpacked, level, folder=work_path(spark, "nested")), "unpacked")
         level = [Archive(r.uri, r.archive, r.prefix) for r in unpacked.where("uri is not null").toLocalIterator()]
         files += sorted(level, key=lambda f: (f.archive, f.prefix))
