@@ -11,7 +11,7 @@ its model is the prefix of its ensemble that did best; nothing is fitted twice.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -239,48 +239,69 @@ def best_splits(sums: np.ndarray, settings: Boosting) -> np.ndarray:
     return np.column_stack((gain[nodes, at], at, *left[:, nodes, at], *right[:, nodes, at]))
 
 
-def _pass(blocks: RDD, work: Sequence[Level], settings: Boosting, round_no: int) -> dict:
+Found = dict[tuple[int, int], np.ndarray]
+
+
+def _added(blocks: Iterable[Block], work: Sequence[Level], settings: Boosting, round_no: int) -> Found:
+    totals: Found = {}
+    for block in blocks:
+        for level in work:
+            for key, sums in _sums(block, level, settings, round_no):
+                totals[key] = totals[key] + sums if key in totals else sums
+    return totals
+
+
+def _judged(part: Iterable[tuple[tuple[int, int], np.ndarray]], settings: Boosting) -> Iterator[tuple]:
+    return ((key, sums if key[1] < 0 else best_splits(sums, settings)) for key, sums in part)
+
+
+def _pass(blocks: RDD, work: Sequence[Level], settings: Boosting, round_no: int) -> Found:
     """Best splits by (horizon, column), and the loss on val under column -1, from one pass."""
-    def summed(part: Iterator[Block]) -> Iterator[tuple]:
-        totals: dict[tuple, np.ndarray] = {}
-        for block in part:
-            for level in work:
-                for key, sums in _sums(block, level, settings, round_no):
-                    totals[key] = totals[key] + sums if key in totals else sums
-        return iter(totals.items())
-
-    def judged(part: Iterator[tuple]) -> Iterator[tuple]:
-        return ((key, sums if key[1] < 0 else best_splits(sums, settings)) for key, sums in part)
-
-    sums, tasks = blocks.mapPartitions(summed), blocks.getNumPartitions()
-    if tasks > 1:  # else one task has all there is to add up
-        keys = sum(len(level.columns) for level in work)
-        sums = sums.reduceByKey(np.add, min(max(1, keys // 8), tasks))
-    return dict(sums.mapPartitions(judged).collect())
-
-
-def _grow_round(blocks: RDD, active: Sequence[Growing], settings: Boosting, round_no: int) -> list[tuple[Growing, Tree]]:
-    """One tree for each horizon, level by level, all horizons in the same passes; takes down the losses before it."""
-    grown, work = [], []
-    for growing in active:
-        rng = np.random.default_rng([settings.seed, growing.horizon, round_no])
-        taken = max(1, round(settings.column_share * len(growing.columns)))
-        columns = sorted(rng.choice(growing.columns, taken, replace=False).tolist())
-        work.append(Level(growing.horizon, growing.at, Tree(), [0], columns))
-        grown.append((growing, work[-1].tree))
+    keys = sum(len(level.columns) for level in work)
+    sums = blocks.mapPartitions(lambda part: iter(_added(part, work, settings, round_no).items()))
+    reduced = sums.reduceByKey(np.add, min(max(1, keys // 8), blocks.getNumPartitions()))
+    return dict(reduced.mapPartitions(lambda part: _judged(part, settings)).collect())
+
+
+def _trees(starts: Sequence[Level], one_pass: Callable[[Sequence[Level]], Found], settings: Boosting) -> tuple[Found, list[Tree]]:
+    """A tree for each start, level by level in common passes, and the losses before them."""
+    losses: Found = {}
+    work = list(starts)
     for depth in range(settings.depth):
-        found = _pass(blocks, work, settings, round_no)
+        found = one_pass(work)
         if not depth:
-            for growing in active:
-                squares, count = found.get((growing.horizon, -1), (0.0, 0))
-                growing.losses.append(float(squares / count) if count else np.nan)
+            losses = {key: sums for key, sums in found.items() if key[1] < 0}
         work = [after for level in work if (after := _split(level, found, settings))]
         if not work:
             break
-    return grown
+    return losses, [level.tree for level in starts]
+
+
+def _grow_round(blocks: RDD, active: Sequence[Growing], settings: Boosting, round_no: int) -> list[Tree]:
+    """One tree for each horizon; takes down the losses before it. Where all blocks are in one task, the round's passes run
+    there, else each is a job."""
+    starts = []
+    for growing in active:
+        rng = np.random.default_rng([settings.seed, growing.horizon, round_no])
+        taken = max(1, round(settings.column_share * len(growing.columns)))
+        columns = sorted(rng.choice(growing.columns, taken, replace=False).tolist())
+        starts.append(Level(growing.horizon, growing.at, Tree(), [0], columns))
+
+    def in_task(part: Iterator[Block]) -> Iterator[tuple[Found, list[Tree]]]:
+        held = list(part)
+        yield _trees(starts, lambda work: dict(_judged(_added(held, work, settings, round_no).items(), settings)), settings)
+
+    if blocks.getNumPartitions() == 1:
+        losses, trees = blocks.mapPartitions(in_task).first()
+    else:
+        losses, trees = _trees(starts, lambda work: _pass(blocks, work, settings, round_no), settings)
+    for growing in active:
+        squares, count = losses.get((growing.horizon, -1), (0.0, 0))
+        growing.losses.append(float(squares / count) if count else np.nan)
+    return trees
 
 
-def _split(level: Level, found: Mapping[tuple[int, int], np.ndarray], settings: Boosting) -> Level | None:
+def _split(level: Level, found: Found, settings: Boosting) -> Level | None:
     """The next level of a tree, after splitting the nodes of this one where that gains anything."""
     if (level.horizon, level.columns[0]) not in found:
         return None
@@ -348,7 +369,7 @@ def boost_horizons(
         grown = _grow_round(blocks, active, settings, round_no)
         if before is not None:
             before.unpersist()
-        for one, tree in grown:
+        for one, tree in zip(active, grown):
             one.trees.append(tree)
         active = [g for g in active if not _has_stopped(g, settings)]
         if not active:

@@ -39,12 +39,13 @@ class Format:
 
 @dataclass(frozen=True)
 class Delimited:
-    """Lines in columns; `files` is a written table with a row per file."""
+    """Lines in columns; `files` is a written table with a row per file, usable ones without a fault."""
 
     rows: DataFrame
     rejects: DataFrame
     files: DataFrame
     n_files: int
+    n_usable: int
 
 
 def _names(line: str, separator: str) -> list[str]:
@@ -115,7 +116,7 @@ def read_delimited(
     and `places`. A field that is empty or missing is null. `needed` names headers that a file must have all of, `any_of`
     ones that it must have one of; files that do not match `wanted` are not looked at."""
     files = layouts(spark, path, columns, fmt, pattern, wanted, needed, any_of)
-    count = files.count()
+    count, n_usable = files.agg(F.count("*"), F.count_if(F.col("fault").isNull())).first()
     notes = files.select("file", "file_no", "header", "places", "fault")
     raw = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").text(path)
     # Within one block of a file, rows keep their order in one task; blocks order by their start.
@@ -138,7 +139,7 @@ def read_delimited(
     bad_lines = body.where(F.col("line").isNull()).select(
         "file", F.hex(F.col("value").cast("binary")).alias("bytes"), F.lit(f"no {fmt.encoding} text").alias("reason"))
     bad_files = files.where("fault is not null").select("file", F.lit(None).cast("string").alias("bytes"), F.col("fault").alias("reason"))
-    return Delimited(rows, bad_files.unionByName(bad_lines), files, count)
+    return Delimited(rows, bad_files.unionByName(bad_lines), files, count, n_usable)
 
 
 def has(columns: Mapping[str, str], target: str) -> Column:
@@ -163,6 +164,6 @@ def with_file_peak(df: DataFrame, column: str, by: str = "file", n_files: int |
 
 def usable(read: Delimited, path: str, what: str) -> Delimited:
     """The same, if any file could be read."""
-    if read.files.where("fault is null").isEmpty():
+    if not read.n_usable:
         raise FileNotFoundError(f"no {what} below {path}")
     return read

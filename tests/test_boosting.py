@@ -62,9 +62,11 @@ def brute(x, y, vx, vy, cuts, s):
     return losses
 
 
-@pytest.mark.parametrize("parts", [1, 5])
-def test_losses_equal_brute_force(spark, parts):
-    df = frame(spark, parts=parts)
+@pytest.mark.parametrize("task_rows", [1 << 18, 80])
+def test_losses_equal_brute_force(spark, monkeypatch, task_rows):
+    """All passes of a round in one task, and each pass over several tasks."""
+    monkeypatch.setattr(B, "TASK_ROWS", task_rows)
+    df = frame(spark, parts=5)
     settings = B.Boosting(**{**PLAIN.__dict__, "patience": 100})
     models = B.boost_horizons(df, {h: {"x": "x", "z": "z"} for h in (1, 2)}, settings)
     for h, model in models.items():
