@@ -1,15 +1,20 @@
 """Text likelihoods under a unigram base and a gated recurrent language model learned from the same documents.
 
 Counts cover every token of every training document. The commonest words are the recurrent model's head; every other word
-belongs to one of a few rare classes, told by the word's ending, and has its smoothed share of that class. Rare words meet
-their counts in a join by word, never in a broadcast, so the vocabulary may grow with the corpus. Training runs in rounds:
-each task starts from the same weights, learns by truncated backpropagation, and the tasks' weights are averaged, weighted
-by texts so that one very long text does not outweigh all others, block by block. Each training document is learned from whole, its end included and the state carried through, in
-one of the rounds, which a hash of its text tells: all rounds together are one pass over every training token, at any size
-and partitioning. Scoring reads whole documents with the state carried through, too.
+belongs to one of a few rare classes, told by the word's ending, and has its smoothed share of that class. The next
+`MIDDLE_WORDS` words' counts are broadcast; the words beyond those meet their counts in a join by word, so the vocabulary may
+grow with the corpus.
+
+Training deals the documents to shares by a hash of id and text; the number of shares follows from the number of training
+tokens, up to `MOST_SHARES` tasks, beyond which shares grow. Training runs in rounds: each share starts from the same weights,
+learns by truncated backpropagation, and the shares' weights are averaged, weighted by texts so that one very long text does
+not outweigh all others, block by block. Each training document is learned from whole, its end included and the state carried
+through, in one of the rounds, which the same hash tells: all rounds together are one pass over every training token. Nothing
+in this depends on how the table is partitioned, so the same rows give the same model, but for the last digits of its sums.
+Scoring reads whole documents with the state carried through, too.
 
 Documents that `held_out` names, and those with a null id, are scored but never learned from. A null text is an empty one:
-its end is its only token. Repeated rows repeat in the result. Without training documents every count is zero.
+its end is its only token. A very long text is one sequence in one task, two bytes a token. Repeated rows repeat in the result. Without training documents every count is zero.
 """
 
 from __future__ import annotations
@@ -17,7 +22,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from itertools import repeat
 
 import numpy as np
@@ -32,9 +37,13 @@ from gridwright.llm.recurrent import Trainer, Weights
 from gridwright.session import written
 
 END, SMOOTHING = b"", 0.1
-HEAD_WORDS, LONGEST_HEAD, RARE_CLASSES = 4096, 256, 32
+HEAD_WORDS, RARE_CLASSES = 4096, 32
+#: Words after the head whose counts are broadcast. Longer words than these bytes meet theirs in the join.
+MIDDLE_WORDS, LONGEST_HEAD = 1 << 18, 256
 #: The pass over all training text is cut into so many rounds; a task learns from so many tokens at a time.
 ROUNDS, TOGETHER = 2, 1 << 21
+#: Training tokens of a share, and how many shares, and so tasks of a round, there may be.
+SHARE_TOKENS, MOST_SHARES = 1 << 22, 4096
 HELD, BLOCK, SALTS = 200_000, 16_384, 64
 
 
@@ -77,7 +86,8 @@ def count_words(docs: DataFrame) -> DataFrame:
 
 @dataclass
 class Vocabulary:
-    """Head words with their counts (the end first), and sums over the rest by rare class."""
+    """Head words with their counts (the end first), the counts of the words after them in `middle`, and sums over all
+    words beyond the head by rare class. `rows` numbers the head and then the middle."""
 
     rows: dict[bytes, int]
     counts: np.ndarray
@@ -85,25 +95,51 @@ class Vocabulary:
     kinds: int
     rare_tokens: np.ndarray
     rare_kinds: np.ndarray
+    middle: np.ndarray = field(default_factory=lambda: np.zeros(0))
+
+    def __post_init__(self) -> None:
+        """Input rows of the recurrent model for the numbers in `rows`."""
+        self.first = -(-len(self.counts) // recurrent.MEMBERS) * recurrent.MEMBERS
+        after = [word for word, number in self.rows.items() if number >= len(self.counts)]
+        self.inputs = np.concatenate([np.arange(len(self.counts)), self._rare_rows(after)]).astype(np.int32)
 
     @property
     def base_total(self) -> float:
         return self.tokens + SMOOTHING * (self.kinds + 1)
 
-    def encode(self, tokens: list[bytes]) -> np.ndarray:
+    def _rare_rows(self, tokens: list[bytes]) -> np.ndarray:
+        return self.first + np.fromiter(map(rare_class, tokens), dtype=np.int64, count=len(tokens))
+
+    def numbers(self, tokens: list[bytes]) -> np.ndarray:
+        """Places of tokens in `rows`, -1 for all others."""
+        return np.fromiter(map(self.rows.get, tokens, repeat(-1)), dtype=np.int32, count=len(tokens))
+
+    def encode(self, tokens: list[bytes], numbers: np.ndarray | None = None) -> np.ndarray:
         """Input rows of the recurrent model for tokens."""
-        first = -(-len(self.counts) // recurrent.MEMBERS) * recurrent.MEMBERS
-        rows = np.fromiter(map(self.rows.get, tokens, repeat(-1)), dtype=np.int32, count=len(tokens))
-        rare = np.flatnonzero(rows < 0)
-        endings = [tokens[at][-3:] for at in rare.tolist()]
-        rows[rare] = first + np.fromiter(map(zlib.crc32, endings), dtype=np.int64, count=len(rare)) % RARE_CLASSES
+        numbers = self.numbers(tokens) if numbers is None else numbers
+        rows = self.inputs[numbers]
+        rest = np.flatnonzero(numbers < 0)
+        rows[rest] = self._rare_rows([tokens[at] for at in rest.tolist()])
         return rows
 
 
-def vocabulary(counts: DataFrame) -> Vocabulary:
-    """The head is bounded by `HEAD_WORDS` words of at most `LONGEST_HEAD` bytes; the rest stays where it is."""
-    short = counts.filter((F.col("word") != END) & (F.octet_length("word") <= LONGEST_HEAD))
-    top = [(bytes(w), n) for w, n in short.orderBy(F.desc("n"), "word").limit(HEAD_WORDS - 1).select("word", "n").collect()]
+def vocabulary(counts: DataFrame, head_words: int = HEAD_WORDS, middle_words: int = MIDDLE_WORDS) -> Vocabulary:
+    """Head and middle are bounded by their words, each of at most `LONGEST_HEAD` bytes; the rest stays where it is. The
+    middle takes whole steps of sixteen to a doubling of the count, as many as fit, so that no task orders all words."""
+    short = counts.filter((F.col("word") != END) & (F.octet_length("word") <= LONGEST_HEAD)).select(
+        "word", "n", F.floor(16 * F.log2("n")).alias("step"))
+    top = [(bytes(r["word"]), r["n"]) for r in short.orderBy(F.desc("n"), "word").limit(head_words - 1).collect()]
+    room, least = head_words - 1 + middle_words, None
+    for step, size in sorted(map(tuple, short.groupBy("step").count().collect()), reverse=True):
+        room -= size
+        if room < 0:
+            break
+        least = step
+    common = short.filter(F.col("step") >= F.lit(least)).select("word", "n").toArrow()
+    known = {word for word, _ in top}
+    middle = sorted((-n, word) for word, n in zip(common.column("word").to_pylist(), common.column("n").to_pylist())
+                    if word not in known)
+    middle = [(word, -n) for n, word in middle]
     ends = counts.filter(F.col("word") == END).agg(F.sum("n")).first()[0] or 0
     head = [(END, ends), *top]
     rare_tokens, rare_kinds = np.zeros(RARE_CLASSES), np.zeros(RARE_CLASSES)
@@ -113,21 +149,29 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     for word, n in head:
         rare_tokens[rare_class(word)] -= n
         rare_kinds[rare_class(word)] -= n > 0
-    return Vocabulary({w: k for k, (w, _) in enumerate(head)}, np.array([n for _, n in head], dtype=float), tokens, kinds,
-                      rare_tokens, rare_kinds)
+    return Vocabulary({w: k for k, (w, _) in enumerate([*head, *middle])}, np.array([n for _, n in head], dtype=float), tokens,
+                      kinds, rare_tokens, rare_kinds, np.array([n for _, n in middle], dtype=float))
+
+
+def shares(tokens: int) -> int:
+    """Into how many shares that many training tokens are dealt."""
+    return min(max(1, -(-tokens // SHARE_TOKENS)), MOST_SHARES)
 
 
-def in_round(raw: bytes, rounds: int) -> int:
-    """The one round that learns from a text."""
-    return zlib.crc32(raw) % rounds
+def _dealt(docs: DataFrame, words_known: Vocabulary, rounds: int) -> DataFrame:
+    """turn, share, place (a hash of id and text) and text of the training documents."""
+    place = F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
+    turn = F.pmod(F.shiftright(place, 40), F.lit(rounds)).cast("int")
+    share = F.pmod(place, F.lit(shares(words_known.tokens))).cast("int")
+    return docs.select(turn.alias("turn"), share.alias("share"), place.alias("place"), "text")
 
 
-def learn_texts(trainer: Trainer, words_known: Vocabulary, raws: Iterable[bytes]) -> int:
+def learn_texts(trainer: Trainer, texts_encoded: Iterable[np.ndarray]) -> int:
     """One pass over every token of the texts, ends included; how many texts."""
     held: list[np.ndarray] = []
     tokens = texts = 0
-    for texts, raw in enumerate(raws, 1):
-        held.append(words_known.encode([*words(raw), END]))
+    for texts, encoded in enumerate(texts_encoded, 1):
+        held.append(encoded)
         tokens += len(held[-1])
         if tokens >= TOGETHER:
             trainer.learn(held)
@@ -137,16 +181,22 @@ def learn_texts(trainer: Trainer, words_known: Vocabulary, raws: Iterable[bytes]
     return texts
 
 
-def _round(docs: DataFrame, words_known: Vocabulary, weights: Weights, number: int, rounds: int) -> Weights:
-    """The average of what all tasks have learned from `weights` on. Weights leave a task in blocks, which are summed in
-    two steps, so that no task gathers all of them."""
-    spark = docs.sparkSession.sparkContext
+def _round(dealt: DataFrame, words_known: Vocabulary, weights: Weights) -> Weights:
+    """The average of what all shares have learned from `weights` on. Texts go to their shares as input rows, in an order of
+    their own. Weights leave a task in blocks, which are summed in two steps, so that no task gathers all of them."""
+    spark = dealt.sparkSession.sparkContext
     known, start = spark.broadcast(words_known), spark.broadcast(weights)
 
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            rows = [known.value.encode([*words(raw), END]).astype("<u2").tobytes() for raw in raw_texts(batch)]
+            yield pa.RecordBatch.from_arrays([batch.column("share"), batch.column("place"), pa.array(rows, pa.binary())],
+                                             ["share", "place", "rows"])
+
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer = Trainer(start.value)
-        own = (raw for batch in slices(batches) for raw in raw_texts(batch) if in_round(raw, rounds) == number)
-        texts = learn_texts(trainer, known.value, own)
+        texts = learn_texts(trainer, (np.frombuffer(rows, "<u2").astype(np.int32) for batch in batches
+                                      for rows in batch.column("rows").to_pylist()))
         if texts:
             salt = TaskContext.get().partitionId() % SALTS
             flat = trainer.w.flat().astype(np.float64) * texts
@@ -163,7 +213,9 @@ def _round(docs: DataFrame, words_known: Vocabulary, weights: Weights, number: i
             "sums": pa.array([total.tobytes()], pa.binary()), "texts": pa.array([sum(table.column("texts").to_pylist())], pa.int64())})
 
     schema = "block int, salt int, sums binary, texts long"
-    learned = docs.select("text").mapInArrow(learn, schema)
+    encoded = dealt.mapInArrow(encode, "share int, place long, rows binary")
+    by_share = encoded.repartitionById(shares(words_known.tokens), "share").sortWithinPartitions("place", "rows")
+    learned = by_share.mapInArrow(learn, schema)
     summed = learned.groupBy("block", "salt").applyInArrow(add, schema).groupBy("block").applyInArrow(add, schema)
     parts = sorted(summed.collect(), key=lambda row: row["block"])
     if not parts:
@@ -173,79 +225,71 @@ def _round(docs: DataFrame, words_known: Vocabulary, weights: Weights, number: i
 
 def train(docs: DataFrame, words_known: Vocabulary, rounds: int = ROUNDS) -> Weights:
     weights = recurrent.initial(words_known.counts + SMOOTHING, words_known.rare_tokens)
+    dealt = _dealt(docs, words_known, rounds)
     for number in range(rounds):
-        weights = _round(docs, words_known, weights, number, rounds)
+        weights = _round(dealt.filter(F.col("turn") == number).drop("turn"), words_known, weights)
     return weights
 
 
-def _rare_sums(rows: DataFrame, words_known: Vocabulary, counts: DataFrame) -> DataFrame:
-    """Per document: sums over its rare tokens of log10(count + smoothing) and of known ones."""
-    known = rows.sparkSession.sparkContext.broadcast(words_known.rows)
-
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            parts: list[bytes] = []
-            times: list[int] = []
-            sizes = []
-            for raw in raw_texts(batch):
-                own = Counter(words(raw))
-                for word in own.keys() & known.value.keys():
-                    del own[word]
-                parts += own
-                times += own.values()
-                sizes.append(len(own))
-            at = np.repeat(np.arange(batch.num_rows), sizes)
-            share = 1 / np.maximum(np.array(sizes, dtype=float), 1)
-            columns = [batch.column("key").take(pa.array(at)), batch.column("text_hash").take(pa.array(at)),
-                       pa.array(parts, pa.binary()), pa.array(times, pa.int64()), pa.array(share[at])]
-            yield pa.RecordBatch.from_arrays(columns, ["key", "text_hash", "word", "times", "share"])
-
-    each = rows.select("key", "text_hash", "text").mapInArrow(
-        spread, "key long, text_hash long, word binary, times long, share double")
+def _tail_sums(parts: DataFrame, counts: DataFrame) -> DataFrame:
+    """Per document: sums over its words beyond the broadcast ones of log10(count + smoothing), and of known ones."""
+    share = 1 / F.size("tail")
+    each = parts.select("key", "text_hash", share.alias("share"), F.explode("tail").alias("one"))
+    each = each.select("key", "text_hash", "share", "one.word", "one.times")
     # Each word has one count, so a part of the counts is small and hashed as it is; the occurrences need no sort.
     met = each.join(counts.select("word", "n").hint("shuffle_hash"), "word", "left")
     log = F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + F.lit(SMOOTHING))
     # A row's shares add up to one, so their sum over equal rows tells how many there are.
     copies = F.round(F.sum("share"))
     return met.groupBy("key", "text_hash").agg(
-        (F.sum(log) / copies).alias("rare_log"),
-        (F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)) / copies).alias("rare_known"))
+        (F.sum(log) / copies).alias("tail_log"),
+        (F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)) / copies).alias("tail_known"))
 
 
 def score(docs: DataFrame, words_known: Vocabulary, weights: Weights, counts: DataFrame) -> DataFrame:
     """doc_id, n_tokens, n_known, base_score and score, both log10, of every row."""
     known, model = (docs.sparkSession.sparkContext.broadcast(x) for x in (words_known, weights))
-    head_logs = np.log10(words_known.counts + SMOOTHING)
+    listed = np.concatenate([words_known.counts, words_known.middle])
+    listed_logs, listed_known, head = np.log10(listed + SMOOTHING), listed > 0, len(words_known.counts)
     rare_totals = np.log10(words_known.rare_tokens + SMOOTHING * (words_known.rare_kinds + 1))
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            documents = [known.value.encode([*words(raw), END]) for raw in raw_texts(batch)]
+            documents, tails, ends = [], [], [0]
+            sums = np.zeros((3, batch.num_rows))
+            for k, raw in enumerate(raw_texts(batch)):
+                tokens = [*words(raw), END]
+                numbers = known.value.numbers(tokens)
+                documents.append(known.value.encode(tokens, numbers))
+                own, logs = numbers[numbers >= 0], listed_logs[numbers]
+                sums[:, k] = listed_known[own].sum(), logs[(numbers >= 0) & (numbers < head)].sum(), logs[numbers >= head].sum()
+                tails += Counter(tokens[at] for at in np.flatnonzero(numbers < 0).tolist()).items()
+                ends.append(len(tails))
             part = recurrent.score(model.value, documents) / np.log(10)
-            head = np.zeros((len(documents), 2))
-            first = len(model.value.member_bias)
+            first = known.value.first
             for k, rows in enumerate(documents):
-                own = rows[rows < len(head_logs)]
-                head[k] = (known.value.counts[own] > 0).sum(), head_logs[own].sum()
-                rare = np.bincount(rows[rows >= first] - first, minlength=RARE_CLASSES)
-                part[k] -= rare @ rare_totals
+                part[k] -= np.bincount(rows[rows >= first] - first, minlength=RARE_CLASSES) @ rare_totals
+            pairs = pa.StructArray.from_arrays(
+                [pa.array([w for w, _ in tails], pa.binary()), pa.array([n for _, n in tails], pa.int64())], ["word", "times"])
             columns = [*(batch.column(c) for c in ("doc_id", "key", "text_hash")),
-                       pa.array([len(d) for d in documents], pa.int64()), pa.array(head[:, 0].astype(np.int64)),
-                       pa.array(head[:, 1]), pa.array(part)]
+                       pa.array([len(d) for d in documents], pa.int64()), pa.array(sums[0].astype(np.int64)),
+                       pa.array(sums[1] + sums[2]), pa.array(part + sums[2]),
+                       pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)]
             yield pa.RecordBatch.from_arrays(columns, _PARTS)
 
-    rows = _keyed(docs)
-    schema = "doc_id long, key long, text_hash long, n_tokens long, head_known long, head_log double, part double"
-    parts = rows.mapInArrow(rate, schema)
-    whole = parts.join(_rare_sums(rows, words_known, counts), ["key", "text_hash"], "left")
-    rare_log = F.coalesce("rare_log", F.lit(0.0))
-    base = F.col("head_log") + rare_log - F.col("n_tokens") * F.log10(F.lit(words_known.base_total))
-    known_tokens = F.col("head_known") + F.coalesce("rare_known", F.lit(0.0)).cast("long")
+    schema = ("doc_id long, key long, text_hash long, n_tokens long, known long, log double, part double, "
+              "tail array<struct<word: binary, times: long>>")
+    # Read by the sums and by the join.
+    parts = written(_keyed(docs).mapInArrow(rate, schema), "parts")
+    whole = parts.drop("tail").join(_tail_sums(parts, counts), ["key", "text_hash"], "left")
+    tail_log = F.coalesce("tail_log", F.lit(0.0))
+    base = F.col("log") + tail_log - F.col("n_tokens") * F.log10(F.lit(words_known.base_total))
+    known_tokens = F.col("known") + F.coalesce("tail_known", F.lit(0.0)).cast("long")
     return whole.select("doc_id", "n_tokens", known_tokens.alias("n_known"), base.alias("base_score"),
-                        (F.col("part") + rare_log).alias("score"))
+                        (F.col("part") + tail_log).alias("score"))
 
 
-_PARTS = ["doc_id", "key", "text_hash", "n_tokens", "head_known", "head_log", "part"]
+_PARTS = ["doc_id", "key", "text_hash", "n_tokens", "known", "log", "part", "tail"]
 
 
 def _keyed(docs: DataFrame) -> DataFrame:

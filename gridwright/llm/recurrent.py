@@ -11,10 +11,10 @@ from dataclasses import dataclass
 
 import numpy as np
 
-HIDDEN, MEMBERS = 24, 64
-LANES, STEPS, SCORE_STEPS = 256, 16, 32
-#: A window over few lanes is longer, up to so many steps, until it has so many words. Lanes by steps held at a time.
-LONGEST, FULL, CELLS = 64, 512, 1 << 23
+HIDDEN, MEMBERS = 16, 64
+LANES, STEPS, SCORE_STEPS = 256, 32, 32
+#: Lanes by steps held at a time: beyond that there are fewer lanes.
+CELLS = 1 << 23
 LEARNING_RATE, CLIP = 0.08, 5.0
 
 
@@ -59,7 +59,11 @@ def initial(head_counts: np.ndarray, rare_counts: np.ndarray, seed: int = 7) ->
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+    """In place."""
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
 def _cell(w: Weights, x: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -75,11 +79,20 @@ def _step(w: Weights, rows: np.ndarray, state: np.ndarray) -> tuple[np.ndarray,
     return _cell(w, w.inputs[rows], state)
 
 
-def _by_class(classes: np.ndarray, head: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
-    """Places in the order of their class, and (class, first, last) of each head class that occurs."""
+def _by_class(classes: np.ndarray, head: int) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+    """Places in the order of their class, and the head classes that occur in groups of about equal size: (classes, places
+    of each in that order as [class, place], which of these are real and no padding)."""
     order = np.argsort(classes.astype(np.uint16), kind="stable")
-    edges = np.searchsorted(classes[order], np.arange(head + 1)).tolist()
-    return order, [(c, edges[c], edges[c + 1]) for c in range(head) if edges[c] < edges[c + 1]]
+    edges = np.searchsorted(classes[order], np.arange(head + 1))
+    sizes = np.diff(edges)
+    groups = []
+    bits = np.frexp(sizes.astype(np.float32))[1]
+    for bit in np.unique(bits[sizes > 0]).tolist():
+        own = np.flatnonzero((bits == bit) & (sizes > 0))
+        reach = np.arange(sizes[own].max())
+        real = reach < sizes[own][:, None]
+        groups.append((own, np.where(real, edges[own][:, None] + reach, edges[own][:, None]), real))
+    return order, groups
 
 
 def _logits(rows: np.ndarray, bias: np.ndarray, across: np.ndarray) -> np.ndarray:
@@ -93,20 +106,29 @@ def _logits(rows: np.ndarray, bias: np.ndarray, across: np.ndarray) -> np.ndarra
 def log_probabilities(w: Weights, states: np.ndarray, classes: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """Natural log of each target's probability; for a rare class that of the class alone."""
     order, grouped = _by_class(classes, w.head_classes)
-    across, ids, places = np.ascontiguousarray(states[order].T), ids[order], np.arange(len(order))
-    logits = _logits(w.classes.T, w.class_bias, across)
+    states, ids, places = states[order], ids[order], np.arange(len(order))
+    logits = _logits(w.classes.T, w.class_bias, np.ascontiguousarray(states.T))
     got = logits[classes[order], places]
     got -= np.log(np.exp(logits, out=logits).sum(0))
-    for c, first, last in grouped:
-        part = slice(c * MEMBERS, (c + 1) * MEMBERS)
-        own = _logits(w.members[part], w.member_bias[part], across[:, first:last])
-        got[first:last] += own[ids[first:last] - part.start, places[: last - first]]
-        got[first:last] -= np.log(np.exp(own, out=own).sum(0))
+    for own, at, real in grouped:
+        _, members = _member_logits(w, own, states[at])
+        chosen = np.take_along_axis(members, (ids[at] % MEMBERS)[:, :, None], 2)[:, :, 0]
+        chosen -= np.log(np.exp(members, out=members).sum(2))
+        got[at[real]] += chosen[real]
     out = np.empty_like(got)
     out[order] = got
     return out
 
 
+def _member_logits(w: Weights, classes: np.ndarray, states: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Output rows of the classes' members, and logits as [class, place, member], the largest of each place being zero."""
+    rows = w.members.reshape(-1, MEMBERS, HIDDEN)[classes]
+    out = states @ rows.transpose(0, 2, 1)
+    out += w.member_bias.reshape(-1, MEMBERS)[classes][:, None]
+    out -= out.max(2, keepdims=True)
+    return rows, out
+
+
 def targets(rows: np.ndarray, w: Weights) -> tuple[np.ndarray, np.ndarray]:
     """(class, id) of words given by their input rows."""
     words = len(w.member_bias)
@@ -182,7 +204,7 @@ class Trainer:
         first = windows = 0
         while first < len(before):
             live = int((lengths > first).sum())
-            last = min(first + min(LONGEST, max(STEPS, FULL // live)), len(before))
+            last = min(first + STEPS, len(before))
             inside = np.arange(first, last)[:, None] < lengths[:live]
             state = self._window(before[first:last, :live], after[first:last, :live], inside, state[:live], start)
             self.tokens += int(inside.sum())
@@ -190,33 +212,42 @@ class Trainer:
         return windows
 
     def _window(self, rows: np.ndarray, after: np.ndarray, inside: np.ndarray, state: np.ndarray, start: int) -> np.ndarray:
-        w, kept = self.w, []
+        w, wide = self.w, (*rows.shape, HIDDEN)
         inputs, going = w.inputs[rows], (rows != start)[:, :, None]
+        entering, stacked, update, reset, own, new = (np.empty(wide, dtype=np.float32) for _ in range(6))
         for t in range(len(rows)):
-            entering = state * going[t]
-            state, *rest = _cell(w, inputs[t], entering)
-            kept.append((entering, state, *rest))
-        entering, stacked, update, reset, own, new = map(np.stack, zip(*kept))
+            np.multiply(state, going[t], out=entering[t])
+            state, update[t], reset[t], own[t], new[t] = _cell(w, inputs[t], entering[t])
+            stacked[t] = state
         classes, ids = targets(after[inside], w)
-        error = np.zeros_like(stacked)
+        error = np.zeros(wide, dtype=np.float32)
         error[inside] = self._output(stacked[inside], classes, ids)
         # What the slope in a state is multiplied by, for each gate.
         stay = 1 - update
-        to_new = stay * (1 - new * new)
-        to_update = (entering - new) * update * stay
-        to_reset = to_new * own * reset * (1 - reset)
-        factors = np.stack([to_update, to_reset, to_new * reset], 2)
-        through, slopes = np.empty_like(factors), np.empty_like(stacked)
+        to_new = np.multiply(new, new)
+        np.subtract(1, to_new, out=to_new)
+        to_new *= stay
+        factors = np.empty((*rows.shape, 3, HIDDEN), dtype=np.float32)
+        np.subtract(entering, new, out=factors[:, :, 0])
+        factors[:, :, 0] *= update
+        factors[:, :, 0] *= stay
+        np.multiply(to_new, reset, out=factors[:, :, 2])
+        np.subtract(1, reset, out=factors[:, :, 1])
+        factors[:, :, 1] *= own
+        factors[:, :, 1] *= factors[:, :, 2]
+        through, slopes = np.empty_like(factors), np.empty(wide, dtype=np.float32)
         slope, back = np.zeros_like(state), np.ascontiguousarray(w.gates.T)
         for t in range(len(rows) - 1, -1, -1):
             slope = np.add(slope, error[t], out=slopes[t])
             np.multiply(slope[:, None], factors[t], out=through[t])
             slope = (slope * update[t] + through[t].reshape(-1, 3 * HIDDEN) @ back) * going[t]
         gates = entering.reshape(-1, HIDDEN).T @ through.reshape(-1, 3 * HIDDEN)
-        through[:, :, 2] = slopes * to_new
-        entries = through
-        flat, order = entries.reshape(-1, 3 * HIDDEN), np.argsort(rows.ravel(), kind="stable")
-        used, heads = np.unique(rows.ravel()[order], return_index=True)
+        np.multiply(slopes, to_new, out=through[:, :, 2])
+        order = np.argsort(rows.ravel().astype(np.uint16), kind="stable") if len(w.inputs) <= 1 << 16 else np.argsort(
+            rows.ravel(), kind="stable")
+        flat, entry = through.reshape(-1, 3 * HIDDEN), rows.ravel()[order]
+        heads = np.flatnonzero(np.diff(entry, prepend=-1))
+        used = entry[heads]
         self._apply("gates", gates)
         self._apply("inputs", np.add.reduceat(flat[order], heads, axis=0), used)
         return state
@@ -225,31 +256,38 @@ class Trainer:
         """Takes a step on the output rows; the loss's slope in the states."""
         w, scale = self.w, np.float32(1 / LANES)
         order, grouped = _by_class(classes, w.head_classes)
-        across, ids, places = np.ascontiguousarray(hidden[order].T), ids[order], np.arange(len(order))
+        own_states, ids, places = hidden[order], ids[order], np.arange(len(order))
+        across = np.ascontiguousarray(own_states.T)
         p = _logits(w.classes.T, w.class_bias, across)
         np.exp(p, out=p)
         p *= scale / p.sum(0)
         p[classes[order], places] -= scale
-        back = w.classes @ p
+        back = (w.classes @ p).T
         members, bias = np.zeros_like(w.members), np.zeros_like(w.member_bias)
-        for c, first, last in grouped:
-            part, own = slice(c * MEMBERS, (c + 1) * MEMBERS), across[:, first:last]
-            q = _logits(w.members[part], w.member_bias[part], own)
+        for own, at, real in grouped:
+            held = own_states[at]
+            rows, q = _member_logits(w, own, held)
             np.exp(q, out=q)
-            q *= scale / q.sum(0)
-            q[ids[first:last] - part.start, places[: last - first]] -= scale
-            members[part], bias[part] = q @ own.T, q.sum(1)
-            back[:, first:last] += w.members[part].T @ q
+            q *= (scale * real / q.sum(2))[:, :, None]
+            target = (ids[at] % MEMBERS)[:, :, None]
+            np.put_along_axis(q, target, np.take_along_axis(q, target, 2) - (scale * real)[:, :, None], 2)
+            members.reshape(-1, MEMBERS, HIDDEN)[own] = q.transpose(0, 2, 1) @ held
+            bias.reshape(-1, MEMBERS)[own] = q.sum(1)
+            back[at[real]] += (q @ rows)[real]
         self._apply("classes", across @ p.T)
         self._apply("class_bias", p.sum(1))
         self._apply("members", members)
         self._apply("member_bias", bias)
         out = np.empty_like(hidden)
-        out[order] = back.T
+        out[order] = back
         return out
 
     def _apply(self, name: str, slope: np.ndarray, at: np.ndarray | slice = slice(None)) -> None:
         np.clip(slope, -CLIP, CLIP, out=slope)
         seen, value = self.seen[name], getattr(self.w, name)
-        seen[at] += slope * slope
-        value[at] -= LEARNING_RATE * slope / np.sqrt(seen[at])
+        root = seen[at] + slope * slope
+        seen[at] = root
+        np.sqrt(root, out=root)
+        slope *= LEARNING_RATE
+        slope /= root
+        value[at] -= slope

@@ -90,7 +90,7 @@ def test_gradients_equal_differences(monkeypatch):
     slopes = {}
     monkeypatch.setattr(R.Trainer, "_apply", lambda self, name, slope, at=slice(None): slopes.setdefault(name, (slope.copy(), at)))
     R.Trainer(w).learn(documents)
-    for name, place in (("gates", (3, 5)), ("gates", (10, 60)), ("classes", (2, 1)), ("members", (7, 4)), ("class_bias", (0,))):
+    for name, place in (("gates", (3, 5)), ("gates", (10, 3 * R.HIDDEN - 8)), ("classes", (2, 1)), ("members", (7, 4)), ("class_bias", (0,))):
         slope, h = slopes[name][0][place], 1e-2
         ends = []
         for sign in (1, -1):
@@ -141,10 +141,44 @@ def test_rounds_learn_once_from_every_training_token(documents, spark, monkeypat
     assert (got.members[0] != weights.members[0]).any()
 
 
+def _likelihoods(docs, monkeypatch, parts, **bounds):
+    for name, value in bounds.items():
+        monkeypatch.setattr(L, name, value)
+    rows, _ = L.likelihoods(docs.repartition(parts))
+    return {(r.doc_id, r.n_tokens): (r.n_known, r.base_score, r.score) for r in rows.collect()}
+
+
+def test_scores_do_not_depend_on_partitioning(documents, monkeypatch):
+    """The same rows give the same model, whether in one share or several."""
+    docs = documents([(i, prose(i % 50, 20 + i % 90)) for i in range(240)])
+    assert L.shares(L.SHARE_TOKENS) == 1 and L.shares(L.SHARE_TOKENS + 1) == 2 and L.shares(0) == 1
+    for tokens in (L.SHARE_TOKENS, 3000):
+        first, *others = [_likelihoods(docs, monkeypatch, parts, SHARE_TOKENS=tokens) for parts in (1, 4, 64)]
+        for other in others:
+            assert other.keys() == first.keys()
+            for key, (n_known, base, score) in first.items():
+                assert other[key] == (n_known, pytest.approx(base, rel=1e-9), pytest.approx(score, rel=1e-6))
+
+
+def test_words_beyond_the_broadcast_ones_score_the_same(documents, awkward):
+    docs = documents([*awkward, *awkward[:3], *((200 + i, prose(i, 60)) for i in range(60))])
+    training = docs.filter(~L.held_out())
+    counts = L.count_words(training)
+    every, few = (L.vocabulary(counts, 8, middle) for middle in (1 << 18, 20))
+    weights = R.initial(every.counts + L.SMOOTHING, every.rare_tokens)
+    assert len(every.middle) > 20 >= len(few.middle) > 0
+    one, two = (sorted(((str(r.doc_id), r.n_tokens, r.n_known, r.base_score, r.score) for r in
+                        L.score(docs, known, weights, counts).collect())) for known in (every, few))
+    assert len(one) == docs.count()
+    for a, b in zip(one, two):
+        assert a[:3] == b[:3] and a[3:] == pytest.approx(b[3:], rel=1e-6)
+
+
 def test_texts_are_learned_whole_in_groups_of_any_size(monkeypatch):
     rng, seen = np.random.default_rng(5), []
     texts = [b" ".join(b"w%d" % k for k in rng.integers(0, 50, n)) for n in (0, 1, 33, 63, 400, 2000)]
     known = L.Vocabulary({b"": 0} | {b"w%d" % k: k + 1 for k in range(50)}, np.ones(51), 51, 51, np.zeros(32), np.zeros(32))
     monkeypatch.setattr(L, "TOGETHER", 100)
-    L.learn_texts(type("Noted", (), {"learn": lambda self, part: seen.extend(part)})(), known, texts)
+    encoded = (known.encode([*t.split(), b""]) for t in texts)
+    L.learn_texts(type("Noted", (), {"learn": lambda self, part: seen.extend(part)})(), encoded)
     assert [s.tolist() for s in seen] == [known.encode([*t.split(), b""]).tolist() for t in texts]
