@@ -91,11 +91,17 @@ def with_labels(runs: DataFrame) -> DataFrame:
     })
 
 
+def _by_run(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
+    """Both sides grow with the runs, and the planner takes generated or written ones for far smaller than they are, so a
+    broadcast would fill the driver: the join sorts both."""
+    return left.hint("merge").join(right, "run_id", how)
+
+
 def run_cells(runs: DataFrame, metrics: DataFrame) -> DataFrame:
     """(run columns, horizon, mae, rmse, skill_score): one row per run and horizon."""
     parsed = parse_metric_keys(metrics).where(F.col("metric").isin("mae", "rmse", "skill_score"))
     wide = parsed.groupBy("run_id", "horizon").agg(*cells("metric", ["mae", "rmse", "skill_score"]))
-    return with_labels(runs).join(wide, "run_id")
+    return _by_run(with_labels(runs), wide)
 
 
 #: More horizons than this are no table that anyone reads.
@@ -110,7 +116,7 @@ def runs_pivot(runs: DataFrame, metrics: DataFrame, horizons: Sequence[int] | No
         return _found_pivot(runs, metrics)[0]
     keys = [f"h{h}_{m}" for m in PIVOTED for h in horizons]
     wide = metrics.where(F.col("key").isin(*keys)).groupBy("run_id").agg(*cells("key", keys))
-    return with_labels(runs).join(wide, "run_id", "left")
+    return _by_run(with_labels(runs), wide, "left")
 
 
 def _found_pivot(runs: DataFrame, metrics: DataFrame) -> tuple[DataFrame, list[int]]:
@@ -126,7 +132,7 @@ def _found_pivot(runs: DataFrame, metrics: DataFrame) -> tuple[DataFrame, list[i
     if len(horizons) > MOST_HORIZONS:
         raise ValueError(f"more than {MOST_HORIZONS} horizons: name those to show")
     keys = [f"h{h}_{m}" for m in PIVOTED for h in horizons]
-    wide = with_labels(runs).join(maps, "run_id", "left")
+    wide = _by_run(with_labels(runs), maps, "left")
     return wide.select(*[c for c in wide.columns if c != "_cells"], *[F.col("_cells")[k].alias(k) for k in keys]), horizons
 
 
@@ -198,7 +204,7 @@ def backfill_curves(children: DataFrame, metrics: DataFrame, step_minutes: int)
     of several children with one horizon the first by run_id counts. `persistence_*` keys carry no
     horizon of their own and take their run's.
     """
-    own = metrics.join(children, "run_id")
+    own = _by_run(metrics, children)
     parsed = parse_metric_keys(own).withColumn(
         "metric", F.coalesce("metric", F.when(F.col("key").rlike("^persistence_(?!mape)"), F.col("key"))))
     usable = parsed.where(F.col("metric").isNotNull())

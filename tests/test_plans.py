@@ -96,3 +96,14 @@ def test_work_tables_can_be_cleared(spark):
     path = kept.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
     assert Path(path).exists()
     assert clear_work(spark) == 1 and not Path(path).exists() and clear_work(spark) == 0
+
+
+def test_runs_and_generated_metrics_are_not_broadcast(spark):
+    """A generator's output counts for the planner as no more than its input."""
+    runs = spark.createDataFrame([("r1", "p", "xgboost", "wind_baseline")], "run_id string, parent_run_id string, backend string, feature_set string")
+    keys = F.inline(F.array(*[F.struct(F.lit(f"h{h}_mae").alias("key"), F.lit(1.0).alias("value")) for h in range(50)]))
+    metrics = runs.select("run_id", keys)
+    children = runs.select("run_id", "parent_run_id")
+    for out in (R.backfill_curves(children, metrics, 10), R.run_cells(runs, metrics), R.runs_pivot(runs, metrics, [1, 6]), R.runs_pivot(runs, metrics)):
+        text = plan(out)
+        assert "SortMergeJoin [run_id" in text and "BroadcastExchange" not in text.split("SortMergeJoin [run_id", 1)[1]
