@@ -1,9 +1,10 @@
 """Boosted trees on histograms, grown for all horizons together.
 
-The rows are binned once and kept as blocks of numbers. A pass over the blocks sums residuals and counts by horizon, node,
-feature and bin; the sums of all tasks meet in a shuffle, where each feature proposes its best split of every node, so the
-driver gets one short row per horizon and feature, whatever the number of rows. One pass grows a level of the trees of all
-horizons that still learn.
+The rows are binned once and kept as blocks of numbers, column by column. A pass over the blocks sums residuals and counts by
+horizon, node, feature and bin; the sums of all tasks meet in a shuffle, where each feature proposes its best split of every
+node, so the driver gets one short row per horizon and feature, whatever the number of rows. One pass grows a level of the
+trees of all horizons that still learn. Columns of few bins share a histogram and are told apart afterwards. Where one task
+has all blocks, only the lesser of two children is summed; the other has the rest of its parent's sums.
 
 The losses on val come with the first pass of each round. A horizon stops when `patience` rounds have not done better, and
 its model is the prefix of its ensemble that did best; nothing is fitted twice.
@@ -12,7 +13,7 @@ its model is the prefix of its ensemble that did best; nothing is fitted twice.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
@@ -24,11 +25,15 @@ from pyspark.sql import functions as F
 from gridwright.session import written
 
 BLOCK_ROWS = 65_536
+#: Blocks for each task at least, so that tasks get even shares of the rows.
+TASK_BLOCKS = 4
 #: Rows that a task holds: a pass over fewer costs less than starting another task for them.
-TASK_ROWS = 262_144
+TASK_ROWS = 524_288
 #: Rounds after which the blocks are made from the written table again, which keeps their lineage short.
 RENEW = 25
 QUANTILE_ERROR = 0.001
+#: Rows for each cell of a histogram that columns share.
+SHARED_ROWS = 8
 
 
 @dataclass(frozen=True)
@@ -75,24 +80,36 @@ class Tree:
         self.value += values
         return self.left[node], self.left[node] + 1
 
-    def leaves(self, binned: np.ndarray) -> np.ndarray:
-        """The node in which each row ends."""
-        node = np.zeros(len(binned), np.int32)
-        feature, at, left = np.array(self.feature), np.array(self.bin), np.array(self.left, np.int32)
-        rows = np.flatnonzero(feature[node] >= 0)
-        while len(rows):
-            here = node[rows]
-            node[rows] = left[here] + (binned[rows, feature[here]] > at[here])
-            rows = rows[feature[node[rows]] >= 0]
+    def depth(self) -> int:
+        """Splits on the longest way down."""
+        below = [0] * len(self.feature)
+        for node in reversed(range(len(below))):
+            if self.feature[node] >= 0:
+                below[node] = 1 + max(below[self.left[node]], below[self.left[node] + 1])
+        return below[0]
+
+    def leaves(self, binned: np.ndarray, rows: np.ndarray | None = None) -> np.ndarray:
+        """The node in which each row ends, of all rows or of those named. A leaf leads to itself, since no bin is beyond 255."""
+        rows = np.arange(len(binned)) if rows is None else rows
+        flat = binned.T.reshape(-1)
+        feature = np.array(self.feature)
+        ends = feature < 0
+        start = np.where(ends, 0, feature) * len(binned)
+        at = np.where(ends, 255, self.bin).astype(np.uint8)
+        left = np.where(ends, np.arange(len(ends)), self.left)
+        node = np.zeros(len(rows), np.intp)
+        for _ in range(self.depth()):
+            beyond = flat.take(start.take(node) + rows) > at.take(node)
+            node = left.take(node) + beyond
         return node
 
     def predict(self, binned: np.ndarray) -> np.ndarray:
-        return np.array(self.value)[self.leaves(binned)]
+        return np.array(self.value).take(self.leaves(binned))
 
 
 def into_bins(x: np.ndarray, cuts: Sequence[np.ndarray]) -> np.ndarray:
     """The bin of every value, column by column; what is missing counts as less than anything."""
-    out = np.empty(x.shape, np.uint8)
+    out = np.empty(x.shape, np.uint8, order="F")
     for k, edges in enumerate(cuts):
         column = x[:, k]
         out[:, k] = np.where(np.isnan(column), 0, np.searchsorted(edges, column, side="right") + 1)
@@ -127,14 +144,13 @@ class BoostedModel:
 
 @dataclass
 class Block:
-    """Up to `BLOCK_ROWS` rows: a hash of each, bins of all columns, targets and predictions by horizon, and which rows are
-    val."""
+    """Up to `BLOCK_ROWS` rows: a hash of each, bins of all columns, what predictions leave of the targets by horizon (not a
+    number where there is no target), and which rows are val. Columns lie in one piece."""
 
     keys: np.ndarray
     binned: np.ndarray
-    targets: np.ndarray
+    residuals: np.ndarray
     val: np.ndarray
-    predicted: np.ndarray
 
     def sampled(self, round_no: int, share: float, seed: int) -> np.ndarray:
         """Which rows a round learns from. The row itself decides, so it is the same in whatever block or task it lies; equal
@@ -149,78 +165,136 @@ class Block:
 
 @dataclass
 class Growing:
-    """A horizon while it learns. Trees see its own columns, by their place among all binned columns."""
+    """A horizon while it learns. Trees see its own columns, by their place among all binned columns; `sizes` has the number
+    of bins of each of those."""
 
     horizon: int
     at: int
     columns: list[int]
+    sizes: list[int]
     base: float
     trees: list[Tree] = field(default_factory=list)
     losses: list[float] = field(default_factory=list)
 
 
 def _blocks(table: DataFrame, columns: Sequence[str], horizons: Sequence[int], cuts: Sequence[np.ndarray], bases: Sequence[float]) -> RDD:
-    """The train and val rows as blocks, from a written table so that a lost block comes back the same."""
+    """The train and val rows as blocks, from a written table so that a lost block comes back the same. Blocks are dealt evenly
+    to tasks, however the table is partitioned: to one if that is enough, else to a multiple of the cores."""
     names = [f"target_h{h}" for h in horizons]
 
+    def packed(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held)
+        numbers = [rows.column(c).to_numpy().astype(np.float64) for c in [*columns, *names]]
+        binned = into_bins(np.column_stack(numbers[:len(columns)]), cuts)
+        targets = np.column_stack(numbers[len(columns):])
+        keys, val = (rows.column(c).to_numpy() for c in ("_key", "_is_val"))
+        parts = (keys.astype(np.int64), binned, targets, val.astype(bool))
+        return pa.RecordBatch.from_arrays([pa.array([x.tobytes("F")], pa.binary()) for x in parts], fields)
+
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            for begin in range(0, batch.num_rows, BLOCK_ROWS):
-                part = batch.slice(begin, BLOCK_ROWS)
-                numbers = [part.column(c).to_numpy(zero_copy_only=False).astype(np.float64) for c in [*columns, *names]]
-                binned = into_bins(np.column_stack(numbers[:len(columns)]), cuts)
-                targets = np.column_stack(numbers[len(columns):])
-                keys, val = (part.column(c).to_numpy(zero_copy_only=False) for c in ("_key", "_is_val"))
-                packed = (keys.astype(np.int64), binned, targets, val.astype(bool))
-                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in packed], fields)
+            while batch.num_rows:
+                held.append(batch.slice(0, block_rows - sum(part.num_rows for part in held)))
+                batch = batch.slice(held[-1].num_rows)
+                if sum(part.num_rows for part in held) == block_rows:
+                    yield packed(held)
+                    held = []
+        if held:
+            yield packed(held)
 
     fields = ["keys", "binned", "targets", "val"]
     rows = table.where(F.col("split").isin("train", "val")).select(
         *[F.col(c).cast("double").alias(c) for c in [*columns, *names]], (F.col("split") == "val").alias("_is_val"))
-    rows = rows.withColumn("_key", F.xxhash64(*rows.columns)).coalesce(max(1, -(-rows.count() // TASK_ROWS)))
+    count, cores = rows.count(), table.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, -(-count // TASK_ROWS))
+    tasks = tasks if tasks == 1 else -(-tasks // cores) * cores
+    block_rows = max(1, min(BLOCK_ROWS, -(-count // (TASK_BLOCKS * tasks))))
+    rows = rows.withColumn("_key", F.xxhash64(*rows.columns)).coalesce(tasks)
     stored = written(rows.mapInArrow(pack, ", ".join(f"{f} binary" for f in fields)), "blocks")
-    start, width, count = np.array(bases), len(columns), len(horizons)
+    start, width = np.array(bases), len(columns)
 
     def unpack(row) -> Block:
         keys, val = np.frombuffer(row["keys"], np.uint64), np.frombuffer(row["val"], bool)
-        binned = np.frombuffer(row["binned"], np.uint8).reshape(len(val), width)
-        targets = np.frombuffer(row["targets"], np.float64).reshape(len(val), count)
-        return Block(keys, binned, targets, val, np.tile(start, (len(val), 1)))
+        binned = np.frombuffer(row["binned"], np.uint8).reshape(width, len(val)).T
+        targets = np.frombuffer(row["targets"], np.float64).reshape(len(horizons), len(val)).T
+        return Block(keys, binned, targets - start, val)
 
-    return stored.rdd.map(unpack)
+    if tasks == 1:
+        return stored.rdd.coalesce(1).map(unpack)
+    dealt = stored.rdd.zipWithIndex().map(lambda one: (one[1], one[0])).partitionBy(tasks, lambda place: place)
+    return dealt.values().map(unpack)
 
 
 @dataclass(frozen=True)
 class Level:
-    """What a pass needs to know of a horizon: its place, its tree so far, the nodes to split and the columns to try."""
+    """What a pass needs to know of a horizon: its place, its tree so far, the nodes to split and the columns to try. Where
+    the sums of the level above stay at hand, only half of the children is summed (`halved`): `parents` has the place of each
+    pair's parent there, `lesser` which child of the pair has fewer rows."""
 
     horizon: int
     at: int
     tree: Tree
     nodes: list[int]
     columns: list[int]
-
-
-def _sums(block: Block, level: Level, settings: Boosting, round_no: int) -> Iterator[tuple]:
-    """((horizon, column), sums) over the block, where sums are residuals and counts by node and bin."""
-    tree, nodes = level.tree, level.nodes
-    target = block.targets[:, level.at]
-    known = ~np.isnan(target)
-    residual = target - block.predicted[:, level.at]
+    sizes: list[int]
+    halved: bool = False
+    parents: list[int] = field(default_factory=list)
+    lesser: list[int] = field(default_factory=list)
+
+    def summed(self) -> list[int]:
+        """The nodes that a pass sums."""
+        return [self.nodes[2 * n + side] for n, side in enumerate(self.lesser)] if self.parents else self.nodes
+
+    def whole(self, sums: np.ndarray, above: np.ndarray | None) -> np.ndarray:
+        """The sums of all nodes, from those of the summed ones and of the level above."""
+        if not self.parents:
+            return sums
+        first, side = 2 * np.arange(len(self.parents)), np.array(self.lesser)
+        rest = above[:, self.parents] - sums
+        rest[0][rest[1] == 0] = 0.0
+        out = np.empty((2, len(self.nodes), sums.shape[2]))
+        out[:, first + side], out[:, first + 1 - side] = sums, rest
+        return out
+
+
+def _sharing(columns: Sequence[int], sizes: Sequence[int], nodes: int, rows: int) -> list[list[int]]:
+    """Columns that share a histogram, those of few bins first, as long as it has few cells for its rows."""
+    groups: list[list[int]] = []
+    cells = 0
+    for k in sorted(columns, key=lambda k: sizes[k]):
+        if groups and cells * sizes[k] * SHARED_ROWS <= rows:
+            groups[-1].append(k)
+            cells *= sizes[k]
+        else:
+            groups.append([k])
+            cells = nodes * sizes[k]
+    return groups
+
+
+def _sums(block: Block, level: Level, settings: Boosting, learning: np.ndarray) -> Iterator[tuple]:
+    """((horizon, column), sums) over the block, where sums are residuals and counts by summed node and bin."""
+    tree, nodes = level.tree, level.summed()
+    residual = block.residuals[:, level.at]
     if not tree.left[0] and block.val.any():
-        off = residual[known & block.val]
+        off = residual[block.val]
+        off = off[~np.isnan(off)]
         yield (level.horizon, -1), np.array([np.square(off).sum(), len(off)])
-    rows = np.flatnonzero(known & ~block.val & block.sampled(round_no, settings.row_share, settings.seed))
     place = np.full(len(tree.feature), -1)
-    place[list(nodes)] = np.arange(len(nodes))
-    node = place[tree.leaves(block.binned[rows])]
-    rows, node = rows[node >= 0], node[node >= 0]
-    binned, residual = block.binned[rows], residual[rows]
-    cells, width = len(nodes) * (settings.bins + 1), settings.bins + 1
-    for k in level.columns:
-        cell = node * width + binned[:, k]
-        sums = np.bincount(cell, residual, cells), np.bincount(cell, minlength=cells)
-        yield (level.horizon, k), np.stack(sums).reshape(2, len(nodes), width)
+    place[nodes] = np.arange(len(nodes))
+    residual, node = residual.take(learning), place.take(tree.leaves(block.binned, learning))
+    here = np.flatnonzero((node >= 0) & ~np.isnan(residual))
+    rows, node, residual = learning.take(here), node.take(here), residual.take(here)
+    for group in _sharing(level.columns, level.sizes, len(nodes), len(rows)):
+        cell, shape = node, [len(nodes), *[level.sizes[k] for k in group]]
+        for k in group:
+            cell = cell * level.sizes[k] + block.binned[:, k].take(rows)
+        cells = int(np.prod(shape))
+        shared = np.stack((np.bincount(cell, residual, cells), np.bincount(cell, minlength=cells))).reshape(2, *shape)
+        for n, k in enumerate(group):
+            sums = np.zeros((2, len(nodes), settings.bins + 1))
+            sums[:, :, :level.sizes[k]] = shared.sum(axis=tuple(2 + i for i in range(len(group)) if i != n))
+            yield (level.horizon, k), sums
 
 
 def best_splits(sums: np.ndarray, settings: Boosting) -> np.ndarray:
@@ -245,12 +319,21 @@ Found = dict[tuple[int, int], np.ndarray]
 def _added(blocks: Iterable[Block], work: Sequence[Level], settings: Boosting, round_no: int) -> Found:
     totals: Found = {}
     for block in blocks:
+        learning = np.flatnonzero(~block.val & block.sampled(round_no, settings.row_share, settings.seed))
         for level in work:
-            for key, sums in _sums(block, level, settings, round_no):
+            for key, sums in _sums(block, level, settings, learning):
                 totals[key] = totals[key] + sums if key in totals else sums
     return totals
 
 
+def _whole(part: Iterable[tuple], work: Sequence[Level]) -> Iterator[tuple]:
+    """(key, sums of all nodes) from (key, (sums of the summed ones, sums of the level above)); losses pass."""
+    levels = {level.horizon: level for level in work}
+    for key, (sums, above) in part:
+        if sums is not None:
+            yield key, sums if key[1] < 0 else levels[key[0]].whole(sums, above)
+
+
 def _judged(part: Iterable[tuple[tuple[int, int], np.ndarray]], settings: Boosting) -> Iterator[tuple]:
     return ((key, sums if key[1] < 0 else best_splits(sums, settings)) for key, sums in part)
 
@@ -280,18 +363,25 @@ def _trees(starts: Sequence[Level], one_pass: Callable[[Sequence[Level]], Found]
 def _grow_round(blocks: RDD, active: Sequence[Growing], settings: Boosting, round_no: int) -> list[Tree]:
     """One tree for each horizon; takes down the losses before it. Where all blocks are in one task, the round's passes run
     there, else each is a job."""
-    starts = []
+    starts, alone = [], blocks.getNumPartitions() == 1
     for growing in active:
         rng = np.random.default_rng([settings.seed, growing.horizon, round_no])
         taken = max(1, round(settings.column_share * len(growing.columns)))
         columns = sorted(rng.choice(growing.columns, taken, replace=False).tolist())
-        starts.append(Level(growing.horizon, growing.at, Tree(), [0], columns))
+        starts.append(Level(growing.horizon, growing.at, Tree(), [0], columns, growing.sizes, alone))
 
     def in_task(part: Iterator[Block]) -> Iterator[tuple[Found, list[Tree]]]:
-        held = list(part)
-        yield _trees(starts, lambda work: dict(_judged(_added(held, work, settings, round_no).items(), settings)), settings)
+        held, above = list(part), {}
+
+        def one_pass(work: Sequence[Level]) -> Found:
+            nonlocal above
+            sums = _added(held, work, settings, round_no)
+            above = dict(_whole(((key, (v, above.get(key))) for key, v in sums.items()), work))
+            return dict(_judged(above.items(), settings))
+
+        yield _trees(starts, one_pass, settings)
 
-    if blocks.getNumPartitions() == 1:
+    if alone:
         losses, trees = blocks.mapPartitions(in_task).first()
     else:
         losses, trees = _trees(starts, lambda work: _pass(blocks, work, settings, round_no), settings)
@@ -307,13 +397,18 @@ def _split(level: Level, found: Found, settings: Boosting) -> Level | None:
         return None
     options = np.stack([found[level.horizon, k] for k in level.columns])
     children: list[int] = []
+    parents: list[int] = []
+    lesser: list[int] = []
     for n, node in enumerate(level.nodes):
         pick = int(options[:, n, 0].argmax())
         gain, at, *sides = options[pick, n]
         if gain > 0:
             values = tuple(settings.rate * s / (c + settings.penalty) for s, c in (sides[:2], sides[2:]))
             children += level.tree.split(node, level.columns[pick], int(at), values)
-    return Level(level.horizon, level.at, level.tree, children, level.columns) if children else None
+            parents.append(n)
+            lesser.append(int(sides[3] < sides[1]))
+    pairs = {"parents": parents, "lesser": lesser} if level.halved else {}
+    return replace(level, nodes=children, **pairs) if children else None
 
 
 def _final_losses(blocks: RDD, active: Sequence[Growing]) -> dict[int, np.ndarray]:
@@ -321,7 +416,7 @@ def _final_losses(blocks: RDD, active: Sequence[Growing]) -> dict[int, np.ndarra
 
     def lost(block: Block) -> Iterator[tuple[int, np.ndarray]]:
         for horizon, at in places:
-            off = (block.targets[:, at] - block.predicted[:, at])[block.val]
+            off = block.residuals[:, at][block.val]
             off = off[~np.isnan(off)]
             yield horizon, np.array([np.square(off).sum(), len(off)])
 
@@ -329,16 +424,16 @@ def _final_losses(blocks: RDD, active: Sequence[Growing]) -> dict[int, np.ndarra
 
 
 def _advanced(blocks: RDD, trees: Sequence[tuple[int, Sequence[Tree]]]) -> RDD:
-    """The blocks with predictions that take in more trees, kept as soon as a pass reads them."""
+    """The blocks with residuals that more trees leave, kept as soon as a pass reads them."""
 
     def advance(block: Block) -> Block:
-        predicted = block.predicted.copy()
+        residuals = block.residuals.copy("F")
         for at, grown in trees:
             for tree in grown:
-                predicted[:, at] += tree.predict(block.binned)
-        return Block(block.keys, block.binned, block.targets, block.val, predicted)
+                residuals[:, at] -= tree.predict(block.binned)
+        return replace(block, residuals=residuals)
 
-    return blocks.map(advance).persist(StorageLevel.MEMORY_AND_DISK)
+    return blocks.map(advance).persist(StorageLevel.MEMORY_AND_DISK_DESER)
 
 
 def boost_horizons(
@@ -362,8 +457,9 @@ def boost_horizons(
     cuts = [np.unique(q) for q in numbers.approxQuantile(columns, shares, QUANTILE_ERROR)]
     origin = _blocks(table, columns, horizons, cuts, bases)
     blocks, before = _advanced(origin, []), None
+    sizes = [len(edges) + 2 for edges in cuts]
     growing = [
-        Growing(h, k, sorted(columns.index(c) for c in features[h].values()), bases[k]) for k, h in enumerate(horizons)]
+        Growing(h, k, sorted(columns.index(c) for c in features[h].values()), sizes, bases[k]) for k, h in enumerate(horizons)]
     active = list(growing)
     for round_no in range(settings.rounds):
         grown = _grow_round(blocks, active, settings, round_no)

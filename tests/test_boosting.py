@@ -171,3 +171,55 @@ def test_out_of_fold_predictions_come_from_other_folds(weekly):
 def test_leaderboard_without_training_targets(weekly):
     none = weekly.withColumn("target_h2", F.lit(None).cast("double"))
     assert D.ensemble_leaderboard(none, ["x"], [2]).count() == 0
+
+
+def test_blocks_are_dealt_evenly_from_few_partitions(spark, monkeypatch):
+    monkeypatch.setattr(B, "TASK_ROWS", 50)
+    df = frame(spark, n=1000, parts=1)
+    cuts = [np.array([5.0])]
+    blocks = B._blocks(df, ["x"], [1], cuts, [0.0])
+    sizes = blocks.glom().map(lambda part: sum(len(b.val) for b in part)).collect()
+    known = df.where("split <> 'test'").count()
+    assert len(sizes) % spark.sparkContext.defaultParallelism == 0 and len(sizes) >= known // 50
+    assert sum(sizes) == known and max(sizes) <= 2 * known / len(sizes)
+    assert max(len(b.val) for b in blocks.collect()) <= -(-known // (B.TASK_BLOCKS * len(sizes)))
+
+
+@pytest.mark.parametrize("rows", [0, 60, 10**6])
+def test_lesser_children_and_shared_histograms_give_the_sums_of_all_nodes(rows, monkeypatch):
+    """Summed node by node and column by column, whether columns share a histogram or not."""
+    monkeypatch.setattr(B, "SHARED_ROWS", rows)
+    rng = np.random.default_rng(5)
+    binned = np.asfortranarray(rng.integers(0, 5, (3000, 3)).astype(np.uint8))
+    residuals = np.asfortranarray(np.where(rng.random((3000, 1)) < 0.1, np.nan, rng.normal(size=(3000, 1))))
+    block = B.Block(np.arange(3000, dtype=np.uint64), binned, residuals, np.arange(3000) % 4 == 0)
+    settings = B.Boosting(row_share=1.0, bins=6, depth=4, min_rows=2)
+    above, seen = {}, []
+
+    def one_pass(work):
+        sums = B._added([block], work, settings, 0)
+        seen.extend(len(level.summed()) for level in work)
+        whole = dict(B._whole(((k, (v, above.get(k))) for k, v in sums.items()), work))
+        above.clear()
+        above.update(whole)
+        for level in work:
+            node = level.tree.leaves(binned)
+            for n, at in enumerate(level.nodes):
+                here = (node == at) & ~block.val & ~np.isnan(residuals[:, 0])
+                for k in level.columns:
+                    got = whole[level.horizon, k][:, n]
+                    assert got[1].tolist() == np.bincount(binned[here, k], minlength=7).tolist()
+                    assert got[0] == pytest.approx(np.bincount(binned[here, k], residuals[here, 0], 7), abs=1e-9)
+        return dict(B._judged(whole.items(), settings))
+
+    _, (tree,) = B._trees([B.Level(1, 0, B.Tree(), [0], [0, 1, 2], [5, 5, 5], True)], one_pass, settings)
+    assert len(seen) == 4 and seen[0] == 1 and sum(seen[1:]) * 2 == len(tree.feature) - 1 - _last_children(tree)
+
+
+def _last_children(tree):
+    """Nodes at the depth of the settings, which no pass sums."""
+    depth = [0] * len(tree.feature)
+    for n, f in enumerate(tree.feature):
+        if f >= 0:
+            depth[tree.left[n]] = depth[tree.left[n] + 1] = depth[n] + 1
+    return depth.count(4)
