@@ -34,16 +34,15 @@ _OFFSETS = np.cumsum(_LENGTHS, 1) - _LENGTHS
 
 def encode_ranks(ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(control bytes, data bytes); the last control byte is filled up with one-byte zeros."""
-    padded = np.zeros(-(-len(ranks) // 4) * 4, dtype=np.uint32)
+    padded = np.zeros(-(-len(ranks) // 4) * 4, dtype="<u4")
     padded[: len(ranks)] = ranks
-    lengths = 1 + (padded > 0xFF).astype(np.int64) + (padded > 0xFFFF) + (padded > 0xFFFFFF)
-    control = ((lengths.reshape(-1, 4) - 1) << np.array([0, 2, 4, 6])).sum(1).astype(np.uint8)
-    starts = np.cumsum(lengths) - lengths
-    data = np.zeros(int(lengths.sum()), dtype=np.uint8)
-    for byte in range(4):
-        has = lengths > byte if byte else slice(None)
-        data[starts[has] + byte] = padded[has] >> 8 * byte & 0xFF
-    return control, data
+    kept = np.ones((len(padded), 4), dtype=bool)
+    for byte in range(1, 4):
+        np.greater(padded, (1 << 8 * byte) - 1, out=kept[:, byte])
+    more = kept[:, 1:].view(np.uint8)
+    codes = (more[:, 0] + more[:, 1] + more[:, 2]).reshape(-1, 4)
+    control = codes[:, 0] | codes[:, 1] << 2 | codes[:, 2] << 4 | codes[:, 3] << 6
+    return control, padded.view(np.uint8).reshape(-1, 4)[kept]
 
 
 def decode_ranks(control: np.ndarray, data: np.ndarray, count: int) -> np.ndarray:

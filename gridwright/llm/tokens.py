@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 from functools import lru_cache
 
 import numpy as np
@@ -34,6 +35,7 @@ def _byte_letters() -> dict[int, int]:
 
 
 _STAND_IN = _byte_letters()
+_SPACE = chr(_STAND_IN[ord(" ")])
 
 
 def _is_loose(text: str) -> bool:
@@ -66,6 +68,7 @@ class Encoder:
         with open(path, encoding="utf-8") as f:
             described = json.load(f)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.kind = self._kind(described)
         self.specials = [t["content"] for t in described["added_tokens"]]
         self.first, self.rest = _Remembered(self, ""), _Remembered(self, " ")
@@ -92,8 +95,12 @@ class Encoder:
 
     def _piece(self, piece: str) -> bytes:
         """Ids of letters only or signs only, perhaps after a space: one piece for the model."""
-        spelled = piece.encode().decode("latin-1").translate(_STAND_IN)
-        return np.array([t.id for t in self.model.tokenize(spelled)], dtype=self.dtype).tobytes()
+        if not piece.isascii():
+            spelled = piece.encode().decode("latin-1").translate(_STAND_IN)
+        else:  # letters and signs stand for themselves
+            spelled = _SPACE + piece[1:] if piece[0] == " " else piece
+        ids = [t.id for t in self.model.tokenize(spelled)]
+        return struct.pack(f"<{len(ids)}{self.code}", *ids)
 
     def fragment(self, fragment: str, known: _Remembered) -> bytes:
         """Ids of a fragment that `known` lacks; a word and the signs after it are looked up there one by one."""

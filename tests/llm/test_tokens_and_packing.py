@@ -133,3 +133,10 @@ def test_loose_texts_are_those_of_the_pattern():
     for _ in range(20_000):
         text = "".join(rng.choices("ab \n\t\u00a0\x1c\u3000", weights=(9, 9, 4, 2, 1, 1, 1, 1), k=rng.randint(1, 9)))
         assert tokens._is_loose(text) == (tokens._LOOSE.search(text) is not None)
+
+
+def test_pieces_in_and_beyond_ascii():
+    """Letters and signs of ASCII are spelled as they are, others by the stand-ins of their bytes."""
+    known = Encoder(BYTES)
+    for piece in ("word", " word", "Été", " Été", "...", " (", "x", " ÿ", "~", " !"):
+        assert known._piece(piece) == known._library(piece)
