@@ -7,7 +7,7 @@ from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
-from pyspark import inheritable_thread_target
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import (
@@ -150,10 +150,14 @@ def greedy_weights(gram: np.ndarray, cross: np.ndarray, rounds: int) -> np.ndarr
 
 
 def _fitted(rows: DataFrame, present: Sequence[str], candidates: Mapping[str, Estimator]) -> PipelineModel:
-    """All candidates as one model: a prediction column per candidate, from features assembled once."""
+    """All candidates as one model: a prediction column per candidate, from features assembled once. Every fit reads the rows
+    several times, so they are kept meanwhile."""
     assembler = VectorAssembler(inputCols=list(present), outputCol="features")
-    ready = assembler.transform(rows)
-    fits = [c.copy({c.predictionCol: name}).fit(ready) for name, c in candidates.items()]
+    ready = assembler.transform(rows).select("target", "features").persist(StorageLevel.MEMORY_AND_DISK_DESER)
+    try:
+        fits = [c.copy({c.predictionCol: name}).fit(ready) for name, c in candidates.items()]
+    finally:
+        ready.unpersist()
     return PipelineModel(stages=[assembler, *fits])
 
 

@@ -223,3 +223,18 @@ def _last_children(tree):
         if f >= 0:
             depth[tree.left[n]] = depth[tree.left[n] + 1] = depth[n] + 1
     return depth.count(4)
+
+
+def test_rows_are_made_once_for_all_fits(spark, weekly):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def seen(x):
+        made.add(1)
+        return x
+
+    rows = weekly.repartition(3, "x").select(seen("x").alias("x"), F.col("target_h1").alias("target"))
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    candidates = {k: v for k, v in D.default_candidates(depth=2, trees=2).items() if k in ("linear", "tree", "boosted")}
+    assert len(D._fitted(rows, ["x"], candidates).stages) == 4
+    assert made.value == 700 and spark.sparkContext._jsc.getPersistentRDDs().size() <= before
