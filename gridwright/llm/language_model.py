@@ -11,7 +11,8 @@ learns by truncated backpropagation, and the shares' weights are averaged, weigh
 not outweigh all others, block by block. Each training document is learned from whole, its end included and the state carried
 through, in one of the rounds, which the same hash tells: all rounds together are one pass over every training token. Nothing
 in this depends on how the table is partitioned, so the same rows give the same model, but for the last digits of its sums.
-Scoring reads whole documents with the state carried through, too.
+Scoring reads whole documents with the state carried through, too. Texts are taken apart twice, once to be counted and once
+to be encoded; the rounds and the scoring read the encoded table.
 
 Documents that `held_out` names, and those with a null id, are scored but never learned from. A null text is an empty one:
 its end is its only token. A very long text is one sequence in one task, two bytes a token. Repeated rows repeat in the result. Without training documents every count is zero.
@@ -23,7 +24,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
-from itertools import repeat
+from itertools import pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +46,8 @@ ROUNDS, TOGETHER = 2, 1 << 21
 #: Training tokens of a share, and how many shares, and so tasks of a round, there may be.
 SHARE_TOKENS, MOST_SHARES = 1 << 22, 4096
 HELD, BLOCK, SALTS = 200_000, 16_384, 64
+#: Bytes of text encoded at a time, and of input rows, two a token, scored at a time.
+ENCODED_BYTES, SCORED_BYTES = 1 << 20, 1 << 21
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -158,12 +161,49 @@ def shares(tokens: int) -> int:
     return min(max(1, -(-tokens // SHARE_TOKENS)), MOST_SHARES)
 
 
-def _dealt(docs: DataFrame, words_known: Vocabulary, rounds: int) -> DataFrame:
-    """turn, share, place (a hash of id and text) and text of the training documents."""
-    place = F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
-    turn = F.pmod(F.shiftright(place, 40), F.lit(rounds)).cast("int")
-    share = F.pmod(place, F.lit(shares(words_known.tokens))).cast("int")
-    return docs.select(turn.alias("turn"), share.alias("share"), place.alias("place"), "text")
+def encoded(docs: DataFrame, words_known: Vocabulary) -> DataFrame:
+    """Every row as both training and scoring read it, as a table in the shared folder: doc_id, key, text_hash, place (a
+    hash of id and text), n_tokens, known, log and middle (sums over its listed words: how many occur in training text, of
+    log10(count + smoothing), and of that over the middle alone), rows (the network's input rows, two bytes a token) and tail
+    (its words beyond the listed ones). Texts are taken apart and looked up here alone."""
+    known = docs.sparkSession.sparkContext.broadcast(words_known)
+    listed = np.concatenate([words_known.counts, words_known.middle])
+    logs, occurs, head = np.log10(listed + SMOOTHING), listed > 0, len(words_known.counts)
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, limit=ENCODED_BYTES):
+            tokens: list[bytes] = []
+            ends = []
+            for raw in raw_texts(batch):
+                tokens += words(raw)
+                tokens.append(END)
+                ends.append(len(tokens))
+            starts = np.array([0, *ends[:-1]])
+            numbers = known.value.numbers(tokens)
+            rows = known.value.encode(tokens, numbers).astype("<u2")
+            own = np.where(numbers < 0, 0, logs[numbers])
+            rest = np.flatnonzero(numbers < 0)
+            edges = [0, *np.searchsorted(rest, ends).tolist()]
+            tails = [Counter(tokens[at] for at in rest[i:j].tolist()) for i, j in pairwise(edges)]
+            pairs = [pair for tail in tails for pair in tail.items()]
+            structs = pa.StructArray.from_arrays(
+                [pa.array([w for w, _ in pairs], pa.binary()), pa.array([n for _, n in pairs], pa.int64())], ["word", "times"])
+            columns = [*(batch.column(c) for c in ("doc_id", "key", "text_hash", "place")),
+                       pa.array(np.subtract(ends, starts), pa.int64()),
+                       pa.array(np.add.reduceat((numbers >= 0) & occurs[numbers], starts, dtype=np.int64)),
+                       pa.array(np.add.reduceat(own, starts)),
+                       pa.array(np.add.reduceat(np.where(numbers < head, 0, own), starts)),
+                       pa.array([rows[i:j].tobytes() for i, j in pairwise([0, *ends])], pa.binary()),
+                       pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, tails)]), pa.int32()), structs)]
+            yield pa.RecordBatch.from_arrays(columns, _ENCODED)
+
+    schema = ("doc_id long, key long, text_hash long, place long, n_tokens long, known long, log double, middle double, "
+              "rows binary, tail array<struct<word: binary, times: long>>")
+    return written(_keyed(docs).mapInArrow(encode, schema), "encoded")
+
+
+def _input_rows(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    return (np.frombuffer(rows, "<u2").astype(np.int32) for rows in batch.column("rows").to_pylist())
 
 
 def learn_texts(trainer: Trainer, texts_encoded: Iterable[np.ndarray]) -> int:
@@ -181,22 +221,14 @@ def learn_texts(trainer: Trainer, texts_encoded: Iterable[np.ndarray]) -> int:
     return texts
 
 
-def _round(dealt: DataFrame, words_known: Vocabulary, weights: Weights) -> Weights:
-    """The average of what all shares have learned from `weights` on. Texts go to their shares as input rows, in an order of
-    their own. Weights leave a task in blocks, which are summed in two steps, so that no task gathers all of them."""
-    spark = dealt.sparkSession.sparkContext
-    known, start = spark.broadcast(words_known), spark.broadcast(weights)
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            rows = [known.value.encode([*words(raw), END]).astype("<u2").tobytes() for raw in raw_texts(batch)]
-            yield pa.RecordBatch.from_arrays([batch.column("share"), batch.column("place"), pa.array(rows, pa.binary())],
-                                             ["share", "place", "rows"])
+def _round(rows: DataFrame, share_count: int, weights: Weights) -> Weights:
+    """The average of what all shares have learned from `weights` on. Texts come to their shares in an order of their own.
+    Weights leave a task in blocks, which are summed in two steps, so that no task gathers all of them."""
+    start = rows.sparkSession.sparkContext.broadcast(weights)
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer = Trainer(start.value)
-        texts = learn_texts(trainer, (np.frombuffer(rows, "<u2").astype(np.int32) for batch in batches
-                                      for rows in batch.column("rows").to_pylist()))
+        texts = learn_texts(trainer, (text for batch in batches for text in _input_rows(batch)))
         if texts:
             salt = TaskContext.get().partitionId() % SALTS
             flat = trainer.w.flat().astype(np.float64) * texts
@@ -213,8 +245,9 @@ def _round(dealt: DataFrame, words_known: Vocabulary, weights: Weights) -> Weigh
             "sums": pa.array([total.tobytes()], pa.binary()), "texts": pa.array([sum(table.column("texts").to_pylist())], pa.int64())})
 
     schema = "block int, salt int, sums binary, texts long"
-    encoded = dealt.mapInArrow(encode, "share int, place long, rows binary")
-    by_share = encoded.repartitionById(shares(words_known.tokens), "share").sortWithinPartitions("place", "rows")
+    share = F.pmod(F.col("place"), F.lit(share_count)).cast("int")
+    by_share = rows.select(share.alias("share"), "place", "rows").repartitionById(share_count, "share").sortWithinPartitions(
+        "place", "rows")
     learned = by_share.mapInArrow(learn, schema)
     summed = learned.groupBy("block", "salt").applyInArrow(add, schema).groupBy("block").applyInArrow(add, schema)
     parts = sorted(summed.collect(), key=lambda row: row["block"])
@@ -224,10 +257,15 @@ def _round(dealt: DataFrame, words_known: Vocabulary, weights: Weights) -> Weigh
 
 
 def train(docs: DataFrame, words_known: Vocabulary, rounds: int = ROUNDS) -> Weights:
+    return _trained(encoded(docs, words_known), words_known, rounds)
+
+
+def _trained(table: DataFrame, words_known: Vocabulary, rounds: int = ROUNDS) -> Weights:
+    """Learned from all rows of an encoded table."""
     weights = recurrent.initial(words_known.counts + SMOOTHING, words_known.rare_tokens)
-    dealt = _dealt(docs, words_known, rounds)
+    turn = F.pmod(F.shiftright("place", 40), F.lit(rounds))
     for number in range(rounds):
-        weights = _round(dealt.filter(F.col("turn") == number).drop("turn"), words_known, weights)
+        weights = _round(table.filter(turn == number), shares(words_known.tokens), weights)
     return weights
 
 
@@ -248,59 +286,46 @@ def _tail_sums(parts: DataFrame, counts: DataFrame) -> DataFrame:
 
 def score(docs: DataFrame, words_known: Vocabulary, weights: Weights, counts: DataFrame) -> DataFrame:
     """doc_id, n_tokens, n_known, base_score and score, both log10, of every row."""
-    known, model = (docs.sparkSession.sparkContext.broadcast(x) for x in (words_known, weights))
-    listed = np.concatenate([words_known.counts, words_known.middle])
-    listed_logs, listed_known, head = np.log10(listed + SMOOTHING), listed > 0, len(words_known.counts)
-    rare_totals = np.log10(words_known.rare_tokens + SMOOTHING * (words_known.rare_kinds + 1))
+    return _scored(encoded(docs, words_known), words_known, weights, counts)
+
+
+def _scored(table: DataFrame, words_known: Vocabulary, weights: Weights, counts: DataFrame) -> DataFrame:
+    model, first = table.sparkSession.sparkContext.broadcast(weights), words_known.first
+    # Of an input row: what the share of a rare word in its class is less by than the word's own part.
+    less = np.zeros(first + RARE_CLASSES)
+    less[first:] = np.log10(words_known.rare_tokens + SMOOTHING * (words_known.rare_kinds + 1))
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            documents, tails, ends = [], [], [0]
-            sums = np.zeros((3, batch.num_rows))
-            for k, raw in enumerate(raw_texts(batch)):
-                tokens = [*words(raw), END]
-                numbers = known.value.numbers(tokens)
-                documents.append(known.value.encode(tokens, numbers))
-                own, logs = numbers[numbers >= 0], listed_logs[numbers]
-                sums[:, k] = listed_known[own].sum(), logs[(numbers >= 0) & (numbers < head)].sum(), logs[numbers >= head].sum()
-                tails += Counter(tokens[at] for at in np.flatnonzero(numbers < 0).tolist()).items()
-                ends.append(len(tails))
-            part = recurrent.score(model.value, documents) / np.log(10)
-            first = known.value.first
-            for k, rows in enumerate(documents):
-                part[k] -= np.bincount(rows[rows >= first] - first, minlength=RARE_CLASSES) @ rare_totals
-            pairs = pa.StructArray.from_arrays(
-                [pa.array([w for w, _ in tails], pa.binary()), pa.array([n for _, n in tails], pa.int64())], ["word", "times"])
-            columns = [*(batch.column(c) for c in ("doc_id", "key", "text_hash")),
-                       pa.array([len(d) for d in documents], pa.int64()), pa.array(sums[0].astype(np.int64)),
-                       pa.array(sums[1] + sums[2]), pa.array(part + sums[2]),
-                       pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)]
-            yield pa.RecordBatch.from_arrays(columns, _PARTS)
-
-    schema = ("doc_id long, key long, text_hash long, n_tokens long, known long, log double, part double, "
-              "tail array<struct<word: binary, times: long>>")
-    # Read by the sums and by the join.
-    parts = written(_keyed(docs).mapInArrow(rate, schema), "parts")
-    whole = parts.drop("tail").join(_tail_sums(parts, counts), ["key", "text_hash"], "left")
+        for batch in slices(batches, "rows", SCORED_BYTES):
+            documents = list(_input_rows(batch))
+            part = recurrent.score(model.value, documents) / np.log(10) - [less[rows].sum() for rows in documents]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in _PARTS[:-1]), pa.array(part)], _PARTS)
+
+    schema = "doc_id long, key long, text_hash long, n_tokens long, known long, log double, middle double, part double"
+    parts = written(table.select(*_PARTS[:-1], "rows").mapInArrow(rate, schema), "parts")
+    whole = parts.join(_tail_sums(table, counts), ["key", "text_hash"], "left")
     tail_log = F.coalesce("tail_log", F.lit(0.0))
     base = F.col("log") + tail_log - F.col("n_tokens") * F.log10(F.lit(words_known.base_total))
     known_tokens = F.col("known") + F.coalesce("tail_known", F.lit(0.0)).cast("long")
     return whole.select("doc_id", "n_tokens", known_tokens.alias("n_known"), base.alias("base_score"),
-                        (F.col("part") + tail_log).alias("score"))
+                        (F.col("part") + F.col("middle") + tail_log).alias("score"))
 
 
-_PARTS = ["doc_id", "key", "text_hash", "n_tokens", "known", "log", "part", "tail"]
+_ENCODED = ["doc_id", "key", "text_hash", "place", "n_tokens", "known", "log", "middle", "rows", "tail"]
+_PARTS = ["doc_id", "key", "text_hash", "n_tokens", "known", "log", "middle", "part"]
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return text_rows(docs).select("doc_id", F.coalesce("doc_id", F.lit(-(2**63))).alias("key"),
-                                  F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text")
+    text = F.coalesce("text", F.lit(""))
+    return text_rows(docs).select(
+        "doc_id", F.coalesce("doc_id", F.lit(-(2**63))).alias("key"), F.xxhash64(text).alias("text_hash"),
+        F.xxhash64("doc_id", text).alias("place"), "text")
 
 
 def likelihoods(docs: DataFrame) -> tuple[DataFrame, Vocabulary]:
     """Learns from the documents that are not held out and scores all."""
     rows = text_rows(docs)
-    training = rows.filter(~held_out())
-    counts = written(count_words(training), "counts")
+    counts = written(count_words(rows.filter(~held_out())), "counts")
     known = vocabulary(counts)
-    return score(rows, known, train(training, known), counts), known
+    table = encoded(rows, known)
+    return _scored(table, known, _trained(table.filter(~held_out()), known), counts), known

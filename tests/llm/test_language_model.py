@@ -182,3 +182,73 @@ def test_texts_are_learned_whole_in_groups_of_any_size(monkeypatch):
     encoded = (known.encode([*t.split(), b""]) for t in texts)
     L.learn_texts(type("Noted", (), {"learn": lambda self, part: seen.extend(part)})(), encoded)
     assert [s.tolist() for s in seen] == [known.encode([*t.split(), b""]).tolist() for t in texts]
+
+
+def test_texts_are_taken_apart_once_to_count_and_once_to_encode(documents, awkward, spark, monkeypatch):
+    """Both rounds and the scoring read the encoded table."""
+    docs, plain, seen = documents(awkward), L.words, spark.sparkContext.accumulator(0)
+
+    def noted(raw):
+        seen.add(1)
+        return plain(raw)
+
+    monkeypatch.setattr(L, "words", noted)
+    rows, _ = L.likelihoods(docs)
+    assert rows.count() == len(awkward)
+    assert seen.value == len(awkward) + sum(not _held(i) for i, _ in awkward)
+
+
+def test_encoded_rows_hold_what_the_texts_say(documents, awkward):
+    docs = documents([*awkward, *((300 + i, prose(i, 60)) for i in range(40))])
+    known = L.vocabulary(L.count_words(docs.filter(~L.held_out())), 8, 20)
+    logs = [math.log10(n + L.SMOOTHING) for n in [*known.counts, *known.middle]]
+    texts = Counter((r.doc_id, r.text) for r in docs.collect())
+    got = L.encoded(docs, known).collect()
+    assert len(got) == texts.total()
+    want = []
+    for (doc_id, text), times in texts.items():
+        tokens = _tokens(text)
+        numbers = [known.rows.get(t, -1) for t in tokens]
+        tail = Counter(t for t, k in zip(tokens, numbers) if k < 0)
+        want += times * [(str(doc_id), len(tokens), known.encode(tokens).tolist(), sorted(tail.items()),
+                          round(sum(logs[k] for k in numbers if k >= 0), 6),
+                          round(sum(logs[k] for k in numbers if k >= len(known.counts)), 6))]
+    assert sorted(want) == sorted(
+        (str(r.doc_id), r.n_tokens, np.frombuffer(r.rows, "<u2").tolist(), sorted((bytes(w), n) for w, n in r.tail),
+         round(r.log, 6), round(r.middle, 6)) for r in got)
+
+
+@pytest.mark.parametrize("size", [1, 40])
+def test_probabilities_equal_plain_arithmetic_whatever_the_weights(size):
+    """Logits that leave the range of float32 exponentials have their maximum taken off first."""
+    w, rng = _small(), np.random.default_rng(4)
+    w.classes *= size
+    w.members *= size
+    rows = rng.integers(0, len(w.inputs) - 1, 1500)
+    states = np.tanh(rng.normal(0, 2, (1500, R.HIDDEN))).astype(np.float32)
+    assert R._bounded(R._output_rows(w)[1]) == (size == 1)
+    classes, ids = R.targets(rows, w)
+    wide = states.astype(float)
+    want = np.empty(1500)
+    for k, (c, i) in enumerate(zip(classes, ids)):
+        logits = wide[k] @ w.classes + w.class_bias
+        want[k] = logits[c] - np.logaddexp.reduce(logits)
+        if c < w.head_classes:
+            own = slice(c * R.MEMBERS, (c + 1) * R.MEMBERS)
+            logits = w.members[own] @ wide[k] + w.member_bias[own]
+            want[k] += logits[i % R.MEMBERS] - np.logaddexp.reduce(logits)
+    assert np.allclose(R.log_probabilities(w, states, classes, ids), want, rtol=1e-4, atol=1e-4)
+
+
+def test_learning_is_the_same_with_maxima_taken_off_and_memory_used_again(monkeypatch):
+    rng = np.random.default_rng(6)
+    documents = [rng.integers(0, 104, n).astype(np.int32) for n in (1, 31, 32, 33, 64, 200, 5)]
+    first, again = R.Trainer(_small()), R.Trainer(_small())
+    first.learn(documents)
+    first.learn(documents[::-1])
+    monkeypatch.setattr(R, "LARGEST", 0.0)
+    monkeypatch.setattr(R, "PIECE", 7)
+    again.learn(documents)
+    again.rooms = {name: np.full_like(room, np.nan) for name, room in again.rooms.items()}
+    again.learn(documents[::-1])
+    assert np.allclose(first.w.flat(), again.w.flat(), rtol=1e-3, atol=1e-4)
