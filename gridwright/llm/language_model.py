@@ -24,10 +24,10 @@ import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
-from itertools import pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,7 +47,7 @@ ROUNDS, TOGETHER = 2, 1 << 21
 SHARE_TOKENS, MOST_SHARES = 1 << 22, 4096
 HELD, BLOCK, SALTS = 200_000, 16_384, 64
 #: Bytes of text encoded at a time, and of input rows, two a token, scored at a time.
-ENCODED_BYTES, SCORED_BYTES = 1 << 20, 1 << 21
+ENCODED_BYTES, SCORED_BYTES = 1 << 22, 1 << 21
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -59,6 +59,15 @@ def words(raw: bytes) -> list[bytes]:
     return raw.lower().split()
 
 
+def tokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """What `words` finds in all texts in a row, an end after each text, and where each text's tokens stop."""
+    texts = pc.ascii_trim_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    # What follows the last space is the end; of nothing, nothing is split off.
+    texts = pc.if_else(pc.equal(pc.binary_length(texts), 0), "", pc.binary_join_element_wise(texts, "", " "))
+    split = pc.ascii_split_whitespace(texts)
+    return split.flatten().cast(pa.binary()), np.cumsum(pc.list_value_length(split).to_numpy(), dtype=np.int64)
+
+
 def rare_class(word: bytes) -> int:
     return zlib.crc32(word[-3:]) % RARE_CLASSES
 
@@ -103,26 +112,27 @@ class Vocabulary:
     def __post_init__(self) -> None:
         """Input rows of the recurrent model for the numbers in `rows`."""
         self.first = -(-len(self.counts) // recurrent.MEMBERS) * recurrent.MEMBERS
-        after = [word for word, number in self.rows.items() if number >= len(self.counts)]
-        self.inputs = np.concatenate([np.arange(len(self.counts)), self._rare_rows(after)]).astype(np.int32)
+        listed = list(self.rows)
+        self.listed = pa.array(listed, pa.binary())
+        self.inputs = np.concatenate([np.arange(len(self.counts)), self.rare_rows(listed[len(self.counts):])]).astype(np.int32)
 
     @property
     def base_total(self) -> float:
         return self.tokens + SMOOTHING * (self.kinds + 1)
 
-    def _rare_rows(self, tokens: list[bytes]) -> np.ndarray:
+    def rare_rows(self, tokens: list[bytes]) -> np.ndarray:
         return self.first + np.fromiter(map(rare_class, tokens), dtype=np.int64, count=len(tokens))
 
-    def numbers(self, tokens: list[bytes]) -> np.ndarray:
+    def numbers(self, tokens: pa.Array) -> np.ndarray:
         """Places of tokens in `rows`, -1 for all others."""
-        return np.fromiter(map(self.rows.get, tokens, repeat(-1)), dtype=np.int32, count=len(tokens))
+        return pc.index_in(tokens, value_set=self.listed).fill_null(-1).to_numpy()
 
-    def encode(self, tokens: list[bytes], numbers: np.ndarray | None = None) -> np.ndarray:
+    def encode(self, tokens: list[bytes]) -> np.ndarray:
         """Input rows of the recurrent model for tokens."""
-        numbers = self.numbers(tokens) if numbers is None else numbers
+        numbers = self.numbers(pa.array(tokens, pa.binary()))
         rows = self.inputs[numbers]
         rest = np.flatnonzero(numbers < 0)
-        rows[rest] = self._rare_rows([tokens[at] for at in rest.tolist()])
+        rows[rest] = self.rare_rows([tokens[at] for at in rest.tolist()])
         return rows
 
 
@@ -172,29 +182,27 @@ def encoded(docs: DataFrame, words_known: Vocabulary) -> DataFrame:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, limit=ENCODED_BYTES):
-            tokens: list[bytes] = []
-            ends = []
-            for raw in raw_texts(batch):
-                tokens += words(raw)
-                tokens.append(END)
-                ends.append(len(tokens))
-            starts = np.array([0, *ends[:-1]])
-            numbers = known.value.numbers(tokens)
-            rows = known.value.encode(tokens, numbers).astype("<u2")
+            found, ends = tokens(batch.column("text"))
+            starts = np.concatenate([[0], ends[:-1]])
+            numbers = known.value.numbers(found)
             own = np.where(numbers < 0, 0, logs[numbers])
             rest = np.flatnonzero(numbers < 0)
-            edges = [0, *np.searchsorted(rest, ends).tolist()]
-            tails = [Counter(tokens[at] for at in rest[i:j].tolist()) for i, j in pairwise(edges)]
-            pairs = [pair for tail in tails for pair in tail.items()]
-            structs = pa.StructArray.from_arrays(
-                [pa.array([w for w, _ in pairs], pa.binary()), pa.array([n for _, n in pairs], pa.int64())], ["word", "times"])
+            others = found.take(pa.array(rest)).dictionary_encode()
+            kinds, codes = others.dictionary, others.indices.to_numpy()
+            rows = known.value.inputs[numbers]
+            rows[rest] = known.value.rare_rows(kinds.to_pylist())[codes]
+            rows = rows.astype("<u2")
+            # Each other word of a text once, in the order of the texts.
+            pair, times = np.unique(np.searchsorted(ends, rest, side="right") * max(1, len(kinds)) + codes, return_counts=True)
+            text, kind = np.divmod(pair, max(1, len(kinds)))
+            tails = pa.StructArray.from_arrays([kinds.take(pa.array(kind)), pa.array(times, pa.int64())], ["word", "times"])
             columns = [*(batch.column(c) for c in ("doc_id", "key", "text_hash", "place")),
-                       pa.array(np.subtract(ends, starts), pa.int64()),
+                       pa.array(ends - starts),
                        pa.array(np.add.reduceat((numbers >= 0) & occurs[numbers], starts, dtype=np.int64)),
                        pa.array(np.add.reduceat(own, starts)),
                        pa.array(np.add.reduceat(np.where(numbers < head, 0, own), starts)),
-                       pa.array([rows[i:j].tobytes() for i, j in pairwise([0, *ends])], pa.binary()),
-                       pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, tails)]), pa.int32()), structs)]
+                       pa.array([rows[i:j].tobytes() for i, j in zip(starts.tolist(), ends.tolist())], pa.binary()),
+                       pa.ListArray.from_arrays(pa.array(np.searchsorted(text, np.arange(len(ends) + 1)), pa.int32()), tails)]
             yield pa.RecordBatch.from_arrays(columns, _ENCODED)
 
     schema = ("doc_id long, key long, text_hash long, place long, n_tokens long, known long, log double, middle double, "
@@ -296,7 +304,7 @@ def _scored(table: DataFrame, words_known: Vocabulary, weights: Weights, counts:
     less[first:] = np.log10(words_known.rare_tokens + SMOOTHING * (words_known.rare_kinds + 1))
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "rows", SCORED_BYTES):
+        for batch in slices(batches, "rows", limit=SCORED_BYTES):
             documents = list(_input_rows(batch))
             part = recurrent.score(model.value, documents) / np.log(10) - [less[rows].sum() for rows in documents]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in _PARTS[:-1]), pa.array(part)], _PARTS)

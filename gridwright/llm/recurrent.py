@@ -261,7 +261,7 @@ class Trainer:
         return windows
 
     def _room(self, name: str, *shape: int) -> np.ndarray:
-        """An array of any content, the same memory for each window: fresh pages cost a fifth of a window's time."""
+        """An array of any content, the same memory for each window, since fresh pages cost time."""
         size = math.prod(shape)
         if name not in self.rooms or len(self.rooms[name]) < size:
             self.rooms[name] = np.empty(size, dtype=np.float32)

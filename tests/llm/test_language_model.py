@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from gridwright.llm import language_model as L
@@ -186,18 +187,29 @@ def test_texts_are_learned_whole_in_groups_of_any_size(monkeypatch):
 
 def test_texts_are_taken_apart_once_to_count_and_once_to_encode(documents, awkward, spark, monkeypatch):
     """Both rounds and the scoring read the encoded table."""
-    docs, plain, seen = documents(awkward), L.words, spark.sparkContext.accumulator(0)
+    docs, plain, seen = documents(awkward), L.slices, spark.sparkContext.accumulator(0)
 
-    def noted(raw):
-        seen.add(1)
-        return plain(raw)
+    def noted(batches, column="text", **bounds):
+        for batch in plain(batches, column, **bounds):
+            seen.add(batch.num_rows * (column == "text"))
+            yield batch
 
-    monkeypatch.setattr(L, "words", noted)
+    monkeypatch.setattr(L, "slices", noted)
     rows, _ = L.likelihoods(docs)
     assert rows.count() == len(awkward)
     assert seen.value == len(awkward) + sum(not _held(i) for i, _ in awkward)
 
 
+def test_tokens_of_all_texts_are_those_of_each():
+    odd = [None, "", " ", "\t\v a\x0c\r\n", "a\x1cb \x1f c\x85d\xa0e\u2028f", "\x00 x\x00", "\u0130I\u212aK \u00c9A\u017f", "A  b" * 9,
+           *(f"{c}A{c}{c}b" for c in map(chr, range(1, 160)))]
+    for texts in (odd, odd[:1], odd[1:3], ["x", *odd][2:9]):
+        found, ends = L.tokens(pa.array(texts, pa.string()))
+        want = [_tokens(t) for t in texts]
+        assert found.to_pylist() == [w for t in want for w in t]
+        assert ends.tolist() == np.cumsum([len(t) for t in want]).tolist()
+
+
 def test_encoded_rows_hold_what_the_texts_say(documents, awkward):
     docs = documents([*awkward, *((300 + i, prose(i, 60)) for i in range(40))])
     known = L.vocabulary(L.count_words(docs.filter(~L.held_out())), 8, 20)
