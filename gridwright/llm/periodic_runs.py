@@ -8,7 +8,8 @@ the only possible root of a run there. Each such root is extended both ways; wha
 is the least one since a Lyndon word is primitive.
 
 The trees are built in tasks, document by document; tours, tables and extensions are numpy over a slice of documents.
-Memory grows with the longest document, about 200 bytes a word.
+Memory grows with the longest document; about 600 bytes a word were measured on 524 288 words with much variety, 1300 on
+60 000 times the same word.
 
 A null text is an empty one: no words, no runs. Runs come by start, then period. Repeated rows repeat in the result, and
 rows without an id are documents like others. An empty table gives no rows.
@@ -17,6 +18,7 @@ rows without an id are documents like others. An empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -25,78 +27,93 @@ from pyspark.sql import DataFrame
 from gridwright.llm.batches import raw_texts, slices, text_rows
 
 MIN_LENGTH, MIN_EXPONENT = 6, 4
-SLICE = 1 << 20
+SLICE = 1 << 17
 _BLOCK = 16
 RUNS = "array<struct<start:bigint,length:bigint,period:bigint>>"
 #: The words of a document, given its id and its own words.
 Rewrite = Callable[[int | None, list[bytes]], list[bytes]]
 
 
-def suffix_tree(symbols: list[int], width: int) -> tuple[list[int], list[int], dict[int, int]]:
-    """Ukkonen's construction: for each node where its edge starts and how long it is, and the children by
-    node * width + first symbol. The last symbol must occur once. Node 0 is the root; a leaf's edge is len(symbols) long."""
-    start, length, link = [0], [0], [0]
-    children: dict[int, int] = {}
+def suffix_tree(symbols: list[int], width: int) -> tuple[list[int], list[int], list[int]]:
+    """Ukkonen's construction: the parent of each node, and for the root and the inner nodes how many symbols deep they are
+    and a suffix that begins with their path. The last symbol must occur once, all are below `width`. Node j is the leaf of
+    suffix j, node len(symbols) the root, its own parent; inner nodes follow."""
     n = len(symbols)
-    node = place = along = pending = 0
+    # Leaves are deeper than any place reached before the end.
+    up, depth, head, link = [n] * (n + 1), [*[n + 1] * n, 0], [*range(n), 0], [n] * (n + 1)
+    # By node * width + first symbol of the edge.
+    children: dict[int, int] = {}
+    find = children.get
+    # What is not a leaf yet, symbols[suffix:i], ends at the node or on the edge from it to `child`.
+    node, child = n, None
+    suffix, size = 0, n + 1
     for i, symbol in enumerate(symbols):
-        pending += 1
+        if child is None:
+            key = node * width + symbol
+            child = find(key)
+            if child is not None:
+                if depth[child] == i - suffix + 1:
+                    node, child = child, None
+                continue
+            if suffix == i:
+                children[key] = i
+                suffix += 1
+                continue
+        elif symbols[head[child] + i - suffix] == symbol:
+            if depth[child] == i - suffix + 1:
+                node, child = child, None
+            continue
         unlinked = 0
-        while pending:
-            if not along:
-                key = node * width + symbol
-                child = children.get(key)
+        while True:
+            if child is None:
+                children[node * width + symbol] = suffix
+                up[suffix] = node
+            else:
+                along = i - suffix
+                key = size * width
+                children[node * width + symbols[suffix + depth[node]]] = size
+                children[key + symbols[head[child] + along]] = child
+                children[key + symbol] = suffix
+                up.append(node)
+                up[child] = up[suffix] = size
+                depth.append(along)
+                head.append(suffix)
+                link.append(n)
+                if unlinked:
+                    link[unlinked] = size
+                unlinked = size
+                size += 1
+                child = None
+            if suffix == i:
+                suffix += 1
+                break
+            suffix += 1
+            if node != n:
+                node = link[node]
+            at, along = depth[node], i - suffix
+            while at < along:
+                child = children[node * width + symbols[suffix + at]]
+                at = depth[child]
+                if at > along:
+                    break
+                node, child = child, None
+            if child is None:
                 if unlinked:
                     link[unlinked] = node
                     unlinked = 0
+                child = find(node * width + symbol)
                 if child is None:
-                    children[key] = len(start)
-                    start.append(i)
-                    length.append(n)
-                    link.append(0)
-                    pending -= 1
-                    node = link[node]
                     continue
-                if length[child] == 1:
-                    node = child
-                else:
-                    place, along = i, 1
-                break
-            key = node * width + symbols[place]
-            child = children[key]
-            size = length[child]
-            if along >= size:
-                place += size
-                along -= size
-                node = child
+            elif symbols[head[child] + along] != symbol:
                 continue
-            at = start[child]
-            if symbols[at + along] == symbol:
-                if unlinked:
-                    link[unlinked] = node
-                along += 1
-                if along == size:
-                    node, along = child, 0
-                break
-            inner = len(start)
-            start += (at, i)
-            length += (along, n)
-            link += (0, 0)
-            children[key] = inner
-            start[child] = at + along
-            length[child] = size - along
-            children[inner * width + symbols[at + along]] = child
-            children[inner * width + symbol] = inner + 1
-            if unlinked:
-                link[unlinked] = inner
-            unlinked = inner
-            pending -= 1
-            if node:
-                node = link[node]
-            else:
-                along -= 1
-                place = i - pending + 1
-    return start, length, children
+            if depth[child] == along + 1:
+                node, child = child, None
+            break
+    return up, depth[n:], head[n:]
+
+
+def _array(values: list[int]) -> np.ndarray:
+    return np.fromiter(values, np.int64, len(values))
 
 
 class Forest:
@@ -106,75 +123,92 @@ class Forest:
     """
 
     def __init__(self, texts: list[list[int]], widths: list[int]) -> None:
-        starts, lengths, parents, symbols, children = [], [], [], [], []
-        roots = np.zeros(len(texts), np.int64)
-        nodes = suffixes = 0
-        for t, (text, width) in enumerate(zip(texts, widths)):
-            start, length, edges = suffix_tree(text, width)
-            keys = np.fromiter(edges, np.int64, len(edges))
-            parents.append(keys // width + nodes)
-            symbols.append(keys % width)
-            children.append(np.fromiter(edges.values(), np.int64, len(edges)) + nodes)
-            starts.append(np.array(start) + suffixes)
-            lengths.append(length)
-            roots[t] = nodes
-            nodes += len(start)
-            suffixes += len(text)
-        self.size = suffixes
-        parent, symbol, child = map(np.concatenate, (parents, symbols, children))
-        order = np.argsort(parent * (int(max(widths)) + 1) + symbol)
-        parent, symbol, child = parent[order], symbol[order], child[order]
-        self._tour(np.concatenate(starts), np.concatenate(lengths), roots, parent, symbol, child)
-
-    def _tour(self, start: np.ndarray, length: np.ndarray, roots: np.ndarray,
-              parent: np.ndarray, symbol: np.ndarray, child: np.ndarray) -> None:
-        nodes = len(start)
-        first_edge = np.searchsorted(parent, np.arange(nodes + 1))
-        inner = first_edge[1:] > first_edge[:-1]
-        edge_of = np.zeros(nodes, np.int64)
-        edge_of[child] = np.arange(len(child))
-        # Levels from the roots down; edges of one level are all known when the level above is.
+        flat, parents, depths, heads, sizes, branches = [], [], [], [], [], []
+        for text, width in zip(texts, widths):
+            up, depth, head = suffix_tree(text, width)
+            flat += text
+            parents += up
+            depths += depth
+            heads += head
+            sizes.append(len(text))
+            branches.append(len(depth))
+        parent, symbols, sizes, branches = map(_array, (parents, flat, sizes, branches))
+        counts = sizes + branches
+        begins, texts_at = np.cumsum(counts) - counts, np.cumsum(sizes) - sizes
+        self.size, self.sizes, self.texts_at = len(flat), sizes, texts_at
+        # Leaves come before the root and the inner nodes of their text.
+        parent += np.repeat(begins, counts)
+        suffixes = np.arange(len(flat))
+        self.leaf = suffixes + np.repeat(begins - texts_at, sizes)
+        depth, head = np.empty(len(parent), np.int64), np.empty(len(parent), np.int64)
+        depth[self.leaf], head[self.leaf] = np.repeat(texts_at + sizes, sizes) - suffixes, suffixes
+        others = np.arange(len(depths)) + np.repeat(begins + sizes - np.cumsum(branches) + branches, branches)
+        depth[others], head[others] = _array(depths), _array(heads) + np.repeat(texts_at, branches)
+        roots = begins + sizes
+        child = np.flatnonzero(depth)
+        above = parent[child]
+        symbol = symbols[head[child] + depth[above]]
+        order = np.argsort(above * (max(widths) + 1) + symbol)
+        self._tour(depth, roots, above[order], symbol[order], child[order])
+
+    def _tour(self, depth: np.ndarray, roots: np.ndarray, parent: np.ndarray, symbol: np.ndarray, child: np.ndarray) -> None:
+        nodes = len(depth)
+        fans = np.bincount(parent, minlength=nodes)
+        first_edge = np.cumsum(fans) - fans
+        # Levels from the roots down: the edges below nodes with children, and where each node's begin among them.
         levels, level = [], roots
         while len(level):
-            level = level[inner[level]]
-            counts = first_edge[level + 1] - first_edge[level]
-            skipped = np.repeat(first_edge[level] - np.cumsum(counts) + counts, counts)
-            edges = skipped + np.arange(len(skipped))
-            levels.append(edges)
-            level = child[edges]
-        depth = np.zeros(nodes, np.int64)
-        leaves, tour = (~inner).astype(np.int64), np.ones(nodes, np.int64)
-        for edges in levels:
-            depth[child[edges]] = depth[parent[edges]] + length[child[edges]]
-        for edges in reversed(levels):
-            np.add.at(leaves, parent[edges], leaves[child[edges]])
-            np.add.at(tour, parent[edges], tour[child[edges]] + 1)
-        # What the siblings before an edge take, under the order of the symbols and under its reverse.
-        group = first_edge[parent]
-        taken = np.cumsum(leaves[child]) - leaves[child]
-        before = taken - taken[group]
-        ends = symbol[group] == 0
-        after = np.where(symbol == 0, 0, leaves[parent] - before - leaves[child] + ends)
-        steps = np.cumsum(tour[child] + 1) - tour[child] - 1
-        steps = steps - steps[group] + 1
+            width = fans[level]
+            group = np.cumsum(width) - width
+            edges = np.repeat(first_edge[level] - group, width)
+            edges += np.arange(len(edges))
+            levels.append((edges, group))
+            below = child[edges]
+            level = below[fans[below] > 0]
+        tour = np.ones(nodes, np.int64)
+        for edges, group in reversed(levels):
+            tour[parent[edges[group]]] += np.add.reduceat(tour[child[edges]] + 1, group)
+        # A node's tour: itself, and again after the tour of each child.
+        visits = tour[child] + 1
+        steps = np.cumsum(visits) - visits
+        steps -= steps[first_edge[parent]] - 1
         first = np.zeros(nodes, np.int64)
         first[roots] = np.cumsum(tour[roots]) - tour[roots]
-        rank, reverse = np.zeros(nodes, np.int64), np.zeros(nodes, np.int64)
-        rank[roots] = reverse[roots] = np.cumsum(leaves[roots]) - leaves[roots]
-        for edges in levels:
-            up, down = parent[edges], child[edges]
-            rank[down] = rank[up] + before[edges]
-            reverse[down] = reverse[up] + after[edges]
-            first[down] = first[up] + steps[edges]
+        for edges, _ in levels:
+            first[child[edges]] = first[parent[edges]] + steps[edges]
         heights = np.zeros(int(tour[roots].sum()), np.int64)
         heights[first] = depth
         heights[first[child] + tour[child]] = depth[parent]
-        leaf = np.flatnonzero(~inner)
-        suffix = start[leaf] - depth[parent[edge_of[leaf]]]
-        self.rank, self.reverse, self.visit = (np.zeros(self.size, np.int64) for _ in range(3))
-        self.rank[suffix], self.reverse[suffix], self.visit[suffix] = rank[leaf], reverse[leaf], first[leaf]
+        self.visit = first[self.leaf]
+        last = np.flatnonzero(symbol == 0)
+        self.endings = first[child[last]], first[parent[last]] + tour[parent[last]] - 1
         self._table(heights)
 
+    @cached_property
+    def rank(self) -> np.ndarray:
+        """The place of each suffix among all of its text in their order, counted through the texts: that of the tour."""
+        return self.seen[self.visit] - 1
+
+    @cached_property
+    def seen(self) -> np.ndarray:
+        """How many leaves the tour has met up to each step."""
+        met = np.zeros(len(self.heights), np.int64)
+        met[self.visit] = 1
+        return np.cumsum(met)
+
+    @cached_property
+    def reverse(self) -> np.ndarray:
+        """The same under the reverse order of the symbols. Suffixes change places with those as far from the other end,
+        but what ends at a node still comes before all that goes on from there."""
+        out = np.repeat(2 * self.texts_at + self.sizes - 1, self.sizes) - self.rank
+        first, last = (self.seen[x] - 1 for x in self.endings)
+        change = np.zeros(self.size + 1, np.int64)
+        np.add.at(change, first + 1, 1)
+        np.add.at(change, last + 1, -1)
+        change = np.cumsum(change[:-1])
+        change[first] -= last - first
+        return out + change[self.rank]
+
     def _table(self, heights: np.ndarray) -> None:
         blocks = -(-len(heights) // _BLOCK)
         padded = np.full(blocks * _BLOCK, np.iinfo(np.int64).max)
@@ -183,15 +217,18 @@ class Forest:
         self.heights = padded
         self.to_here = np.minimum.accumulate(grid, axis=1).ravel()
         self.from_here = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
-        least, self.table = grid.min(axis=1), []
-        while len(least):
-            self.table.append(least)
-            reach = 1 << (len(self.table) - 1)
-            least = np.minimum(least[:-reach], least[reach:]) if len(least) > reach else least[:0]
+        # Row k: the least of 2 ** k blocks from each one on.
+        self.table = np.empty((blocks.bit_length(), blocks), np.int64)
+        self.table[0] = grid.min(axis=1)
+        for k in range(1, len(self.table)):
+            half = 1 << (k - 1)
+            self.table[k] = self.table[k - 1]
+            np.minimum(self.table[k - 1, :-half], self.table[k - 1, half:], out=self.table[k, :-half])
 
     def extension(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """How many symbols the suffixes i and j, different ones of the same text, have in common."""
-        a, b = np.sort((self.visit[i], self.visit[j]), axis=0)
+        a, b = self.visit[i], self.visit[j]
+        a, b = np.minimum(a, b), np.maximum(a, b)
         left, right = a // _BLOCK, b // _BLOCK
         out = np.minimum(self.from_here[a], self.to_here[b])
         near = np.flatnonzero(left == right)
@@ -202,23 +239,34 @@ class Forest:
         far = np.flatnonzero(right - left > 1)
         if len(far):
             low, high = left[far] + 1, right[far]
-            power = np.log2(high - low).astype(np.int64)
-            for k in np.unique(power):
-                at = power == k
-                row, to = self.table[k], far[at]
-                out[to] = np.minimum(out[to], np.minimum(row[low[at]], row[high[at] - (1 << k)]))
+            power = np.frexp(high - low)[1] - 1
+            inner = np.minimum(self.table[power, low], self.table[power, high - (1 << power)])
+            out[far] = np.minimum(out[far], inner)
         return out
 
 
 def next_smaller(values: np.ndarray) -> np.ndarray:
     """For each place the next one with a smaller value, or the length."""
-    values = values.tolist()
-    out, waiting = [len(values)] * len(values), []
-    for i, value in enumerate(values):
-        while waiting and values[waiting[-1]] > value:
-            out[waiting.pop()] = i
-        waiting.append(i)
-    return np.array(out, np.int64)
+    n = len(values)
+    padded = np.append(values, np.iinfo(np.int64).min)
+    # Nothing between a place and its jump is smaller, so a place may take over the jump of where it has come to.
+    jump = np.arange(1, n + 1)
+    open_places = np.flatnonzero(padded[1:] >= values)
+    work = 4 * n
+    while len(open_places) and work > 0:
+        work -= len(open_places) + 1024
+        to = jump[jump[open_places]]
+        jump[open_places] = to
+        open_places = open_places[padded[to] >= values[open_places]]
+    if len(open_places):
+        # A few long chains are left; from the right, what one place has passed the next one skips.
+        known, out = padded.tolist(), jump.tolist()
+        for i in reversed(open_places.tolist()):
+            to, value = out[i], known[i]
+            while known[to] >= value:
+                to = out[to]
+            out[i] = jump[i] = to
+    return jump
 
 
 def find_runs(
@@ -229,26 +277,26 @@ def find_runs(
     found: list[list[tuple[int, int, int]]] = [[] for _ in documents]
     texts, mirrored, widths = [], [], []
     for words in documents:
-        known: dict[bytes, int] = {}
-        text = [known.setdefault(w, len(known) + 1) for w in words]
-        texts.append([*text, 0])
-        mirrored.append([*text[::-1], 0])
+        known = dict(zip(dict.fromkeys(words), range(1, len(words) + 1)))
+        text = [*map(known.__getitem__, words), 0]
+        texts.append(text)
+        mirrored.append([*text[-2::-1], 0])
         widths.append(len(known) + 1)
     if not texts:
         return found
-    sizes = np.array([len(t) for t in texts])
-    begins = np.cumsum(sizes) - sizes
     ahead, back = Forest(texts, widths), Forest(mirrored, widths)
+    sizes, begins = ahead.sizes, ahead.texts_at
     owner = np.repeat(np.arange(len(texts)), sizes)
     places = np.arange(ahead.size)
+    words_left = (begins + sizes - 1)[owner] - places
     candidates = []
     for rank in (ahead.rank, ahead.reverse):
-        ends = next_smaller(rank)
-        inside = places[(places - begins[owner] < sizes[owner] - 1) & (ends - begins[owner] < sizes[owner] - 1)]
-        candidates.append(np.stack((inside, ends[inside] - inside)))
+        period = next_smaller(rank) - places
+        # The first root of a run has all but its first two periods to its right.
+        inside = np.flatnonzero(words_left > (min_exponent - 1) * period)
+        candidates.append(np.stack((inside, period[inside])))
     place, period = np.concatenate(candidates, axis=1)
     right = ahead.extension(place, place + period)
-    # The first root of a run has all but its first two periods to its right.
     whole = right > (min_exponent - 2) * period
     place, period, right = place[whole], period[whole], right[whole]
     doc = owner[place]

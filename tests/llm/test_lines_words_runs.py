@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import sys
 import zlib
 from collections import Counter, defaultdict
 
@@ -303,6 +304,32 @@ def test_collapse_drops_only_what_repeats():
     assert collapse(words, []) == words
 
 
+def test_next_smaller_follows_long_chains():
+    chain = [*range(3000), *range(6000, 3000, -1)]
+    for values in (chain, chain[::-1], [0, *range(5000, 0, -1)], [2, 2, 1, 1, 3], []):
+        want = [next((j for j in range(i + 1, len(values)) if values[j] < v), len(values)) for i, v in enumerate(values[:60])]
+        got = next_smaller(periodic_runs.np.array(values, dtype=int)).tolist()
+        assert len(got) == len(values) and got[:60] == want
+
+
+def test_few_python_steps_a_word():
+    documents = [prose(n, 300).encode().split() for n in range(40)]
+    steps = 0
+
+    def count(frame, event, _):
+        nonlocal steps
+        steps += event == "line"
+        return count if frame.f_code.co_filename == periodic_runs.__file__ else None
+
+    tracer = sys.gettrace()
+    sys.settrace(count)
+    try:
+        find_runs(documents)
+    finally:
+        sys.settrace(tracer)
+    assert steps < 38 * sum(map(len, documents))
+
+
 @pytest.mark.parametrize("name", ["op11_lines", "op12_spelling", "op13_runs"])
 def test_empty_table(spark, stored, name, tmp_path):
     spark.read.parquet(f"{stored([(1, 'x')])}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
