@@ -8,7 +8,7 @@ the only possible root of a run there. Each such root is extended both ways; wha
 is the least one since a Lyndon word is primitive.
 
 The trees are built in tasks, document by document; tours, tables and extensions are numpy over a slice of documents.
-Memory grows with the longest document; about 600 bytes a word were measured on 524 288 words with much variety, 1300 on
+Memory grows with the longest document; about 600 bytes a word were measured on 524 288 words with much variety, 1200 on
 60 000 times the same word.
 
 A null text is an empty one: no words, no runs. Runs come by start, then period. Repeated rows repeat in the result, and
@@ -34,29 +34,28 @@ RUNS = "array<struct<start:bigint,length:bigint,period:bigint>>"
 Rewrite = Callable[[int | None, list[bytes]], list[bytes]]
 
 
-def suffix_tree(symbols: list[int], width: int) -> tuple[list[int], list[int], list[int]]:
+def suffix_tree(symbols: list[int]) -> tuple[list[int], list[int], list[int]]:
     """Ukkonen's construction: the parent of each node, and for the root and the inner nodes how many symbols deep they are
-    and a suffix that begins with their path. The last symbol must occur once, all are below `width`. Node j is the leaf of
-    suffix j, node len(symbols) the root, its own parent; inner nodes follow."""
+    and a suffix that begins with their path. The last symbol must occur once. Node j is the leaf of suffix j, node
+    len(symbols) the root, its own parent; inner nodes follow."""
     n = len(symbols)
     # Leaves are deeper than any place reached before the end.
     up, depth, head, link = [n] * (n + 1), [*[n + 1] * n, 0], [*range(n), 0], [n] * (n + 1)
-    # By node * width + first symbol of the edge.
-    children: dict[int, int] = {}
-    find = children.get
+    # Children by the first symbol of their edge.
+    top: dict[int, int] = {}
+    below: list[dict[int, int] | None] = [*[None] * n, top]
     # What is not a leaf yet, symbols[suffix:i], ends at the node or on the edge from it to `child`.
     node, child = n, None
     suffix, size = 0, n + 1
     for i, symbol in enumerate(symbols):
         if child is None:
-            key = node * width + symbol
-            child = find(key)
+            child = below[node].get(symbol)
             if child is not None:
                 if depth[child] == i - suffix + 1:
                     node, child = child, None
                 continue
             if suffix == i:
-                children[key] = i
+                top[symbol] = i
                 suffix += 1
                 continue
         elif symbols[head[child] + i - suffix] == symbol:
@@ -66,14 +65,12 @@ def suffix_tree(symbols: list[int], width: int) -> tuple[list[int], list[int], l
         unlinked = 0
         while True:
             if child is None:
-                children[node * width + symbol] = suffix
+                below[node][symbol] = suffix
                 up[suffix] = node
             else:
                 along = i - suffix
-                key = size * width
-                children[node * width + symbols[suffix + depth[node]]] = size
-                children[key + symbols[head[child] + along]] = child
-                children[key + symbol] = suffix
+                below[node][symbols[suffix + depth[node]]] = size
+                below.append({symbols[head[child] + along]: child, symbol: suffix})
                 up.append(node)
                 up[child] = up[suffix] = size
                 depth.append(along)
@@ -92,7 +89,7 @@ def suffix_tree(symbols: list[int], width: int) -> tuple[list[int], list[int], l
                 node = link[node]
             at, along = depth[node], i - suffix
             while at < along:
-                child = children[node * width + symbols[suffix + at]]
+                child = below[node][symbols[suffix + at]]
                 at = depth[child]
                 if at > along:
                     break
@@ -101,7 +98,7 @@ def suffix_tree(symbols: list[int], width: int) -> tuple[list[int], list[int], l
                 if unlinked:
                     link[unlinked] = node
                     unlinked = 0
-                child = find(node * width + symbol)
+                child = below[node].get(symbol)
                 if child is None:
                     continue
             elif symbols[head[child] + along] != symbol:
@@ -124,8 +121,8 @@ class Forest:
 
     def __init__(self, texts: list[list[int]], widths: list[int]) -> None:
         flat, parents, depths, heads, sizes, branches = [], [], [], [], [], []
-        for text, width in zip(texts, widths):
-            up, depth, head = suffix_tree(text, width)
+        for text in texts:
+            up, depth, head = suffix_tree(text)
             flat += text
             parents += up
             depths += depth
