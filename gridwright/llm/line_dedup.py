@@ -5,7 +5,8 @@ from all of them except the one with the least doc_id, and the other lines are p
 
 The text of a line never moves: only a 128-bit hash with its document and place does. Counting combines before it
 shuffles. A hash that holds more than one in `HEAVY` of all lines meets its count in a broadcast table, and there can be
-no more than `HEAVY` of these; the others are too rare to fill a partition.
+no more than `HEAVY` of these; the others are too rare to fill a partition. Both joins read the same shuffle of the counts;
+only the hashes are written, so the files do not grow with the number of shuffle partitions.
 
 A null text is an empty one, with one empty line. Rows with the same doc_id are one document, and so are all rows without
 an id, which comes after all others; repeated rows repeat in the result. Equal lines of one document all stay or all go.
@@ -59,10 +60,11 @@ def repeated_lines(lines: DataFrame, min_documents: int = MIN_DOCUMENTS) -> Data
 def dropped_places(lines: DataFrame, repeated: DataFrame, heavy: int = HEAVY) -> DataFrame:
     """doc_id, text_hash and the sorted places of the lines that go, of the documents that lose any."""
     most = lines.count() // heavy
-    often = repeated.filter(F.col("n_lines") > most).select(*_HASH, F.col("keeper").alias("often_keeper"), F.lit(True).alias("often"))
+    # Both branches need the keeper of `often`, so that all three uses of the counts are one plan with one shuffle.
+    often = repeated.filter(F.col("n_lines") > most).select(*_HASH, F.struct("keeper").alias("often"))
     seldom = repeated.filter(F.col("n_lines") <= most).select(*_HASH, "keeper")
     marked = lines.join(F.broadcast(often), _HASH, "left")
-    by_often = marked.filter("often").select(*_ROW, "place", F.col("often_keeper").alias("keeper"))
+    by_often = marked.filter("often is not null").select(*_ROW, "place", "often.keeper")
     by_seldom = marked.filter("often is null").select(*_ROW, "place", *_HASH).join(seldom, _HASH).select(*_ROW, "place", "keeper")
     gone = by_often.unionByName(by_seldom).filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
     return gone.groupBy(*_ROW).agg(F.sort_array(F.collect_set("place")).alias("gone"))
@@ -73,7 +75,7 @@ def drop_repeated_lines(
 ) -> DataFrame:
     """doc_id, n_lines (before), n_dropped and kept_text of every document."""
     lines = written(line_hashes(docs, min_length), "lines")
-    gone = dropped_places(lines, written(repeated_lines(lines, min_documents), "repeated"), heavy)
+    gone = dropped_places(lines, repeated_lines(lines, min_documents), heavy)
     gone = gone.select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"), "gone")
     rows = _texts(docs)
     same = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("text_hash") == F.col("gone_hash"))

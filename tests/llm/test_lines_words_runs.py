@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import duckdb
 import pytest
 
+from gridwright import session
 from gridwright.llm import line_dedup, periodic_runs, queries, spelling_variants
 from gridwright.llm.periodic_runs import Forest, collapse, find_runs, next_smaller
 from tests.llm.conftest import prose
@@ -87,6 +88,30 @@ def test_heavy_lines_are_few_and_rows_are_whole(documents):
     assert line_dedup.dropped_places(lines, repeated).count() == 299
 
 
+def test_counts_of_lines_share_one_shuffle_and_are_not_written(spark, documents, monkeypatch):
+    pairs, tables = _shared_lines(6, 120), []
+
+    def written(df, label):
+        tables.append(session.written(df, label))
+        return tables[-1]
+
+    monkeypatch.setattr(line_dedup, "written", written)
+    settings = {"spark.sql.shuffle.partitions": "31", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        frame = line_dedup.drop_repeated_lines(documents(pairs).repartition(3), heavy=20)
+        rows = sorted(((r.doc_id, r.n_lines, r.n_dropped, r.kept_text) for r in frame.collect()), key=str)
+        plan = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert rows == _brute_lines(pairs)
+    assert len(tables) == 1 and len(tables[0].inputFiles()) <= 3
+    assert plan.count("partial_min(doc_id") == 1
+
+
 def test_lines_query_equals_its_sql(spark, stored, awkward):
     pairs = [(n, t) for n, (_, t) in enumerate(awkward + _shared_lines(5, 80))]
     folder = stored(pairs)
